@@ -1,16 +1,19 @@
-"""Scalar parse / coercion rules as Column -> Column expressions.
+"""Scalar parse / coercion rules as native Spark SQL expressions.
 
-Every function here builds a native Catalyst expression (regex guards plus
-``try_cast``), so the rules run inside whole-stage codegen with no Python
-worker.  Regexes guard every cast because Spark's casts accept text the source
-system rejects (``'5d'`` as a double, ``'2024-03'`` as a date) and vice versa.
+Each rule is written once as SQL expression text (``*_sql`` builders taking
+the SQL text of their input) and exposed as a ``Column`` through
+``F.expr``.  The text form keeps plan construction to one JVM parse per
+column; the expressions themselves are built-ins (regex guards plus
+``try_cast``) that run inside whole-stage codegen, with no Python worker.
+
+Regexes guard every cast because Spark's casts accept text the source system
+rejects (``'5d'`` as a double, ``'2024-03'`` as a date) and vice versa.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # Accepted text shapes.
@@ -37,159 +40,133 @@ FLOAT_PATTERN = (
 INT_PATTERN = r"^[+-]?\d(_?\d)*$"
 
 
-def _c(col: Column | str) -> Column:
-    return F.col(col) if isinstance(col, str) else col
+def lit_sql(text: str) -> str:
+    """A SQL string literal for ``text`` (backslashes and quotes escaped)."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def strip_ws(col: Column | str) -> Column:
-    """Remove leading / trailing whitespace of any kind (like ``str.strip``)."""
-    return F.regexp_replace(_c(col), STRIP_PATTERN, "")
+def ident(name: str) -> str:
+    """A quoted SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
 
 
-def blank_to_null(col: Column | str) -> Column:
-    """NULL for NULL or the empty string (``None or ''``)."""
-    c = _c(col)
-    return F.when(c != F.lit(""), c)
+def _col(x: str) -> Column:
+    return F.expr(x)
 
 
-def falsy_to_null(col: Column, data_type: T.DataType) -> Column:
-    """NULL for Python-falsy values of the given type: '' / 0 / 0.0 / false / []."""
-    if isinstance(data_type, T.StringType):
-        return F.when(col != F.lit(""), col)
-    if isinstance(data_type, T.NumericType):
-        return F.when(col != F.lit(0), col)
-    if isinstance(data_type, T.BooleanType):
-        return F.when(col, col)
-    if isinstance(data_type, (T.ArrayType, T.MapType)):
-        return F.when(F.size(col) > 0, col)
-    return col
+# ---------------------------------------------------------------------------
+# Text helpers
+# ---------------------------------------------------------------------------
+def strip_ws_sql(x: str) -> str:
+    """Remove leading / trailing whitespace of any kind (like ``str.strip``)."""
+    return f"regexp_replace({x}, {lit_sql(STRIP_PATTERN)}, '')"
 
 
-def first_truthy(*cols: Column) -> Column:
-    """``a or b or ...`` over already falsy-nulled columns."""
-    return F.coalesce(*cols)
+def nonblank_sql(x: str) -> str:
+    """NULL for NULL or the empty string (``None or ''``)."""
+    return f"nullif({x}, '')"
 
 
-def parse_event_date(col: Column | str) -> Column:
+# ---------------------------------------------------------------------------
+# Event dates
+# ---------------------------------------------------------------------------
+def parse_event_date_sql(x: str) -> str:
     """Event-date text -> DATE.
 
     * NULL / '' -> NULL; surrounding whitespace removed; trailing 'Z' = UTC.
     * Text containing 'T' must be an ISO date-time; zoned values are moved to
-      UTC (session zone) before the calendar day is taken.
+      UTC (session zone) before the calendar day is taken.  Hour-only and
+      minute-only times are padded first.
     * Otherwise the first 10 characters must be a %Y-%m-%d calendar date.
     * Anything else, including impossible days, is NULL.
     """
-    s = F.regexp_replace(strip_ws(_c(col).cast("string")), "Z$", "+00:00")
-    iso = F.regexp_replace(s, r"T(\d{2})(?=$|[+-])", "T$1:00")
-    iso = F.regexp_replace(iso, r"T(\d{2}:\d{2})(?=$|[+-])", "T$1:00")
-    t_branch = F.when(
-        s.rlike(ISO_DATETIME_PATTERN),
-        iso.try_cast("timestamp").cast("date"),
+    s = f"regexp_replace({strip_ws_sql(f'cast({x} as string)')}, 'Z$', '+00:00')"
+    iso = f"regexp_replace({s}, {lit_sql(r'T(\d{2})(?=$|[+-])')}, 'T$1:00')"
+    iso = f"regexp_replace({iso}, {lit_sql(r'T(\d{2}:\d{2})(?=$|[+-])')}, 'T$1:00')"
+    head = f"substring({s}, 1, 10)"
+    ymd = lit_sql(YMD_PATTERN)
+    day = (
+        f"concat_ws('-', regexp_extract({head}, {ymd}, 1), "
+        f"lpad(trim(regexp_extract({head}, {ymd}, 2)), 2, '0'), "
+        f"lpad(trim(regexp_extract({head}, {ymd}, 3)), 2, '0'))"
     )
-    head = F.substring(s, 1, 10)
-    ymd = F.concat_ws(
-        "-",
-        F.regexp_extract(head, YMD_PATTERN, 1),
-        F.lpad(F.trim(F.regexp_extract(head, YMD_PATTERN, 2)), 2, "0"),
-        F.lpad(F.trim(F.regexp_extract(head, YMD_PATTERN, 3)), 2, "0"),
-    )
-    d_branch = F.when(head.rlike(YMD_PATTERN), ymd.try_cast("date"))
-    return F.when(
-        s.isNotNull() & (s != F.lit("")),
-        F.when(s.contains("T"), t_branch).otherwise(d_branch),
+    return (
+        f"case when {s} is null or {s} = '' then null "
+        f"when contains({s}, 'T') then case when {s} rlike {lit_sql(ISO_DATETIME_PATTERN)} "
+        f"then cast(try_cast({iso} as timestamp) as date) end "
+        f"when {head} rlike {ymd} then try_cast({day} as date) end"
     )
 
 
-def coerce_float(col: Column | str) -> Column:
-    """Text or number -> DOUBLE, NULL when it is not a float literal."""
-    c = _c(col)
-    s = strip_ws(c.cast("string"))
-    return F.when(s.rlike(FLOAT_PATTERN), F.regexp_replace(s, "_", "").try_cast("double"))
+# ---------------------------------------------------------------------------
+# numbers
+# ---------------------------------------------------------------------------
+def coerce_float_sql(x: str) -> str:
+    """Text -> DOUBLE, NULL when it is not a float literal."""
+    s = strip_ws_sql(f"cast({x} as string)")
+    return (
+        f"case when {s} rlike {lit_sql(FLOAT_PATTERN)} "
+        f"then try_cast(replace({s}, '_', '') as double) end"
+    )
 
 
-def coerce_float_typed(col: Column, data_type: T.DataType) -> Column:
-    """X2 for a typed column: numbers pass through, text is parsed."""
-    if isinstance(data_type, T.NumericType):
-        return col.cast("double")
-    return coerce_float(col)
+def _trunc_double_sql(d: str, target: str) -> str:
+    return (
+        f"case when not isnan({d}) and abs({d}) < double('inf') "
+        f"then try_cast(case when {d} < 0 then ceil({d}) else floor({d}) end as {target}) end"
+    )
 
 
-def coerce_int(col: Column | str, default: int | None = None, target: str = "bigint") -> Column:
+def coerce_int_sql(x: str, default: int | None = None, target: str = "bigint") -> str:
     """``int(float(x))`` with a default for missing / bad values.
 
     Integral text is cast straight to the integer type (exact above 2**53);
     decimal or exponent text goes through DOUBLE and truncates toward zero.
     NaN, infinities and out-of-range values give the default.
     """
-    c = _c(col)
-    s = strip_ws(c.cast("string"))
-    clean = F.regexp_replace(s, "_", "")
-    as_int = F.when(s.rlike(INT_PATTERN), clean.try_cast(target))
-    as_dbl = F.when(s.rlike(FLOAT_PATTERN), clean.try_cast("double"))
-    via_dbl = F.when(
-        ~F.isnan(as_dbl) & (F.abs(as_dbl) < F.lit(float("inf"))),
-        F.when(as_dbl < 0, F.ceil(as_dbl)).otherwise(F.floor(as_dbl)).try_cast(target),
-    )
-    out = F.when(s.rlike(INT_PATTERN), as_int).otherwise(via_dbl)
-    if default is None:
-        return out
-    return F.coalesce(out, F.lit(default).cast(target))
-
-
-def coerce_int_typed(
-    col: Column, data_type: T.DataType, default: int | None = None, target: str = "bigint"
-) -> Column:
-    """X3 for a typed column: integers pass through, floats truncate, text is parsed."""
-    if isinstance(data_type, T.IntegralType):
-        out = col.try_cast(target)
-    elif isinstance(data_type, T.NumericType):
-        d = col.cast("double")
-        out = F.when(
-            ~F.isnan(d) & (F.abs(d) < F.lit(float("inf"))),
-            F.when(d < 0, F.ceil(d)).otherwise(F.floor(d)).try_cast(target),
-        )
-    else:
-        return coerce_int(col, default, target)
-    return out if default is None else F.coalesce(out, F.lit(default).cast(target))
-
-
-def count_from_search(col: Column | str) -> Column:
-    """``int(x)`` for the search path; missing or non-integer text -> 1."""
-    s = strip_ws(_c(col).cast("string"))
-    return F.coalesce(
-        F.when(s.rlike(INT_PATTERN), F.regexp_replace(s, "_", "").try_cast("int")),
-        F.lit(1),
+    s = strip_ws_sql(f"cast({x} as string)")
+    clean = f"replace({s}, '_', '')"
+    dbl = f"try_cast({clean} as double)"
+    out = (
+        f"case when {s} rlike {lit_sql(INT_PATTERN)} then try_cast({clean} as {target}) "
+        f"when {s} rlike {lit_sql(FLOAT_PATTERN)} then {_trunc_double_sql(dbl, target)} end"
     )
+    return out if default is None else f"coalesce({out}, cast({int(default)} as {target}))"
 
 
-def _json_string(e: Column) -> Column:
-    """JSON text of one string element (quotes and escapes, null -> null)."""
-    quoted = F.to_json(F.array(e))
-    return F.substring(quoted, F.lit(2), F.length(quoted) - F.lit(2))
+def coerce_int_double_sql(x: str, default: int | None = None, target: str = "bigint") -> str:
+    """X3 for a DOUBLE input: truncate toward zero; NaN / inf -> default."""
+    out = _trunc_double_sql(f"cast({x} as double)", target)
+    return out if default is None else f"coalesce({out}, cast({int(default)} as {target}))"
 
 
-def json_list(arr: Column) -> Column:
-    """JSON text of a string list with ', ' separators (``json.dumps`` layout)."""
-    return F.concat(
-        F.lit("["),
-        F.array_join(F.transform(arr, _json_string), ", "),
-        F.lit("]"),
+def count_from_search_sql(x: str) -> str:
+    """``int(x)`` for the search path; missing or non-integer text -> 1."""
+    s = strip_ws_sql(f"cast({x} as string)")
+    return (
+        f"coalesce(case when {s} rlike {lit_sql(INT_PATTERN)} "
+        f"then try_cast(replace({s}, '_', '') as int) end, 1)"
     )
 
 
-def issues_json_from_text(col: Column | str) -> Column:
+# ---------------------------------------------------------------------------
+# JSON text
+# ---------------------------------------------------------------------------
+def json_list_sql(arr: str) -> str:
+    """JSON text of a string list with ', ' separators (``json.dumps`` layout)."""
+    item = "substring(to_json(array(e)), 2, length(to_json(array(e))) - 2)"
+    return f"concat('[', array_join(transform({arr}, e -> {item}), ', '), ']')"
+
+
+def issues_json_from_text_sql(x: str) -> str:
     """X5 (text form): 'A; B' -> '["A", "B"]'; nothing left -> NULL."""
-    c = _c(col)
-    parts = F.filter(
-        F.transform(F.split(c, ";"), lambda p: strip_ws(p)), lambda p: p != F.lit("")
-    )
-    return F.when(c.isNotNull() & (c != F.lit("")) & (F.size(parts) > 0), json_list(parts))
+    parts = f"filter(transform(split({x}, ';'), p -> {strip_ws_sql('p')}), p -> p != '')"
+    return f"case when {x} is not null and {x} != '' and size({parts}) > 0 then {json_list_sql(parts)} end"
 
 
-def issues_json_from_list(col: Column | str) -> Column:
+def issues_json_from_list_sql(x: str) -> str:
     """X5 (list form): the list serialised as is; NULL list -> NULL."""
-    c = _c(col)
-    return F.when(c.isNotNull(), json_list(c))
+    return f"case when {x} is not null then {json_list_sql(x)} end"
 
 
 def row_json(*cols: Column | str) -> Column:
@@ -197,17 +174,49 @@ def row_json(*cols: Column | str) -> Column:
     return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
 
 
-def portable_round(col: Column | str, digits: int = 2) -> Column:
+# ---------------------------------------------------------------------------
+# rounding
+# ---------------------------------------------------------------------------
+def portable_round_sql(x: str, digits: int = 2) -> str:
     """Half-away-from-zero rounding that agrees across engines.
 
     The value is first rounded to 9 places to drop last-bit noise of averages,
     then scaled, rounded on its magnitude and scaled back, all in DOUBLE.
     """
-    c = _c(col)
-    scale = float(10**digits)
-    return F.signum(c) * F.floor(F.abs(F.round(c, 9) * F.lit(scale)) + F.lit(0.5)) / F.lit(scale)
+    scale = f"{float(10 ** digits)!r}D"
+    return f"sign({x}) * floor(abs(round({x}, 9) * {scale}) + 0.5D) / {scale}"
+
+
+# ---------------------------------------------------------------------------
+# Column forms
+# ---------------------------------------------------------------------------
+def strip_ws(x: str) -> Column:
+    return _col(strip_ws_sql(x))
+
+
+def parse_event_date(x: str) -> Column:
+    return _col(parse_event_date_sql(x))
+
+
+def coerce_float(x: str) -> Column:
+    return _col(coerce_float_sql(x))
+
+
+def coerce_int(x: str, default: int | None = None, target: str = "bigint") -> Column:
+    return _col(coerce_int_sql(x, default, target))
+
+
+def count_from_search(x: str) -> Column:
+    return _col(count_from_search_sql(x))
+
+
+def issues_json_from_text(x: str) -> Column:
+    return _col(issues_json_from_text_sql(x))
+
+
+def issues_json_from_list(x: str) -> Column:
+    return _col(issues_json_from_list_sql(x))
 
 
-def utc_naive(col: Column | str) -> Column:
-    """A zoned timestamp as naive UTC (session zone is UTC)."""
-    return F.to_timestamp_ntz(F.date_format(_c(col), "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+def portable_round(x: str, digits: int = 2) -> Column:
+    return _col(portable_round_sql(x, digits))

@@ -8,25 +8,24 @@ one row per task in the shuffle, not a third of the data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def species_id() -> Column:
-    """Taxon key as text when present, else the species name."""
-    return F.coalesce(F.col("taxon_key").cast("string"), F.col("species_name"))
+# Taxon key as text when present, else the species name.
+SPECIES_ID = "coalesce(cast(taxon_key as string), species_name)"
+# rows the marts aggregate.
+VALID_DATED = "is_valid_observation and observation_date is not null"
 
 
 def valid_dated(stg: DataFrame) -> DataFrame:
-    """rows the marts aggregate."""
-    return stg.filter(F.col("is_valid_observation") & F.col("observation_date").isNotNull())
+    return stg.filter(VALID_DATED)
 
 
 def build_dim_species(stg: DataFrame) -> DataFrame:
     """A1: one row per (species_id, taxon_key, species_name)."""
     return (
         valid_dated(stg)
-        .groupBy(species_id().alias("species_id"), "taxon_key", "species_name")
+        .groupBy(F.expr(SPECIES_ID).alias("species_id"), "taxon_key", "species_name")
         .agg(
             F.max("scientific_name").alias("scientific_name"),
             F.min("observation_date").alias("first_observed_date"),
@@ -40,7 +39,7 @@ def build_fct_daily(stg: DataFrame) -> DataFrame:
     """A2: one row per (observation_date, species_id)."""
     return (
         valid_dated(stg)
-        .groupBy("observation_date", species_id().alias("species_id"))
+        .groupBy("observation_date", F.expr(SPECIES_ID).alias("species_id"))
         .agg(
             F.count(F.lit(1)).alias("observation_records"),
             F.sum("individual_count").cast("bigint").alias("individuals_observed"),

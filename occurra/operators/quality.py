@@ -15,7 +15,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from occurra.operators.staging import coords_in_range
+from occurra.functions.expr import lit_sql
+from occurra.operators.staging import COORDS_IN_RANGE
 
 
 # ---------------------------------------------------------------------------
@@ -68,14 +69,13 @@ def check_relationship(child: DataFrame, column: str, parent: DataFrame, parent_
     return child.filter(F.col(column).isNotNull()).join(keys, column, "left_anti")
 
 
-def valid_lat_lon_failure() -> Column:
-    """Q9 predicate: flagged valid yet coordinates missing or out of bounds."""
-    return F.col("is_valid_observation") & ~coords_in_range()
+# Q9 predicate: flagged valid yet coordinates missing or out of bounds.
+VALID_LAT_LON_FAILS = f"is_valid_observation and not ({COORDS_IN_RANGE})"
 
 
 def check_valid_lat_lon(df: DataFrame) -> DataFrame:
     """Q9: rows flagged valid whose coordinates are missing or out of bounds."""
-    return df.filter(valid_lat_lon_failure())
+    return df.filter(VALID_LAT_LON_FAILS)
 
 
 # ---------------------------------------------------------------------------
@@ -85,15 +85,15 @@ def check_valid_lat_lon(df: DataFrame) -> DataFrame:
 class Check:
     """A declared check.
 
-    ``kind``: ``row`` (``fails`` is a per-row predicate), ``unique``,
-    ``combination``, ``accepted`` or ``relationship``.
+    ``kind``: ``row`` (``fails`` is SQL text of a per-row predicate; NULL
+    passes), ``unique``, ``combination``, ``accepted`` or ``relationship``.
     """
 
     name: str
     table: str
     kind: str
     columns: tuple[str, ...] = ()
-    fails: Column | None = None
+    fails: str | None = None
     values: tuple = ()
     parent: str | None = None
     parent_column: str | None = None
@@ -102,24 +102,24 @@ class Check:
 
 
 def not_null(table: str, column: str, severity: str = "error") -> Check:
-    return Check(f"not_null({column})", table, "row", (column,), F.col(column).isNull(), severity=severity, tags=("not_null",))
+    return Check(
+        f"not_null({column})", table, "row", (column,), f"`{column}` is null",
+        severity=severity, tags=("not_null",),
+    )
 
 
-def expression_is_true(table: str, expression: str, where: str | None = None, severity: str = "error") -> Check:
-    fails = ~F.expr(expression)
-    if where is not None:
-        fails = F.expr(where) & fails
+def expression_is_true(
+    table: str, expression: str, where: str | None = None, severity: str = "error"
+) -> Check:
+    fails = f"not ({expression})" if where is None else f"({where}) and not ({expression})"
     label = f"expression_is_true({expression}{' where ' + where if where else ''})"
     return Check(label, table, "row", (), fails, severity=severity, tags=("expression",))
 
 
 def declared_checks(gate_counts_on_staging: str = "error") -> list[Check]:
     """Q1-Q9 as declared for the raw, staging and mart models."""
-    stg, dim, fct, raw = "stg_belgian_birds", "dim_species", "fct_daily_species_observations", "gbif_observations_raw"
-    coords = (
-        "latitude is not null and longitude is not null and latitude between -90 and 90 "
-        "and longitude between -180 and 180"
-    )
+    stg, dim = "stg_belgian_birds", "dim_species"
+    fct, raw = "fct_daily_species_observations", "gbif_observations_raw"
     return [
         not_null(raw, "gbif_id"),
         not_null(stg, "gbif_id"),
@@ -127,9 +127,12 @@ def declared_checks(gate_counts_on_staging: str = "error") -> list[Check]:
         not_null(stg, "species_name"),
         not_null(stg, "individual_count"),
         expression_is_true(stg, "individual_count >= 0", severity=gate_counts_on_staging),
-        Check("accepted_values(is_valid_observation)", stg, "accepted", ("is_valid_observation",), values=(True, False)),
-        expression_is_true(stg, coords, where="is_valid_observation"),
-        Check("valid_lat_lon", stg, "row", (), valid_lat_lon_failure(), tags=("valid_lat_lon",)),
+        Check(
+            "accepted_values(is_valid_observation)", stg, "accepted",
+            ("is_valid_observation",), values=(True, False),
+        ),
+        expression_is_true(stg, COORDS_IN_RANGE, where="is_valid_observation"),
+        Check("valid_lat_lon", stg, "row", (), VALID_LAT_LON_FAILS, tags=("valid_lat_lon",)),
         not_null(dim, "species_id"),
         Check("unique(species_id)", dim, "unique", ("species_id",)),
         not_null(dim, "species_name"),
@@ -137,10 +140,16 @@ def declared_checks(gate_counts_on_staging: str = "error") -> list[Check]:
         not_null(dim, "last_observed_date"),
         not_null(dim, "total_observation_records"),
         expression_is_true(dim, "total_observation_records > 0"),
-        Check("unique_combination(observation_date, species_id)", fct, "combination", ("observation_date", "species_id")),
+        Check(
+            "unique_combination(observation_date, species_id)", fct, "combination",
+            ("observation_date", "species_id"),
+        ),
         not_null(fct, "observation_date"),
         not_null(fct, "species_id"),
-        Check("relationships(species_id -> dim_species.species_id)", fct, "relationship", ("species_id",), parent=dim, parent_column="species_id"),
+        Check(
+            "relationships(species_id -> dim_species.species_id)", fct, "relationship",
+            ("species_id",), parent=dim, parent_column="species_id",
+        ),
         not_null(fct, "observation_records"),
         expression_is_true(fct, "observation_records > 0"),
         not_null(fct, "individuals_observed"),
@@ -151,12 +160,10 @@ def declared_checks(gate_counts_on_staging: str = "error") -> list[Check]:
 REPORT_COLUMNS = ["check_name", "table_name", "severity", "failing_rows"]
 
 
-def _one_row(name: str, table: str, severity: str, count: Column) -> Column:
-    return F.struct(
-        F.lit(name).alias("check_name"),
-        F.lit(table).alias("table_name"),
-        F.lit(severity).alias("severity"),
-        count.cast("bigint").alias("failing_rows"),
+def _row_sql(chk: Check, count_sql: str) -> str:
+    return (
+        f"named_struct('check_name', {lit_sql(chk.name)}, 'table_name', {lit_sql(chk.table)}, "
+        f"'severity', {lit_sql(chk.severity)}, 'failing_rows', cast({count_sql} as bigint))"
     )
 
 
@@ -171,21 +178,11 @@ def dq_report(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFram
         if chk.kind == "row":
             by_table.setdefault(chk.table, []).append(chk)
     for table, row_checks in by_table.items():
-        counts = tables[table].agg(
-            *[F.count_if(c.fails).alias(f"c{i}") for i, c in enumerate(row_checks)]
-        )
-        parts.append(
-            counts.select(
-                F.explode(
-                    F.array(
-                        *[
-                            _one_row(c.name, c.table, c.severity, F.col(f"c{i}"))
-                            for i, c in enumerate(row_checks)
-                        ]
-                    )
-                ).alias("r")
-            ).select("r.*")
+        counts = tables[table].selectExpr(
+            *[f"count_if({c.fails}) as c{i}" for i, c in enumerate(row_checks)]
         )
+        rows = ", ".join(_row_sql(c, f"c{i}") for i, c in enumerate(row_checks))
+        parts.append(counts.selectExpr(f"inline(array({rows}))"))
     for chk in checks:
         df = tables[chk.table]
         if chk.kind == "row":
@@ -200,11 +197,7 @@ def dq_report(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFram
             failing = check_relationship(df, chk.columns[0], tables[chk.parent], chk.parent_column)
         else:
             raise ValueError(f"unknown check kind {chk.kind!r}")
-        parts.append(
-            failing.agg(F.count(F.lit(1)).alias("n")).select(
-                _one_row(chk.name, chk.table, chk.severity, F.col("n")).alias("r")
-            ).select("r.*")
-        )
+        parts.append(failing.selectExpr(f"inline(array({_row_sql(chk, 'count(1)')}))"))
     report = parts[0]
     for p in parts[1:]:
         report = report.unionByName(p)

@@ -7,11 +7,11 @@ columns a consumer reads and pushes consumer filters through it to the scan.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # (staging name, raw source column, type) in output order.
-_CASTS = [
+CASTS = [
     ("gbif_id", "gbif_id", "string"),
     ("species_name", "species", "string"),
     ("observation_date", "event_date", "date"),
@@ -29,34 +29,30 @@ _CASTS = [
     ("raw_payload", "raw_payload", "string"),
 ]
 
-
-def coords_in_range(lat: Column | None = None, lon: Column | None = None) -> Column:
-    """Both coordinates present and inside WGS84 bounds (NaN is outside)."""
-    lat = F.col("latitude") if lat is None else lat
-    lon = F.col("longitude") if lon is None else lon
-    return (
-        lat.isNotNull()
-        & lon.isNotNull()
-        & lat.between(-90, 90)
-        & lon.between(-180, 180)
-    )
-
-
-def validity_rule() -> Column:
-    """The row-level quality rule (never NULL)."""
-    rule = coords_in_range() & (F.coalesce(F.col("individual_count"), F.lit(0)) >= 0)
-    return F.when(rule, F.lit(True)).otherwise(F.lit(False))
+# Both coordinates present and inside WGS84 bounds (NaN is outside).
+COORDS_IN_RANGE = (
+    "latitude is not null and longitude is not null "
+    "and latitude between -90 and 90 and longitude between -180 and 180"
+)
+# The row-level quality rule; never NULL.
+VALIDITY_RULE = (
+    f"case when {COORDS_IN_RANGE} and coalesce(individual_count, 0) >= 0 "
+    "then true else false end"
+)
+# Standardisation applied on top of the typed columns.
+STANDARDIZE = {
+    "species_name": "coalesce(nullif(trim(species_name), ''), 'Unknown')",
+    "individual_count": "coalesce(individual_count, 1)",
+}
 
 
 def build_staging(raw: DataFrame) -> DataFrame:
     """cast/rename 15 raw columns, standardise, add ``is_valid_observation``."""
-    typed = {name: F.col(src).cast(dtype) for name, src, dtype in _CASTS}
-    typed["species_name"] = F.coalesce(
-        F.nullif(F.trim(typed["species_name"]), F.lit("")), F.lit("Unknown")
-    )
-    typed["individual_count"] = F.coalesce(typed["individual_count"], F.lit(1))
-    standardized = raw.select(*[c.alias(n) for n, c in typed.items()])
-    return standardized.withColumn("is_valid_observation", validity_rule())
+    typed = {name: f"cast(`{src}` as {dtype})" for name, src, dtype in CASTS}
+    for name, rule in STANDARDIZE.items():
+        typed[name] = rule.replace(name, typed[name])
+    standardized = raw.selectExpr(*[f"{sql} as {name}" for name, sql in typed.items()])
+    return standardized.selectExpr("*", f"{VALIDITY_RULE} as is_valid_observation")
 
 
 def quality_tag_counts(stg: DataFrame) -> DataFrame:

@@ -1,14 +1,15 @@
 """The model graph: raw -> staging -> (dim_species, fct_daily) for one input.
 
-``Models`` is a lazy bundle: nothing runs until a consumer triggers an
-action.  ``materialize`` writes the marts (and optionally staging) to storage
-so that serving queries and checks read small tables instead of re-deriving
-them - the same role full-refresh mart tables play in the source system.
+``Models`` is a lazy bundle: each model is planned on first access and
+nothing runs until a consumer triggers an action.  ``occurra.plans.pipeline``
+materialises the marts so that serving queries and checks read small tables
+instead of re-deriving them - the role full-refresh mart tables play in the
+source system.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -16,12 +17,21 @@ from occurra.operators.marts import build_dim_species, build_fct_daily
 from occurra.operators.staging import build_staging
 
 
-@dataclass
 class Models:
-    raw: DataFrame
-    stg: DataFrame
-    dim: DataFrame
-    fct: DataFrame
+    def __init__(self, raw: DataFrame):
+        self.raw = raw
+
+    @cached_property
+    def stg(self) -> DataFrame:
+        return build_staging(self.raw)
+
+    @cached_property
+    def dim(self) -> DataFrame:
+        return build_dim_species(self.stg)
+
+    @cached_property
+    def fct(self) -> DataFrame:
+        return build_fct_daily(self.stg)
 
     def tables(self) -> dict[str, DataFrame]:
         """Tables keyed by model name (as used by the quality checks)."""
@@ -34,5 +44,4 @@ class Models:
 
 
 def build_models(raw: DataFrame) -> Models:
-    stg = build_staging(raw)
-    return Models(raw=raw, stg=stg, dim=build_dim_species(stg), fct=build_fct_daily(stg))
+    return Models(raw)

@@ -9,12 +9,13 @@ per-row projection: it scales with the table and runs as one codegen stage).
                                with malformed dates, counts and coordinates
 * ``events_as_search_records`` search-API records with nested issue / media lists
 * ``upsert_inputs``            target table and a batch with late duplicates
+
+Each projection is one ``selectExpr`` (SQL text, parsed once on the JVM).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from occurra.schema import DOWNLOAD_FIELDS, RAW_COLUMNS
 
@@ -25,235 +26,220 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{EVENTS}.parquet")
 
 
-def _every(n: int) -> Column:
-    return F.col("event_id") % F.lit(n) == F.lit(0)
-
-
-def _lat() -> Column:
-    return (F.col("event_id") * 37 % 2001) / F.lit(10.0) - F.lit(100.0)
+LAT = "((event_id * 37) % 2001) / 10.0D - 100"
+LON = "((event_id * 53) % 4001) / 10.0D - 200"
+SCI_NAME = "concat(event_type, ' L., ', cast(1700 + user_id as string))"
 
+TAXON_KEY = {
+    # several species names per key: drives the join fan-out
+    "fanout": "case when event_id % 7 = 0 then null else user_id end",
+    # one name per key
+    "clean": (
+        "case when event_id % 23 = 0 or event_id % 31 = 0 then null "
+        "when event_type = 'click' then 101 when event_type = 'view' then 102 "
+        "when event_type = 'error' then 103 else null end"
+    ),
+}
 
-def _lon() -> Column:
-    return (F.col("event_id") * 53 % 4001) / F.lit(10.0) - F.lit(200.0)
 
+def _sql_type(dtype) -> str:
+    return dtype.simpleString()
 
-def _taxon_key(variant: str) -> Column:
-    if variant == "fanout":
-        # several species names per key: drives the join fan-out
-        return F.when(~_every(7), F.col("user_id"))
-    if variant == "clean":
-        et = F.col("event_type")
-        return (
-            F.when(_every(23) | _every(31), F.lit(None).cast("bigint"))
-            .when(et == "click", F.lit(101).cast("bigint"))
-            .when(et == "view", F.lit(102).cast("bigint"))
-            .when(et == "error", F.lit(103).cast("bigint"))
-        )
-    raise ValueError(f"unknown taxon_key variant {variant!r}")
 
-
-def events_as_raw(events: DataFrame, variant: str = "fanout") -> DataFrame:
-    """The raw table: invented NULLs, bad coordinates and negative counts."""
+def raw_projection(variant: str = "fanout") -> list[str]:
+    if variant not in TAXON_KEY:
+        raise ValueError(f"unknown taxon_key variant {variant!r}")
     derived = {
-        "gbif_id": F.col("event_id").cast("string"),
-        "event_date": F.when(~_every(29), F.col("ts").cast("date")),
-        "species": F.when(_every(23), F.lit("  "))
-        .when(_every(31), F.lit(None).cast("string"))
-        .otherwise(F.col("event_type")),
-        "taxon_key": _taxon_key(variant),
-        "individual_count": F.when(
-            ~_every(13), F.floor("value").cast("int") - F.lit(5)
+        "gbif_id": "cast(event_id as string)",
+        "event_date": "case when event_id % 29 = 0 then null else cast(ts as date) end",
+        "species": (
+            "case when event_id % 23 = 0 then '  ' when event_id % 31 = 0 then null "
+            "else event_type end"
         ),
-        "latitude": F.when(~_every(17), _lat()),
-        "longitude": F.when(~_every(19), _lon()),
-        "scientific_name": F.concat(
-            F.col("event_type"), F.lit(" L., "), (F.lit(1700) + F.col("user_id")).cast("string")
+        "taxon_key": TAXON_KEY[variant],
+        "individual_count": (
+            "case when event_id % 13 = 0 then null else cast(floor(value) as int) - 5 end"
         ),
-        "basis_of_record": F.lit("HUMAN_OBSERVATION"),
-        "occurrence_status": F.lit("PRESENT"),
-        "country_code": F.lit("BE"),
-        "dataset_key": F.col("event_type"),
-        "key": F.col("event_id"),
-        "ingestion_ts": F.col("ts").cast("timestamp_ntz"),
-        "raw_payload": F.col("props"),
+        "latitude": f"case when event_id % 17 = 0 then null else {LAT} end",
+        "longitude": f"case when event_id % 19 = 0 then null else {LON} end",
+        "scientific_name": SCI_NAME,
+        "basis_of_record": "'HUMAN_OBSERVATION'",
+        "occurrence_status": "'PRESENT'",
+        "country_code": "'BE'",
+        "dataset_key": "event_type",
+        "key": "event_id",
+        "ingestion_ts": "cast(ts as timestamp_ntz)",
+        "raw_payload": "props",
     }
-    return events.select(
-        *[
-            derived.get(name, F.lit(None)).cast(dtype).alias(name)
-            for name, dtype in RAW_COLUMNS
-        ]
-    )
-
-
-def _event_date_text() -> Column:
-    """Eight textual date shapes, chosen by ``event_id % 8``."""
-    ts = F.col("ts")
-    iso = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    e8 = F.col("event_id") % 8
-    return (
-        F.when(e8 == 0, F.date_format(ts, "yyyy-MM-dd"))
-        .when(e8 == 1, F.concat(iso, F.lit("Z")))
-        .when(e8 == 2, F.concat(iso, F.lit("-05:00")))
-        .when(
-            e8 == 3,
-            F.concat(
-                F.date_format(ts, "yyyy-MM-dd"),
-                F.lit("/"),
-                F.date_format(F.date_add(ts.cast("date"), 1), "yyyy-MM-dd"),
-            ),
-        )
-        .when(e8 == 4, F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
-        .when(e8 == 5, F.lit(""))
-        .when(e8 == 6, F.date_format(ts, "yyyy-MM"))
-        .otherwise(F.concat(F.lit("  "), F.date_format(ts, "yyyy-M-d"), F.lit(" ")))
-    )
+    return [
+        f"cast({derived.get(name, 'null')} as {_sql_type(dtype)}) as `{name}`"
+        for name, dtype in RAW_COLUMNS
+    ]
 
 
-def _count_text() -> Column:
-    """Six textual count shapes, chosen by ``event_id % 6``."""
-    e6 = F.col("event_id") % 6
-    whole = F.floor("value").cast("int")
+def events_as_raw(events: DataFrame, variant: str = "fanout") -> DataFrame:
+    """The raw table: invented NULLs, bad coordinates and negative counts."""
+    return events.selectExpr(*raw_projection(variant))
+
+
+# Eight textual date shapes, chosen by event_id % 8.
+EVENT_DATE_TEXT = """case event_id % 8
+  when 0 then date_format(ts, 'yyyy-MM-dd')
+  when 1 then concat(date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), 'Z')
+  when 2 then concat(date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), '-05:00')
+  when 3 then concat(date_format(ts, 'yyyy-MM-dd'), '/',
+                     date_format(date_add(cast(ts as date), 1), 'yyyy-MM-dd'))
+  when 4 then date_format(ts, 'yyyy-MM-dd HH:mm:ss')
+  when 5 then ''
+  when 6 then date_format(ts, 'yyyy-MM')
+  else concat('  ', date_format(ts, 'yyyy-M-d'), ' ') end"""
+
+# Six textual count shapes, chosen by event_id % 6.
+COUNT_TEXT = """case event_id % 6
+  when 0 then cast(cast(floor(value) as int) - 5 as string)
+  when 1 then cast(value as string)
+  when 2 then ''
+  when 3 then 'many'
+  when 4 then concat(cast(cast(floor(value) as int) as string), 'e0')
+  else concat(' ', cast(cast(floor(value) as int) as string), ' ') end"""
+
+
+def _coord_text(value: str, salt: int) -> str:
     return (
-        F.when(e6 == 0, (whole - F.lit(5)).cast("string"))
-        .when(e6 == 1, F.col("value").cast("string"))
-        .when(e6 == 2, F.lit(""))
-        .when(e6 == 3, F.lit("many"))
-        .when(e6 == 4, F.concat(whole.cast("string"), F.lit("e0")))
-        .otherwise(F.concat(F.lit(" "), whole.cast("string"), F.lit(" ")))
+        f"case (event_id + {salt}) % 7 when 0 then '' when 1 then 'n/a' when 2 then '5d' "
+        f"else cast({value} as string) end"
     )
 
 
-def _coord_text(value: Column, salt: int) -> Column:
-    e7 = (F.col("event_id") + F.lit(salt)) % 7
-    return (
-        F.when(e7 == 0, F.lit(""))
-        .when(e7 == 1, F.lit("n/a"))
-        .when(e7 == 2, F.lit("5d"))
-        .otherwise(value.cast("string"))
-    )
+DOWNLOAD_ROW = {
+    "gbifID": (
+        "case when event_id % 41 = 0 then '' when event_id % 43 = 0 then '  ' "
+        "else cast(event_id as string) end"
+    ),
+    "gbifKey": "cast(event_id + 1000000000 as string)",
+    "eventDate": EVENT_DATE_TEXT,
+    "species": (
+        "case when event_id % 23 = 0 then '   ' when event_id % 31 = 0 then '' "
+        "else event_type end"
+    ),
+    "genus": "case when event_id % 37 = 0 then '' else concat(event_type, 'idae') end",
+    "scientificName": SCI_NAME,
+    "taxonRank": "'SPECIES'",
+    "basisOfRecord": "'HUMAN_OBSERVATION'",
+    "occurrenceStatus": "'PRESENT'",
+    "individualCount": COUNT_TEXT,
+    "decimalLatitude": _coord_text(LAT, 0),
+    "decimalLongitude": _coord_text(LON, 3),
+    "coordinateUncertaintyInMeters": (
+        "case when event_id % 2 = 0 then cast(value as string) else '' end"
+    ),
+    "countryCode": "case when event_id % 10 = 0 then 'NL' else 'BE' end",
+    "stateProvince": "case when user_id % 2 = 0 then 'Flanders' else 'Wallonia' end",
+    "datasetKey": "concat('ds-', cast(user_id % 5 as string))",
+    "publishingOrgKey": "'org-1'",
+    "taxonKey": (
+        "case when event_id % 7 = 0 then '' "
+        "when event_id % 5 = 0 then concat(cast(user_id as string), '.0') "
+        "else cast(user_id as string) end"
+    ),
+    "family": "'Turdidae'",
+    "order": "'Passeriformes'",
+    "class": "'Aves'",
+    "phylum": "'Chordata'",
+    "kingdom": "'Animalia'",
+    "issues": (
+        "case event_id % 4 when 0 then 'COORDINATE_ROUNDED; GEODETIC_DATUM_ASSUMED_WGS84' "
+        "when 1 then '' when 2 then ' ; ' else 'RECORDED_DATE_INVALID' end"
+    ),
+    "issue": "case when event_id % 4 = 1 then 'ISSUE_FALLBACK' else '' end",
+}
 
 
 def events_as_download_rows(events: DataFrame) -> DataFrame:
-    """A landed download export: one text column per export field (+ classKey)."""
-    e = F.col("event_id")
-    et = F.col("event_type")
-    e4 = e % 4
-    cols = {
-        "gbifID": F.when(_every(41), F.lit("")).when(_every(43), F.lit("  ")).otherwise(
-            e.cast("string")
-        ),
-        "gbifKey": (e + F.lit(1_000_000_000)).cast("string"),
-        "eventDate": _event_date_text(),
-        "species": F.when(_every(23), F.lit("   ")).when(_every(31), F.lit("")).otherwise(et),
-        "genus": F.when(_every(37), F.lit("")).otherwise(F.concat(et, F.lit("idae"))),
-        "scientificName": F.concat(
-            et, F.lit(" L., "), (F.lit(1700) + F.col("user_id")).cast("string")
-        ),
-        "taxonRank": F.lit("SPECIES"),
-        "basisOfRecord": F.lit("HUMAN_OBSERVATION"),
-        "occurrenceStatus": F.lit("PRESENT"),
-        "individualCount": _count_text(),
-        "decimalLatitude": _coord_text(_lat(), 0),
-        "decimalLongitude": _coord_text(_lon(), 3),
-        "coordinateUncertaintyInMeters": F.when(e % 2 == 0, F.col("value").cast("string"))
-        .otherwise(F.lit("")),
-        "countryCode": F.when(_every(10), F.lit("NL")).otherwise(F.lit("BE")),
-        "stateProvince": F.when(F.col("user_id") % 2 == 0, F.lit("Flanders")).otherwise(
-            F.lit("Wallonia")
-        ),
-        "datasetKey": F.concat(F.lit("ds-"), (F.col("user_id") % 5).cast("string")),
-        "publishingOrgKey": F.lit("org-1"),
-        "taxonKey": F.when(_every(7), F.lit(""))
-        .when(_every(5), F.concat(F.col("user_id").cast("string"), F.lit(".0")))
-        .otherwise(F.col("user_id").cast("string")),
-        "family": F.lit("Turdidae"),
-        "order": F.lit("Passeriformes"),
-        "class": F.lit("Aves"),
-        "phylum": F.lit("Chordata"),
-        "kingdom": F.lit("Animalia"),
-        "issues": F.when(e4 == 0, F.lit("COORDINATE_ROUNDED; GEODETIC_DATUM_ASSUMED_WGS84"))
-        .when(e4 == 1, F.lit(""))
-        .when(e4 == 2, F.lit(" ; "))
-        .otherwise(F.lit("RECORDED_DATE_INVALID")),
-        "issue": F.when(e4 == 1, F.lit("ISSUE_FALLBACK")).otherwise(F.lit("")),
-    }
-    out = [cols[name].alias(name) for name in DOWNLOAD_FIELDS]
-    out.append(F.when(_every(9), F.lit("359")).otherwise(F.lit("212")).alias("classKey"))
-    # arrival order of the export: the file's row order
-    out.append(e.alias("_row"))
-    return events.select(*out)
+    """A landed download export: one text column per export field, plus
+    ``classKey`` (the export's class filter column) and ``_row`` (file order)."""
+    cols = [f"{DOWNLOAD_ROW[n]} as `{n}`" for n in DOWNLOAD_FIELDS]
+    cols.append("case when event_id % 9 = 0 then '359' else '212' end as classKey")
+    cols.append("event_id as _row")
+    return events.selectExpr(*cols)
+
+
+SEARCH_RECORD = [
+    ("gbifID", "case when event_id % 41 = 0 then null else cast(event_id as string) end"),
+    ("key", "case when event_id % 82 = 0 then null else event_id end"),
+    ("eventDate", EVENT_DATE_TEXT),
+    (
+        "species",
+        "case when event_id % 23 = 0 then null when event_id % 31 = 0 then '' "
+        "when event_id % 47 = 0 then '  ' else event_type end",
+    ),
+    ("genus", "case when event_id % 37 = 0 then null else concat(event_type, 'idae') end"),
+    ("family", "'Turdidae'"),
+    ("order", "'Passeriformes'"),
+    ("class", "'Aves'"),
+    ("phylum", "'Chordata'"),
+    ("kingdom", "'Animalia'"),
+    ("scientificName", SCI_NAME),
+    ("taxonRank", "'SPECIES'"),
+    ("basisOfRecord", "'HUMAN_OBSERVATION'"),
+    ("occurrenceStatus", "'PRESENT'"),
+    (
+        "individualCount",
+        """case event_id % 6
+             when 0 then cast(cast(floor(value) as int) - 5 as string)
+             when 1 then cast(value as string)
+             when 2 then null
+             when 3 then 'many'
+             when 4 then cast(cast(floor(value) as int) as string)
+             else concat(' ', cast(cast(floor(value) as int) as string), ' ') end""",
+    ),
+    ("decimalLatitude", f"case when event_id % 17 = 0 then null else {LAT} end"),
+    ("decimalLongitude", f"case when event_id % 19 = 0 then null else {LON} end"),
+    ("coordinateUncertaintyInMeters", "value"),
+    ("countryCode", "'BE'"),
+    ("stateProvince", "case when user_id % 2 = 0 then 'Flanders' else 'Wallonia' end"),
+    ("datasetKey", "concat('ds-', cast(user_id % 5 as string))"),
+    ("publishingOrgKey", "'org-1'"),
+    ("taxonKey", "case when event_id % 7 = 0 then null else user_id end"),
+    (
+        "issues",
+        "case event_id % 4 "
+        "when 0 then array('COUNTRY_COORDINATE_MISMATCH', 'RECORDED_DATE_INVALID') "
+        "when 1 then cast(array() as array<string>) "
+        "when 3 then array('TAXON_MATCH_FUZZY') end",
+    ),
+    (
+        "media",
+        "case event_id % 3 "
+        "when 0 then array(named_struct('type', 'StillImage'), named_struct('type', 'StillImage')) "
+        "when 1 then cast(array() as array<struct<type:string>>) end",
+    ),
+    # request day of the page the record arrived on, and its position
+    ("_request_day", "cast(ts as date)"),
+    ("_row", "event_id"),
+]
 
 
 def events_as_search_records(events: DataFrame) -> DataFrame:
     """Search-API records (typed fields, nested ``issues`` / ``media`` lists)."""
-    e = F.col("event_id")
-    et = F.col("event_type")
-    e4 = e % 4
-    e3 = e % 3
-    e6 = e % 6
-    whole = F.floor("value").cast("int")
-    media_item = F.struct(F.lit("StillImage").alias("type"))
-    return events.select(
-        F.when(~_every(41), e.cast("string")).alias("gbifID"),
-        F.when(~_every(82), e).alias("key"),
-        _event_date_text().alias("eventDate"),
-        F.when(_every(23), F.lit(None).cast("string"))
-        .when(_every(31), F.lit(""))
-        .when(_every(47), F.lit("  "))
-        .otherwise(et)
-        .alias("species"),
-        F.when(~_every(37), F.concat(et, F.lit("idae"))).alias("genus"),
-        F.lit("Turdidae").alias("family"),
-        F.lit("Passeriformes").alias("order"),
-        F.lit("Aves").alias("class"),
-        F.lit("Chordata").alias("phylum"),
-        F.lit("Animalia").alias("kingdom"),
-        F.concat(et, F.lit(" L., "), (F.lit(1700) + F.col("user_id")).cast("string")).alias(
-            "scientificName"
-        ),
-        F.lit("SPECIES").alias("taxonRank"),
-        F.lit("HUMAN_OBSERVATION").alias("basisOfRecord"),
-        F.lit("PRESENT").alias("occurrenceStatus"),
-        F.when(e6 == 0, (whole - F.lit(5)).cast("string"))
-        .when(e6 == 1, F.col("value").cast("string"))
-        .when(e6 == 2, F.lit(None).cast("string"))
-        .when(e6 == 3, F.lit("many"))
-        .when(e6 == 4, whole.cast("string"))
-        .otherwise(F.concat(F.lit(" "), whole.cast("string"), F.lit(" ")))
-        .alias("individualCount"),
-        F.when(~_every(17), _lat()).alias("decimalLatitude"),
-        F.when(~_every(19), _lon()).alias("decimalLongitude"),
-        F.col("value").alias("coordinateUncertaintyInMeters"),
-        F.lit("BE").alias("countryCode"),
-        F.when(F.col("user_id") % 2 == 0, F.lit("Flanders"))
-        .otherwise(F.lit("Wallonia"))
-        .alias("stateProvince"),
-        F.concat(F.lit("ds-"), (F.col("user_id") % 5).cast("string")).alias("datasetKey"),
-        F.lit("org-1").alias("publishingOrgKey"),
-        F.when(~_every(7), F.col("user_id")).alias("taxonKey"),
-        F.when(e4 == 0, F.array(F.lit("COUNTRY_COORDINATE_MISMATCH"), F.lit("RECORDED_DATE_INVALID")))
-        .when(e4 == 1, F.array().cast("array<string>"))
-        .when(e4 == 3, F.array(F.lit("TAXON_MATCH_FUZZY")))
-        .alias("issues"),
-        F.when(e3 == 0, F.array(media_item, media_item))
-        .when(e3 == 1, F.array().cast("array<struct<type:string>>"))
-        .alias("media"),
-        # request day of the page the record arrived on, and its position
-        F.col("ts").cast("date").alias("_request_day"),
-        e.alias("_row"),
-    )
+    return events.selectExpr(*[f"{sql} as `{name}`" for name, sql in SEARCH_RECORD])
 
 
 def upsert_inputs(events: DataFrame, variant: str = "fanout") -> tuple[DataFrame, DataFrame]:
     """Target = even ids; batch = ids divisible by 3 with count+1, then a later
-    second copy of ids divisible by 9 with count+2.  ``_seq`` / ``key`` give
+    second copy of ids divisible by 9 with count+2.  ``_seq`` and ``key`` give
     the arrival order of the batch."""
     raw = events_as_raw(events, variant)
-    target = raw.filter(F.col("key") % 2 == 0)
-    first = raw.filter(F.col("key") % 3 == 0).withColumn(
-        "individual_count", F.col("individual_count") + F.lit(1)
-    ).withColumn("_seq", F.lit(0))
-    second = raw.filter(F.col("key") % 9 == 0).withColumn(
-        "individual_count", F.col("individual_count") + F.lit(2)
-    ).withColumn("_seq", F.lit(1))
-    return target, first.unionByName(second)
+    target = raw.filter("key % 2 = 0")
+    first = raw.filter("key % 3 = 0").selectExpr(
+        "*", "individual_count + 1 as _ic", "0 as _seq"
+    )
+    second = raw.filter("key % 9 = 0").selectExpr(
+        "*", "individual_count + 2 as _ic", "1 as _seq"
+    )
+    cols = [n for n, _ in RAW_COLUMNS]
+    batch = first.unionByName(second).selectExpr(
+        *[("_ic as individual_count" if c == "individual_count" else f"`{c}`") for c in cols],
+        "_seq",
+    )
+    return target, batch
