@@ -14,11 +14,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from occurra.functions.expr import parse_event_date_sql
+from occurra.operators import incremental as INC
 from occurra.operators import quality as Q
 from occurra.operators import serving as SV
+from occurra.operators import upsert as UP
+from occurra.operators.normalize import legacy_projection, normalize_download, normalize_search
 from occurra.operators.staging import quality_tag_counts
 from occurra.plans.models import Models, build_models
-from occurra.sources.fixture import events_as_raw, read_events
+from occurra.schema import RAW_COLUMNS
+from occurra.sources.fixture import (
+    events_as_download_rows,
+    events_as_raw,
+    events_as_search_records,
+    read_events,
+    upsert_inputs,
+)
+from occurra.sources.predicate import (
+    CLASS_KEY,
+    COUNTRY,
+    EVENT_DATE,
+    predicate_to_column,
+    range_predicate,
+)
 
 # Fixed parameters of the registered queries.
 AS_OF = dt.date(2024, 1, 30)  # literal "today" for trailing windows
@@ -28,6 +46,19 @@ TOP_SPECIES_LIMIT = 20
 ACTIVITY_LIMIT = 50
 GEO_LIMIT = 1000
 
+CAP_PER_DAY = 50
+INCREMENTAL_DEFAULT_START = dt.date(2024, 1, 1)
+LOOKBACK_DAYS = 2
+TARGET_LOADED_UNTIL = dt.date(2024, 1, 24)  # state of the table before the incremental run
+PREDICATE = range_predicate("BE", 212, dt.date(2024, 1, 5), dt.date(2024, 1, 20))
+PREDICATE_COLUMNS = {
+    CLASS_KEY: ("classKey", "string"),
+    COUNTRY: ("countryCode", "string"),
+    EVENT_DATE: (parse_event_date_sql("eventDate"), "date"),
+}
+# Run-dependent columns left out of normaliser comparisons.
+VOLATILE = ("ingestion_ts",)
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -158,6 +189,83 @@ def q_dq_report(spark, sf_dir):
     return Q.dq_report(_models(spark, sf_dir).tables(), Q.declared_checks())
 
 
+# --- normalisers, predicate, legacy -----------------------------------------
+def q_normalize_download(spark, sf_dir):
+    rows = events_as_download_rows(read_events(spark, sf_dir))
+    return normalize_download(rows).drop(*VOLATILE)
+
+
+def q_normalize_search(spark, sf_dir):
+    records = events_as_search_records(read_events(spark, sf_dir))
+    return normalize_search(records).drop(*VOLATILE, "raw_payload")
+
+
+def q_legacy_projection(spark, sf_dir):
+    return legacy_projection(events_as_search_records(read_events(spark, sf_dir)))
+
+
+def q_predicate_filter(spark, sf_dir):
+    rows = events_as_download_rows(read_events(spark, sf_dir))
+    hits = rows.filter(predicate_to_column(PREDICATE, PREDICATE_COLUMNS))
+    return normalize_download(hits).select(
+        "gbif_id", "event_date", "country_code", "species", "individual_count"
+    )
+
+
+def q_ingest_stats(spark, sf_dir):
+    rows = events_as_download_rows(read_events(spark, sf_dir))
+    return UP.ingest_stats(normalize_download(rows))
+
+
+# --- upsert, de-duplication, caps -------------------------------------------
+def q_dedupe_last_wins(spark, sf_dir):
+    _, batch = upsert_inputs(read_events(spark, sf_dir))
+    return UP.dedupe_last(batch, "gbif_id", ["_seq", "key"])
+
+
+def q_upsert_by_key(spark, sf_dir):
+    target, batch = upsert_inputs(read_events(spark, sf_dir))
+    return UP.upsert_by_key(target, batch, "gbif_id", ["_seq", "key"])
+
+
+def q_cap_per_day(spark, sf_dir):
+    raw = events_as_raw(read_events(spark, sf_dir))
+    arrivals = raw.selectExpr("*", "cast(ingestion_ts as date) as request_day")
+    return UP.cap_per_group(arrivals, ["request_day"], ["key"], CAP_PER_DAY)
+
+
+# --- incremental -------------------------------------------------------------
+def q_max_event_date(spark, sf_dir):
+    return INC.max_event_date(_models(spark, sf_dir).raw)
+
+
+def q_incremental_start(spark, sf_dir):
+    return INC.incremental_start(
+        _models(spark, sf_dir).raw, INCREMENTAL_DEFAULT_START, LOOKBACK_DAYS
+    )
+
+
+def q_calendar_days(spark, sf_dir):
+    return INC.days_spanned(_models(spark, sf_dir).raw, "event_date")
+
+
+def q_incremental_run(spark, sf_dir):
+    """I2-I4 + K2: re-read [max - lookback, as_of] and upsert it into the table."""
+    raw = _models(spark, sf_dir).raw
+    target = raw.filter(
+        f"key % 2 = 0 and (event_date is null or event_date <= date '{TARGET_LOADED_UNTIL}')"
+    )
+    start = INC.first_value(
+        INC.incremental_start(target, INCREMENTAL_DEFAULT_START, LOOKBACK_DAYS), "start_date"
+    )
+    if start > AS_OF:
+        return target
+    batch = INC.in_date_range(raw, "event_date", start, AS_OF).withColumn(
+        "individual_count", F.col("individual_count") + F.lit(1)
+    )
+    return UP.upsert_by_key(target, batch, "gbif_id")
+
+
 # ---------------------------------------------------------------------------
 # Contract
 # ---------------------------------------------------------------------------
@@ -393,6 +501,161 @@ def _report_all_rows():
     )
 
 
+# --- expected normaliser outputs, computed from events arithmetic -----------
+_LAT = "((event_id * 37) % 2001) / 10.0::double - 100"
+_LON = "((event_id * 53) % 4001) / 10.0::double - 200"
+_SCI = "concat(event_type, ' L., ', cast(1700 + user_id as varchar))"
+_DATE_TEXT = """case event_id % 8
+  when 0 then strftime(ts, '%Y-%m-%d')
+  when 1 then strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z'
+  when 2 then strftime(ts, '%Y-%m-%dT%H:%M:%S') || '-05:00'
+  when 3 then strftime(ts, '%Y-%m-%d') || '/' || strftime(cast(ts as date) + 1, '%Y-%m-%d')
+  when 4 then strftime(ts, '%Y-%m-%d %H:%M:%S')
+  when 5 then ''
+  when 6 then strftime(ts, '%Y-%m')
+  else '  ' || strftime(ts, '%Y-%-m-%-d') || ' ' end"""
+# the calendar day each text shape denotes (UTC), NULL for unparseable shapes
+_DATE_VALUE = """case event_id % 8
+  when 2 then cast(ts + interval 5 hour as date)
+  when 5 then null when 6 then null
+  else cast(ts as date) end"""
+_GENUS_OR_UNKNOWN = (
+    "case when event_id % 37 = 0 then 'Unknown' else event_type || 'idae' end"
+)
+
+
+def _download_payload_sql() -> str:
+    """The landed export's text fields as a struct (payload order)."""
+    coord = (lambda v, salt: f"case (event_id + {salt}) % 7 when 0 then '' when 1 then 'n/a' "
+             f"when 2 then '5d' else cast({v} as varchar) end")
+    fields = [
+        ("gbifID", "case when event_id % 41 = 0 then '' when event_id % 43 = 0 then '  ' "
+                   "else cast(event_id as varchar) end"),
+        ("gbifKey", "cast(event_id + 1000000000 as varchar)"),
+        ("eventDate", _DATE_TEXT),
+        ("species", "case when event_id % 23 = 0 then '   ' when event_id % 31 = 0 then '' "
+                    "else event_type end"),
+        ("genus", "case when event_id % 37 = 0 then '' else event_type || 'idae' end"),
+        ("scientificName", _SCI),
+        ("taxonRank", "'SPECIES'"),
+        ("basisOfRecord", "'HUMAN_OBSERVATION'"),
+        ("occurrenceStatus", "'PRESENT'"),
+        ("individualCount", """case event_id % 6
+            when 0 then cast(cast(floor(value) as integer) - 5 as varchar)
+            when 1 then cast(value as varchar) when 2 then '' when 3 then 'many'
+            when 4 then cast(cast(floor(value) as integer) as varchar) || 'e0'
+            else ' ' || cast(cast(floor(value) as integer) as varchar) || ' ' end"""),
+        ("decimalLatitude", coord(_LAT, 0)),
+        ("decimalLongitude", coord(_LON, 3)),
+        ("coordinateUncertaintyInMeters",
+         "case when event_id % 2 = 0 then cast(value as varchar) else '' end"),
+        ("countryCode", "case when event_id % 10 = 0 then 'NL' else 'BE' end"),
+        ("stateProvince", "case when user_id % 2 = 0 then 'Flanders' else 'Wallonia' end"),
+        ("datasetKey", "'ds-' || cast(user_id % 5 as varchar)"),
+        ("publishingOrgKey", "'org-1'"),
+        ("taxonKey", "case when event_id % 7 = 0 then '' when event_id % 5 = 0 "
+                     "then cast(user_id as varchar) || '.0' else cast(user_id as varchar) end"),
+        ("family", "'Turdidae'"), ("order", "'Passeriformes'"), ("class", "'Aves'"),
+        ("phylum", "'Chordata'"), ("kingdom", "'Animalia'"),
+        ("issues", "case event_id % 4 when 0 then 'COORDINATE_ROUNDED; GEODETIC_DATUM_ASSUMED_WGS84' "
+                   "when 1 then '' when 2 then ' ; ' else 'RECORDED_DATE_INVALID' end"),
+        ("issue", "case when event_id % 4 = 1 then 'ISSUE_FALLBACK' else '' end"),
+        ("classKey", "case when event_id % 9 = 0 then '359' else '212' end"),
+    ]
+    return "struct_pack(" + ", ".join(f'"{name}" := {sql}' for name, sql in fields) + ")"
+
+
+def _download_expected_sql() -> str:
+    """P2 applied to the landed export (one row per kept record)."""
+    return f"""
+    select
+      event_id as _e,
+      case when event_id % 41 = 0 then cast(event_id + 1000000000 as varchar)
+           else cast(event_id as varchar) end as gbif_id,
+      {_DATE_VALUE} as event_date,
+      {_DATE_TEXT} as event_date_raw,
+      case when event_id % 23 = 0 then 'Unknown'
+           when event_id % 31 = 0 then {_GENUS_OR_UNKNOWN}
+           else event_type end as species,
+      {_SCI} as scientific_name,
+      'SPECIES' as taxon_rank, 'HUMAN_OBSERVATION' as basis_of_record,
+      'PRESENT' as occurrence_status,
+      cast(case event_id % 6 when 0 then floor(value) - 5 when 2 then 1 when 3 then 1
+                else floor(value) end as integer) as individual_count,
+      case when event_id % 7 in (0, 1, 2) then null else {_LAT} end as latitude,
+      case when (event_id + 3) % 7 in (0, 1, 2) then null else {_LON} end as longitude,
+      case when event_id % 2 = 0 then value end as coordinate_uncertainty_m,
+      case when event_id % 10 = 0 then 'NL' else 'BE' end as country_code,
+      case when user_id % 2 = 0 then 'Flanders' else 'Wallonia' end as state_province,
+      'ds-' || cast(user_id % 5 as varchar) as dataset_key,
+      'org-1' as publishing_org_key,
+      case when event_id % 41 = 0 then event_id + 1000000000 else event_id end as key,
+      case when event_id % 7 = 0 then null else user_id end as taxon_key,
+      case when event_id % 37 = 0 then '' else event_type || 'idae' end as genus,
+      'Turdidae' as family, 'Passeriformes' as "order", 'Aves' as class_name,
+      'Chordata' as phylum, 'Animalia' as kingdom,
+      case event_id % 4 when 0 then '["COORDINATE_ROUNDED", "GEODETIC_DATUM_ASSUMED_WGS84"]'
+           when 1 then '["ISSUE_FALLBACK"]' when 2 then null
+           else '["RECORDED_DATE_INVALID"]' end as issues_json,
+      0 as media_count,
+      to_json({_download_payload_sql()}) as raw_payload
+    from events
+    where not (event_id % 43 = 0 and event_id % 41 <> 0)"""
+
+
+def _search_expected_sql() -> str:
+    """P1 applied to the search records (one row per kept record)."""
+    return f"""
+    select
+      cast(event_id as varchar) as gbif_id,
+      {_DATE_VALUE} as event_date,
+      {_DATE_TEXT} as event_date_raw,
+      case when event_id % 23 = 0 then {_GENUS_OR_UNKNOWN}
+           when event_id % 31 = 0 then {_GENUS_OR_UNKNOWN}
+           when event_id % 47 = 0 then '  '
+           else event_type end as species,
+      {_SCI} as scientific_name,
+      'SPECIES' as taxon_rank, 'HUMAN_OBSERVATION' as basis_of_record,
+      'PRESENT' as occurrence_status,
+      cast(case event_id % 6 when 0 then floor(value) - 5 when 4 then floor(value)
+                when 5 then floor(value) else 1 end as integer) as individual_count,
+      case when event_id % 17 = 0 then null else {_LAT} end as latitude,
+      case when event_id % 19 = 0 then null else {_LON} end as longitude,
+      value as coordinate_uncertainty_m,
+      'BE' as country_code,
+      case when user_id % 2 = 0 then 'Flanders' else 'Wallonia' end as state_province,
+      'ds-' || cast(user_id % 5 as varchar) as dataset_key,
+      'org-1' as publishing_org_key,
+      event_id as key,
+      case when event_id % 7 = 0 then null else user_id end as taxon_key,
+      case when event_id % 37 = 0 then null else event_type || 'idae' end as genus,
+      'Turdidae' as family, 'Passeriformes' as "order", 'Aves' as class_name,
+      'Chordata' as phylum, 'Animalia' as kingdom,
+      case event_id % 4 when 0 then '["COUNTRY_COORDINATE_MISMATCH", "RECORDED_DATE_INVALID"]'
+           when 1 then '[]' when 2 then null else '["TAXON_MATCH_FUZZY"]' end as issues_json,
+      case event_id % 3 when 0 then 2 else 0 end as media_count
+    from events
+    where event_id % 82 <> 0"""
+
+
+_RAW_COLS = ", ".join(f'"{n}"' for n, _ in RAW_COLUMNS)
+
+
+def _upsert_inputs_sql() -> str:
+    return f"""raw as ({_raw_sql()}),
+    target as (select * from raw where key % 2 = 0),
+    batch as (
+      select * replace (individual_count + 1 as individual_count), 0 as _seq
+      from raw where key % 3 = 0
+      union all
+      select * replace (individual_count + 2 as individual_count), 1 as _seq
+      from raw where key % 9 = 0),
+    latest as (
+      select * exclude (rn) from (
+        select *, row_number() over (partition by gbif_id order by _seq desc, key desc) as rn
+        from batch) where rn = 1)"""
+
+
 def oracle_sql() -> dict[str, str]:
     stg_cols = (
         "gbif_id, species_name, observation_date, latitude, longitude, individual_count, "
@@ -476,4 +739,62 @@ def oracle_sql() -> dict[str, str]:
             " or longitude not between -180 and 180)"
         ),
         "dq_report": _with_models(_report_rows(_report_all_rows())),
+        "normalize_download": f"select * exclude (_e) from ({_download_expected_sql()})",
+        "normalize_search": f"select * from ({_search_expected_sql()})",
+        "legacy_projection": f"""
+            select case when event_id % 41 = 0 then 'None' else cast(event_id as varchar) end
+                     as gbif_id,
+                   case when event_id % 23 = 0 or event_id % 31 = 0 then {_GENUS_OR_UNKNOWN}
+                        when event_id % 47 = 0 then '  ' else event_type end as species,
+                   {_DATE_VALUE} as "date",
+                   {_LAT} as latitude,
+                   {_LON} as longitude,
+                   cast(case event_id % 6 when 0 then floor(value) - 5 when 4 then floor(value)
+                             when 5 then floor(value) else 1 end as bigint) as individual_count
+            from events
+            where event_id % 17 <> 0 and event_id % 19 <> 0 and event_id % 8 not in (5, 6)""",
+        "predicate_filter": f"""
+            select gbif_id, event_date, country_code, species, individual_count
+            from ({_download_expected_sql()})
+            where _e % 9 <> 0 and country_code = 'BE'
+              and event_date between date '2024-01-05' and date '2024-01-20'""",
+        "ingest_stats": f"""
+            select count(*) as rows_processed, count(*) as rows_upsert_attempted
+            from ({_download_expected_sql()})""",
+        "dedupe_last_wins": f"with {_upsert_inputs_sql()} select * from latest",
+        "upsert_by_key": f"""with {_upsert_inputs_sql()}
+            select * from target where gbif_id not in (select gbif_id from latest)
+            union all select {_RAW_COLS} from latest""",
+        "cap_per_day": f"""
+            select * exclude (rn) from (
+              select *, row_number() over (partition by request_day order by key) as rn
+              from (select *, cast(ingestion_ts as date) as request_day from ({_raw_sql()})))
+            where rn <= {CAP_PER_DAY}""",
+        "max_event_date": f"""
+            select max(event_date) as max_event_date from ({_raw_sql()})
+            where event_date is not null""",
+        "incremental_start": f"""
+            select max_event_date,
+                   coalesce(greatest(max_event_date - {LOOKBACK_DAYS},
+                                     date '{INCREMENTAL_DEFAULT_START}'),
+                            date '{INCREMENTAL_DEFAULT_START}') as start_date
+            from (select max(event_date) as max_event_date from ({_raw_sql()})
+                  where event_date is not null)""",
+        "calendar_days": f"""
+            select cast(unnest(generate_series(lo, hi, interval 1 day)) as date) as day
+            from (select min(event_date) as lo, max(event_date) as hi from ({_raw_sql()}))
+            where lo is not null""",
+        "incremental_run": f"""
+            with raw as ({_raw_sql()}),
+            target as (select * from raw where key % 2 = 0
+                       and (event_date is null or event_date <= date '{TARGET_LOADED_UNTIL}')),
+            st as (select coalesce(greatest(max(event_date) - {LOOKBACK_DAYS},
+                                            date '{INCREMENTAL_DEFAULT_START}'),
+                                   date '{INCREMENTAL_DEFAULT_START}') as start_date
+                   from target where event_date is not null),
+            batch as (select raw.* replace (individual_count + 1 as individual_count)
+                      from raw, st
+                      where raw.event_date between st.start_date and date '{AS_OF}')
+            select * from target where gbif_id not in (select gbif_id from batch)
+            union all select * from batch""",
     }
