@@ -18,8 +18,20 @@ from occurra.operators.staging import build_staging
 
 
 class Models:
-    def __init__(self, raw: DataFrame):
+    """``stg`` / ``dim`` / ``fct`` are derived on first use unless given
+    (e.g. marts already materialised as tables)."""
+
+    def __init__(
+        self,
+        raw: DataFrame,
+        stg: DataFrame | None = None,
+        dim: DataFrame | None = None,
+        fct: DataFrame | None = None,
+    ):
         self.raw = raw
+        for name, df in (("stg", stg), ("dim", dim), ("fct", fct)):
+            if df is not None:
+                self.__dict__[name] = df  # pre-fills the cached property
 
     @cached_property
     def stg(self) -> DataFrame:
