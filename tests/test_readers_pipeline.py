@@ -140,7 +140,8 @@ def test_streaming_ingest(spark, landed, scratch):
     from occurra.streaming.landed import start_landed_ingest
 
     landing = os.path.join(landed["tsv"], "occurrence")
-    q = start_landed_ingest(spark, landing, "t_raw.stream_obs", name="t_stream", buckets=4)
+    name = "t_stream_" + os.path.basename(scratch).replace("-", "_")  # fresh progress per run
+    q = start_landed_ingest(spark, landing, "t_raw.stream_obs", name=name, buckets=4)
     q.awaitTermination(300)
     raw = read_raw(spark, "t_raw.stream_obs")
     expected = normalize_download(R.read_tsv_export(spark, landing)).count()
