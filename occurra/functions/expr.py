@@ -18,10 +18,9 @@ from pyspark.sql import functions as F
 # ---------------------------------------------------------------------------
 # Accepted text shapes.
 # ---------------------------------------------------------------------------
-# Whitespace removed by str.strip(): Unicode White_Space plus the ASCII
-# separators 0x1C-0x1F.
-_WS = r"[\s\x{1c}-\x{1f}]"
-STRIP_PATTERN = rf"(?U)^{_WS}+|{_WS}+$"
+# Whitespace removed by str.strip(): every character for which Python's
+# str.isspace() holds (all lie below U+3001).
+WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 # ISO date-time accepted by the 'T' branch: date, 'T', hour, optional minute,
 # second and fraction, optional +hh:mm / -hh:mm offset.
 ISO_DATETIME_PATTERN = (
@@ -41,8 +40,10 @@ INT_PATTERN = r"^[+-]?\d(_?\d)*$"
 
 
 def lit_sql(text: str) -> str:
-    """A SQL string literal for ``text`` (backslashes and quotes escaped)."""
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    """A SQL string literal for ``text`` (backslashes and quotes escaped,
+    control and non-ASCII characters as \\uXXXX)."""
+    body = text.replace("\\", "\\\\").replace("'", "\\'")
+    return "'" + "".join(c if 32 <= ord(c) < 127 else f"\\u{ord(c):04x}" for c in body) + "'"
 
 
 def ident(name: str) -> str:
@@ -59,7 +60,7 @@ def _col(x: str) -> Column:
 # ---------------------------------------------------------------------------
 def strip_ws_sql(x: str) -> str:
     """Remove leading / trailing whitespace of any kind (like ``str.strip``)."""
-    return f"regexp_replace({x}, {lit_sql(STRIP_PATTERN)}, '')"
+    return f"btrim({x}, {lit_sql(WHITESPACE)})"
 
 
 def nonblank_sql(x: str) -> str:
@@ -152,9 +153,20 @@ def count_from_search_sql(x: str) -> str:
 # ---------------------------------------------------------------------------
 # JSON text
 # ---------------------------------------------------------------------------
+# Elements that need no JSON escaping: printable ASCII other than '"' and '\\'.
+PLAIN_JSON_TEXT = r"^[ !#-\[\]-~]*$"
+
+
 def json_list_sql(arr: str) -> str:
-    """JSON text of a string list with ', ' separators (``json.dumps`` layout)."""
-    item = "substring(to_json(array(e)), 2, length(to_json(array(e))) - 2)"
+    """JSON text of a string list with ', ' separators (``json.dumps`` layout).
+
+    Plain elements are quoted directly; others go through ``to_json``.
+    """
+    escaped = "substring(to_json(array(e)), 2, length(to_json(array(e))) - 2)"
+    item = (
+        f"case when e is null then 'null' when e rlike {lit_sql(PLAIN_JSON_TEXT)} "
+        f"then concat('\"', e, '\"') else {escaped} end"
+    )
     return f"concat('[', array_join(transform({arr}, e -> {item}), ', '), ']')"
 
 

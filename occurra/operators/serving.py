@@ -118,7 +118,17 @@ def daily_trend(
     if days is not None:
         days = clamp(days, 7, 3650)
         fct = fct.filter(F.col("observation_date") >= F.date_sub(_date_lit(as_of), days))
-    return _daily_totals(fct).orderBy("observation_date")
+    return sort_small(_daily_totals(fct), "observation_date")
+
+
+def sort_small(df: DataFrame, *cols: str) -> DataFrame:
+    """Total order for a result with a calendar-sized bound (one row per day).
+
+    The rows are gathered into one partition by a tiny shuffle and sorted
+    there, which skips the sampling job a range-partitioned ``orderBy`` runs.
+    Use only where the row count is bounded by the calendar, not by the data.
+    """
+    return df.repartition(1).sortWithinPartitions(*cols)
 
 
 def last_n_days_rows(daily: DataFrame, n: int = 20) -> DataFrame:

@@ -29,16 +29,26 @@ CASTS = [
     ("raw_payload", "raw_payload", "string"),
 ]
 
-# Both coordinates present and inside WGS84 bounds (NaN is outside).
-COORDS_IN_RANGE = (
-    "latitude is not null and longitude is not null "
-    "and latitude between -90 and 90 and longitude between -180 and 180"
-)
-# The row-level quality rule; never NULL.
-VALIDITY_RULE = (
-    f"case when {COORDS_IN_RANGE} and coalesce(individual_count, 0) >= 0 "
-    "then true else false end"
-)
+def coords_in_range_sql(lat: str = "latitude", lon: str = "longitude") -> str:
+    """Both coordinates present and inside WGS84 bounds (NaN is outside)."""
+    return (
+        f"{lat} is not null and {lon} is not null "
+        f"and {lat} between -90 and 90 and {lon} between -180 and 180"
+    )
+
+
+def validity_rule_sql(
+    lat: str = "latitude", lon: str = "longitude", count: str = "individual_count"
+) -> str:
+    """The row-level quality rule; never NULL."""
+    return (
+        f"case when {coords_in_range_sql(lat, lon)} and coalesce({count}, 0) >= 0 "
+        "then true else false end"
+    )
+
+
+COORDS_IN_RANGE = coords_in_range_sql()
+VALIDITY_RULE = validity_rule_sql()
 # Standardisation applied on top of the typed columns.
 STANDARDIZE = {
     "species_name": "coalesce(nullif(trim(species_name), ''), 'Unknown')",
@@ -51,8 +61,10 @@ def build_staging(raw: DataFrame) -> DataFrame:
     typed = {name: f"cast(`{src}` as {dtype})" for name, src, dtype in CASTS}
     for name, rule in STANDARDIZE.items():
         typed[name] = rule.replace(name, typed[name])
-    standardized = raw.selectExpr(*[f"{sql} as {name}" for name, sql in typed.items()])
-    return standardized.selectExpr("*", f"{VALIDITY_RULE} as is_valid_observation")
+    flag = validity_rule_sql(typed["latitude"], typed["longitude"], typed["individual_count"])
+    return raw.selectExpr(
+        *[f"{sql} as {name}" for name, sql in typed.items()], f"{flag} as is_valid_observation"
+    )
 
 
 def quality_tag_counts(stg: DataFrame) -> DataFrame:

@@ -18,12 +18,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from occurra.schema import DOWNLOAD_FIELDS, RAW_COLUMNS
+from occurra.sources.readers import spread
 
 EVENTS = "events"
+# The driver table's documented schema (read with it: no footer inference).
+EVENTS_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string"
+)
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{EVENTS}.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/{EVENTS}.parquet")
 
 
 LAT = "((event_id * 37) % 2001) / 10.0D - 100"
@@ -161,7 +167,7 @@ def events_as_download_rows(events: DataFrame) -> DataFrame:
     cols = [f"{DOWNLOAD_ROW[n]} as `{n}`" for n in DOWNLOAD_FIELDS]
     cols.append("case when event_id % 9 = 0 then '359' else '212' end as classKey")
     cols.append("event_id as _row")
-    return events.selectExpr(*cols)
+    return spread(events.selectExpr(*cols))
 
 
 SEARCH_RECORD = [
@@ -222,7 +228,7 @@ SEARCH_RECORD = [
 
 def events_as_search_records(events: DataFrame) -> DataFrame:
     """Search-API records (typed fields, nested ``issues`` / ``media`` lists)."""
-    return events.selectExpr(*[f"{sql} as `{name}`" for name, sql in SEARCH_RECORD])
+    return spread(events.selectExpr(*[f"{sql} as `{name}`" for name, sql in SEARCH_RECORD]))
 
 
 def upsert_inputs(events: DataFrame, variant: str = "fanout") -> tuple[DataFrame, DataFrame]:

@@ -28,6 +28,20 @@ TEXT_GLOB = "*.{csv,txt,CSV,TXT}"
 ORDER_COLUMNS = ("_file", "_block", "_row")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin an under-partitioned input over the cluster's cores.
+
+    A gzip'd export or a single-row-group file is one split, which would put
+    the whole normalisation in one task.  Inputs that already have at least
+    ``min_partitions`` splits (default: the default parallelism) - every
+    large multi-file input - are returned unchanged, with no shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def _relative(path_col: str, root: str) -> str:
     """Lower-case member path below ``root`` (SQL text)."""
     root = root.rstrip("/")
@@ -100,7 +114,7 @@ def read_tsv_export(spark: SparkSession, path: str, multi_line: bool = False) ->
     )
     if not df.columns or all(c.startswith("_c") for c in df.columns):
         raise ValueError(f"No header row in {path!r}")
-    return _with_arrival(df)
+    return spread(_with_arrival(df))
 
 
 def read_parquet_shards(spark: SparkSession, root: str, merge_schema: bool = True) -> DataFrame:
@@ -113,7 +127,7 @@ def read_parquet_shards(spark: SparkSession, root: str, merge_schema: bool = Tru
         .parquet(root)
     )
     # a filter on the file-path metadata column prunes whole files at planning
-    return _with_arrival(df.filter(_keep_member("_metadata.file_path", root)))
+    return spread(_with_arrival(df.filter(_keep_member("_metadata.file_path", root))))
 
 
 def _exists(spark: SparkSession, root: str, glob: str) -> bool:
