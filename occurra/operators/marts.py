@@ -21,29 +21,33 @@ def valid_dated(stg: DataFrame) -> DataFrame:
     return stg.filter(VALID_DATED)
 
 
+def _aggregate(df: DataFrame, keys: list[str], aggs: list[str]) -> DataFrame:
+    return df.groupBy(*[F.expr(k) for k in keys]).agg(*[F.expr(a) for a in aggs])
+
+
 def build_dim_species(stg: DataFrame) -> DataFrame:
     """A1: one row per (species_id, taxon_key, species_name)."""
-    return (
-        valid_dated(stg)
-        .groupBy(F.expr(SPECIES_ID).alias("species_id"), "taxon_key", "species_name")
-        .agg(
-            F.max("scientific_name").alias("scientific_name"),
-            F.min("observation_date").alias("first_observed_date"),
-            F.max("observation_date").alias("last_observed_date"),
-            F.count(F.lit(1)).alias("total_observation_records"),
-        )
+    return _aggregate(
+        valid_dated(stg),
+        [f"{SPECIES_ID} as species_id", "taxon_key", "species_name"],
+        [
+            "max(scientific_name) as scientific_name",
+            "min(observation_date) as first_observed_date",
+            "max(observation_date) as last_observed_date",
+            "count(1) as total_observation_records",
+        ],
     )
 
 
 def build_fct_daily(stg: DataFrame) -> DataFrame:
     """A2: one row per (observation_date, species_id)."""
-    return (
-        valid_dated(stg)
-        .groupBy("observation_date", F.expr(SPECIES_ID).alias("species_id"))
-        .agg(
-            F.count(F.lit(1)).alias("observation_records"),
-            F.sum("individual_count").cast("bigint").alias("individuals_observed"),
-            F.avg("latitude").alias("centroid_latitude"),
-            F.avg("longitude").alias("centroid_longitude"),
-        )
+    return _aggregate(
+        valid_dated(stg),
+        ["observation_date", f"{SPECIES_ID} as species_id"],
+        [
+            "count(1) as observation_records",
+            "cast(sum(individual_count) as bigint) as individuals_observed",
+            "avg(latitude) as centroid_latitude",
+            "avg(longitude) as centroid_longitude",
+        ],
     )

@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from occurra.functions.expr import portable_round
+from occurra.functions.expr import portable_round_sql
 
 
 def clamp(value: int, low: int, high: int) -> int:
@@ -52,22 +52,22 @@ def top_species(
     """
     limit = clamp(limit, 1, 200)
     per_species = fct.groupBy("species_id").agg(
-        *[F.sum(src).cast("bigint").alias(out) for src, out in measures]
+        *[F.expr(f"cast(sum({src}) as bigint) as {out}") for src, out in measures]
     )
     names = dim.select("species_id", "species_name")
     if dedupe_names:
         names = dim.groupBy("species_id").agg(
-            F.max_by(
-                "species_name", F.struct("total_observation_records", "species_name")
-            ).alias("species_name")
+            F.expr(
+                "max_by(species_name, struct(total_observation_records, species_name)) "
+                "as species_name"
+            )
         )
     joined = per_species.join(names, "species_id", "left")
-    display = F.coalesce(F.col("species_name"), F.col("species_id")).alias("species_name")
-    ranked = joined.groupBy("species_id", display).agg(
-        *[F.sum(out).cast("bigint").alias(out) for _, out in measures]
-    )
+    ranked = joined.groupBy(
+        F.col("species_id"), F.expr("coalesce(species_name, species_id) as species_name")
+    ).agg(*[F.expr(f"cast(sum({out}) as bigint) as {out}") for _, out in measures])
     first = measures[0][1]
-    return ranked.orderBy(F.desc(first), "species_id", "species_name").limit(limit)
+    return ranked.orderBy(F.col(first).desc(), "species_id", "species_name").limit(limit)
 
 
 def top_species_individuals(fct: DataFrame, dim: DataFrame, limit: int = 20) -> DataFrame:
@@ -91,10 +91,10 @@ def species_activity(dim: DataFrame, limit: int = 50) -> DataFrame:
 def geo_density(fct: DataFrame, digits: int = 2, limit: int = 1000) -> DataFrame:
     """Individuals per rounded centroid cell, densest first."""
     cells = fct.groupBy(
-        portable_round("centroid_latitude", digits).alias("lat_bucket"),
-        portable_round("centroid_longitude", digits).alias("lon_bucket"),
-    ).agg(F.sum("individuals_observed").cast("bigint").alias("individuals"))
-    return cells.orderBy(F.desc("individuals"), "lat_bucket", "lon_bucket").limit(limit)
+        F.expr(f"{portable_round_sql('centroid_latitude', digits)} as lat_bucket"),
+        F.expr(f"{portable_round_sql('centroid_longitude', digits)} as lon_bucket"),
+    ).agg(F.expr("cast(sum(individuals_observed) as bigint) as individuals"))
+    return cells.orderBy(F.col("individuals").desc(), "lat_bucket", "lon_bucket").limit(limit)
 
 
 # ---------------------------------------------------------------------------
@@ -102,8 +102,8 @@ def geo_density(fct: DataFrame, digits: int = 2, limit: int = 1000) -> DataFrame
 # ---------------------------------------------------------------------------
 def _daily_totals(fct: DataFrame) -> DataFrame:
     return fct.groupBy("observation_date").agg(
-        F.sum("observation_records").cast("bigint").alias("observation_records"),
-        F.sum("individuals_observed").cast("bigint").alias("individuals_observed"),
+        F.expr("cast(sum(observation_records) as bigint) as observation_records"),
+        F.expr("cast(sum(individuals_observed) as bigint) as individuals_observed"),
     )
 
 
