@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occurra.operators.upsert import dedupe_last
-from occurra.schema import COLUMN_COMMENTS, RAW_COLUMNS, RAW_KEY, TABLE_COMMENTS
+from occurra.schema import COLUMN_COMMENTS, LEGACY_SCHEMA, RAW_COLUMNS, RAW_KEY, TABLE_COMMENTS
 from occurra.session import checkpoint_dir
 
 BUCKET = "bucket"
@@ -101,8 +101,7 @@ def materialize(
         "dim": f"{database}.dim_species",
         "fct": f"{database}.fct_daily_species_observations",
     }
-    models.stg.createOrReplaceTempView("_occurra_stg")
-    spark.sql(f"create or replace temporary view stg_belgian_birds as select * from _occurra_stg")
+    models.stg.createOrReplaceTempView("stg_belgian_birds")
     for short, df in (("dim", models.dim), ("fct", models.fct)):
         df.write.mode("overwrite").saveAsTable(names[short])
         name = names[short].split(".")[-1]
@@ -115,3 +114,14 @@ def materialize(
                 spark.sql(f"alter table {names[short]} alter column `{col}` comment '{text}'")
     names["stg"] = "stg_belgian_birds"
     return names
+
+
+def append_legacy(spark: SparkSession, table: str, rows: DataFrame) -> None:
+    """K4: append the 6-column legacy projection (no upsert: a rerun appends
+    the same rows again, as the append-only source sink does)."""
+    if "." in table:
+        spark.sql(f"create database if not exists {table.split('.')[0]}")
+    if not spark.catalog.tableExists(table):
+        spark.createDataFrame([], LEGACY_SCHEMA).write.saveAsTable(table)
+    cols = [f"cast(`{f.name}` as {f.dataType.simpleString()}) as `{f.name}`" for f in LEGACY_SCHEMA.fields]
+    rows.selectExpr(*cols).write.insertInto(table)
