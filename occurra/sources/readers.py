@@ -36,10 +36,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     ``min_partitions`` splits (default: the default parallelism) - every
     large multi-file input - are returned unchanged, with no shuffle.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave the plan as is
         return df
-    return df.repartition(target)
+    return df if current >= target else df.repartition(target)
 
 
 def _relative(path_col: str, root: str) -> str:
