@@ -63,11 +63,6 @@ def strip_ws_sql(x: str) -> str:
     return f"btrim({x}, {lit_sql(WHITESPACE)})"
 
 
-def nonblank_sql(x: str) -> str:
-    """NULL for NULL or the empty string (``None or ''``)."""
-    return f"nullif({x}, '')"
-
-
 # ---------------------------------------------------------------------------
 # Event dates
 # ---------------------------------------------------------------------------
@@ -181,9 +176,10 @@ def issues_json_from_list_sql(x: str) -> str:
     return f"case when {x} is not null then {json_list_sql(x)} end"
 
 
-def row_json(*cols: Column | str) -> Column:
-    """JSON object of the given columns, NULL fields kept."""
-    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+def row_json_sql(fields: list[str]) -> str:
+    """JSON object of the named fields, NULL fields kept."""
+    inner = ", ".join(f"{lit_sql(n)}, {ident(n)}" for n in fields)
+    return f"to_json(named_struct({inner}), map('ignoreNullFields', 'false'))"
 
 
 # ---------------------------------------------------------------------------

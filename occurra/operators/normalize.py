@@ -25,6 +25,7 @@ from occurra.functions.expr import (
     issues_json_from_text_sql,
     lit_sql,
     parse_event_date_sql,
+    row_json_sql,
     strip_ws_sql,
 )
 from occurra.schema import RAW_COLUMNS
@@ -86,9 +87,7 @@ class _Fields:
 
     def payload(self, exclude: Sequence[str]) -> str:
         """JSON of the record's fields, NULL fields kept."""
-        names = [n for n in self.types if n not in exclude]
-        inner = ", ".join(f"{lit_sql(n)}, {ident(n)}" for n in names)
-        return f"to_json(named_struct({inner}), map('ignoreNullFields', 'false'))"
+        return row_json_sql([n for n in self.types if n not in exclude])
 
 
 def _ingestion_ts_sql(ingestion_ts: dt.datetime | None) -> str:

@@ -61,3 +61,20 @@ def test_predicate_shape_and_filter(spark):
     sql = predicate_to_sql(tree, {"CLASS_KEY": ("ck", "string"), "COUNTRY": ("cc", "string"),
                                   "EVENT_DATE": ("d", "date")})
     assert df.filter(sql).count() == 1
+
+
+def test_serving_clamps(spark):
+    from occurra.operators import serving as SV
+
+    fct = spark.createDataFrame(
+        [(D(2024, 1, d), "s", 1, 2, 0.0, 0.0) for d in range(1, 31)],
+        "observation_date date, species_id string, observation_records bigint, "
+        "individuals_observed bigint, centroid_latitude double, centroid_longitude double",
+    )
+    # days below the minimum are clamped to 7: dates >= as_of - 7
+    win = SV.daily_trend(fct, days=1, as_of=D(2024, 1, 30)).collect()
+    assert [r[0] for r in win] == [D(2024, 1, d) for d in range(23, 31)]
+    assert SV.clamp(0, 1, 200) == 1 and SV.clamp(500, 1, 200) == 200
+    assert SV.top_species(fct, fct.selectExpr("species_id", "'n' as species_name", "1 as total_observation_records"), limit=0).count() == 1
+    tail = [r[0] for r in SV.last_n_days_rows(SV.daily_trend(fct), 5).collect()]
+    assert tail == [D(2024, 1, d) for d in range(26, 31)]
