@@ -25,7 +25,7 @@ from occurra.operators.upsert import cap_per_group, observe_ingest
 from occurra.plans.models import Models, build_models
 from occurra.plans.tables import ensure_raw_table, materialize, read_raw, upsert_into_table
 from occurra.sources.predicate import CLASS_KEY, COUNTRY, EVENT_DATE, predicate_to_column, range_predicate
-from occurra.sources.readers import read_download_export, read_search_pages
+from occurra.sources.readers import arrival_order, read_download_export, read_search_pages
 from occurra.functions.expr import parse_event_date_sql
 
 
@@ -73,7 +73,7 @@ def download_rows_in_range(
     if "countryCode" not in rows.columns:
         tree = {**tree, "predicates": [p for p in tree["predicates"] if p["key"] != COUNTRY]}
     hits = rows.filter(predicate_to_column(tree, DOWNLOAD_PREDICATE_COLUMNS))
-    return normalize_download(hits, carry=("_file", "_block", "_row"))
+    return normalize_download(arrival_order(hits), carry=("_file", "_block", "_row"))
 
 
 def search_rows_in_range(

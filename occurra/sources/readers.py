@@ -7,9 +7,12 @@
 * S5 ``read_download_export`` format dispatch over S1 / S2
 * S6 ``read_search_pages``    JSON search pages -> one row per record
 
-Every reader attaches explicit arrival-order columns taken from the scan
-itself (file path, block start, position), so later last-wins and first-N
-logic never depends on partition order.
+Every reader attaches the scan's file path and split start (``_file``,
+``_block``); ``arrival_order`` adds the row position inside the split
+(``_row``).  Call it after any filter: ``monotonically_increasing_id`` is
+nondeterministic, so Catalyst would not push a filter below it into the scan,
+while the position it gives stays increasing in file order after a filter.
+Last-wins and first-N logic then never depends on partition order.
 """
 
 from __future__ import annotations
@@ -57,16 +60,22 @@ def _keep_member(path_col: str, root: str) -> str:
     return f"not ({_relative(path_col, root)} rlike {lit_sql(SKIP_MEMBER_PATTERN)})"
 
 
-def _with_arrival(df: DataFrame) -> DataFrame:
-    """Arrival order straight after the scan: file, split start, row in split."""
+def _with_source(df: DataFrame) -> DataFrame:
+    """File path and split start of every row (deterministic metadata)."""
     return df.selectExpr(
-        "*",
-        "_metadata.file_path as _file",
-        "_metadata.file_block_start as _block",
-        "monotonically_increasing_id() as _row",
+        "*", "_metadata.file_path as _file", "_metadata.file_block_start as _block"
     )
 
 
+def arrival_order(df: DataFrame) -> DataFrame:
+    """Add ``_row`` (position inside the file split) and spread one-split inputs.
+
+    Must run on the scan's own partitions (after filters, before any
+    shuffle), so (``_file``, ``_block``, ``_row``) is the file order.
+    """
+    return spread(df.selectExpr("*", "monotonically_increasing_id() as _row"))
+
+
 def member_listing(spark: SparkSession, root: str, glob: str) -> DataFrame:
     """S3: (path, length) of data members under ``root`` matching ``glob``.
 
@@ -116,7 +125,7 @@ def read_tsv_export(spark: SparkSession, path: str, multi_line: bool = False) ->
     )
     if not df.columns or all(c.startswith("_c") for c in df.columns):
         raise ValueError(f"No header row in {path!r}")
-    return spread(_with_arrival(df))
+    return _with_source(df)
 
 
 def read_parquet_shards(spark: SparkSession, root: str, merge_schema: bool = True) -> DataFrame:
@@ -129,7 +138,7 @@ def read_parquet_shards(spark: SparkSession, root: str, merge_schema: bool = Tru
         .parquet(root)
     )
     # a filter on the file-path metadata column prunes whole files at planning
-    return spread(_with_arrival(df.filter(_keep_member("_metadata.file_path", root))))
+    return _with_source(df.filter(_keep_member("_metadata.file_path", root)))
 
 
 def _exists(spark: SparkSession, root: str, glob: str) -> bool:

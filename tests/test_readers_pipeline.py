@@ -60,10 +60,11 @@ def landed(spark, scratch):
 def test_tsv_reader_and_member_choice(spark, landed):
     member = R.largest_text_member(spark, landed["tsv"])
     assert "occurrence" in member and "citation" not in member
-    df = R.read_download_export(spark, landed["tsv"])
+    df = R.arrival_order(R.read_download_export(spark, landed["tsv"]))
     assert df.count() == landed["n_rows"]
     assert set(DOWNLOAD_FIELDS) <= set(df.columns)
     assert {"_file", "_block", "_row"} <= set(df.columns)
+    assert df.select("_file", "_block", "_row").distinct().count() == landed["n_rows"]
 
 
 def test_parquet_reader_skips_metadata(spark, landed):
@@ -146,3 +147,41 @@ def test_streaming_ingest(spark, landed, scratch):
     raw = read_raw(spark, "t_raw.stream_obs")
     expected = normalize_download(R.read_tsv_export(spark, landing)).count()
     assert raw.count() == expected
+
+
+def test_predicate_reaches_parquet_scan(spark, landed):
+    """On stored export columns the range predicate is pushed into the scan."""
+    from occurra.sources.predicate import predicate_to_column, range_predicate
+
+    rows = R.read_parquet_shards(spark, landed["pq"])
+    tree = range_predicate("BE", 212, dt.date(2024, 1, 5), dt.date(2024, 1, 20))
+    hits = rows.filter(predicate_to_column(tree, P.DOWNLOAD_PREDICATE_COLUMNS))
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
+    assert "EqualTo(classKey,212)" in scan and "EqualTo(countryCode,BE)" in scan
+
+
+def test_mart_reads_prune_and_push(spark, landed):
+    """Serving reads of a materialised fact read only used columns and push the
+    trailing-window filter into the scan."""
+    from occurra.operators import serving as SV
+
+    fct = spark.table("t_mart.fct_daily_species_observations")
+    q = SV.daily_trend(fct, days=7, as_of=dt.date(2024, 1, 30))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
+    assert "GreaterThanOrEqual(observation_date" in scan
+    assert "centroid" not in scan.split("ReadSchema")[1]
+
+
+def test_search_day_range_prunes_partitions(spark, landed):
+    from occurra.operators.incremental import in_date_range
+
+    recs = in_date_range(R.read_search_pages(spark, landed["pages"]), "_request_day",
+                         dt.date(2024, 1, 2), dt.date(2024, 1, 2))
+    import re
+
+    plan = recs._jdf.queryExecution().executedPlan().toString()
+    filters = re.findall(r"PartitionFilters: \[[^\]]*\]", plan)
+    assert filters and all("day" in f and "2024-01-02" in f for f in filters)
+    assert recs.count() == len(landed["by_day"]["2024-01-02"])
