@@ -26,17 +26,32 @@ def _aggregate(df: DataFrame, keys: list[str], aggs: list[str]) -> DataFrame:
 
 
 def build_dim_species(stg: DataFrame) -> DataFrame:
-    """A1: one row per (species_id, taxon_key, species_name)."""
-    return _aggregate(
+    """A1: one row per (species_id, taxon_key, species_name).
+
+    Two rounds with the same result as one: the raw rows are first reduced
+    per (grain, scientific_name) with fixed-width buffers (count, min / max
+    date), which Spark runs as a hash aggregate; the string ``max`` - which
+    needs a sort-based aggregate - then only sees one row per name.
+    """
+    per_name = _aggregate(
         valid_dated(stg),
-        [f"{SPECIES_ID} as species_id", "taxon_key", "species_name"],
+        [f"{SPECIES_ID} as species_id", "taxon_key", "species_name", "scientific_name"],
         [
-            "max(scientific_name) as scientific_name",
             "min(observation_date) as first_observed_date",
             "max(observation_date) as last_observed_date",
             "count(1) as total_observation_records",
         ],
     )
+    return _aggregate(
+        per_name,
+        ["species_id", "taxon_key", "species_name"],
+        [
+            "max(scientific_name) as scientific_name",
+            "min(first_observed_date) as first_observed_date",
+            "max(last_observed_date) as last_observed_date",
+            "sum(total_observation_records) as total_observation_records",
+        ],
+    )
 
 
 def build_fct_daily(stg: DataFrame) -> DataFrame:
