@@ -61,6 +61,13 @@ def build_session(
     return spark
 
 
+def shuffle_partitions_for(input_bytes: int, bytes_per_partition: int = 200 << 20, minimum: int = 1) -> int:
+    """``spark.sql.shuffle.partitions`` sized to the data: about
+    ``bytes_per_partition`` of input per shuffle partition (at least
+    ``minimum``).  AQE then coalesces small partitions and splits skewed ones."""
+    return max(minimum, -(-int(input_bytes) // int(bytes_per_partition)))
+
+
 def checkpoint_dir(spark: SparkSession, allow_local_default: bool = False) -> str:
     """Return the reliable checkpoint folder named by ``spark.checkpoint.dir``.
 
