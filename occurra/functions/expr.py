@@ -26,6 +26,8 @@ WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 ISO_DATETIME_PATTERN = (
     r"^\d{4}-\d{2}-\d{2}T\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?([+-]\d{2}:\d{2})?$"
 )
+# A UTC offset at the end of an ISO date-time.
+ZONE_SUFFIX_PATTERN = r"[+-]\d{2}:\d{2}$"
 # Calendar date accepted by the %Y-%m-%d branch (month/day may be unpadded;
 # a day may be written with a leading blank).
 YMD_PATTERN = r"^(\d{4})-(1[0-2]|0[1-9]|[1-9])-(3[01]|[12]\d|0[1-9]|[1-9]| [1-9])$"
@@ -71,8 +73,9 @@ def parse_event_date_sql(x: str) -> str:
 
     * NULL / '' -> NULL; surrounding whitespace removed; trailing 'Z' = UTC.
     * Text containing 'T' must be an ISO date-time; zoned values are moved to
-      UTC (session zone) before the calendar day is taken.  Hour-only and
-      minute-only times are padded first.
+      UTC before the calendar day is taken, naive values keep their wall-clock
+      day (independent of the session time zone).  Hour-only and minute-only
+      times are padded first.
     * Otherwise the first 10 characters must be a %Y-%m-%d calendar date.
     * Anything else, including impossible days, is NULL.
     """
@@ -86,10 +89,18 @@ def parse_event_date_sql(x: str) -> str:
         f"lpad(trim(regexp_extract({head}, {ymd}, 2)), 2, '0'), "
         f"lpad(trim(regexp_extract({head}, {ymd}, 3)), 2, '0'))"
     )
+    # zoned: the UTC calendar day of the instant; naive: the wall-clock day.
+    # Neither depends on the session time zone.
+    utc_day = (
+        f"date_from_unix_date(cast(floor(unix_micros(try_cast({iso} as timestamp)) "
+        "/ 86400000000D) as int))"
+    )
+    naive_day = f"cast(try_cast({iso} as timestamp_ntz) as date)"
     return (
         f"case when {s} is null or {s} = '' then null "
         f"when contains({s}, 'T') then case when {s} rlike {lit_sql(ISO_DATETIME_PATTERN)} "
-        f"then cast(try_cast({iso} as timestamp) as date) end "
+        f"then case when {s} rlike {lit_sql(ZONE_SUFFIX_PATTERN)} then {utc_day} "
+        f"else {naive_day} end end "
         f"when {head} rlike {ymd} then try_cast({day} as date) end"
     )
 
