@@ -61,11 +61,23 @@ def build_session(
     return spark
 
 
-def shuffle_partitions_for(input_bytes: int, bytes_per_partition: int = 200 << 20, minimum: int = 1) -> int:
-    """``spark.sql.shuffle.partitions`` sized to the data: about
-    ``bytes_per_partition`` of input per shuffle partition (at least
-    ``minimum``).  AQE then coalesces small partitions and splits skewed ones."""
-    return max(minimum, -(-int(input_bytes) // int(bytes_per_partition)))
+def shuffle_partitions_for(
+    input_bytes: int,
+    cores: int = 1,
+    bytes_per_partition: int = 8 << 20,
+    maximum: int = 200_000,
+) -> int:
+    """``spark.sql.shuffle.partitions`` sized to the data.
+
+    About ``bytes_per_partition`` of compressed columnar input per shuffle
+    partition (row-wide shuffles such as the upsert decode to many times that);
+    an input smaller than one partition gets a single partition, anything
+    larger at least one per core, and never more than ``maximum`` (at 100 TB
+    the cap applies and AQE coalesces the partitions that partial aggregation
+    left small).
+    """
+    n = -(-int(input_bytes) // int(bytes_per_partition))
+    return 1 if n <= 1 else min(max(n, int(cores)), int(maximum))
 
 
 def checkpoint_dir(spark: SparkSession, allow_local_default: bool = False) -> str:
