@@ -95,3 +95,17 @@ def test_portable_round(spark, x, expected):
 def test_strip_matches_python(spark):
     samples = ["  a ", "\tb\n", " c ", "\x1cd\x1f", "e"]
     assert _eval(spark, "string", samples, X.strip_ws) == [s.strip() for s in samples]
+
+
+def test_issues_json_matches_json_dumps(spark):
+    import json
+
+    lists = [['a",', "b"], [None, "A"], ["x\\", "y,z"], ["tab\there"], ["A"], []]
+    got = _eval(spark, "array<string>", lists, X.issues_json_from_list)
+    assert got == [json.dumps(v) for v in lists]
+    texts = ["A ;; B;", ";A", "  ", "A B ; C", 'q"; r\\']
+    want = []
+    for t in texts:
+        parts = [p.strip() for p in t.split(";") if p.strip()]
+        want.append(json.dumps(parts) if parts else None)
+    assert _eval(spark, "string", texts, X.issues_json_from_text) == want
