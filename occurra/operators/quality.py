@@ -160,6 +160,14 @@ def declared_checks(gate_counts_on_staging: str = "error") -> list[Check]:
 REPORT_COLUMNS = ["check_name", "table_name", "severity", "failing_rows"]
 
 
+def _sql_value(v) -> str:
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return lit_sql(str(v))
+
+
 def _row_sql(chk: Check, count_sql: str) -> str:
     return (
         f"named_struct('check_name', {lit_sql(chk.name)}, 'table_name', {lit_sql(chk.table)}, "
@@ -175,6 +183,11 @@ def dq_report(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFram
     parts: list[DataFrame] = []
     by_table: dict[str, list[Check]] = {}
     for chk in checks:
+        if chk.kind == "accepted":
+            # per-row test (NULL is not flagged): counted in the table's pass
+            values = ", ".join(_sql_value(v) for v in chk.values)
+            chk = Check(chk.name, chk.table, "row", chk.columns,
+                        f"not (`{chk.columns[0]}` in ({values}))", severity=chk.severity)
         if chk.kind == "row":
             by_table.setdefault(chk.table, []).append(chk)
     for table, row_checks in by_table.items():
@@ -185,14 +198,12 @@ def dq_report(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFram
         parts.append(counts.selectExpr(f"inline(array({rows}))"))
     for chk in checks:
         df = tables[chk.table]
-        if chk.kind == "row":
+        if chk.kind in ("row", "accepted"):
             continue
         if chk.kind == "unique":
             failing = check_unique(df, chk.columns[0])
         elif chk.kind == "combination":
             failing = check_unique_combination(df, chk.columns)
-        elif chk.kind == "accepted":
-            failing = df.filter(~F.col(chk.columns[0]).isin(list(chk.values)))
         elif chk.kind == "relationship":
             failing = check_relationship(df, chk.columns[0], tables[chk.parent], chk.parent_column)
         else:
