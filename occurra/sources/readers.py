@@ -183,7 +183,11 @@ def read_search_pages(spark: SparkSession, root: str, multi_line: bool = True) -
     stops = pages.filter(
         "coalesce(endOfRecords, false) or results is null or size(results) = 0"
     ).groupBy("day").agg(F.min("offset").alias("_stop"))
-    fetched = pages.join(stops, "day", "left").filter("_stop is null or offset <= _stop")
+    # one row per landed day (bounded by the calendar, not by the data), so it
+    # is broadcast: a day holding a third of all pages never meets one reducer
+    fetched = pages.join(F.broadcast(stops), "day", "left").filter(
+        "_stop is null or offset <= _stop"
+    )
     return fetched.selectExpr(
         "day as _request_day", "offset as _offset", "posexplode(results) as (_pos, rec)"
     ).selectExpr("rec.*", "_request_day", "_offset", "_pos")
