@@ -56,15 +56,27 @@ STANDARDIZE = {
 }
 
 
-def build_staging(raw: DataFrame) -> DataFrame:
-    """cast/rename 15 raw columns, standardise, add ``is_valid_observation``."""
+def staging_columns_sql() -> list[str]:
+    """The staging projection as SQL select items (shared by the DataFrame
+    build and the catalog view)."""
     typed = {name: f"cast(`{src}` as {dtype})" for name, src, dtype in CASTS}
     for name, rule in STANDARDIZE.items():
         typed[name] = rule.replace(name, typed[name])
     flag = validity_rule_sql(typed["latitude"], typed["longitude"], typed["individual_count"])
-    return raw.selectExpr(
-        *[f"{sql} as {name}" for name, sql in typed.items()], f"{flag} as is_valid_observation"
-    )
+    return [f"{sql} as {name}" for name, sql in typed.items()] + [
+        f"{flag} as is_valid_observation"
+    ]
+
+
+def build_staging(raw: DataFrame) -> DataFrame:
+    """cast/rename 15 raw columns, standardise, add ``is_valid_observation``."""
+    return raw.selectExpr(*staging_columns_sql())
+
+
+def staging_view_sql(view: str, raw_table: str) -> str:
+    """K5: the staging model as a persistent catalog view over the raw table."""
+    items = ",\n  ".join(staging_columns_sql())
+    return f"create or replace view {view} as select\n  {items}\nfrom {raw_table}"
 
 
 def quality_tag_counts(stg: DataFrame) -> DataFrame:

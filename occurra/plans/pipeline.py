@@ -159,19 +159,21 @@ def build_and_check(
     config: IngestConfig | None = None,
     fail_on: tuple[str, ...] = ("error",),
     count_check_severity: str = "warn",
+    raw_table: str | None = None,
 ) -> tuple[Models, list[dict]]:
     """Q10: staging checks, then marts (materialised), then mart checks.
 
     Raises ``QualityGateError`` when a check of a gating severity fails.  The
     staging count check is ``warn`` by default because the staging model keeps
     negative counts (flagged invalid) that the declared check rejects.
+    ``raw_table`` (the catalog name of ``raw``) makes staging a persistent view.
     """
     config = config or IngestConfig()
     models = build_models(raw)
     checks = Q.declared_checks(gate_counts_on_staging=count_check_severity)
     upstream = [c for c in checks if c.table in ("gbif_observations_raw", "stg_belgian_birds")]
     report = Q.gate(Q.dq_report(models.tables(), upstream), fail_on)
-    names = materialize(spark, models, config.mart_database)
+    names = materialize(spark, models, config.mart_database, raw_table=raw_table)
     marts = Models(
         raw, stg=models.stg, dim=spark.table(names["dim"]), fct=spark.table(names["fct"])
     )

@@ -26,6 +26,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from occurra.operators.staging import staging_view_sql
 from occurra.operators.upsert import dedupe_last
 from occurra.schema import COLUMN_COMMENTS, LEGACY_SCHEMA, RAW_COLUMNS, RAW_KEY, TABLE_COMMENTS
 from occurra.session import checkpoint_dir
@@ -77,6 +78,15 @@ def upsert_into_table(
     merged.select(*raw_cols, BUCKET).write.insertInto(table, overwrite=True)
 
 
+def create_staging_view(spark: SparkSession, raw_table: str, view: str) -> DataFrame:
+    """K5: (re)create the staging model as a persistent view over the raw
+    table; readers of the view always see the current raw table."""
+    if "." in view:
+        spark.sql(f"create database if not exists {view.split('.')[0]}")
+    spark.sql(staging_view_sql(view, raw_table))
+    return spark.table(view)
+
+
 def read_raw(spark: SparkSession, table: str) -> DataFrame:
     """The raw table without the storage bucket column."""
     return spark.table(table).drop(BUCKET)
@@ -87,11 +97,14 @@ def materialize(
     models,
     database: str,
     staging_database: str | None = None,
+    raw_table: str | None = None,
 ) -> dict[str, str]:
     """K5-K7: staging as a view, marts as full-refresh tables, with comments.
 
-    Returns the created names.  The marts are written once and then read by
-    serving queries and mart checks, instead of re-deriving them.
+    With ``raw_table`` the staging view is a persistent catalog view over that
+    table; otherwise a session view of ``models.stg``.  Returns the names.
+    The marts are written once and then read by serving queries and mart
+    checks, instead of re-deriving them.
     """
     staging_database = staging_database or database
     for db in {database, staging_database}:
@@ -101,7 +114,11 @@ def materialize(
         "dim": f"{database}.dim_species",
         "fct": f"{database}.fct_daily_species_observations",
     }
-    models.stg.createOrReplaceTempView("stg_belgian_birds")
+    if raw_table:
+        create_staging_view(spark, raw_table, names["stg"])
+    else:
+        models.stg.createOrReplaceTempView("stg_belgian_birds")
+        names["stg"] = "stg_belgian_birds"
     for short, df in (("dim", models.dim), ("fct", models.fct)):
         df.write.mode("overwrite").saveAsTable(names[short])
         name = names[short].split(".")[-1]
@@ -112,7 +129,6 @@ def materialize(
             if col in COLUMN_COMMENTS:
                 text = COLUMN_COMMENTS[col].replace("'", "\\'")
                 spark.sql(f"alter table {names[short]} alter column `{col}` comment '{text}'")
-    names["stg"] = "stg_belgian_birds"
     return names
 
 

@@ -121,7 +121,9 @@ def test_table_upsert_and_pipeline(spark, landed):
 
     with pytest.raises(QualityGateError, match="unique\\(species_id\\)"):
         P.build_and_check(spark, read_raw(spark, cfg.raw_table), cfg)  # fan-out names
-    models, report = P.build_and_check(spark, read_raw(spark, cfg.raw_table), cfg, fail_on=())
+    models, report = P.build_and_check(
+        spark, read_raw(spark, cfg.raw_table), cfg, fail_on=(), raw_table=cfg.raw_table)
+    assert spark.catalog.tableExists("t_mart.stg_belgian_birds")
     assert len(report) == 24
     failing = {r["check_name"] for r in report if r["failing_rows"]}
     assert failing == {"unique(species_id)", "expression_is_true(individual_count >= 0)"}
@@ -147,6 +149,12 @@ def test_streaming_ingest(spark, landed, scratch):
     raw = read_raw(spark, "t_raw.stream_obs")
     expected = normalize_download(R.read_tsv_export(spark, landing)).count()
     assert raw.count() == expected
+    # restart on the same checkpoint: nothing new landed, nothing reprocessed
+    before = raw.collect()
+    q2 = start_landed_ingest(spark, landing, "t_raw.stream_obs", name=name, buckets=4)
+    q2.awaitTermination(300)
+    assert q2.lastProgress is None or q2.lastProgress["numInputRows"] == 0
+    assert sorted(map(tuple, read_raw(spark, "t_raw.stream_obs").collect())) == sorted(map(tuple, before))
 
 
 def test_predicate_reaches_parquet_scan(spark, landed):

@@ -38,3 +38,15 @@ def test_legacy_append_is_append_only(spark):
     assert spark.table("t_legacy.birds").count() == 2 * rows.count()
     assert [f.name for f in spark.table("t_legacy.birds").schema] == [
         "gbif_id", "species", "date", "latitude", "longitude", "individual_count"]
+
+
+def test_staging_view_over_raw_table(spark):
+    from occurra.plans.tables import create_staging_view
+
+    raw = events_as_raw(read_events(spark, SF_SMALL))
+    raw.write.mode("overwrite").saveAsTable("default.t_raw_for_view")
+    view = create_staging_view(spark, "default.t_raw_for_view", "t_stg.stg_belgian_birds")
+    expected = build_models(spark.table("default.t_raw_for_view")).stg
+    assert view.columns == expected.columns
+    assert view.exceptAll(expected).count() == 0 and expected.exceptAll(view).count() == 0
+    assert spark.catalog.tableExists("t_stg.stg_belgian_birds")
