@@ -1,0 +1 @@
+"""Pipeline operators: normalisers, staging, marts, serving, quality, upsert, incremental."""

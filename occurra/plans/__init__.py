@@ -1,0 +1 @@
+"""End-to-end jobs, the model bundle and catalog tables."""

@@ -18,15 +18,21 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from occurra.functions.expr import parse_event_date_sql
 from occurra.operators import incremental as INC
 from occurra.operators import quality as Q
 from occurra.operators.normalize import normalize_download, normalize_search
 from occurra.operators.upsert import cap_per_group, observe_ingest
 from occurra.plans.models import Models, build_models
 from occurra.plans.tables import ensure_raw_table, materialize, read_raw, upsert_into_table
-from occurra.sources.predicate import CLASS_KEY, COUNTRY, EVENT_DATE, predicate_to_column, range_predicate
+from occurra.sources.predicate import (
+    CLASS_KEY,
+    COUNTRY,
+    EVENT_DATE,
+    predicate_to_column,
+    range_predicate,
+)
 from occurra.sources.readers import arrival_order, read_download_export, read_search_pages
-from occurra.functions.expr import parse_event_date_sql
 
 
 @dataclass

@@ -1,0 +1 @@
+"""Landed-file readers, predicate trees and test-table projections."""
