@@ -167,7 +167,8 @@ def events_as_download_rows(events: DataFrame) -> DataFrame:
     cols = [f"{DOWNLOAD_ROW[n]} as `{n}`" for n in DOWNLOAD_FIELDS]
     cols.append("case when event_id % 9 = 0 then '359' else '212' end as classKey")
     cols.append("event_id as _row")
-    return spread(events.selectExpr(*cols))
+    # spread the compact source (6 columns) rather than the 26 text columns
+    return spread(events).selectExpr(*cols)
 
 
 SEARCH_RECORD = [
@@ -228,7 +229,7 @@ SEARCH_RECORD = [
 
 def events_as_search_records(events: DataFrame) -> DataFrame:
     """Search-API records (typed fields, nested ``issues`` / ``media`` lists)."""
-    return spread(events.selectExpr(*[f"{sql} as `{name}`" for name, sql in SEARCH_RECORD]))
+    return spread(events).selectExpr(*[f"{sql} as `{name}`" for name, sql in SEARCH_RECORD])
 
 
 def upsert_inputs(events: DataFrame, variant: str = "fanout") -> tuple[DataFrame, DataFrame]:
