@@ -64,3 +64,21 @@ def test_ingest_observation(spark):
     observed.write.format("noop").mode("overwrite").save()
     assert obs.get == {"rows_processed": 25, "rows_upsert_attempted": 25}
     assert tuple(UP.ingest_stats(df).first()) == (25, 25)
+
+
+def test_hot_key_third_of_batch(spark):
+    """One key holds a third of the batch: the result equals sequential upserts."""
+    rnd = random.Random(11)
+    batch_rows = []
+    for seq in range(3000):
+        k = 0 if seq % 3 == 0 else rnd.randint(1, 400)
+        batch_rows.append((str(k), seq, rnd.randint(0, 10**6)))
+    target_rows = [(str(k), -1, -k) for k in range(0, 600, 2)]
+    schema = "gbif_id string, seq int, v int"
+    target = spark.createDataFrame(target_rows, schema)
+    batch = spark.createDataFrame(batch_rows, schema).repartition(6)
+    got = sorted(tuple(r) for r in UP.upsert_by_key(target, batch, "gbif_id", ["seq"]).collect())
+    table = {k: (k, s, v) for k, s, v in target_rows}
+    for k, s, v in batch_rows:  # apply one by one, in arrival order
+        table[k] = (k, s, v)
+    assert got == sorted(table.values())
