@@ -9,8 +9,15 @@ result in DuckDB from the same ``events`` view, written independently in SQL.
 from __future__ import annotations
 
 import datetime as dt
+import os
+import sys
 from collections.abc import Callable
 
+# the package lives next to this file; importable however this module is loaded
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
