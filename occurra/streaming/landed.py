@@ -23,16 +23,32 @@ from occurra.session import checkpoint_dir
 ORDER = ["_file", "_block", "_row"]
 
 
-def download_text_schema(extra: tuple[str, ...] = ("classKey",)) -> T.StructType:
-    """All export fields as text (a file stream needs its schema up front)."""
-    return T.StructType([T.StructField(n, T.StringType()) for n in (*DOWNLOAD_FIELDS, *extra)])
+# Header of the landed exports, in file order (the fixture export's layout).
+DEFAULT_HEADER = (*DOWNLOAD_FIELDS, "classKey")
 
 
-def landed_export_stream(spark: SparkSession, landing: str, max_files_per_trigger: int = 64) -> DataFrame:
-    """Tab-separated export files under ``landing`` as an unbounded DataFrame."""
+def download_text_schema(header: tuple[str, ...] = DEFAULT_HEADER) -> T.StructType:
+    """The export header as text columns (a file stream needs its schema up
+    front; CSV columns are matched by position, so give the header in order)."""
+    return T.StructType([T.StructField(n, T.StringType()) for n in header])
+
+
+def landed_export_stream(
+    spark: SparkSession,
+    landing: str,
+    header: tuple[str, ...] = DEFAULT_HEADER,
+    max_files_per_trigger: int = 64,
+) -> DataFrame:
+    """Tab-separated export files under ``landing`` as an unbounded DataFrame.
+
+    ``enforceSchema=false`` makes Spark check each file's header against
+    ``header``: a file with another column order fails instead of being read
+    with shifted columns.
+    """
     return (
-        spark.readStream.schema(download_text_schema())
+        spark.readStream.schema(download_text_schema(header))
         .options(sep="\t", header="true", quote='"', escape='"', encoding="UTF-8",
+                 enforceSchema="false",
                  ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .csv(landing)
@@ -47,6 +63,7 @@ def start_landed_ingest(
     name: str = "landed_exports",
     available_now: bool = True,
     buckets: int = 64,
+    header: tuple[str, ...] = DEFAULT_HEADER,
 ) -> StreamingQuery:
     """Start the stream; each micro-batch is normalised and upserted."""
     ensure_raw_table(spark, raw_table, buckets)
@@ -59,7 +76,7 @@ def start_landed_ingest(
         upsert_into_table(batch.sparkSession, raw_table, normalized, ORDER)
 
     writer = (
-        landed_export_stream(spark, landing)
+        landed_export_stream(spark, landing, header)
         .writeStream.queryName(name)
         .option("checkpointLocation", f"{base.rstrip('/')}/streams/{name}")
         .foreachBatch(upsert_batch)

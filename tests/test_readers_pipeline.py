@@ -193,3 +193,21 @@ def test_search_day_range_prunes_partitions(spark, landed):
     filters = re.findall(r"PartitionFilters: \[[^\]]*\]", plan)
     assert filters and all("day" in f and "2024-01-02" in f for f in filters)
     assert recs.count() == len(landed["by_day"]["2024-01-02"])
+
+
+def test_stream_rejects_other_column_order(spark, scratch):
+    from pyspark.errors import StreamingQueryException
+
+    from occurra.streaming.landed import DEFAULT_HEADER, start_landed_ingest
+
+    landing = os.path.join(scratch, "misordered_landing")
+    os.makedirs(landing)
+    header = list(DEFAULT_HEADER)
+    header[0], header[2] = header[2], header[0]  # eventDate first, gbifID third
+    with open(os.path.join(landing, "export.csv"), "w") as fh:
+        fh.write("\t".join(header) + "\n")
+        fh.write("\t".join("x" for _ in header) + "\n")
+    name = "t_misordered_" + os.path.basename(scratch).replace("-", "_")
+    q = start_landed_ingest(spark, landing, "t_raw.misordered", name=name, buckets=2)
+    with pytest.raises(StreamingQueryException):
+        q.awaitTermination(300)
