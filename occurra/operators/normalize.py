@@ -32,22 +32,32 @@ from occurra.schema import RAW_COLUMNS
 
 
 class _Fields:
-    """SQL text and type of the input's fields; absent fields are NULL."""
+    """SQL text and type of the input's fields; absent fields are NULL.
+
+    Names match case-insensitively (Spark's default resolution), so an export
+    with lower-case headers (``gbifid``, ``eventdate``) is read the same way.
+    """
 
     def __init__(self, df: DataFrame):
         self.types = {f.name: f.dataType for f in df.schema.fields}
+        self._actual = {n.lower(): n for n in self.types}
+
+    def _name(self, name: str) -> str | None:
+        return name if name in self.types else self._actual.get(name.lower())
 
     def __contains__(self, name: str) -> bool:
-        return name in self.types
+        return self._name(name) is not None
 
     def sql(self, name: str) -> str:
-        return ident(name) if name in self.types else "cast(null as string)"
+        actual = self._name(name)
+        return ident(actual) if actual else "cast(null as string)"
 
     def text(self, name: str) -> str:
         return f"cast({self.sql(name)} as string)"
 
     def dtype(self, name: str) -> T.DataType:
-        return self.types.get(name, T.StringType())
+        actual = self._name(name)
+        return self.types[actual] if actual else T.StringType()
 
     def truthy(self, name: str) -> str:
         """The field, NULL when Python would treat it as false."""

@@ -128,3 +128,12 @@ def test_legacy_projection(spark):
     out = sorted(tuple(r) for r in legacy_projection(df).collect())
     d = dt.date(2024, 1, 2)
     assert out == [("1", "A", d, 1.0, 2.0, 3), ("5", "Unknown", d, 1.0, 2.0, 1), ("None", "G", d, 1.0, 2.0, 1)]
+
+
+def test_download_lower_case_headers(spark):
+    rows = spark.createDataFrame(
+        [(7, "2024-01-02", "Sp", 50.5)],
+        "gbifid bigint, eventdate string, species string, decimallatitude double",
+    )
+    r = normalize_download(rows).collect()[0]
+    assert (r["gbif_id"], r["event_date"], r["latitude"], r["key"]) == ("7", dt.date(2024, 1, 2), 50.5, 7)
