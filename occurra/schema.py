@@ -178,13 +178,23 @@ SEARCH_RECORD_SCHEMA = T.StructType(
         T.StructField("media", T.ArrayType(T.StructType([T.StructField("type", S)]))),
     ]
 )
+# Landed pages are read with the coordinate fields as text: JSON numbers come
+# back as their text and quoted values as is, and the normaliser's float rule
+# (X2) parses both, as the source system does.
+_TEXT_NUMBERS = ("decimalLatitude", "decimalLongitude", "coordinateUncertaintyInMeters")
+SEARCH_RECORD_TEXT_SCHEMA = T.StructType(
+    [
+        T.StructField(f.name, S) if f.name in _TEXT_NUMBERS else f
+        for f in SEARCH_RECORD_SCHEMA.fields
+    ]
+)
 SEARCH_PAGE_SCHEMA = T.StructType(
     [
         T.StructField("offset", L),
         T.StructField("limit", L),
         T.StructField("endOfRecords", B),
         T.StructField("count", L),
-        T.StructField("results", T.ArrayType(SEARCH_RECORD_SCHEMA)),
+        T.StructField("results", T.ArrayType(SEARCH_RECORD_TEXT_SCHEMA)),
     ]
 )
 

@@ -96,6 +96,14 @@ def test_search_pages(spark, landed):
     expected = sum(len(v) for v in landed["by_day"].values())
     assert recs.count() == expected  # page after the end ignored
     assert {"_request_day", "_offset", "_pos", "gbifID", "media"} <= set(recs.columns)
+    # coordinates landed as JSON numbers parse to the same doubles
+    from occurra.operators.normalize import normalize_search
+
+    got = {r["gbif_id"]: r["latitude"] for r in normalize_search(recs).collect()}
+    want = {str(rec["gbifID"] or rec["key"]): rec["decimalLatitude"]
+            for items in landed["by_day"].values() for rec in items
+            if (rec["gbifID"] or rec["key"])}
+    assert got == want
 
 
 def test_table_upsert_and_pipeline(spark, landed):
