@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 # str.isspace() holds (all lie below U+3001).
 WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 # ISO date-time accepted by the 'T' branch: date, 'T', hour, optional minute,
-# second and fraction, optional +hh:mm / -hh:mm offset.
+# second and fraction (any length; digits past microseconds are dropped),
+# optional +hh:mm / -hh:mm offset.
 ISO_DATETIME_PATTERN = (
-    r"^\d{4}-\d{2}-\d{2}T\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?([+-]\d{2}:\d{2})?$"
+    r"^\d{4}-\d{2}-\d{2}T\d{2}(:\d{2}(:\d{2}(\.\d+)?)?)?([+-]\d{2}:\d{2})?$"
 )
 # A UTC offset at the end of an ISO date-time.
 ZONE_SUFFIX_PATTERN = r"[+-]\d{2}:\d{2}$"
@@ -82,6 +83,8 @@ def parse_event_date_sql(x: str) -> str:
     s = f"regexp_replace({strip_ws_sql(f'cast({x} as string)')}, 'Z$', '+00:00')"
     iso = f"regexp_replace({s}, {lit_sql(r'T(\d{2})(?=$|[+-])')}, 'T$1:00')"
     iso = f"regexp_replace({iso}, {lit_sql(r'T(\d{2}:\d{2})(?=$|[+-])')}, 'T$1:00')"
+    # fractions past microseconds are truncated, as Python does
+    iso = f"regexp_replace({iso}, {lit_sql(r'(\.\d{6})\d+')}, '$1')"
     head = f"substring({s}, 1, 10)"
     ymd = lit_sql(YMD_PATTERN)
     day = (

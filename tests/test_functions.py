@@ -30,6 +30,8 @@ EVENT_DATES = [
     ("2024-03-15T10:00:00.123456", D(2024, 3, 15)),
     ("\t2024-03-15T01:00:00+02:00\n", D(2024, 3, 14)),
     ("Tuesday", None),
+    ("2024-03-15T10:00:00.1234567", D(2024, 3, 15)),
+    ("2024-03-15T23:59:59.9999999-00:30", D(2024, 3, 16)),
 ]
 
 

@@ -40,7 +40,7 @@ def _date_text(rnd):
     d = rnd.choice(["01", "1", "28", "29", "30", "31", "00", " 5"])
     date = f"{y}-{m}-{d}"
     hh, mm, ss = rnd.choice(["00", "09", "23", "24"]), rnd.choice(["00", "30", "59", "60"]), rnd.choice(["00", "59"])
-    frac = rnd.choice(["", ".1", ".123456"])
+    frac = rnd.choice(["", ".1", ".123456", ".1234567891"])
     tz = rnd.choice(["", "Z", "+02:00", "-05:00", "+00:00"])
     time = rnd.choice([f"{hh}", f"{hh}:{mm}", f"{hh}:{mm}:{ss}", f"{hh}:{mm}:{ss}{frac}"])
     shape = rnd.randrange(8)
