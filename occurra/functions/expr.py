@@ -81,7 +81,12 @@ def parse_event_date_sql(x: str) -> str:
     * Anything else, including impossible days, is NULL.
     """
     s = f"regexp_replace({strip_ws_sql(f'cast({x} as string)')}, 'Z$', '+00:00')"
-    iso = f"regexp_replace({s}, {lit_sql(r'T(\d{2})(?=$|[+-])')}, 'T$1:00')"
+    # ISO variants Python also reads: ',' before the fraction, +hhmm and +hh
+    # offsets; rewritten to the extended form before validation.
+    t = f"regexp_replace({s}, {lit_sql(r'(T[0-9:]+),(\d)')}, '$1.$2')"
+    t = f"regexp_replace({t}, {lit_sql(r'([+-]\d{2})(\d{2})$')}, '$1:$2')"
+    t = f"regexp_replace({t}, {lit_sql(r'([+-]\d{2})$')}, '$1:00')"
+    iso = f"regexp_replace({t}, {lit_sql(r'T(\d{2})(?=$|[+-])')}, 'T$1:00')"
     iso = f"regexp_replace({iso}, {lit_sql(r'T(\d{2}:\d{2})(?=$|[+-])')}, 'T$1:00')"
     # fractions past microseconds are truncated, as Python does
     iso = f"regexp_replace({iso}, {lit_sql(r'(\.\d{6})\d+')}, '$1')"
@@ -101,8 +106,8 @@ def parse_event_date_sql(x: str) -> str:
     naive_day = f"cast(try_cast({iso} as timestamp_ntz) as date)"
     return (
         f"case when {s} is null or {s} = '' then null "
-        f"when contains({s}, 'T') then case when {s} rlike {lit_sql(ISO_DATETIME_PATTERN)} "
-        f"then case when {s} rlike {lit_sql(ZONE_SUFFIX_PATTERN)} then {utc_day} "
+        f"when contains({s}, 'T') then case when {t} rlike {lit_sql(ISO_DATETIME_PATTERN)} "
+        f"then case when {t} rlike {lit_sql(ZONE_SUFFIX_PATTERN)} then {utc_day} "
         f"else {naive_day} end end "
         f"when {head} rlike {ymd} then try_cast({day} as date) end"
     )

@@ -32,6 +32,9 @@ EVENT_DATES = [
     ("Tuesday", None),
     ("2024-03-15T10:00:00.1234567", D(2024, 3, 15)),
     ("2024-03-15T23:59:59.9999999-00:30", D(2024, 3, 16)),
+    ("2024-03-15T22:00:00-0500", D(2024, 3, 16)),
+    ("2024-03-15T22-05", D(2024, 3, 16)),
+    ("2024-03-15T22:00:00,5+0200", D(2024, 3, 15)),
 ]
 
 

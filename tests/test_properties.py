@@ -40,8 +40,8 @@ def _date_text(rnd):
     d = rnd.choice(["01", "1", "28", "29", "30", "31", "00", " 5"])
     date = f"{y}-{m}-{d}"
     hh, mm, ss = rnd.choice(["00", "09", "23", "24"]), rnd.choice(["00", "30", "59", "60"]), rnd.choice(["00", "59"])
-    frac = rnd.choice(["", ".1", ".123456", ".1234567891"])
-    tz = rnd.choice(["", "Z", "+02:00", "-05:00", "+00:00"])
+    frac = rnd.choice(["", ".1", ".123456", ".1234567891", ",5"])
+    tz = rnd.choice(["", "Z", "+02:00", "-05:00", "+00:00", "+0530", "-03"])
     time = rnd.choice([f"{hh}", f"{hh}:{mm}", f"{hh}:{mm}:{ss}", f"{hh}:{mm}:{ss}{frac}"])
     shape = rnd.randrange(8)
     if shape == 0:
@@ -70,6 +70,9 @@ def _supported(text):
     import re
 
     s = s[:-1] + "+00:00" if s.endswith("Z") else s
+    s = re.sub(r"(T[0-9:]+),(\d)", r"\1.\2", s)
+    s = re.sub(r"([+-]\d{2})(\d{2})$", r"\1:\2", s)
+    s = re.sub(r"([+-]\d{2})$", r"\1:00", s)
     return re.fullmatch(X.ISO_DATETIME_PATTERN.replace("\\d", "[0-9]"), s) is not None or _py_event_date(text) is None
 
 
