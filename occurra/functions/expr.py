@@ -83,7 +83,8 @@ def parse_event_date_sql(x: str) -> str:
     s = f"regexp_replace({strip_ws_sql(f'cast({x} as string)')}, 'Z$', '+00:00')"
     # ISO variants Python also reads: ',' before the fraction, +hhmm and +hh
     # offsets; rewritten to the extended form before validation.
-    t = f"regexp_replace({s}, {lit_sql(r'(T[0-9:]+),(\d)')}, '$1.$2')"
+    # (any other comma fails the pattern check either way)
+    t = f"replace({s}, ',', '.')"
     t = f"regexp_replace({t}, {lit_sql(r'([+-]\d{2})(\d{2})$')}, '$1:$2')"
     t = f"regexp_replace({t}, {lit_sql(r'([+-]\d{2})$')}, '$1:00')"
     iso = f"regexp_replace({t}, {lit_sql(r'T(\d{2})(?=$|[+-])')}, 'T$1:00')"
