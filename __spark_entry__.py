@@ -45,6 +45,12 @@ from occurra.sources.predicate import (
     range_predicate,
 )
 
+try:  # the training-data operators are optional
+    import corpus_pipeline
+    from occurra.llm import queries as LLM
+except ImportError:
+    corpus_pipeline = LLM = None
+
 # Fixed parameters of the registered queries.
 AS_OF = dt.date(2024, 1, 30)  # literal "today" for trailing windows
 WINDOW_DAYS = 7
@@ -282,11 +288,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    out = {
         name[2:]: fn
         for name, fn in globals().items()
         if name.startswith("q_") and callable(fn)
     }
+    if LLM is not None:
+        out |= LLM.queries() | {"pipeline": corpus_pipeline.run}
+    return out
 
 
 # ---------------------------------------------------------------------------
@@ -669,7 +678,7 @@ def oracle_sql() -> dict[str, str]:
         "scientific_name, taxon_key, basis_of_record, occurrence_status, country_code, "
         "state_province, dataset_key, ingestion_ts, raw_payload, is_valid_observation"
     )
-    return {
+    out = {
         "scan_raw": f"{_raw_sql()}",
         "stg_observations": _with_models(f"select {stg_cols} from stg"),
         "quality_tag_counts": _with_models(
@@ -805,3 +814,6 @@ def oracle_sql() -> dict[str, str]:
             select * from target where gbif_id not in (select gbif_id from batch)
             union all select * from batch""",
     }
+    if LLM is not None:
+        out |= LLM.oracle_sql()
+    return out
