@@ -26,7 +26,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from occurra.llm.common import small_batches, texts
+from occurra.llm.common import prepare, texts
 from occurra.llm.tokens import byte_chars, default_path
 
 #: Words in the lexicon; bounds what the driver compiles and every worker maps.
@@ -308,7 +308,7 @@ def encode(docs: DataFrame, tokenizer: str | None = None, words: int = LEXICON_W
     length are encoded whole; extra columns are left out.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    prepare(spark)
     path = tokenizer or default_path("word_bpe_49k.json")
     rows = texts(docs)
     lexicon = fit_lexicon(rows, path, words)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from occurra.llm.common import pick, small_batches
+from occurra.llm.common import pick, prepare
 from occurra.llm.tokens import ByteBPE, byte_bpe, default_path
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -82,7 +82,7 @@ def format_chat(turns: DataFrame, tokenizer: str | None = None) -> DataFrame:
     of any length are kept whole; extra columns are left out.
     """
     spark = turns.sparkSession
-    small_batches(spark)
+    prepare(spark)
     path = tokenizer or default_path("byte_bpe_50k.json")
     rows = pick(turns, conv_id="conv_id", turn="turn", role="role", text="text").select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text"

@@ -8,7 +8,9 @@ is a scratch folder chosen.
 from __future__ import annotations
 
 import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +40,26 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the rows of a batch handed to Python (never raises a smaller setting)."""
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once an application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[2]
+    file = Path(tempfile.mkdtemp(prefix="llm-code-")) / "llm_code.zip"
+    with zipfile.ZipFile(file, "w") as z:
+        for p in sorted((root / "occurra").rglob("*.py")):
+            z.write(p, p.relative_to(root))
+    context.addPyFile(str(file))
+    _shipped.add(context.applicationId)
+
+
+def prepare(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Ship the code; bound the rows of a batch handed to Python (never raises a smaller setting)."""
+    ship(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > rows:

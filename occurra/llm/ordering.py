@@ -15,11 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from occurra.llm.common import cut
+from occurra.llm.common import cut, prepare
 
 
 def ordered(df: DataFrame, order: list[str], parts: int | None = None) -> DataFrame:
     """``df`` in global order, kept in the shared folder, with its partition as ``pid``."""
+    prepare(df.sparkSession)
     ranged = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
     return cut(ranged.sortWithinPartitions(*order).withColumn("pid", F.spark_partition_id()))
 

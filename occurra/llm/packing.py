@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from occurra.llm.common import pick, small_batches
+from occurra.llm.common import pick, prepare
 from occurra.llm.tokens import byte_bpe, default_path
 
 END_ID = 1
@@ -164,7 +164,7 @@ def pack(
     """
     if min(tokens, segments, pool) < 1 or (loss is not None and loss < 1):
         raise ValueError("limits must be at least 1")
-    small_batches(items.sparkSession)
+    prepare(items.sparkSession)
     path = tokenizer or default_path("byte_bpe_50k.json")
     most_loss = tokens if loss is None else loss
     wanted = {"doc_id": key, "text": text} | ({"prompt": prompt} if prompt else {})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from occurra.llm import bpe, chat, hilbert, packing, warc
+from occurra.llm import bpe, chat, hilbert, jaccard, packing, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,11 @@ def op5_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component under shingle similarity 0.8."""
+    return jaccard.components(_table(spark, sf_dir, "documents"))
+
+
 def damaged(pages: DataFrame) -> DataFrame:
     """A replica of the pages' archive in which some records are altered, shortened or missing."""
     record, kind = warc.record_bytes(F.col("url"), F.col("html")), F.pmod(F.col("page_id"), F.lit(50))
