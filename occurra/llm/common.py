@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 #: Rows in an Arrow batch; keeps a batch of long documents within a few MB.
 BATCH_ROWS = 500
+BATCH_BYTES = "8m"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -64,6 +65,7 @@ def prepare(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > rows:
         spark.conf.set(key, str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def column(df: DataFrame, name: str):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from occurra.llm import bpe, chat, hilbert, jaccard, packing, warc
+from occurra.llm import bpe, chat, cosine, hilbert, jaccard, packing, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding with its links and component under cosine 0.93 within its label."""
+    return cosine.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 runs of a Hilbert order of source, language and size."""
     out = hilbert.shard(_table(spark, sf_dir, "documents"), 24)
