@@ -25,7 +25,6 @@ data stay in Spark; the sketches that reach the driver have a fixed size.
 from __future__ import annotations
 
 import hashlib
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -35,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from occurra.llm.common import Forest, connected_components, cut, mix64, prepare, texts
+from occurra.llm.wordhash import PIECE, hash_words, long_words
 
 WORDS = 5
 #: Similarity of linked documents, in hundredths.
@@ -42,63 +42,12 @@ PERCENT = 80
 
 CELL_BITS = 20  # cells of the count sketches
 BLOCK_BITS = 14  # cells in one row of a sketch
-PIECE = 2 << 20  # bytes of text hashed at once
 REMEMBERED = 500_000  # classes a task remembers to have written
 RUN = 4096  # sets of one step-1 region in a task
 REGION = 4 << 20  # shingles of one step-2 region in a task
 PIVOTS = 8
 SMALL = 48
-
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_rng = np.random.default_rng(20240229)
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
-_powers: dict[str, np.ndarray] = {}
-
-
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64."""
-    if "up" not in _powers or len(_powers["up"]) < n:
-        size = 1 << int(n).bit_length()
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            p = np.full(size, np.uint64(base))
-            p[0] = 1
-            _powers[name] = np.cumprod(p, dtype=np.uint64)
-    return _powers["up"], _powers["down"]
-
-
-def _hash_words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and start offsets of the words of lower-cased bytes."""
-    arr = np.frombuffer(raw, np.uint8)
-    gap = np.concatenate([[True], _SPACE[arr], [True]])
-    turn = np.flatnonzero(gap[1:] != gap[:-1])
-    starts, ends = turn[::2], turn[1::2]
-    if not len(starts):
-        return np.zeros(0, np.uint64), starts
-    up, down = _power(len(arr) + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[arr] * up[: len(arr)], dtype=np.uint64)])
-    sizes = ends - starts
-    out = mix64((sums[ends] - sums[starts]) * down[starts] + sizes.astype(np.uint64) * _STEP)
-    for i in np.flatnonzero(sizes > 256):  # a polynomial is too weak for very long words
-        out[i] = int.from_bytes(hashlib.blake2b(raw[starts[i] : ends[i]], digest_size=8).digest(), "little")
-    return out, starts
-
-
-def _long_words(raw: bytes) -> np.ndarray:
-    """Word hashes of a text of any length, piece by piece."""
-    got, at = [], 0
-    cutter = re.compile(rb"[\x20\x09-\x0d]")
-    while at < len(raw):
-        end = len(raw)
-        if end - at > PIECE:
-            gap = cutter.search(raw, at + PIECE)
-            end = gap.end() if gap else end
-        got.append(_hash_words(raw[at:end])[0])
-        at = end
-    return np.concatenate(got) if got else np.zeros(0, np.uint64)
-
 
 def _shingles(words: np.ndarray) -> np.ndarray:
     """The sorted distinct shingles of a document's word hashes."""
@@ -122,9 +71,9 @@ def shingle_sets(raws: list[str | None]) -> Iterator[np.ndarray]:
             size += len(lowered[j]) + 1
             j += 1
         if size > PIECE:
-            yield _shingles(_long_words(lowered[i]))
+            yield _shingles(long_words(lowered[i]))
         else:
-            words, starts = _hash_words(b"\n".join(lowered[i:j]))
+            words, starts = hash_words(b"\n".join(lowered[i:j]))
             ends = np.cumsum([len(x) + 1 for x in lowered[i:j]])
             bounds = np.searchsorted(starts, np.concatenate([[0], ends]))
             for a, b in zip(bounds[:-1], bounds[1:]):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from occurra.llm import bpe, chat, cosine, hilbert, jaccard, packing, warc
+from occurra.llm import bpe, chat, cosine, hilbert, jaccard, merkle, packing, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,11 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chat(turns.unionByName(extra)))
 
 
+def op2_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, and how like its edited text and its neighbour it is."""
+    return merkle.compare_with_next(_table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     out = packing.pack(_table(spark, sf_dir, "documents"))
