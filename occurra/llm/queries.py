@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from occurra.llm import bpe, chat, cosine, hilbert, jaccard, merkle, packing, warc
+from occurra.llm import bpe, chat, cosine, hilbert, jaccard, merkle, packing, quality, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,20 @@ def op5_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Scores from which a document counts as toxic, and as good.
+TOXIC, GOOD = 0.7, 0.5
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learned from the labels that aren't held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity.add_score(docs, _table(spark, sf_dir, "labels"))
+    return out.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"),
+    )
+
+
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its component under shingle similarity 0.8."""
     return jaccard.components(_table(spark, sf_dir, "documents"))
@@ -97,6 +111,17 @@ from (select *, cast(coalesce(sum(length) over (partition by file order by recor
 where held is null or sha256(held) <> digest"""
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality from its form and the posteriors of its source and language."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    out = quality.add_quality(docs, _table(spark, sf_dir, "labels"))
+    return out.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("source").alias("host"),
+        F.concat_ws("/", "source", "lang").alias("path"), "evidence", "host_posterior", "path_posterior", "score",
+        (F.col("score") >= GOOD).cast("int").alias("keep"),
+    )
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded with the word-end BPE vocabulary."""
     out = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents")))
