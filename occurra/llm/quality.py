@@ -24,7 +24,7 @@ from occurra.llm import logistic
 from occurra.llm.common import cut, prepare
 from occurra.llm.toxicity import sample_texts
 
-SAMPLE = 4000
+SAMPLE = 8000
 PATH_STRENGTH = 20.0
 #: What a site can move a document's log-odds at most.
 SITE_LIMIT = 2.0

@@ -32,12 +32,12 @@ from occurra.llm import logistic
 from occurra.llm.common import cut, pick, prepare, texts
 
 #: Rows of the training sample: at most about so many of either label.
-SAMPLE = 4000
+SAMPLE = 8000
 #: Entries of the lexicon.
 ENTRIES = 2000
 CONTEXTS = 6  # different words before an entry, in toxic texts
 STEMS = (4, 5, 6)  # lengths of word beginnings that can be entries
-LEAST_WEIGHT = 2.0
+LEAST_WEIGHT = 1.5
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
 # fixed values: closed-class words of English, French, German and Spanish
@@ -183,6 +183,7 @@ def sample_texts(docs: DataFrame, labels: DataFrame, label: str, bound: int) ->
 
     The sample's ids are broadcast: ``bound`` is their proven size.
     """
+    prepare(docs.sparkSession)
     ids = bounded_sample(labels, label, bound)
     rows = texts(docs).join(F.broadcast(ids), "doc_id").where("text is not null")
     return cut(rows.groupBy("text").agg(F.max("y").alias("y"), F.min("half").alias("half")))
@@ -214,10 +215,21 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
     pos, neg = totals.get(1, 0), totals.get(0, 0)
     counted = first.select("text", "y").mapInArrow(_count_features, "entry string, toxic long, clean long")
     counted = counted.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    weight = F.log((F.col("toxic") + 0.5) / (pos + 1)) - F.log((F.col("clean") + 0.5) / (neg + 1))
+    # log-odds of careful bounds: fewer toxic and more clean texts than were counted
+    at_least = F.greatest(F.col("toxic") - 1.5 * F.sqrt("toxic"), F.lit(0.1)) / (pos + 1)
+    at_most = (F.col("clean") + 1.5 * F.sqrt("clean") + 3) / (neg + 4)
+    weight = F.log(at_least) - F.log(at_most)
     likely = counted.where(F.col("toxic") >= CONTEXTS).withColumn("w", weight).where(F.col("w") >= LEAST_WEIGHT)
     # bounded: an entry needs CONTEXTS of the at most ``bound`` texts
-    likely = {r["entry"]: r["w"] for r in likely.orderBy(F.desc("w"), F.desc("toxic"), "entry").limit(20 * ENTRIES).collect()}
+    likely = likely.orderBy(F.desc("w"), F.desc("toxic"), "entry").limit(20 * ENTRIES).collect()
+    found = {r["entry"]: (r["toxic"], r["clean"]) for r in likely}
+    likely = {r["entry"]: r["w"] for r in likely}
+    for e, (toxic, clean) in found.items():
+        # a beginning goes when a longer one or a word has nearly all its toxic texts and fewer clean ones
+        for stem in features(e.rstrip("*")):
+            if stem != e and len(stem) <= len(e) and stem in likely and found[stem][1] > clean:
+                if toxic >= 0.8 * found[stem][0]:
+                    del likely[stem]
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The words before (or, at the start of a text, after) likely entries in toxic texts."""
@@ -234,7 +246,6 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
 
     around = first.where("y = 1").select("text").mapInArrow(contexts, "entry string, before string, after string")
     around = around.groupBy("entry").agg(F.count_distinct("before", "after").alias("n")).where(F.col("n") >= CONTEXTS)
-    # a beginning stands for its words only if it is met in more contexts than any one of them
     kept = {r["entry"]: r["n"] for r in around.collect()}
     best = sorted(kept, key=lambda e: (-likely[e] * np.log1p(kept[e]), e))[:ENTRIES]
     lexicon = {e: float(likely[e]) for e in best}
