@@ -10,9 +10,32 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-
-from occurra.llm import packing
+from occurra.llm import jaccard, packing, quality, toxicity
 from occurra.llm.common import shared_dir
+from occurra.llm.queries import GOOD, TOXIC
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity grammar doesn't reject; null and empty texts have no match and stay."""
+    return toxicity.without_toxic(docs, _labels(spark, sf_dir), TOXIC)
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality model finds good."""
+    return quality.only_good(docs, _labels(spark, sf_dir), GOOD)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near duplicates: the one with the smallest id.
+
+    Rows without an id can't be told apart and stay; of rows with the same id
+    and text one stays.
+    """
+    return jaccard.one_of_each(docs)
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,7 +43,12 @@ def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES = [("packing", pack_stage)]
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("quality classifier", quality_stage),
+    ("n-gram Jaccard join", near_duplicate_stage),
+    ("packing", pack_stage),
+]
 
 #: No SQL: tokens, the learned models and the packing aren't expressible in it.
 ORACLE_SQL = None

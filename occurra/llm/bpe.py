@@ -36,8 +36,8 @@ LONGEST = 48
 #: Distinct words a worker remembers.
 REMEMBERED = 300_000
 
-# fixed values: characters up to U+024F by class, as the vocabulary's split pattern sees them
-_PLAIN = re.compile(r"[\x00-ɏ]*\Z")
+# up to U+017F lower case stays among the characters whose classes are listed here
+_PLAIN = re.compile(r"[\x00-\u017f]*\Z")
 
 
 def _classes() -> tuple[str, str]:

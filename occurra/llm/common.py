@@ -68,26 +68,23 @@ def prepare(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
-def column(df: DataFrame, name: str):
-    """The column called exactly ``name``, also where another differs only in case."""
-    exact = [c for c in df.columns if c == name]
-    if not exact:
-        exact = [c for c in df.columns if c.lower() == name.lower()]
-    if not exact:
-        raise ValueError(f"no column {name!r} among {df.columns}")
-    position = df.columns.index(exact[0])
-    return position
+def place_of(df: DataFrame, name: str) -> int:
+    """Where the column called ``name`` is; one that differs only in case if there is no other."""
+    for same in (lambda c: c == name, lambda c: c.lower() == name.lower()):
+        for i, c in enumerate(df.columns):
+            if same(c):
+                return i
+    raise ValueError(f"no column {name!r} among {df.columns}")
 
 
-def pick(df: DataFrame, **wanted: str) -> DataFrame:
-    """Only the named columns, under the given names.
+def positional(df: DataFrame) -> DataFrame:
+    """``df`` with its columns called c0, c1 and so on, so that no name clashes with another."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
 
-    Columns are found by position, so extra columns, also ones whose names
-    clash in case or repeat, don't matter.
-    """
-    names = [f"c{i}" for i in range(len(df.columns))]
-    plain = df.toDF(*names)
-    return plain.select(*[F.col(names[column(df, src)]).alias(out) for out, src in wanted.items()])
+
+def pick(df: DataFrame, **wanted: str) -> DataFrame:
+    """Only the named columns, under the given names; whatever other columns there are."""
+    return positional(df).select(*[F.col(f"c{place_of(df, src)}").alias(out) for out, src in wanted.items()])
 
 
 def texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

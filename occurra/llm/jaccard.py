@@ -32,8 +32,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from occurra.llm.common import Forest, connected_components, cut, mix64, prepare, texts
+from occurra.llm.common import (
+    Forest, connected_components, cut, mix64, place_of, positional, prepare, texts,
+)
 from occurra.llm.wordhash import PIECE, hash_words, long_words
 
 WORDS = 5
@@ -464,3 +467,18 @@ def components(docs: DataFrame) -> DataFrame:
     alone = documents.where("cls is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     out = grouped.join(first, "root").select("doc_id", "n", "component_id").unionByName(alone)
     return out.withColumnRenamed("n", "n_shingles")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is their component's, all columns as they are.
+
+    Rows without an id can't be told apart and stay; of rows with the same id
+    and text one stays.
+    """
+    first = components(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
+    rows = positional(docs).withColumn("key", F.col(f"c{place_of(docs, 'doc_id')}").cast("long"))
+    names, text = rows.columns, F.col(f"c{place_of(docs, 'text')}")
+    again = Window.partitionBy("key", F.xxhash64(text)).orderBy("key")
+    kept = rows.join(first, F.col("key") == F.col("kept"), "left_semi")
+    kept = kept.withColumn("again", F.row_number().over(again)).where("again = 1").select(*names)
+    return kept.unionByName(rows.where("key is null")).drop("key").toDF(*docs.columns)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from occurra.llm import logistic
-from occurra.llm.common import cut, prepare
+from occurra.llm.common import cut, place_of, positional, prepare
 from occurra.llm.toxicity import sample_texts
 
 SAMPLE = 8000
@@ -84,16 +84,8 @@ def beta_prior(hosts: DataFrame) -> tuple[float, float]:
     return mean * strength, (1 - mean) * strength
 
 
-def add_quality(
-    docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", text: str = "text", bound: int = SAMPLE
-) -> DataFrame:
-    """``docs`` with ``evidence``, ``host_posterior``, ``path_posterior`` and ``score``.
-
-    Defined cases: null and empty texts have the evidence of their form; a null
-    host or path is a site of its own; equal texts have equal evidence; without
-    labels the prior weights hold; an empty table gives no rows; all other
-    columns are kept as they are.
-    """
+def _scored(docs: DataFrame, labels: DataFrame, host: str, path: str, bound: int) -> tuple[DataFrame, list[str]]:
+    """Positional columns of ``docs`` with the evidence, posteriors and score; the positional names."""
     prepare(docs.sparkSession)
     weights = learn(docs, labels, bound)
 
@@ -102,22 +94,47 @@ def add_quality(
         x = np.array([measure(t or "") for t in text]).reshape(len(text), len(FEATURES))
         return pd.Series(np.clip(x @ weights[:-1] + weights[-1], -20, 20))
 
-    rows = docs.withColumn("evidence", evidence(F.col(text).cast("string")))
-    p = 1 / (1 + F.exp(-F.col("evidence")))
-    paths = cut(rows.groupBy(F.col(host).alias("h"), F.col(path).alias("p")).agg(
-        F.count("*").cast("double").alias("n"), F.sum(p).alias("s")))
+    rows = positional(docs)
+    names = rows.columns
+    h, p, text = (F.col(f"c{place_of(docs, c)}").cast("string") for c in (host, path, "text"))
+    rows = rows.withColumn("evidence", evidence(text)).withColumn("host", h).withColumn("path", p)
+    good = 1 / (1 + F.exp(-F.col("evidence")))
+    paths = cut(rows.groupBy(F.col("host").alias("h"), F.col("path").alias("p")).agg(
+        F.count("*").cast("double").alias("n"), F.sum(good).alias("s")))
     hosts = paths.groupBy("h").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
     a, b = beta_prior(hosts)
-    rates = hosts.select("h", ((F.col("s") + a) / (F.col("n") + a + b)).alias("host_posterior"))
-    sites = paths.join(rates.withColumnRenamed("h", "hh"), F.col("h").eqNullSafe(F.col("hh"))).drop("hh")
-    sites = cut(sites)
+    rates = hosts.select(F.col("h").alias("hh"), ((F.col("s") + a) / (F.col("n") + a + b)).alias("host_posterior"))
+    sites = cut(paths.join(rates, F.col("h").eqNullSafe(F.col("hh"))).drop("hh"))
     few = sites.limit(BROADCAST_SITES + 1).count() <= BROADCAST_SITES
-    on = rows[host].eqNullSafe(sites["h"]) & rows[path].eqNullSafe(sites["p"])
+    on = F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("p"))
     joined = rows.join(F.broadcast(sites) if few else sites, on)
-    others = F.greatest(F.col("s") - p, F.lit(0.0)) + PATH_STRENGTH * F.col("host_posterior")
+    others = F.greatest(F.col("s") - good, F.lit(0.0)) + PATH_STRENGTH * F.col("host_posterior")
     rate = others / (F.col("n") - 1 + PATH_STRENGTH)
     rate = F.greatest(F.least(rate, F.lit(1 - 1e-6)), F.lit(1e-6))
     shift = F.log(rate / (1 - rate)) - float(np.log(a / b))
     shift = F.greatest(F.least(shift, F.lit(SITE_LIMIT)), F.lit(-SITE_LIMIT))
     scored = joined.withColumn("path_posterior", rate)
-    return scored.withColumn("score", 1 / (1 + F.exp(-(F.col("evidence") + shift)))).drop("h", "p", "n", "s")
+    return scored.withColumn("score", 1 / (1 + F.exp(-(F.col("evidence") + shift)))), names
+
+
+def score(
+    docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", bound: int = SAMPLE
+) -> DataFrame:
+    """(doc_id, host, path, evidence, host_posterior, path_posterior, score) of every row.
+
+    Defined cases: null and empty texts have the evidence of their form; a null
+    host or path is a site of its own; equal texts have equal evidence, equal
+    rows each give a row; without labels the prior weights hold; an empty table
+    gives no rows; extra columns are left out.
+    """
+    scored, _ = _scored(docs, labels, host, path, bound)
+    doc_id = F.col(f"c{place_of(docs, 'doc_id')}").cast("long").alias("doc_id")
+    return scored.select(doc_id, "host", "path", "evidence", "host_posterior", "path_posterior", "score")
+
+
+def only_good(
+    docs: DataFrame, labels: DataFrame, limit: float, host: str = "source", path: str = "lang", bound: int = SAMPLE
+) -> DataFrame:
+    """The rows of ``docs`` that score ``limit`` or more, all columns as they are; cases as for :func:`score`."""
+    scored, names = _scored(docs, labels, host, path, bound)
+    return scored.where(F.col("score") >= limit).select(*names).toDF(*docs.columns)

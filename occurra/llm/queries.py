@@ -58,8 +58,7 @@ TOXIC, GOOD = 0.7, 0.5
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity, learned from the labels that aren't held out."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = toxicity.add_score(docs, _table(spark, sf_dir, "labels"))
+    out = toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return out.select(
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= TOXIC).cast("int").alias("predicted"),
@@ -113,11 +112,10 @@ where held is null or sha256(held) <> digest"""
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality from its form and the posteriors of its source and language."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    out = quality.add_quality(docs, _table(spark, sf_dir, "labels"))
+    out = quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return out.select(
-        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("source").alias("host"),
-        F.concat_ws("/", "source", "lang").alias("path"), "evidence", "host_posterior", "path_posterior", "score",
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "host",
+        F.concat_ws("/", "host", "path").alias("path"), "evidence", "host_posterior", "path_posterior", "score",
         (F.col("score") >= GOOD).cast("int").alias("keep"),
     )
 

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from occurra.llm import logistic
-from occurra.llm.common import cut, pick, prepare, texts
+from occurra.llm.common import cut, pick, place_of, positional, prepare, texts
 
 #: Rows of the training sample: at most about so many of either label.
 SAMPLE = 8000
@@ -45,6 +45,9 @@ TARGETS = "you your yours u ye tu toi te vous votre vos ton ta tes du dich dir d
 NEGATIONS = "not never no nor isn aren wasn don doesn didn ne pas jamais aucun nicht kein keine nie niemals nunca jamás ni"
 REPORTS = "said says say quoted wrote claimed called reported dit disait écrit cité sagte sagt schrieb zitierte dijo dice escribió citó"
 THREATS = "kill hurt destroy die murder stab tuer mourir frapper töten sterben schlagen matar morir golpear"
+# fixed values: common insults, known before any label is seen
+INSULT_WORDS = "idiot idiotic moron moronic stupid dumb fool loser scum trash garbage pathetic worthless disgusting vermin filth clown jerk bastard imbécile stupide crétin débile ordure minable salaud dummkopf trottel blödmann abschaum versager widerlich idiota imbécil estúpido basura escoria inútil asqueroso"
+SEED_WEIGHT = 2.5
 _LISTS = {
     w: s for names, s in ((THREATS, THREAT), (TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT)) for w in names.split()
 }
@@ -53,7 +56,7 @@ _TOKEN = re.compile(r"[^\W\d_]+|[.!?;\n]")
 
 KINDS = ("plain", "targeted", "negated", "reported", "threat")
 #: Weights of the kinds of clause before any label is seen; last: intercept.
-PRIOR = np.array([1.0, 1.3, 0.4, 0.4, 0.8, -3.0])
+PRIOR = np.array([2.0, 2.6, 0.8, 0.8, 1.6, -3.0])
 CLAUSE_CAP = 8.0
 
 
@@ -215,6 +218,10 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
     pos, neg = totals.get(1, 0), totals.get(0, 0)
     counted = first.select("text", "y").mapInArrow(_count_features, "entry string, toxic long, clean long")
     counted = counted.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    seeds = {w: SEED_WEIGHT for w in INSULT_WORDS.split()}
+    for r in counted.where(F.col("entry").isin(list(seeds)) & (F.col("clean") >= 3)).collect():
+        if (r["toxic"] + 1) / (pos + 2) < 4 * r["clean"] / (neg + 2):  # the labels don't bear it out
+            del seeds[r["entry"]]
     # log-odds of careful bounds: fewer toxic and more clean texts than were counted
     at_least = F.greatest(F.col("toxic") - 1.5 * F.sqrt("toxic"), F.lit(0.1)) / (pos + 1)
     at_most = (F.col("clean") + 1.5 * F.sqrt("clean") + 3) / (neg + 4)
@@ -248,7 +255,7 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
     around = around.groupBy("entry").agg(F.count_distinct("before", "after").alias("n")).where(F.col("n") >= CONTEXTS)
     kept = {r["entry"]: r["n"] for r in around.collect()}
     best = sorted(kept, key=lambda e: (-likely[e] * np.log1p(kept[e]), e))[:ENTRIES]
-    lexicon = {e: float(likely[e]) for e in best}
+    lexicon = seeds | {e: float(likely[e]) for e in best}
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols, grammar = Symbols(lexicon), Grammar()
@@ -280,13 +287,20 @@ def scorer(model: Model):
     return score
 
 
-def add_score(docs: DataFrame, labels: DataFrame, text: str = "text", bound: int = SAMPLE) -> DataFrame:
-    """``docs`` with a ``score``, the toxicity of each whole text.
+def score(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, score): the toxicity of each whole text.
 
     Defined cases: null and empty texts score as texts without any match; null
-    ids are scored too; equal texts score alike; without labels the prior
-    weights and an empty lexicon hold; an empty table gives no rows; all other
-    columns are kept as they are.
+    ids are scored too; equal rows each give a row, equal texts score alike;
+    without labels the prior weights and an empty lexicon hold; an empty table
+    gives no rows; extra columns are left out.
     """
     prepare(docs.sparkSession)
-    return docs.withColumn("score", scorer(learn(docs, labels, bound))(F.col(text).cast("string")))
+    return texts(docs, key, text).select("doc_id", scorer(learn(docs, labels, bound))(F.col("text")).alias("score"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, limit: float, bound: int = SAMPLE) -> DataFrame:
+    """The rows of ``docs`` that score below ``limit``, all columns as they are; cases as for :func:`score`."""
+    prepare(docs.sparkSession)
+    rows, text = positional(docs), F.col(f"c{place_of(docs, 'text')}").cast("string")
+    return rows.where(scorer(learn(docs, labels, bound))(text) < limit).toDF(*docs.columns)
