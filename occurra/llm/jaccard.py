@@ -46,6 +46,7 @@ PERCENT = 80
 CELL_BITS = 20  # cells of the count sketches
 BLOCK_BITS = 14  # cells in one row of a sketch
 REMEMBERED = 500_000  # classes a task remembers to have written
+LONG = 1 << 20  # rows of a region that a task waits for
 RUN = 4096  # sets of one step-1 region in a task
 REGION = 4 << 20  # shingles of one step-2 region in a task
 PIVOTS = 8
@@ -99,10 +100,13 @@ def prefix(s: np.ndarray, crowded: np.ndarray) -> np.ndarray:
 
 
 def profile(s: np.ndarray) -> np.ndarray:
-    """How many shingles lie in each of K subspaces; K a power of two of an eighth of n at least."""
-    k = 1 << max(5, min(12, int(np.ceil(np.log2(max(1, len(s) / 8))))))
+    """How many shingles lie in each of K subspaces; K a power of two of an eighth of n at least.
+
+    Empty, and then no window at all, if a subspace holds more than 255.
+    """
+    k = 1 << max(5, min(14, int(np.ceil(np.log2(max(1, len(s) / 8))))))
     counts = np.bincount((s & np.uint64(k - 1)).astype(np.int64), minlength=k)
-    return np.minimum(counts, 65535).astype("<u2")
+    return counts.astype(np.uint8) if counts.max() < 256 else np.zeros(0, np.uint8)
 
 
 # -- count sketches -------------------------------------------------------------------------
@@ -194,61 +198,95 @@ def _post(crowded: bytes):
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (h, cls), without repeats, those whose ``h`` has two classes at least."""
-    held_h = held_c = np.zeros(0, np.int64)  # the last row, and whether its h has had another
-    held_many = False
+    """Of rows sorted by (h, cls): (run, cls) for every ``h`` with two classes at least.
+
+    ``run`` is a hash of the set of classes, so regions of the same sets, as
+    near copies and shared passages make them by the dozen, become one.  A run
+    too long to wait for its end keeps a hash of its ``h``.
+    """
+    held_h, held_c = np.zeros(0, np.int64), np.zeros(0, np.int64)  # the last run, or its last row
+    long = False  # the last run's rows before are written already
+
+    def out(run, c):
+        return pa.record_batch([pa.array(run.view(np.int64)), pa.array(c)], names=["run", "cls"])
+
+    def alone(h):
+        return mix64(mix64(h.view(np.uint64)) + _STEP)
+
     for batch in batches:
-        if not batch.num_rows:
-            continue
         h = np.concatenate([held_h, batch.column(0).to_numpy()])
         c = np.concatenate([held_c, batch.column(1).to_numpy()])
+        if not len(h):
+            continue
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
         h, c = h[new], c[new]
-        same = h[1:] == h[:-1]
-        keep = np.zeros(len(h), bool)
-        keep[1:] |= same
-        keep[:-1] |= same
-        if held_many:
-            keep[0] = True
-        out = slice(0, len(h) - 1)
-        yield pa.record_batch([pa.array(h[out][keep[out]]), pa.array(c[out][keep[out]])], names=["h", "cls"])
-        held_many = bool(keep[-1])
-        held_h, held_c = h[-1:], c[-1:]
-    if held_many:
-        yield pa.record_batch([pa.array(held_h), pa.array(held_c)], names=["h", "cls"])
+        starts = np.concatenate([[0], np.flatnonzero(h[1:] != h[:-1]) + 1])
+        last = starts[-1]
+        if last:  # all runs but the last are complete
+            sizes = np.diff(starts)
+            sums = np.add.reduceat(mix64(c[:last].view(np.uint64)), starts[:-1])
+            runs = mix64(sums + sizes.astype(np.uint64) * _STEP)
+            keep = sizes > 1
+            if long:
+                runs[0], keep[0] = alone(h[:1])[0], True
+            rows = np.repeat(keep, sizes)
+            yield out(np.repeat(runs, sizes)[rows], c[:last][rows])
+            long = False
+        held_h, held_c = h[last:], c[last:]
+        if len(held_h) > LONG:
+            yield out(alone(held_h[:-1]), held_c[:-1])
+            held_h, held_c, long = held_h[-1:], held_c[-1:], True
+    if long:
+        yield out(alone(held_h), held_c)
+    elif len(held_h) > 1:
+        total = np.add.reduce(mix64(held_c.view(np.uint64)), dtype=np.uint64)
+        run = mix64(np.array([total]) + np.uint64(len(held_c)) * _STEP)
+        yield out(np.repeat(run, len(held_c)), held_c)
 
 
 # -- step 2: windows of the pivot table -----------------------------------------------------
 
 
-def _fold(v: np.ndarray, k: int) -> np.ndarray:
-    return v if len(v) == k else v.reshape(-1, k).sum(axis=0)
+def _gaps(rows: np.ndarray, mine: np.ndarray) -> np.ndarray:
+    """Sums of the differences of profiles, those of more subspaces folded; 0 without a profile."""
+    k = min(rows.shape[1], len(mine))
+    if not k:
+        return np.zeros(len(rows), np.int64)
+    folded = rows.reshape(len(rows), -1, k).sum(axis=1, dtype=np.int32)
+    return np.abs(folded - mine.reshape(-1, k).sum(axis=0, dtype=np.int32)).sum(axis=1)
 
 
 def _window(forest: Forest, cls: list[int], n: np.ndarray, profiles: list[bytes]) -> Iterator[tuple[int, int]]:
     """Links that hold a region's neighbours together, unless the forest has them."""
-    if len({forest.root(c) for c in cls}) == 1:
-        return
+    roots: dict[int, int] = {}
     order = np.argsort(n, kind="stable")
     n, cls = n[order], [cls[i] for i in order]
-    vecs = [np.frombuffer(profiles[i], "<u2").astype(np.int32) for i in order]
+    part = np.array([roots.setdefault(forest.root(c), len(roots)) for c in cls])
+    if len(roots) == 1:
+        return
+    vecs = [np.frombuffer(profiles[i], np.uint8) for i in order]
     upper = np.searchsorted(n, n * 100 // PERCENT, side="right")
+    widths = np.array([len(v) for v in vecs])
+    tables = {k: (np.flatnonzero(widths == k), np.stack([v for v in vecs if len(v) == k])) for k in set(widths.tolist())}
     for i in range(len(cls)):
-        k, mine = len(vecs[i]), forest.root(cls[i])
-        rest = [j for j in range(i + 1, int(upper[i])) if forest.root(cls[j]) != mine]
-        if not rest:
-            continue
-        near = np.abs(np.stack([_fold(vecs[j], k) for j in rest]) - vecs[i]).sum(axis=1)
-        # within the radius the symmetric difference is at most (1-t)/(1+t) of both sizes
-        for j in np.asarray(rest)[near * (100 + PERCENT) <= (n[rest] + n[i]) * (100 - PERCENT)]:
-            if forest.root(cls[j]) != forest.root(cls[i]):
-                forest.join(cls[i], cls[j])
-                yield cls[i], cls[j]
+        for at, rows in tables.values():
+            lo, hi = np.searchsorted(at, [i + 1, upper[i]])
+            rest = np.flatnonzero(part[at[lo:hi]] != part[i]) + lo
+            if not len(rest):
+                continue
+            near = _gaps(rows[rest], vecs[i])
+            rest = at[rest]
+            # within the radius the symmetric difference is at most (1-t)/(1+t) of both sizes
+            for j in rest[near * (100 + PERCENT) <= (n[rest] + n[i]) * (100 - PERCENT)].tolist():
+                if part[j] != part[i]:
+                    forest.join(cls[i], cls[j])
+                    part[part == part[j]] = part[i]
+                    yield cls[i], cls[j]
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (h, a, b): links between the neighbours of every region."""
+    """Rows sorted by (run, a, b): links between the neighbours of every region."""
     forest, now, rows = Forest(), None, []
 
     def flush():
@@ -258,10 +296,10 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         links = []
-        for h, a, b, *row in zip(*(batch.column(i).to_pylist() for i in range(6))):
-            if (h, a, b) != now:
+        for run, a, b, *row in zip(*(batch.column(i).to_pylist() for i in range(6))):
+            if (run, a, b) != now:
                 links += flush()
-                now, rows = (h, a, b), []
+                now, rows = (run, a, b), []
             rows.append(row)
         if len(forest.up) > REMEMBERED:
             forest = Forest()
@@ -436,16 +474,17 @@ def components(docs: DataFrame) -> DataFrame:
     documents = signed.where("block is null").select("doc_id", "n", "cls")
 
     posts = rows.select("text").mapInArrow(_post(np.packbits(marks).tobytes()), "h long, cls long")
-    shared = cut(posts.repartition("h").sortWithinPartitions("h", "cls").mapInArrow(_shared, "h long, cls long"))
+    runs = posts.repartition("h").sortWithinPartitions("h", "cls").mapInArrow(_shared, "run long, cls long")
+    shared = cut(runs.distinct())
     classes = signed.where("cls is not null").groupBy("cls").agg(
         F.first("n").alias("n"), F.first("profile").alias("profile")
     )
-    long_runs = shared.groupBy("h").count().where(F.col("count") > RUN).select(
-        "h", F.ceil(F.col("count") / RUN).cast("int").alias("tiles")
+    long_runs = shared.groupBy("run").count().where(F.col("count") > RUN).select(
+        "run", F.ceil(F.col("count") / RUN).cast("int").alias("tiles")
     )
-    runs = _tiled(shared, long_runs, "h").select("h", "a", "b", "cls").join(classes, "cls")
-    runs = runs.select("h", "a", "b", "cls", "n", "profile").repartition("h", "a", "b")
-    near = runs.sortWithinPartitions("h", "a", "b").mapInArrow(_neighbours, "u long, v long")
+    runs = _tiled(shared, long_runs, "run").select("run", "a", "b", "cls").join(classes, "cls")
+    runs = runs.select("run", "a", "b", "cls", "n", "profile").repartition("run", "a", "b")
+    near = runs.sortWithinPartitions("run", "a", "b").mapInArrow(_neighbours, "u long, v long")
     regions = cut(connected_components(near).toDF("cls", "region"))
 
     wanted = regions.join(

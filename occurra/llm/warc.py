@@ -86,7 +86,7 @@ def audit(first: DataFrame, second: DataFrame, fanout: int = FANOUT) -> DataFram
     return bad.select("node", none("digest"), none("other_digest"))
 
 
-def fixity(replica: DataFrame) -> DataFrame:
+def fixity(replica: DataFrame, fanout: int = FANOUT) -> DataFrame:
     """Where a replica of an archive of pages is damaged.
 
     ``replica`` is (page_id, url, html, copy); ``copy`` is the record that the
@@ -109,6 +109,7 @@ def fixity(replica: DataFrame) -> DataFrame:
     found = audit(
         placed.select(F.col("record").alias("node"), "digest"),
         placed.select(F.col("record").alias("node"), F.col("copy_digest").alias("digest")),
+        fanout,
     )
     damage = (
         F.when(F.col("other_digest").isNull(), "missing")
