@@ -3,7 +3,8 @@
 Every query reads the driver's parquet tables under ``sf_dir`` (only
 ``events`` is relevant to this pipeline) and derives its input with the
 projections in ``occurra.sources.fixture``.  The oracle SQL recomputes the same
-result in DuckDB from the same ``events`` view, written independently in SQL.
+result in DuckDB from the same ``events`` view; column names, their order and
+the formulas of the models are fixed values that both sides have to state.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
+import tempfile
+import uuid
 from collections.abc import Callable
 
 # the package lives next to this file; importable however this module is loaded
@@ -29,14 +32,19 @@ from occurra.operators import upsert as UP
 from occurra.operators.normalize import legacy_projection, normalize_download, normalize_search
 from occurra.operators.staging import quality_tag_counts
 from occurra.plans.models import Models, build_models
+from occurra.plans.pipeline import IngestConfig, filter_export
+from occurra.plans.tables import compact, ensure_raw_table, read_raw, upsert_into_table
 from occurra.schema import RAW_COLUMNS
 from occurra.sources.fixture import (
     events_as_download_rows,
     events_as_raw,
     events_as_search_records,
+    json_object_sql,
     read_events,
+    search_record_json,
     upsert_inputs,
 )
+from occurra.sources.readers import read_download_export, read_search_pages
 from occurra.sources.predicate import (
     CLASS_KEY,
     COUNTRY,
@@ -59,6 +67,7 @@ TOP_SPECIES_LIMIT = 20
 ACTIVITY_LIMIT = 50
 GEO_LIMIT = 1000
 
+HISTORICAL = (dt.date(2024, 1, 5), dt.date(2024, 1, 20))
 CAP_PER_DAY = 50
 INCREMENTAL_DEFAULT_START = dt.date(2024, 1, 1)
 LOOKBACK_DAYS = 2
@@ -210,7 +219,15 @@ def q_normalize_download(spark, sf_dir):
 
 def q_normalize_search(spark, sf_dir):
     records = events_as_search_records(read_events(spark, sf_dir))
-    return normalize_search(records).drop(*VOLATILE, "raw_payload")
+    return normalize_search(records).drop(*VOLATILE)
+
+
+def q_historical_load(spark, sf_dir):
+    """Range filter and normalising of an export with lower-case headers; undated rows stay."""
+    rows = events_as_download_rows(read_events(spark, sf_dir)).drop("_row")
+    lower = rows.toDF(*[c.lower() for c in rows.columns])
+    config = IngestConfig()
+    return normalize_download(filter_export(lower, *HISTORICAL, config)).drop(*VOLATILE, "raw_payload")
 
 
 def q_legacy_projection(spark, sf_dir):
@@ -247,6 +264,67 @@ def q_cap_per_day(spark, sf_dir):
     return UP.cap_per_group(arrivals, ["request_day"], ["key"], CAP_PER_DAY)
 
 
+# --- the raw store and the readers over landed files --------------------------
+def _scratch(spark) -> str:
+    """A new folder below the shared checkpoint folder (a local one where none is set)."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return f"{(configured or tempfile.mkdtemp(prefix='occurra-')).rstrip('/')}/occurra-{uuid.uuid4().hex}"
+
+
+def q_upsert_table_state(spark, sf_dir):
+    """K1 / K2: two overlapping loads, a compaction between, read back through the view."""
+    target, batch = upsert_inputs(read_events(spark, sf_dir))
+    database = f"occurra_{uuid.uuid4().hex}"
+    spark.sql(f"create database {database} location '{_scratch(spark)}'")
+    table = f"{database}.observations"
+    ensure_raw_table(spark, table)
+    upsert_into_table(spark, table, target, ["key"])
+    compact(spark, table)
+    upsert_into_table(spark, table, batch, ["_seq", "key"])
+    return read_raw(spark, table)
+
+
+def q_read_tsv_parts(spark, sf_dir):
+    """The export landed as several text parts beside metadata, read back."""
+    root = _scratch(spark)
+    rows = events_as_download_rows(read_events(spark, sf_dir)).drop("_row")
+    keep = {"sep": "\t", "header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    rows.repartition(3).write.options(**keep).csv(f"{root}/occurrence")
+    rows.limit(5).write.options(**keep).csv(f"{root}/rights")  # by its name no data
+    return normalize_download(read_download_export(spark, root)).drop(*VOLATILE, "raw_payload")
+
+
+def q_read_parquet_shards(spark, sf_dir):
+    """The export landed as Parquet shards beside metadata, read back."""
+    root = _scratch(spark)
+    rows = events_as_download_rows(read_events(spark, sf_dir)).drop("_row")
+    rows.repartition(3).write.parquet(f"{root}/occurrence.parquet")
+    rows.limit(5).write.parquet(f"{root}/metadata")
+    landed = read_download_export(spark, root, prefer_parquet=True)
+    return normalize_download(landed).drop(*VOLATILE)
+
+
+def q_read_search_pages(spark, sf_dir):
+    """All records landed as pages by day, with a page after each day's end, read back."""
+    root = _scratch(spark)
+    records = search_record_json(read_events(spark, sf_dir))
+    paged = records.selectExpr("_record", "_row", "_request_day as day", "_row div 40 as page").groupBy("day", "page").agg(
+        F.expr("array_join(transform(array_sort(collect_list(struct(_row, _record))), x -> x._record), ', ')").alias("r")
+    )
+    ends = paged.groupBy("day").agg(F.max("page").alias("last"))
+    pages = paged.join(ends, "day").selectExpr(
+        "day", "explode(case when page = last then array(0, 1) else array(0) end) as after", "page", "last", "r"
+    )
+    text = pages.selectExpr(
+        "day",
+        "concat('{\"offset\": ', cast(page * 40 + after as string), ', \"limit\": 40, \"endOfRecords\": ', "
+        "case when page = last then 'true' else 'false' end, ', \"results\": [', r, ']}') as value",
+    )
+    text.write.partitionBy("day").text(root)
+    landed = read_search_pages(spark, root, multi_line=False)
+    return normalize_search(landed).drop(*VOLATILE)
+
+
 # --- incremental -------------------------------------------------------------
 def q_max_event_date(spark, sf_dir):
     return INC.max_event_date(_models(spark, sf_dir).raw)
@@ -265,9 +343,7 @@ def q_calendar_days(spark, sf_dir):
 def q_incremental_run(spark, sf_dir):
     """I2-I4 + K2: re-read [max - lookback, as_of] and upsert it into the table."""
     raw = _models(spark, sf_dir).raw
-    target = raw.filter(
-        f"key % 2 = 0 and (event_date is null or event_date <= date '{TARGET_LOADED_UNTIL}')"
-    )
+    target = raw.filter(f"event_date is null or event_date <= date '{TARGET_LOADED_UNTIL}'")
     start = INC.first_value(
         INC.incremental_start(target, INCREMENTAL_DEFAULT_START, LOOKBACK_DAYS), "start_date"
     )
@@ -649,11 +725,52 @@ def _search_expected_sql() -> str:
       'Chordata' as phylum, 'Animalia' as kingdom,
       case event_id % 4 when 0 then '["COUNTRY_COORDINATE_MISMATCH", "RECORDED_DATE_INVALID"]'
            when 1 then '[]' when 2 then null else '["TAXON_MATCH_FUZZY"]' end as issues_json,
-      case event_id % 3 when 0 then 2 else 0 end as media_count
+      case event_id % 3 when 0 then 2 else 0 end as media_count,
+      {_search_record_sql()} as raw_payload
     from events
     where event_id % 82 <> 0"""
 
 
+def _search_record_sql() -> str:
+    """A search record's JSON text, which is its payload."""
+    whole = "cast(cast(floor(value) as integer) as varchar)"
+    return json_object_sql([
+        ("gbifID", "text", "case when event_id % 41 = 0 then null else cast(event_id as varchar) end"),
+        ("key", "number", "case when event_id % 82 = 0 then null else event_id end"),
+        ("eventDate", "text", _DATE_TEXT),
+        ("species", "text", "case when event_id % 23 = 0 then null when event_id % 31 = 0 then '' "
+                            "when event_id % 47 = 0 then '  ' else event_type end"),
+        ("genus", "text", "case when event_id % 37 = 0 then null else event_type || 'idae' end"),
+        ("family", "text", "'Turdidae'"), ("order", "text", "'Passeriformes'"), ("class", "text", "'Aves'"),
+        ("phylum", "text", "'Chordata'"), ("kingdom", "text", "'Animalia'"),
+        ("scientificName", "text", _SCI), ("taxonRank", "text", "'SPECIES'"),
+        ("basisOfRecord", "text", "'HUMAN_OBSERVATION'"), ("occurrenceStatus", "text", "'PRESENT'"),
+        ("individualCount", "json",
+         f"""case event_id % 6 when 0 then cast(cast(floor(value) as integer) - 5 as varchar)
+             when 1 then '"' || {whole} || '.9"' when 2 then 'null' when 3 then '"many"'
+             when 4 then {whole} || case when event_id % 12 = 4 then '.9' else '.0' end
+             else '" ' || {whole} || ' "' end"""),
+        ("decimalLatitude", "number", f"case when event_id % 17 = 0 then null else {_LAT} end"),
+        ("decimalLongitude", "number", f"case when event_id % 19 = 0 then null else {_LON} end"),
+        ("coordinateUncertaintyInMeters", "number", "value"), ("countryCode", "text", "'BE'"),
+        ("stateProvince", "text", "case when user_id % 2 = 0 then 'Flanders' else 'Wallonia' end"),
+        ("datasetKey", "text", "'ds-' || cast(user_id % 5 as varchar)"), ("publishingOrgKey", "text", "'org-1'"),
+        ("taxonKey", "number", "case when event_id % 7 = 0 then null else user_id end"),
+        ("issues", "json", """case event_id % 4 when 0 then '["COUNTRY_COORDINATE_MISMATCH", "RECORDED_DATE_INVALID"]'
+             when 1 then '[]' when 3 then '["TAXON_MATCH_FUZZY"]' else 'null' end"""),
+        ("media", "json", """case event_id % 3 when 0 then '[{"type": "StillImage", "identifier": "https://example.org/'
+             || cast(event_id as varchar) || '"}, {"type": "StillImage"}]' when 1 then '[]' else 'null' end"""),
+        ("recordedBy", "text", "'observer ' || cast(user_id as varchar)"),
+        ("extensions", "json", """'{"depth": [' || cast(event_id % 5 as varchar) || ', null]}'"""),
+    ])
+
+
+def _tsv_expected_sql() -> str:
+    """As the export, but empty text reads as NULL from a text file."""
+    empty = ", ".join(f"nullif({c}, '') as {c}" for c in ("event_date_raw", "genus"))
+    return f"select * replace ({empty}) from ({_download_expected_sql()})"
+
+
 _RAW_COLS = ", ".join(f'"{n}"' for n, _ in RAW_COLUMNS)
 
 
@@ -662,7 +779,7 @@ def _upsert_inputs_sql() -> str:
     target as (select * from raw where key % 2 = 0),
     batch as (
       select * replace (individual_count + 1 as individual_count), 0 as _seq
-      from raw where key % 3 = 0
+      from raw where key % 2 = 1 or key % 3 = 0
       union all
       select * replace (individual_count + 2 as individual_count), 1 as _seq
       from raw where key % 9 = 0),
@@ -757,6 +874,16 @@ def oracle_sql() -> dict[str, str]:
         "dq_report": _with_models(_report_rows(_report_all_rows())),
         "normalize_download": f"select * exclude (_e) from ({_download_expected_sql()})",
         "normalize_search": f"select * from ({_search_expected_sql()})",
+        "historical_load": f"""
+            select * exclude (_e, raw_payload) from ({_download_expected_sql()})
+            where country_code = 'BE' and _e % 9 <> 0 and coalesce(event_date between
+              date '{HISTORICAL[0]}' and date '{HISTORICAL[1]}', true)""",
+        "read_tsv_parts": f"select * exclude (_e, raw_payload) from ({_tsv_expected_sql()})",
+        "read_parquet_shards": f"select * exclude (_e) from ({_download_expected_sql()})",
+        "read_search_pages": f"select * from ({_search_expected_sql()})",
+        "upsert_table_state": f"""with {_upsert_inputs_sql()}
+            select * from target where gbif_id not in (select gbif_id from latest)
+            union all select {_RAW_COLS} from latest""",
         "legacy_projection": f"""
             select case when event_id % 41 = 0 then 'None' else cast(event_id as varchar) end
                      as gbif_id,
@@ -802,8 +929,8 @@ def oracle_sql() -> dict[str, str]:
             where lo is not null""",
         "incremental_run": f"""
             with raw as ({_raw_sql()}),
-            target as (select * from raw where key % 2 = 0
-                       and (event_date is null or event_date <= date '{TARGET_LOADED_UNTIL}')),
+            target as (select * from raw
+                       where event_date is null or event_date <= date '{TARGET_LOADED_UNTIL}'),
             st as (select coalesce(greatest(max(event_date) - {LOOKBACK_DAYS},
                                             date '{INCREMENTAL_DEFAULT_START}'),
                                    date '{INCREMENTAL_DEFAULT_START}') as start_date

@@ -3,8 +3,8 @@
 Each rule is written once as SQL expression text (``*_sql`` builders taking
 the SQL text of their input) and exposed as a ``Column`` through
 ``F.expr``.  The text form keeps plan construction to one JVM parse per
-column; the expressions themselves are built-ins (regex guards plus
-``try_cast``) that run inside whole-stage codegen, with no Python worker.
+column; the expressions are built-ins (regex guards plus ``try_cast``) that
+run on the JVM, with no Python worker.
 
 Regexes guard every cast because Spark's casts accept text the source system
 rejects (``'5d'`` as a double, ``'2024-03'`` as a date) and vice versa.
@@ -156,8 +156,20 @@ def coerce_int_double_sql(x: str, default: int | None = None, target: str = "big
     return out if default is None else f"coalesce({out}, cast({int(default)} as {target}))"
 
 
-def count_from_search_sql(x: str) -> str:
-    """``int(x)`` for the search path; missing or non-integer text -> 1."""
+def count_from_search_sql(x: str, json_type: str | None = None) -> str:
+    """``int(x)`` for the search path; missing or non-integer text -> 1.
+
+    With ``json_type`` (SQL of the value's JSON type) a JSON number truncates
+    toward zero and a boolean counts 1 or 0, however they are written.
+    """
+    if json_type is not None:
+        whole = f"try_cast({x} as int)"
+        number = _trunc_double_sql(f"try_cast({x} as double)", "int")
+        return (
+            f"case when {json_type} = 'BOOLEAN' then cast({x} = 'true' as int) "
+            f"when {json_type} = 'STRING' or {json_type} is null then {count_from_search_sql(x)} "
+            f"when {json_type} = 'VOID' then 1 else coalesce({whole}, {number}, 1) end"
+        )
     s = strip_ws_sql(f"cast({x} as string)")
     return (
         f"coalesce(case when {s} rlike {lit_sql(INT_PATTERN)} "

@@ -193,13 +193,16 @@ def normalize_search(
     Rules: id = first truthy of gbifID / key as text, not stripped (blank ->
     row dropped); species = first truthy of species / genus, else 'Unknown';
     count via X4; coordinates via X2; key / taxon key unchanged; issues list
-    serialised as is; media_count = length of the media list (0 when absent).
+    serialised as is; media_count = length of the media list (0 when absent);
+    the payload is the whole record where its text is at hand (``_record``).
     """
     f = _Fields(records)
     internal = set(carry) | {c for c in f.types if c.startswith("_")}
     derived = {name: "null" for name, _ in RAW_COLUMNS}
     derived.update({src_to: f.text(src) for src_to, src in _PASS_THROUGH.items()})
-    if isinstance(f.dtype("individualCount"), T.IntegralType):
+    if "_count_type" in f.types:
+        count = count_from_search_sql(f.sql("individualCount"), "_count_type")
+    elif isinstance(f.dtype("individualCount"), T.IntegralType):
         count = f"coalesce(try_cast({f.sql('individualCount')} as int), 1)"
     elif isinstance(f.dtype("individualCount"), T.NumericType):
         count = coerce_int_double_sql(f.sql("individualCount"), 1, "int")
@@ -228,7 +231,7 @@ def normalize_search(
                 else "0"
             ),
             "ingestion_ts": _ingestion_ts_sql(ingestion_ts),
-            "raw_payload": f.payload(sorted(internal)),
+            "raw_payload": "_record" if "_record" in f.types else f.payload(sorted(internal)),
         }
     )
     return _assemble(records, derived, carry)
@@ -244,7 +247,9 @@ def legacy_projection(records: DataFrame, carry: Sequence[str] = ()) -> DataFram
     f = _Fields(records)
     day = parse_event_date_sql(f.sql("eventDate"))
     lat, lon = f.as_double("decimalLatitude"), f.as_double("decimalLongitude")
-    if isinstance(f.dtype("individualCount"), T.NumericType):
+    if "_count_type" in f.types:
+        count = f"cast({count_from_search_sql(f.sql('individualCount'), '_count_type')} as bigint)"
+    elif isinstance(f.dtype("individualCount"), T.NumericType):
         count = f"coalesce({f.as_int('individualCount', None, 'bigint')}, 1)"
     else:
         count = f"cast({count_from_search_sql(f.sql('individualCount'))} as bigint)"
@@ -258,8 +263,3 @@ def legacy_projection(records: DataFrame, carry: Sequence[str] = ()) -> DataFram
         *[ident(c) for c in carry],
     )
     return projected.filter("latitude is not null and longitude is not null and `date` is not null")
-
-
-def drop_missing_id(df: DataFrame, column: str = "gbif_id") -> DataFrame:
-    """drop records whose id is NULL or blank."""
-    return df.filter(f"{ident(column)} is not null and {ident(column)} != ''")

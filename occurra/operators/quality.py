@@ -175,40 +175,55 @@ def _row_sql(chk: Check, count_sql: str) -> str:
     )
 
 
+def _as_row_check(chk: Check) -> Check:
+    """An accepted-values check as a test of each row (NULL is not flagged)."""
+    values = ", ".join(_sql_value(v) for v in chk.values)
+    return Check(chk.name, chk.table, "row", chk.columns, f"not (`{chk.columns[0]}` in ({values}))", severity=chk.severity)
+
+
+def _one_pass(df: DataFrame, rows: list[Check], keyed: list[Check]) -> DataFrame:
+    """Counts of the row checks and of one key check over a single scan.
+
+    With a key check the row checks are counted per key first, so the table is
+    read and shuffled once, by partial aggregation.
+    """
+    counts = [f"count_if({c.fails}) as c{i}" for i, c in enumerate(rows)]
+    if keyed:
+        (key,) = keyed
+        # a single unique column ignores NULL, a combination doesn't
+        real = f"`{key.columns[0]}` is not null" if key.kind == "unique" else "true"
+        per_key = df.groupBy(*[F.col(c) for c in key.columns]).agg(
+            *[F.expr(c) for c in counts], F.expr("count(1) as n")
+        ).selectExpr(*[f"c{i}" for i in range(len(rows))], f"n > 1 and {real} as again")
+        total = per_key.selectExpr(*[f"sum(c{i}) as c{i}" for i in range(len(rows))], "count_if(again) as k")
+    else:
+        total = df.selectExpr(*counts)
+    made = [_row_sql(c, f"coalesce(c{i}, 0)") for i, c in enumerate(rows)] + [_row_sql(c, "k") for c in keyed]
+    return total.selectExpr(f"inline(array({', '.join(made)}))")
+
+
 def dq_report(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Q10: one row per check with its failing-row count.
 
-    Row-level checks of one table share a single aggregate pass.
+    A table's row checks and its first key check share one pass.
     """
     parts: list[DataFrame] = []
-    by_table: dict[str, list[Check]] = {}
-    for chk in checks:
-        if chk.kind == "accepted":
-            # per-row test (NULL is not flagged): counted in the table's pass
-            values = ", ".join(_sql_value(v) for v in chk.values)
-            chk = Check(chk.name, chk.table, "row", chk.columns,
-                        f"not (`{chk.columns[0]}` in ({values}))", severity=chk.severity)
-        if chk.kind == "row":
-            by_table.setdefault(chk.table, []).append(chk)
-    for table, row_checks in by_table.items():
-        counts = tables[table].selectExpr(
-            *[f"count_if({c.fails}) as c{i}" for i, c in enumerate(row_checks)]
-        )
-        rows = ", ".join(_row_sql(c, f"c{i}") for i, c in enumerate(row_checks))
-        parts.append(counts.selectExpr(f"inline(array({rows}))"))
-    for chk in checks:
-        df = tables[chk.table]
-        if chk.kind in ("row", "accepted"):
-            continue
-        if chk.kind == "unique":
-            failing = check_unique(df, chk.columns[0])
-        elif chk.kind == "combination":
-            failing = check_unique_combination(df, chk.columns)
-        elif chk.kind == "relationship":
-            failing = check_relationship(df, chk.columns[0], tables[chk.parent], chk.parent_column)
-        else:
-            raise ValueError(f"unknown check kind {chk.kind!r}")
-        parts.append(failing.selectExpr(f"inline(array({_row_sql(chk, 'count(1)')}))"))
+    checks = [_as_row_check(c) if c.kind == "accepted" else c for c in checks]
+    for table in dict.fromkeys(c.table for c in checks):
+        own = [c for c in checks if c.table == table]
+        rows = [c for c in own if c.kind == "row"]
+        keyed = [c for c in own if c.kind in ("unique", "combination")]
+        if rows or keyed:
+            parts.append(_one_pass(tables[table], rows, keyed[:1]))
+        parts += [_one_pass(tables[table], [], [c]) for c in keyed[1:]]
+        for chk in own:
+            if chk.kind == "relationship":
+                failing = check_relationship(
+                    tables[table], chk.columns[0], tables[chk.parent], chk.parent_column
+                )
+                parts.append(failing.selectExpr(f"inline(array({_row_sql(chk, 'count(1)')}))"))
+            elif chk not in rows and chk not in keyed:
+                raise ValueError(f"unknown check kind {chk.kind!r}")
     report = parts[0]
     for p in parts[1:]:
         report = report.unionByName(p)

@@ -1,7 +1,7 @@
 """Serving queries over the marts: top species, activity window, daily trend,
 geo density and the one-row data summary.
 
-Top-k results use ``orderBy(...).limit(k)`` with k bounded by a clamp, which
+Top-k results use ``orderBy(...).limit(k)``, which
 Spark plans as ``TakeOrderedAndProject``: every partition keeps its own k best
 rows and only those reach the final merge.  Ties at the cut are broken by the
 group keys so that the k rows are deterministic.
@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 from occurra.functions.expr import portable_round_sql
 
 
-def clamp(value: int, low: int, high: int) -> int:
-    return max(low, min(int(value), high))
+def _positive(name: str, value: int) -> int:
+    if int(value) < 1:
+        raise ValueError(f"{name} must be at least 1, not {value}")
+    return int(value)
 
 
 def _date_lit(as_of: dt.date | str | None) -> Column:
@@ -50,7 +52,7 @@ def top_species(
     row-level join would.  ``dedupe_names=True`` keeps one name per id (the one
     with most records, ties to the greatest name) and removes the fan-out.
     """
-    limit = clamp(limit, 1, 200)
+    limit = _positive("limit", limit)
     per_species = fct.groupBy("species_id").agg(
         *[F.expr(f"cast(sum({src}) as bigint) as {out}") for src, out in measures]
     )
@@ -112,23 +114,12 @@ def daily_trend(
 ) -> DataFrame:
     """Daily totals, optionally in a trailing window.
 
-    ``days`` is clamped to [7, 3650]; the window keeps dates on or after
-    ``as_of - days`` (future dates pass).  ``as_of`` defaults to today.
+    The window keeps dates on or after ``as_of - days`` (future dates pass).  ``as_of`` defaults to today.
     """
     if days is not None:
-        days = clamp(days, 7, 3650)
+        days = _positive("days", days)
         fct = fct.filter(F.col("observation_date") >= F.date_sub(_date_lit(as_of), days))
-    return sort_small(_daily_totals(fct), "observation_date")
-
-
-def sort_small(df: DataFrame, *cols: str) -> DataFrame:
-    """Total order for a result with a calendar-sized bound (one row per day).
-
-    The rows are gathered into one partition by a tiny shuffle and sorted
-    there, which skips the sampling job a range-partitioned ``orderBy`` runs.
-    Use only where the row count is bounded by the calendar, not by the data.
-    """
-    return df.repartition(1).sortWithinPartitions(*cols)
+    return _daily_totals(fct).orderBy("observation_date")
 
 
 def last_n_days_rows(daily: DataFrame, n: int = 20) -> DataFrame:

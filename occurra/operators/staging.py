@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from occurra.functions.expr import ident, lit_sql
+from occurra.schema import COLUMN_COMMENTS
+
 # (staging name, raw source column, type) in output order.
 CASTS = [
     ("gbif_id", "gbif_id", "string"),
@@ -76,7 +79,12 @@ def build_staging(raw: DataFrame) -> DataFrame:
 def staging_view_sql(view: str, raw_table: str) -> str:
     """K5: the staging model as a persistent catalog view over the raw table."""
     items = ",\n  ".join(staging_columns_sql())
-    return f"create or replace view {view} as select\n  {items}\nfrom {raw_table}"
+    names = [c for c, _, _ in CASTS] + ["is_valid_observation"]
+    named = ", ".join(
+        ident(n) + (f" comment {lit_sql(COLUMN_COMMENTS[n])}" if n in COLUMN_COMMENTS else "") for n in names
+    )
+    about = lit_sql("Typed and cleaned occurrence records; all rows, flagged where unusable for the marts.")
+    return f"create or replace view {view} ({named}) comment {about} as select\n  {items}\nfrom {raw_table}"
 
 
 def quality_tag_counts(stg: DataFrame) -> DataFrame:

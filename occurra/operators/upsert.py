@@ -70,6 +70,10 @@ def cap_per_group(
     """
     if cap < 1:
         raise ValueError("cap must be >= 1")
+    # Spark plans the partial limit below the shuffle up to this rank
+    threshold = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(df.sparkSession.conf.get(threshold)) < cap:
+        df.sparkSession.conf.set(threshold, str(cap))
     grp = ", ".join(ident(c) for c in group)
     ordering = ", ".join(ident(c) for c in order)
     salted = df.selectExpr("*", f"pmod(spark_partition_id(), {int(salt_buckets)}) as _salt")

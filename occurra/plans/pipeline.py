@@ -17,14 +17,15 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from occurra.functions.expr import parse_event_date_sql
+from occurra.functions.expr import ident, parse_event_date_sql
 from occurra.operators import incremental as INC
 from occurra.operators import quality as Q
 from occurra.operators.normalize import normalize_download, normalize_search
 from occurra.operators.upsert import cap_per_group, observe_ingest
 from occurra.plans.models import Models, build_models
-from occurra.plans.tables import ensure_raw_table, materialize, read_raw, upsert_into_table
+from occurra.plans.tables import compact, ensure_raw_table, materialize, read_raw, upsert_into_table
 from occurra.sources.predicate import (
     CLASS_KEY,
     COUNTRY,
@@ -41,13 +42,13 @@ class IngestConfig:
 
     country: str = "BE"
     class_key: int = 212
-    max_per_day: int = 10_000
+    max_per_day: int | None = None  # first rows kept of a day; None keeps all
     prefer_parquet: bool = False
     raw_table: str = "raw.gbif_observations_raw"
     mart_database: str = "mart_bird_data"
     default_start: dt.date = dt.date(2025, 1, 1)
     lookback_days: int = 2
-    buckets: int = 64
+    compact_after: int = 32  # loads after which the raw store is compacted
 
 
 @dataclass
@@ -56,39 +57,54 @@ class IngestStats:
     rows_upsert_attempted: int
 
 
-# Landed export columns used by the range predicate.
-DOWNLOAD_PREDICATE_COLUMNS = {
-    CLASS_KEY: ("classKey", "string"),
-    COUNTRY: ("countryCode", "string"),
-    EVENT_DATE: (parse_event_date_sql("eventDate"), "date"),
-}
+DOWNLOAD_MODES = ("download",)
+SEARCH_MODES = ("search", "api", "day")
+
+
+def filter_export(rows: DataFrame, start: dt.date, end: dt.date, config: IngestConfig) -> DataFrame:
+    """F2 / F3 on export rows: class, country and day.
+
+    Columns are found whatever their case.  A part of the predicate whose
+    column the export doesn't have was applied at the source.  The range
+    rejects days outside it; rows whose date can't be parsed stay.
+    """
+    actual = {c.lower(): c for c in rows.columns}
+    tree = range_predicate(config.country, config.class_key, start, end)
+    mapping, wanted = {}, {CLASS_KEY: "classKey", COUNTRY: "countryCode"}
+    for key, name in wanted.items():
+        if name.lower() in actual:
+            mapping[key] = (ident(actual[name.lower()]), "string")
+    days = None
+    if "eventdate" in actual:
+        days = parse_event_date_sql(ident(actual["eventdate"]))
+        mapping[EVENT_DATE] = (days, "date")
+    parts = [p for p in tree["predicates"] if p["key"] in mapping]
+    fixed = {**tree, "predicates": [p for p in parts if p["key"] != EVENT_DATE]}
+    dated = {**tree, "predicates": [p for p in parts if p["key"] == EVENT_DATE]}
+    rows = rows.filter(predicate_to_column(fixed, mapping))
+    if days is None:
+        return rows
+    return rows.filter(F.coalesce(predicate_to_column(dated, mapping), F.lit(True)))
 
 
 def download_rows_in_range(
     spark: SparkSession, root: str, start: dt.date, end: dt.date, config: IngestConfig
 ) -> DataFrame:
-    """Download path: export rows -> range predicate -> P2 normalised rows.
-
-    Exports without a ``classKey`` column were already filtered by class at
-    the source, so only the country and date parts apply to them.
-    """
+    """Download path: export rows -> range predicate -> P2 normalised rows."""
     rows = read_download_export(spark, root, config.prefer_parquet)
-    tree = range_predicate(config.country, config.class_key, start, end)
-    if "classKey" not in rows.columns:
-        tree = {**tree, "predicates": [p for p in tree["predicates"] if p["key"] != CLASS_KEY]}
-    if "countryCode" not in rows.columns:
-        tree = {**tree, "predicates": [p for p in tree["predicates"] if p["key"] != COUNTRY]}
-    hits = rows.filter(predicate_to_column(tree, DOWNLOAD_PREDICATE_COLUMNS))
+    hits = filter_export(rows, start, end, config)
     return normalize_download(arrival_order(hits), carry=("_file", "_block", "_row"))
 
 
 def search_rows_in_range(
     spark: SparkSession, root: str, start: dt.date, end: dt.date, config: IngestConfig
 ) -> DataFrame:
-    """Search path: pages of the requested days -> P1 -> first N per day."""
+    """Search path: pages of the requested days -> P1 (-> first N per day, W2)."""
     records = read_search_pages(spark, root)
     records = INC.in_date_range(records, "_request_day", start, end)
     normalized = normalize_search(records, carry=("_request_day", "_offset", "_pos"))
+    if config.max_per_day is None:
+        return normalized
     return cap_per_group(
         normalized, ["_request_day"], ["_offset", "_pos"], config.max_per_day
     )
@@ -101,9 +117,11 @@ def ingest(
     config: IngestConfig,
 ) -> IngestStats:
     """Observe statistics while upserting the normalised rows into the raw table."""
-    ensure_raw_table(spark, config.raw_table, config.buckets)
+    ensure_raw_table(spark, config.raw_table)
     observed, obs = observe_ingest(normalized)
-    upsert_into_table(spark, config.raw_table, observed, order)
+    load = upsert_into_table(spark, config.raw_table, observed, order)
+    if load is not None and load % config.compact_after == 0:
+        compact(spark, config.raw_table)
     metrics = obs.get
     return IngestStats(int(metrics.get("rows_processed", 0)), int(metrics.get("rows_upsert_attempted", 0)))
 
@@ -136,7 +154,7 @@ def run_incremental(
     """
     config = config or IngestConfig()
     today = today or dt.date.today()
-    ensure_raw_table(spark, config.raw_table, config.buckets)
+    ensure_raw_table(spark, config.raw_table)
     start = INC.first_value(
         INC.incremental_start(
             read_raw(spark, config.raw_table), config.default_start, config.lookback_days
@@ -150,13 +168,13 @@ def run_incremental(
 
 def _run(spark, source_root, mode, start, end, config) -> IngestStats:
     mode = mode.strip().lower()
-    if mode == "download":
+    if mode in DOWNLOAD_MODES:
         rows = download_rows_in_range(spark, source_root, start, end, config)
         return ingest(spark, rows, ["_file", "_block", "_row"], config)
-    if mode in ("search", "api", "day"):
+    if mode in SEARCH_MODES:
         rows = search_rows_in_range(spark, source_root, start, end, config)
         return ingest(spark, rows, ["_request_day", "_offset", "_pos"], config)
-    raise ValueError(f"Unknown mode {mode!r}. Use 'download' or 'search'.")
+    raise ValueError(f"mode {mode!r} is none of {DOWNLOAD_MODES + SEARCH_MODES}")
 
 
 def build_and_check(
@@ -164,14 +182,14 @@ def build_and_check(
     raw: DataFrame,
     config: IngestConfig | None = None,
     fail_on: tuple[str, ...] = ("error",),
-    count_check_severity: str = "warn",
+    count_check_severity: str = "error",
     raw_table: str | None = None,
 ) -> tuple[Models, list[dict]]:
     """Q10: staging checks, then marts (materialised), then mart checks.
 
     Raises ``QualityGateError`` when a check of a gating severity fails.  The
-    staging count check is ``warn`` by default because the staging model keeps
-    negative counts (flagged invalid) that the declared check rejects.
+    staging model keeps negative counts (flagged invalid) that the declared count
+    check rejects; ``count_check_severity="warn"`` lets such loads pass.
     ``raw_table`` (the catalog name of ``raw``) makes staging a persistent view.
     """
     config = config or IngestConfig()

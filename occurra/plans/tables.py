@@ -1,22 +1,19 @@
 """Catalog tables: the raw store (K1 / K2) and the materialised models (K5-K7).
 
-Raw store layout: a Parquet table partitioned by ``bucket = pmod(xxhash64(
-gbif_id), N)``.  The bucket depends on the key only, so a record whose event
-date changes never moves, and an upsert rewrites only the buckets its batch
-touches:
-
-1. de-duplicate the batch (last arrival wins) and tag each row's bucket;
-2. read the touched buckets of the table (the touched-bucket list is at most
-   N rows, so broadcasting it is bounded; dynamic partition pruning skips
-   the other buckets at the scan);
-3. anti-join on the key and append the batch;
-4. cut lineage with a reliable ``checkpoint()`` in ``spark.checkpoint.dir``
-   (the table cannot be overwritten while the plan still reads it);
-5. ``insertInto(overwrite=True)`` with dynamic partition overwrite replaces
-   exactly the touched buckets.
-
-If a step fails, Spark re-runs lost tasks from lineage or the checkpoint; the
-overwrite is committed per job, so a failed run leaves the old buckets.
+The raw store ``<table>`` is a view over plain Parquet tables:
+
+* ``<table>__snap_<n>``  one complete snapshot, a row per key;
+* ``<table>__loads``     the batches since, partitioned by ``load_id``.
+
+An upsert writes its de-duplicated batch once, as a new load, and then replaces
+the view so that it includes the load.  Nothing that is stored already is read
+or rewritten, so a small batch costs what the batch costs.  The view is the
+snapshot without the loads' keys, and the newest load's row of every key; its
+join is sized at run time.  Which snapshot and loads count is written in the
+view's properties, so a run that stops before the view is replaced leaves the
+old state, and its files are never read.  ``compact`` writes the current state
+as the next snapshot and switches the view to it; ``drop_unused`` then removes
+what no view refers to.  There is one writer at a time.
 """
 
 from __future__ import annotations
@@ -26,34 +23,77 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from occurra.functions.expr import ident, lit_sql
 from occurra.operators.staging import staging_view_sql
 from occurra.operators.upsert import dedupe_last
-from occurra.schema import COLUMN_COMMENTS, LEGACY_SCHEMA, RAW_COLUMNS, RAW_KEY, TABLE_COMMENTS
-from occurra.session import checkpoint_dir
+from occurra.schema import (
+    COLUMN_COMMENTS, LEGACY_SCHEMA, RAW_COLUMNS, RAW_KEY, TABLE_COMMENTS,
+)
 
-BUCKET = "bucket"
-DEFAULT_BUCKETS = 64
+LOAD = "load_id"
+_SNAPSHOT, _LOADS = "occurra.snapshot", "occurra.loads"
 
 
-def bucket_sql(key: str = RAW_KEY, buckets: int = DEFAULT_BUCKETS) -> str:
-    return f"cast(pmod(xxhash64(`{key}`), {int(buckets)}) as int)"
-
-
-def ensure_raw_table(spark: SparkSession, table: str, buckets: int = DEFAULT_BUCKETS) -> None:
-    """K1: create the database and the 28-column raw table if missing."""
+def _create_database(spark: SparkSession, table: str) -> None:
     if "." in table:
         spark.sql(f"create database if not exists {table.split('.')[0]}")
-    cols = ",\n  ".join(f"`{n}` {t.simpleString()}" for n, t in RAW_COLUMNS)
-    spark.sql(
-        f"create table if not exists {table} (\n  {cols},\n  `{BUCKET}` int\n) "
-        f"using parquet partitioned by (`{BUCKET}`) "
-        f"tblproperties ('occurra.buckets' = '{int(buckets)}')"
+
+
+def _columns_sql(comments: bool = True) -> str:
+    return ",\n  ".join(
+        f"{ident(n)} {t.simpleString()}"
+        + (f" comment {lit_sql(COLUMN_COMMENTS[n])}" if comments and n in COLUMN_COMMENTS else "")
+        for n, t in RAW_COLUMNS
     )
 
 
-def table_buckets(spark: SparkSession, table: str) -> int:
+def _state(spark: SparkSession, table: str) -> tuple[int, list[int]]:
+    """The snapshot's number and the committed loads that the view stands for."""
     props = {r["key"]: r["value"] for r in spark.sql(f"show tblproperties {table}").collect()}
-    return int(props.get("occurra.buckets", DEFAULT_BUCKETS))
+    if _SNAPSHOT not in props:
+        raise ValueError(f"{table} is not a raw store")
+    return int(props[_SNAPSHOT]), [int(x) for x in props[_LOADS].split(",") if x]
+
+
+def _set_state(spark: SparkSession, table: str, snapshot: int, loads: list[int], key: str = RAW_KEY) -> None:
+    """Point the view at a snapshot and loads; one catalog operation."""
+    cols, k = ", ".join(ident(n) for n, _ in RAW_COLUMNS), ident(key)
+    named = ", ".join(
+        ident(n) + (f" comment {lit_sql(COLUMN_COMMENTS[n])}" if n in COLUMN_COMMENTS else "") for n, _ in RAW_COLUMNS
+    )
+    body = f"select {cols} from {table}__snap_{snapshot}"
+    if loads:
+        part = f"{table}__loads where {LOAD} in ({', '.join(map(str, loads))})"
+        body = (
+            f"select {', '.join(f's.{ident(n)}' for n, _ in RAW_COLUMNS)} from {table}__snap_{snapshot} s "
+            f"left anti join (select {k} from {part}) l on s.{k} <=> l.{k} union all "
+            f"select {cols} from (select *, row_number() over (partition by {k} order by {LOAD} desc) as _rn "
+            f"from {part}) where _rn = 1"
+        )
+    spark.sql(
+        f"create or replace view {table} ({named}) "
+        f"tblproperties ('{_SNAPSHOT}' = '{snapshot}', '{_LOADS}' = '{','.join(map(str, loads))}') as {body}"
+    )
+
+
+def ensure_raw_table(spark: SparkSession, table: str) -> None:
+    """K1: create the database and the empty raw store if missing."""
+    _create_database(spark, table)
+    if spark.catalog.tableExists(table):
+        _state(spark, table)
+        return
+    spark.sql(f"create table if not exists {table}__snap_0 (\n  {_columns_sql()}\n) using parquet")
+    spark.sql(
+        f"create table if not exists {table}__loads (\n  {_columns_sql()},\n  {LOAD} bigint\n) "
+        f"using parquet partitioned by ({LOAD})"
+    )
+    _set_state(spark, table, 0, [])
+
+
+def _load_ids(spark: SparkSession, table: str) -> list[int]:
+    """All loads on disk, also those of runs that never committed."""
+    rows = spark.sql(f"show partitions {table}__loads").collect()
+    return [int(r[0].split("=")[1]) for r in rows]
 
 
 def upsert_into_table(
@@ -62,34 +102,67 @@ def upsert_into_table(
     batch: DataFrame,
     order: Sequence[str],
     key: str = RAW_KEY,
-) -> None:
-    """K2: insert-or-replace ``batch`` (raw columns + order columns) into ``table``."""
-    buckets = table_buckets(spark, table)
-    raw_cols = [n for n, _ in RAW_COLUMNS]
-    latest = dedupe_last(batch, key, list(order)).selectExpr(
-        *[f"`{c}`" for c in raw_cols], f"{bucket_sql(key, buckets)} as `{BUCKET}`"
+) -> int | None:
+    """K2: insert-or-replace ``batch`` (raw columns + order columns) into ``table``.
+
+    Returns the id of the new load, or ``None`` for an empty batch, which
+    changes nothing.  The batch is read once and nothing stored is rewritten.
+    """
+    snapshot, loads = _state(spark, table)
+    load = max([0, *loads, *_load_ids(spark, table)]) + 1
+    latest = dedupe_last(batch, key, list(order)).select(
+        *[F.col(ident(n)) for n, _ in RAW_COLUMNS], F.lit(load).cast("bigint").alias(LOAD)
     )
-    touched = latest.select(BUCKET).distinct()  # at most `buckets` rows
-    current = spark.table(table).join(F.broadcast(touched), BUCKET, "left_semi")
-    kept = current.join(latest.select(key, BUCKET), [key, BUCKET], "left_anti")
-    merged = kept.unionByName(latest)
-    checkpoint_dir(spark)
-    merged = merged.checkpoint(eager=True)
-    merged.select(*raw_cols, BUCKET).write.insertInto(table, overwrite=True)
+    # an append to a partition of its own: neither overwrite mode nor other loads matter
+    latest.write.insertInto(f"{table}__loads", overwrite=False)
+    if spark.table(f"{table}__loads").filter(F.col(LOAD) == load).limit(1).count() == 0:
+        return None
+    _set_state(spark, table, snapshot, [*loads, load], key)
+    return load
+
+
+def compact(spark: SparkSession, table: str, key: str = RAW_KEY) -> int:
+    """Write the current state as the next snapshot and switch the view to it."""
+    snapshot, loads = _state(spark, table)
+    if not loads:
+        return snapshot
+    new = snapshot + 1
+    name = f"{table}__snap_{new}"
+    spark.sql(f"drop table if exists {name}")  # left by a run that stopped before its switch
+    spark.sql(f"create table {name} (\n  {_columns_sql()}\n) using parquet")
+    spark.table(table).write.insertInto(name, overwrite=False)
+    _set_state(spark, table, new, [], key)
+    return new
+
+
+def drop_unused(spark: SparkSession, table: str) -> None:
+    """Remove snapshots and loads that the view no longer stands for.
+
+    Only when no reader still runs on an earlier state.
+    """
+    snapshot, loads = _state(spark, table)
+    for load in _load_ids(spark, table):
+        if load not in loads:
+            spark.sql(f"alter table {table}__loads drop if exists partition ({LOAD} = {load})")
+    database, _, name = table.rpartition(".")
+    pattern = f"{name}__snap_*"
+    shown = spark.sql(f"show tables {'in ' + database if database else ''} like '{pattern}'").collect()
+    for row in shown:
+        if row["tableName"] != f"{name}__snap_{snapshot}".lower():
+            spark.sql(f"drop table {database + '.' if database else ''}{row['tableName']}")
 
 
 def create_staging_view(spark: SparkSession, raw_table: str, view: str) -> DataFrame:
     """K5: (re)create the staging model as a persistent view over the raw
     table; readers of the view always see the current raw table."""
-    if "." in view:
-        spark.sql(f"create database if not exists {view.split('.')[0]}")
+    _create_database(spark, view)
     spark.sql(staging_view_sql(view, raw_table))
     return spark.table(view)
 
 
 def read_raw(spark: SparkSession, table: str) -> DataFrame:
-    """The raw table without the storage bucket column."""
-    return spark.table(table).drop(BUCKET)
+    """The current state of the raw store."""
+    return spark.table(table)
 
 
 def materialize(
@@ -121,23 +194,20 @@ def materialize(
         names["stg"] = "stg_belgian_birds"
     for short, df in (("dim", models.dim), ("fct", models.fct)):
         df.write.mode("overwrite").saveAsTable(names[short])
-        name = names[short].split(".")[-1]
-        comment = TABLE_COMMENTS.get(name)
+        comment = TABLE_COMMENTS.get(names[short].split(".")[-1])
         if comment:
-            spark.sql(f"comment on table {names[short]} is '{comment}'")
+            spark.sql(f"comment on table {names[short]} is {lit_sql(comment)}")
         for col in df.columns:
             if col in COLUMN_COMMENTS:
-                text = COLUMN_COMMENTS[col].replace("'", "\\'")
-                spark.sql(f"alter table {names[short]} alter column `{col}` comment '{text}'")
+                spark.sql(f"alter table {names[short]} alter column {ident(col)} comment {lit_sql(COLUMN_COMMENTS[col])}")
     return names
 
 
 def append_legacy(spark: SparkSession, table: str, rows: DataFrame) -> None:
     """K4: append the 6-column legacy projection (no upsert: a rerun appends
     the same rows again, as the append-only source sink does)."""
-    if "." in table:
-        spark.sql(f"create database if not exists {table.split('.')[0]}")
+    _create_database(spark, table)
     if not spark.catalog.tableExists(table):
         spark.createDataFrame([], LEGACY_SCHEMA).write.saveAsTable(table)
-    cols = [f"cast(`{f.name}` as {f.dataType.simpleString()}) as `{f.name}`" for f in LEGACY_SCHEMA.fields]
+    cols = [f"cast({ident(f.name)} as {f.dataType.simpleString()}) as {ident(f.name)}" for f in LEGACY_SCHEMA.fields]
     rows.selectExpr(*cols).write.insertInto(table)

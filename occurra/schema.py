@@ -14,10 +14,6 @@ from pyspark.sql import types as T
 RAW_SCHEMA_NAME = "raw"
 STAGING_SCHEMA_NAME = "stg_bird_data"
 MART_SCHEMA_NAME = "mart_bird_data"
-RAW_TABLE = f"{RAW_SCHEMA_NAME}.gbif_observations_raw"
-STAGING_VIEW = f"{STAGING_SCHEMA_NAME}.stg_belgian_birds"
-FACT_TABLE = f"{MART_SCHEMA_NAME}.fct_daily_species_observations"
-DIM_TABLE = f"{MART_SCHEMA_NAME}.dim_species"
 
 S, D, I, L, DB, TS, B = (
     T.StringType(),
@@ -67,43 +63,6 @@ RAW_SCHEMA = T.StructType(
 )
 RAW_KEY = "gbif_id"
 
-# Staging (16 columns), dimension (7) and daily fact (6).
-STAGING_COLUMNS: list[tuple[str, T.DataType]] = [
-    ("gbif_id", S),
-    ("species_name", S),
-    ("observation_date", D),
-    ("latitude", DB),
-    ("longitude", DB),
-    ("individual_count", I),
-    ("scientific_name", S),
-    ("taxon_key", L),
-    ("basis_of_record", S),
-    ("occurrence_status", S),
-    ("country_code", S),
-    ("state_province", S),
-    ("dataset_key", S),
-    ("ingestion_ts", TS),
-    ("raw_payload", S),
-    ("is_valid_observation", B),
-]
-DIM_COLUMNS = [
-    "species_id",
-    "taxon_key",
-    "species_name",
-    "scientific_name",
-    "first_observed_date",
-    "last_observed_date",
-    "total_observation_records",
-]
-FACT_COLUMNS = [
-    "observation_date",
-    "species_id",
-    "observation_records",
-    "individuals_observed",
-    "centroid_latitude",
-    "centroid_longitude",
-]
-
 # Legacy append-only table: 6 columns, REQUIRED except the count.
 LEGACY_SCHEMA = T.StructType(
     [
@@ -188,48 +147,65 @@ SEARCH_RECORD_TEXT_SCHEMA = T.StructType(
         for f in SEARCH_RECORD_SCHEMA.fields
     ]
 )
+# A page's envelope; every record stays the JSON text that it is.
 SEARCH_PAGE_SCHEMA = T.StructType(
     [
         T.StructField("offset", L),
         T.StructField("limit", L),
         T.StructField("endOfRecords", B),
         T.StructField("count", L),
-        T.StructField("results", T.ArrayType(SEARCH_RECORD_TEXT_SCHEMA)),
+        T.StructField("results", T.ArrayType(S)),
     ]
 )
 
 # ---------------------------------------------------------------------------
-# Column descriptions persisted as comments (fixed values, shortened).
+# Descriptions stored in the catalog.
 # ---------------------------------------------------------------------------
 TABLE_COMMENTS = {
-    "stg_belgian_birds": "Standardized staging for occurrence records; keeps all rows, "
-    "is_valid_observation flags rows usable by the marts.",
-    "dim_species": "Species dimension from valid, dated staging rows.",
-    "fct_daily_species_observations": "One row per (observation_date, species_id) "
-    "for valid georeferenced observations with a known date.",
+    "dim_species": "A row per species key, taxon key and name among valid, dated observations.",
+    "fct_daily_species_observations": "A row per day and species among valid, dated observations.",
 }
 COLUMN_COMMENTS = {
-    "gbif_id": "Identifier of one occurrence record.",
-    "species_name": "Cleaned species value with Unknown fallback.",
-    "observation_date": "Date from raw event_date; null when no parseable date.",
-    "individual_count": "Number of individuals observed (1 when missing).",
-    "is_valid_observation": "True only when both coordinates are non-null, within WGS84 "
-    "bounds, and individual_count >= 0.",
-    "species_id": "taxon_key as text when available, otherwise species_name.",
-    "total_observation_records": "Count of valid staging rows for this species.",
-    "observation_records": "Occurrence rows aggregated into this day and species.",
-    "individuals_observed": "Sum of individual_count for that day and species.",
-    "centroid_latitude": "Mean latitude of included occurrences.",
-    "centroid_longitude": "Mean longitude of included occurrences.",
+    # raw store
+    "gbif_id": "Key of an occurrence record.",
+    "event_date": "Day of the event, if its text could be parsed.",
+    "event_date_raw": "The event date as the source wrote it.",
+    "species": "Species name, else genus, else Unknown.",
+    "scientific_name": "Scientific name, with its author where the source gives one.",
+    "taxon_rank": "Rank of the identified taxon.",
+    "basis_of_record": "Kind of evidence for the record, such as HUMAN_OBSERVATION.",
+    "occurrence_status": "PRESENT or ABSENT, if given.",
+    "individual_count": "How many individuals were seen; 1 if not given.",
+    "latitude": "Degrees north; null if missing or not a number.",
+    "longitude": "Degrees east; null if missing or not a number.",
+    "coordinate_uncertainty_m": "Radius of the position's uncertainty in metres.",
+    "country_code": "Two-letter code of the country.",
+    "state_province": "State or province, if given.",
+    "dataset_key": "Dataset the record comes from.",
+    "publishing_org_key": "Organisation that published the dataset.",
+    "key": "The record's key as a number.",
+    "taxon_key": "Number of the identified taxon, if given.",
+    "genus": "Genus.",
+    "family": "Family.",
+    "order": "Order.",
+    "class_name": "Class.",
+    "phylum": "Phylum.",
+    "kingdom": "Kingdom.",
+    "issues_json": "Quality issues that the source flagged, as a JSON list.",
+    "media_count": "How many media are attached.",
+    "ingestion_ts": "When the row was ingested.",
+    "raw_payload": "The whole source record as JSON, to parse again later.",
+    # staging
+    "species_name": "Species name without blanks around it; Unknown if empty.",
+    "observation_date": "Day of the observation; null if it isn't known.",
+    "is_valid_observation": "Whether the position is complete and on the globe, and the count isn't negative.",
+    # marts
+    "species_id": "The taxon key as text, else the species name.",
+    "first_observed_date": "First day with a valid observation.",
+    "last_observed_date": "Last day with a valid observation.",
+    "total_observation_records": "Number of valid, dated records.",
+    "observation_records": "Records of the day and species.",
+    "individuals_observed": "Individuals counted on the day.",
+    "centroid_latitude": "Mean latitude of the records.",
+    "centroid_longitude": "Mean longitude of the records.",
 }
-
-
-def with_comments(schema: T.StructType) -> T.StructType:
-    """Attach ``COLUMN_COMMENTS`` as field metadata (persisted by saveAsTable)."""
-    fields = []
-    for f in schema.fields:
-        meta = dict(f.metadata or {})
-        if f.name in COLUMN_COMMENTS:
-            meta["comment"] = COLUMN_COMMENTS[f.name]
-        fields.append(T.StructField(f.name, f.dataType, f.nullable, meta))
-    return T.StructType(fields)

@@ -6,15 +6,8 @@ everything else is a default a cluster configuration may override.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
-# Largest per-group cap for which Spark plans a partial ``WindowGroupLimit``
-# below the shuffle (the per-day cap defaults to 10,000 rows).
-WINDOW_GROUP_LIMIT = 10_000
-
 SEMANTIC_CONF = {
     # Dates derived from zoned timestamps are UTC calendar days.
     "spark.sql.session.timeZone": "UTC",
@@ -26,7 +19,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.optimizer.windowGroupLimitThreshold": str(WINDOW_GROUP_LIMIT),
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
@@ -43,9 +35,8 @@ def build_session(
 ) -> SparkSession:
     """Create (or reuse) a session with the pipeline's settings.
 
-    ``master`` is left to spark-submit when ``None``.  On a cluster,
-    ``spark.checkpoint.dir`` must name a shared folder; locally a scratch
-    folder is chosen only when nothing is configured (see ``checkpoint_dir``).
+    ``master`` is left to spark-submit when ``None``.  ``spark.checkpoint.dir``
+    must name a folder that the driver and all executors share.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -61,42 +52,25 @@ def build_session(
     return spark
 
 
-def shuffle_partitions_for(
-    input_bytes: int,
-    cores: int = 1,
-    bytes_per_partition: int = 8 << 20,
-    maximum: int = 200_000,
-) -> int:
-    """``spark.sql.shuffle.partitions`` sized to the data.
+def shuffle_partitions_for(input_bytes: int, cores: int = 1, bytes_per_partition: int = 64 << 20) -> int:
+    """``spark.sql.shuffle.partitions`` for so much compressed columnar input.
 
-    About ``bytes_per_partition`` of compressed columnar input per shuffle
-    partition (row-wide shuffles such as the upsert decode to many times that);
-    an input smaller than one partition gets a single partition, anything
-    larger at least one per core, and never more than ``maximum`` (at 100 TB
-    the cap applies and AQE coalesces the partitions that partial aggregation
-    left small).
+    About ``bytes_per_partition`` of input per shuffle partition, which decode
+    to a few times that, and at least one partition per core; AQE merges what
+    partial aggregation leaves small.
     """
-    n = -(-int(input_bytes) // int(bytes_per_partition))
-    return 1 if n <= 1 else min(max(n, int(cores)), int(maximum))
+    return max(-(-int(input_bytes) // int(bytes_per_partition)), int(cores), 1)
 
 
-def checkpoint_dir(spark: SparkSession, allow_local_default: bool = False) -> str:
-    """Return the reliable checkpoint folder named by ``spark.checkpoint.dir``.
-
-    The cluster's setting always wins.  Only when it is unset *and* the caller
-    allows it (tests, local benches) is a fresh scratch folder created and
-    registered; library jobs otherwise refuse to guess a machine-local path.
-    """
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The reliable checkpoint folder that ``spark.checkpoint.dir`` names."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not allow_local_default:
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; point it at a shared folder "
-                "(HDFS/S3/ABFS) before running jobs that cut lineage"
-            )
-        configured = tempfile.mkdtemp(prefix="occurra-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", configured)
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set; point it at a shared folder "
+            "(HDFS/S3/ABFS) before running jobs that cut lineage"
+        )
     spark.sparkContext.setCheckpointDir(configured)
     return configured

@@ -7,8 +7,9 @@ per-row projection: it scales with the table and runs as one codegen stage).
 * ``events_as_raw``            the 28-column raw table (two taxon-key variants)
 * ``events_as_download_rows``  a landed tab-separated export: every value text,
                                with malformed dates, counts and coordinates
-* ``events_as_search_records`` search-API records with nested issue / media lists
-* ``upsert_inputs``            target table and a batch with late duplicates
+* ``search_record_json``       search-API records as JSON texts
+* ``events_as_search_records`` the same, parsed as the page reader parses them
+* ``upsert_inputs``            target table and a batch with late duplicates; every row is in one
 
 Each projection is one ``selectExpr`` (SQL text, parsed once on the JVM).
 """
@@ -16,9 +17,10 @@ Each projection is one ``selectExpr`` (SQL text, parsed once on the JVM).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from occurra.schema import DOWNLOAD_FIELDS, RAW_COLUMNS
-from occurra.sources.readers import spread
+from occurra.sources.readers import parse_search_records, spread
 
 EVENTS = "events"
 # The driver table's documented schema (read with it: no footer inference).
@@ -171,82 +173,93 @@ def events_as_download_rows(events: DataFrame) -> DataFrame:
     return spread(events).selectExpr(*cols)
 
 
+def json_object_sql(fields: list[tuple[str, str, str]]) -> str:
+    """SQL (also other engines') of a JSON object; kind: text, number or json."""
+    def value(kind: str, sql: str) -> str:
+        if kind == "text":  # values of the fixture need no escapes
+            return f"case when {sql} is null then 'null' else concat('\"', {sql}, '\"') end"
+        return f"coalesce(cast({sql} as string), 'null')" if kind == "number" else sql
+
+    pairs = [f"'{'{' if i == 0 else ', '}\"{n}\": ', {value(k, sql)}" for i, (n, k, sql) in enumerate(fields)]
+    return f"concat({', '.join(pairs)}, '}}')"
+
+
+WHOLE = "cast(cast(floor(value) as int) as string)"
+# Counts by event_id % 12: whole numbers, text, null, words, numbers with a fraction, padded text.
+COUNT_JSON = f"""case event_id % 6
+  when 0 then cast(cast(floor(value) as int) - 5 as string)
+  when 1 then concat('"', {WHOLE}, '.9"')
+  when 2 then 'null'
+  when 3 then '"many"'
+  when 4 then concat({WHOLE}, case when event_id % 12 = 4 then '.9' else '.0' end)
+  else concat('" ', {WHOLE}, ' "') end"""
+
 SEARCH_RECORD = [
-    ("gbifID", "case when event_id % 41 = 0 then null else cast(event_id as string) end"),
-    ("key", "case when event_id % 82 = 0 then null else event_id end"),
-    ("eventDate", EVENT_DATE_TEXT),
+    ("gbifID", "text", "case when event_id % 41 = 0 then null else cast(event_id as string) end"),
+    ("key", "number", "case when event_id % 82 = 0 then null else event_id end"),
+    ("eventDate", "text", EVENT_DATE_TEXT),
     (
-        "species",
+        "species", "text",
         "case when event_id % 23 = 0 then null when event_id % 31 = 0 then '' "
         "when event_id % 47 = 0 then '  ' else event_type end",
     ),
-    ("genus", "case when event_id % 37 = 0 then null else concat(event_type, 'idae') end"),
-    ("family", "'Turdidae'"),
-    ("order", "'Passeriformes'"),
-    ("class", "'Aves'"),
-    ("phylum", "'Chordata'"),
-    ("kingdom", "'Animalia'"),
-    ("scientificName", SCI_NAME),
-    ("taxonRank", "'SPECIES'"),
-    ("basisOfRecord", "'HUMAN_OBSERVATION'"),
-    ("occurrenceStatus", "'PRESENT'"),
-    (
-        "individualCount",
-        """case event_id % 6
-             when 0 then cast(cast(floor(value) as int) - 5 as string)
-             when 1 then cast(value as string)
-             when 2 then null
-             when 3 then 'many'
-             when 4 then cast(cast(floor(value) as int) as string)
-             else concat(' ', cast(cast(floor(value) as int) as string), ' ') end""",
-    ),
-    ("decimalLatitude", f"case when event_id % 17 = 0 then null else {LAT} end"),
-    ("decimalLongitude", f"case when event_id % 19 = 0 then null else {LON} end"),
-    ("coordinateUncertaintyInMeters", "value"),
-    ("countryCode", "'BE'"),
-    ("stateProvince", "case when user_id % 2 = 0 then 'Flanders' else 'Wallonia' end"),
-    ("datasetKey", "concat('ds-', cast(user_id % 5 as string))"),
-    ("publishingOrgKey", "'org-1'"),
-    ("taxonKey", "case when event_id % 7 = 0 then null else user_id end"),
+    ("genus", "text", "case when event_id % 37 = 0 then null else concat(event_type, 'idae') end"),
+    ("family", "text", "'Turdidae'"),
+    ("order", "text", "'Passeriformes'"),
+    ("class", "text", "'Aves'"),
+    ("phylum", "text", "'Chordata'"),
+    ("kingdom", "text", "'Animalia'"),
+    ("scientificName", "text", SCI_NAME),
+    ("taxonRank", "text", "'SPECIES'"),
+    ("basisOfRecord", "text", "'HUMAN_OBSERVATION'"),
+    ("occurrenceStatus", "text", "'PRESENT'"),
+    ("individualCount", "json", COUNT_JSON),
+    ("decimalLatitude", "number", f"case when event_id % 17 = 0 then null else {LAT} end"),
+    ("decimalLongitude", "number", f"case when event_id % 19 = 0 then null else {LON} end"),
+    ("coordinateUncertaintyInMeters", "number", "value"),
+    ("countryCode", "text", "'BE'"),
+    ("stateProvince", "text", "case when user_id % 2 = 0 then 'Flanders' else 'Wallonia' end"),
+    ("datasetKey", "text", "concat('ds-', cast(user_id % 5 as string))"),
+    ("publishingOrgKey", "text", "'org-1'"),
+    ("taxonKey", "number", "case when event_id % 7 = 0 then null else user_id end"),
     (
-        "issues",
+        "issues", "json",
         "case event_id % 4 "
-        "when 0 then array('COUNTRY_COORDINATE_MISMATCH', 'RECORDED_DATE_INVALID') "
-        "when 1 then cast(array() as array<string>) "
-        "when 3 then array('TAXON_MATCH_FUZZY') end",
+        """when 0 then '["COUNTRY_COORDINATE_MISMATCH", "RECORDED_DATE_INVALID"]' """
+        """when 1 then '[]' when 3 then '["TAXON_MATCH_FUZZY"]' else 'null' end""",
     ),
     (
-        "media",
-        "case event_id % 3 "
-        "when 0 then array(named_struct('type', 'StillImage'), named_struct('type', 'StillImage')) "
-        "when 1 then cast(array() as array<struct<type:string>>) end",
+        "media", "json",
+        "case event_id % 3 when 0 then "
+        """concat('[{"type": "StillImage", "identifier": "https://example.org/', cast(event_id as string), """
+        """'"}, {"type": "StillImage"}]') when 1 then '[]' else 'null' end""",
     ),
-    # request day of the page the record arrived on, and its position
-    ("_request_day", "cast(ts as date)"),
-    ("_row", "event_id"),
+    # fields outside the raw table's columns: only the payload keeps them
+    ("recordedBy", "text", "concat('observer ', cast(user_id as string))"),
+    ("extensions", "json", """concat('{"depth": [', cast(event_id % 5 as string), ', null]}')"""),
 ]
 
 
+def search_record_json(events: DataFrame) -> DataFrame:
+    """Search-API records as JSON (``_record``), with the day and place they arrived on."""
+    return spread(events).selectExpr(
+        f"{json_object_sql(SEARCH_RECORD)} as _record", "cast(ts as date) as _request_day", "event_id as _row"
+    )
+
+
 def events_as_search_records(events: DataFrame) -> DataFrame:
-    """Search-API records (typed fields, nested ``issues`` / ``media`` lists)."""
-    return spread(events).selectExpr(*[f"{sql} as `{name}`" for name, sql in SEARCH_RECORD])
+    """Search-API records as the page reader gives them."""
+    return parse_search_records(search_record_json(events))
 
 
 def upsert_inputs(events: DataFrame, variant: str = "fanout") -> tuple[DataFrame, DataFrame]:
-    """Target = even ids; batch = ids divisible by 3 with count+1, then a later
-    second copy of ids divisible by 9 with count+2.  ``_seq`` and ``key`` give
-    the arrival order of the batch."""
+    """Target = even ids; batch = odd ids and ids divisible by 3 with count+1, then
+    a later second copy of ids divisible by 9 with count+2.  ``_seq`` and ``key``
+    give the arrival order of the batch."""
     raw = events_as_raw(events, variant)
     target = raw.filter("key % 2 = 0")
-    first = raw.filter("key % 3 = 0").selectExpr(
-        "*", "individual_count + 1 as _ic", "0 as _seq"
-    )
-    second = raw.filter("key % 9 = 0").selectExpr(
-        "*", "individual_count + 2 as _ic", "1 as _seq"
-    )
-    cols = [n for n, _ in RAW_COLUMNS]
-    batch = first.unionByName(second).selectExpr(
-        *[("_ic as individual_count" if c == "individual_count" else f"`{c}`") for c in cols],
-        "_seq",
+    copies = "explode(case when key % 9 = 0 then array(0, 1) else array(0) end) as _seq"
+    batch = raw.filter("key % 2 = 1 or key % 3 = 0").selectExpr("*", copies).withColumn(
+        "individual_count", F.expr("individual_count + 1 + _seq")
     )
     return target, batch

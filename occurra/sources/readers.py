@@ -3,7 +3,7 @@
 * S1 ``read_tsv_export``      tab-separated export, header required, all text
 * S2 ``read_parquet_shards``  every Parquet shard under a directory
 * S3 ``member_listing``       file listing without metadata members
-* S4 ``largest_text_member``  the largest .csv / .txt member
+* S4 ``largest_text_member``  the largest .csv / .txt member, for exports known to have one table
 * S5 ``read_download_export`` format dispatch over S1 / S2
 * S6 ``read_search_pages``    JSON search pages -> one row per record
 
@@ -17,47 +17,47 @@ Last-wins and first-N logic then never depends on partition order.
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occurra.functions.expr import lit_sql
-from occurra.schema import SEARCH_PAGE_SCHEMA
+from occurra.schema import SEARCH_PAGE_SCHEMA, SEARCH_RECORD_TEXT_SCHEMA
 
 # Member names (lower case) that are never data, and data suffixes.
 SKIP_MEMBER_PATTERN = r"citation|rights|metadata|meta\.xml|eml\.xml"
 PARQUET_GLOB = "*.{parquet,pq,PARQUET,PQ}"
 TEXT_GLOB = "*.{csv,txt,CSV,TXT}"
 
-ORDER_COLUMNS = ("_file", "_block", "_row")
-
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin an under-partitioned input over the cluster's cores.
 
-    A gzip'd export or a single-row-group file is one split, which would put
-    the whole normalisation in one task.  Inputs that already have at least
-    ``min_partitions`` splits (default: the default parallelism) - every
-    large multi-file input - are returned unchanged, with no shuffle.
+    For a scan with narrow steps only, whose number of partitions is known from
+    its files.  A gzip'd export or a single-row-group file is one split, which
+    would put the whole normalisation in one task; inputs with at least
+    ``min_partitions`` splits (default: the default parallelism), as large ones
+    have, are returned unchanged.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave the plan as is
-        return df
-    return df if current >= target else df.repartition(target)
-
-
-def _relative(path_col: str, root: str) -> str:
-    """Lower-case member path below ``root`` (SQL text)."""
-    root = root.rstrip("/")
-    return (
-        f"lower(substring({path_col}, instr({path_col}, {lit_sql(root.split('://')[-1])}) "
-        f"+ {len(root.split('://')[-1])}))"
-    )
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= target else df.repartition(target)
 
 
-def _keep_member(path_col: str, root: str) -> str:
-    return f"not ({_relative(path_col, root)} rlike {lit_sql(SKIP_MEMBER_PATTERN)})"
+def _folder(spark: SparkSession, root: str) -> str:
+    """The path of ``root`` without scheme and host, as the file system resolves it."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(conf).makeQualified(path).toUri().getPath().rstrip("/")
+
+
+def _keep_member(path_col: str, folder: str) -> str:
+    """Whether a file's path below ``folder`` names data (SQL text)."""
+    path = f"regexp_replace({path_col}, '^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?', '')"
+    below = f"regexp_extract({path}, '[^/]*$', 0)"
+    for form in dict.fromkeys((folder, quote(folder))):  # paths may come percent-encoded
+        below = f"case when startswith({path}, {lit_sql(form + '/')}) then substring({path}, {len(form) + 1}) else {below} end"
+    return f"not (lower({below}) rlike {lit_sql(SKIP_MEMBER_PATTERN)})"
 
 
 def _with_source(df: DataFrame) -> DataFrame:
@@ -88,7 +88,7 @@ def member_listing(spark: SparkSession, root: str, glob: str) -> DataFrame:
         .load(root)
         .select("path", "length")
     )
-    return files.filter(_keep_member("path", root))
+    return files.filter(_keep_member("path", _folder(spark, root)))
 
 
 def largest_text_member(spark: SparkSession, root: str) -> str | None:
@@ -102,9 +102,15 @@ def largest_text_member(spark: SparkSession, root: str) -> str | None:
     return None if row is None else row[0]
 
 
-def read_tsv_export(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """One tab-separated export, UTF-8, header row, every value text.
+def text_members(spark: SparkSession, root: str) -> list[str]:
+    """The .csv / .txt data members under ``root``, sorted; file names only."""
+    return sorted(r["path"] for r in member_listing(spark, root, TEXT_GLOB).select("path").collect())
+
+
+def read_tsv_export(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """Tab-separated files with one header, UTF-8, every value text.
 
+    A file whose header differs from the first file's fails the read.
     ``multi_line`` allows quoted line breaks but makes each file one split.
     """
     df = (
@@ -124,7 +130,7 @@ def read_tsv_export(spark: SparkSession, path: str, multi_line: bool = False) ->
         .csv(path)
     )
     if not df.columns or all(c.startswith("_c") for c in df.columns):
-        raise ValueError(f"No header row in {path!r}")
+        raise ValueError(f"{path!r} doesn't begin with column names")
     return _with_source(df)
 
 
@@ -138,7 +144,7 @@ def read_parquet_shards(spark: SparkSession, root: str, merge_schema: bool = Tru
         .parquet(root)
     )
     # a filter on the file-path metadata column prunes whole files at planning
-    return _with_source(df.filter(_keep_member("_metadata.file_path", root)))
+    return _with_source(df.filter(_keep_member("_metadata.file_path", _folder(spark, root))))
 
 
 def _exists(spark: SparkSession, root: str, glob: str) -> bool:
@@ -150,18 +156,39 @@ def _exists(spark: SparkSession, root: str, glob: str) -> bool:
         raise
 
 
-def read_download_export(spark: SparkSession, root: str, prefer_parquet: bool = False) -> DataFrame:
-    """Parquet shards when preferred and present; else the largest text
-    member; else Parquet shards anyway; else ``ValueError``."""
+def read_download_export(
+    spark: SparkSession, root: str, prefer_parquet: bool = False, only_largest: bool = False
+) -> DataFrame:
+    """Parquet shards when preferred and present; else all text members;
+    else Parquet shards anyway; else ``ValueError``.
+
+    ``only_largest`` reads just the largest text member (S4).
+    """
     has_parquet = _exists(spark, root, PARQUET_GLOB)
     if prefer_parquet and has_parquet:
         return read_parquet_shards(spark, root)
-    text = largest_text_member(spark, root) if _exists(spark, root, TEXT_GLOB) else None
-    if text is not None:
-        return read_tsv_export(spark, text)
+    members = text_members(spark, root) if _exists(spark, root, TEXT_GLOB) else []
+    if members:
+        return read_tsv_export(spark, largest_text_member(spark, root) if only_largest else members)
     if has_parquet:
         return read_parquet_shards(spark, root)
-    raise ValueError(f"No occurrence data (.parquet or .csv/.txt) under {root!r}")
+    raise ValueError(f"{root!r} holds neither Parquet nor text tables")
+
+
+def parse_search_records(df: DataFrame, record: str = "_record") -> DataFrame:
+    """Record fields of the JSON text in ``record``, which stays, and all other columns.
+
+    ``_count_type`` is the JSON type of ``individualCount``, as a number and a
+    text of the same digits count differently.
+    """
+    schema = SEARCH_RECORD_TEXT_SCHEMA.simpleString()
+    rest = [c for c in df.columns if c != record]
+    return df.selectExpr(
+        f"from_json(`{record}`, '{schema}') as _rec",
+        f"schema_of_variant(variant_get(try_parse_json(`{record}`), '$.individualCount', 'variant')) as _count_type",
+        f"`{record}` as _record",
+        *[f"`{c}`" for c in rest],
+    ).selectExpr("_rec.*", "_count_type", "_record", *[f"`{c}`" for c in rest])
 
 
 def read_search_pages(spark: SparkSession, root: str, multi_line: bool = True) -> DataFrame:
@@ -169,8 +196,10 @@ def read_search_pages(spark: SparkSession, root: str, multi_line: bool = True) -
 
     Pages are JSON documents under ``root/day=YYYY-MM-DD/``.  Paging of a day
     stops at the first page flagged ``endOfRecords`` or with no results;
-    later pages of that day are ignored.  Output: the record fields plus
-    ``_request_day``, ``_offset`` and ``_pos`` (position in the page).
+    later pages of that day are ignored.  Output: the record fields, the whole
+    record as it was (``_record``), ``_request_day``, ``_offset`` and ``_pos``
+    (position in the page).  The pages are parsed into records only after the
+    stop is known from their envelopes.
     """
     pages = (
         spark.read.schema(SEARCH_PAGE_SCHEMA)
@@ -183,12 +212,8 @@ def read_search_pages(spark: SparkSession, root: str, multi_line: bool = True) -
     stops = pages.filter(
         "coalesce(endOfRecords, false) or results is null or size(results) = 0"
     ).groupBy("day").agg(F.min("offset").alias("_stop"))
-    # one row per landed day (bounded by the calendar, not by the data), so it
-    # is broadcast: a day holding a third of all pages never meets one reducer
-    fetched = pages.join(F.broadcast(stops), "day", "left").filter(
-        "_stop is null or offset <= _stop"
+    fetched = pages.join(stops, "day", "left").filter("_stop is null or offset <= _stop")
+    records = fetched.selectExpr(
+        "day as _request_day", "offset as _offset", "posexplode(results) as (_pos, _record)"
     )
-    return fetched.selectExpr(
-        "day as _request_day", "offset as _offset", "posexplode(results) as (_pos, rec)"
-    ).selectExpr("rec.*", "_request_day", "_offset", "_pos")
-
+    return parse_search_records(records)

@@ -62,11 +62,10 @@ def start_landed_ingest(
     raw_table: str,
     name: str = "landed_exports",
     available_now: bool = True,
-    buckets: int = 64,
     header: tuple[str, ...] = DEFAULT_HEADER,
 ) -> StreamingQuery:
     """Start the stream; each micro-batch is normalised and upserted."""
-    ensure_raw_table(spark, raw_table, buckets)
+    ensure_raw_table(spark, raw_table)
     base = checkpoint_dir(spark)
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:

@@ -27,9 +27,9 @@ def spark(scratch):
         extra_conf={
             "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": os.path.join(scratch, "checkpoints"),
         },
     )
-    # tests only: no shared folder is configured, so use a scratch one
-    checkpoint_dir(s, allow_local_default=True)
+    checkpoint_dir(s)
     yield s
     s.stop()

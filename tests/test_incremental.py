@@ -63,7 +63,7 @@ def test_predicate_shape_and_filter(spark):
     assert df.filter(sql).count() == 1
 
 
-def test_serving_clamps(spark):
+def test_serving_honours_its_arguments(spark):
     from occurra.operators import serving as SV
 
     fct = spark.createDataFrame(
@@ -71,10 +71,16 @@ def test_serving_clamps(spark):
         "observation_date date, species_id string, observation_records bigint, "
         "individuals_observed bigint, centroid_latitude double, centroid_longitude double",
     )
-    # days below the minimum are clamped to 7: dates >= as_of - 7
     win = SV.daily_trend(fct, days=1, as_of=D(2024, 1, 30)).collect()
-    assert [r[0] for r in win] == [D(2024, 1, d) for d in range(23, 31)]
-    assert SV.clamp(0, 1, 200) == 1 and SV.clamp(500, 1, 200) == 200
-    assert SV.top_species(fct, fct.selectExpr("species_id", "'n' as species_name", "1 as total_observation_records"), limit=0).count() == 1
+    assert [r[0] for r in win] == [D(2024, 1, 29), D(2024, 1, 30)]
+    dim = spark.range(700).selectExpr("cast(id as string) as species_id", "'n' as species_name", "1 as total_observation_records")
+    many = dim.selectExpr(
+        "date '2024-01-01' as observation_date", "species_id", "1L as observation_records", "2L as individuals_observed"
+    )
+    assert SV.top_species(many, dim, limit=500).count() == 500
+    with pytest.raises(ValueError):
+        SV.top_species(many, dim, limit=0)
+    with pytest.raises(ValueError):
+        SV.daily_trend(fct, days=0)
     tail = [r[0] for r in SV.last_n_days_rows(SV.daily_trend(fct), 5).collect()]
     assert tail == [D(2024, 1, d) for d in range(26, 31)]

@@ -15,7 +15,7 @@ from occurra.operators.normalize import normalize_download
 from occurra.plans import pipeline as P
 from occurra.plans.tables import ensure_raw_table, read_raw, upsert_into_table
 from occurra.sources import readers as R
-from occurra.sources.fixture import events_as_download_rows, events_as_search_records, read_events
+from occurra.sources.fixture import events_as_download_rows, read_events, search_record_json
 from occurra.schema import DOWNLOAD_FIELDS
 
 from conftest import SF_SMALL
@@ -30,20 +30,17 @@ def landed(spark, scratch):
     keep_ws = {"sep": "\t", "header": "true", "ignoreLeadingWhiteSpace": "false",
                "ignoreTrailingWhiteSpace": "false"}
     rows.coalesce(1).write.options(**keep_ws).csv(os.path.join(tsv, "occurrence"))
-    # a smaller decoy text member and a metadata member
-    rows.limit(3).coalesce(1).write.options(sep="\t", header="true").csv(os.path.join(tsv, "small"))
+    # a metadata member that is the largest file
     with open(os.path.join(tsv, "citations.txt"), "w") as fh:
         fh.write("x\n" * 100000)
     pq = os.path.join(root, "pq_export")
     rows.repartition(4).write.parquet(os.path.join(pq, "occurrence.parquet"))
     rows.limit(2).write.parquet(os.path.join(pq, "metadata"))
     pages = os.path.join(root, "pages")
-    recs = events_as_search_records(events).filter("_request_day <= date '2024-01-03'").collect()
+    recs = search_record_json(events).filter("_request_day <= date '2024-01-03'").collect()
     by_day = {}
     for r in recs:
-        d = r["_request_day"].isoformat()
-        rec = {k: v for k, v in r.asDict(recursive=True).items() if not k.startswith("_")}
-        by_day.setdefault(d, []).append(rec)
+        by_day.setdefault(r["_request_day"].isoformat(), []).append(json.loads(r["_record"]))
     for d, items in by_day.items():
         os.makedirs(os.path.join(pages, f"day={d}"))
         for i in range(0, len(items), 10):
@@ -57,6 +54,25 @@ def landed(spark, scratch):
     return {"tsv": tsv, "pq": pq, "pages": pages, "n_rows": rows.count(), "by_day": by_day}
 
 
+def test_every_text_part_is_read(spark, landed, scratch):
+    rows = R.read_download_export(spark, landed["tsv"]).drop("_file", "_block")
+    parts = os.path.join(scratch, "two parts (x)")
+    keep = {"sep": "\t", "header": "true"}
+    rows.repartition(2).write.options(**keep).csv(os.path.join(parts, "data"))
+    with open(os.path.join(parts, "Rights.TXT"), "w") as fh:
+        fh.write("none\n")
+    assert len(R.text_members(spark, parts)) == 2
+    assert R.read_download_export(spark, parts).count() == landed["n_rows"]
+    one = R.read_download_export(spark, parts, only_largest=True).count()
+    assert 0 < one < landed["n_rows"]
+    relative = os.path.relpath(parts)
+    assert len(R.text_members(spark, relative)) == 2
+    # a part with another header fails instead of being read shifted
+    rows.limit(3).select(*reversed(rows.columns)).coalesce(1).write.options(**keep).csv(os.path.join(parts, "other"))
+    with pytest.raises(Exception, match="header"):
+        R.read_download_export(spark, parts).collect()
+
+
 def test_tsv_reader_and_member_choice(spark, landed):
     member = R.largest_text_member(spark, landed["tsv"])
     assert "occurrence" in member and "citation" not in member
@@ -104,10 +120,18 @@ def test_search_pages(spark, landed):
             for items in landed["by_day"].values() for rec in items
             if (rec["gbifID"] or rec["key"])}
     assert got == want
+    # the payload is the whole record, and counts go by their JSON type
+    for r in normalize_search(recs).collect():
+        rec = json.loads(r["raw_payload"])
+        assert rec["recordedBy"].startswith("observer") and "extensions" in rec
+        assert rec in landed["by_day"][[d for d in landed["by_day"] if rec in landed["by_day"][d]][0]]
+        c = rec["individualCount"]
+        if isinstance(c, float):
+            assert r["individual_count"] == int(c)
 
 
 def test_table_upsert_and_pipeline(spark, landed):
-    cfg = P.IngestConfig(raw_table="t_raw.observations", buckets=8, mart_database="t_mart",
+    cfg = P.IngestConfig(raw_table="t_raw.observations", mart_database="t_mart",
                          default_start=dt.date(2024, 1, 1))
     stats = P.run_historical(spark, landed["tsv"], "download", 2024, 2024, cfg)
     raw = read_raw(spark, cfg.raw_table)
@@ -128,9 +152,13 @@ def test_table_upsert_and_pipeline(spark, landed):
     from occurra.operators.quality import QualityGateError
 
     with pytest.raises(QualityGateError, match="unique\\(species_id\\)"):
-        P.build_and_check(spark, read_raw(spark, cfg.raw_table), cfg)  # fan-out names
+        P.build_and_check(spark, read_raw(spark, cfg.raw_table), cfg, count_check_severity="warn")  # fan-out names
+    with pytest.raises(QualityGateError, match="individual_count >= 0"):  # the declared severity
+        P.build_and_check(spark, read_raw(spark, cfg.raw_table), cfg)
     models, report = P.build_and_check(
         spark, read_raw(spark, cfg.raw_table), cfg, fail_on=(), raw_table=cfg.raw_table)
+    comments = {r["col_name"]: r["comment"] for r in spark.sql("describe table t_mart.stg_belgian_birds").collect()}
+    assert all(comments[c] for c in models.stg.columns)
     assert spark.catalog.tableExists("t_mart.stg_belgian_birds")
     assert len(report) == 24
     failing = {r["check_name"] for r in report if r["failing_rows"]}
@@ -139,8 +167,32 @@ def test_table_upsert_and_pipeline(spark, landed):
         "is_valid_observation and observation_date is not null").count()
 
 
+def test_search_mode_keeps_every_record(spark, scratch):
+    day = os.path.join(scratch, "big_day", "day=2024-01-02")
+    os.makedirs(day)
+    n = 10_001
+    with open(os.path.join(day, "page.json"), "w") as fh:
+        json.dump({"offset": 0, "endOfRecords": True, "results": [{"gbifID": str(i), "eventDate": "2024-01-02"} for i in range(n)]}, fh)
+    cfg = P.IngestConfig(raw_table="t_raw.big_day")
+    P.run_historical(spark, os.path.dirname(day), "search", 2024, 2024, cfg)
+    assert read_raw(spark, cfg.raw_table).count() == n
+
+
+@pytest.mark.parametrize("lower", [False, True])
+def test_export_filter_finds_columns_whatever_their_case(spark, lower):
+    rows = [
+        ("1", "212", "BE", "2024-01-10"), ("2", "359", "BE", "2024-01-10"), ("3", "212", "NL", "2024-01-10"),
+        ("4", "212", "BE", "2024-03"), ("5", "212", "BE", None), ("6", "212", "BE", "2023-01-10"),
+        ("7", "212", "BE", "2024-01-10T10:00:00/2024-01-11T10:00:00"),
+    ]
+    names = ["gbifID", "classKey", "countryCode", "eventDate"]
+    df = spark.createDataFrame(rows, ", ".join(f"{n.lower() if lower else n} string" for n in names))
+    kept = P.filter_export(df, dt.date(2024, 1, 1), dt.date(2024, 12, 31), P.IngestConfig())
+    assert sorted(r[0] for r in kept.collect()) == ["1", "4", "5", "7"]
+
+
 def test_search_mode_caps_per_day(spark, landed):
-    cfg = P.IngestConfig(raw_table="t_raw.search_obs", buckets=4, max_per_day=12)
+    cfg = P.IngestConfig(raw_table="t_raw.search_obs", max_per_day=12)
     P.run_historical(spark, landed["pages"], "search", 2024, 2024, cfg)
     raw = read_raw(spark, cfg.raw_table)
     assert raw.count() <= 12 * len(landed["by_day"])
@@ -152,14 +204,14 @@ def test_streaming_ingest(spark, landed, scratch):
 
     landing = os.path.join(landed["tsv"], "occurrence")
     name = "t_stream_" + os.path.basename(scratch).replace("-", "_")  # fresh progress per run
-    q = start_landed_ingest(spark, landing, "t_raw.stream_obs", name=name, buckets=4)
+    q = start_landed_ingest(spark, landing, "t_raw.stream_obs", name=name)
     q.awaitTermination(300)
     raw = read_raw(spark, "t_raw.stream_obs")
     expected = normalize_download(R.read_tsv_export(spark, landing)).count()
     assert raw.count() == expected
     # restart on the same checkpoint: nothing new landed, nothing reprocessed
     before = raw.collect()
-    q2 = start_landed_ingest(spark, landing, "t_raw.stream_obs", name=name, buckets=4)
+    q2 = start_landed_ingest(spark, landing, "t_raw.stream_obs", name=name)
     q2.awaitTermination(300)
     assert q2.lastProgress is None or q2.lastProgress["numInputRows"] == 0
     assert sorted(map(tuple, read_raw(spark, "t_raw.stream_obs").collect())) == sorted(map(tuple, before))
@@ -167,11 +219,8 @@ def test_streaming_ingest(spark, landed, scratch):
 
 def test_predicate_reaches_parquet_scan(spark, landed):
     """On stored export columns the range predicate is pushed into the scan."""
-    from occurra.sources.predicate import predicate_to_column, range_predicate
-
     rows = R.read_parquet_shards(spark, landed["pq"])
-    tree = range_predicate("BE", 212, dt.date(2024, 1, 5), dt.date(2024, 1, 20))
-    hits = rows.filter(predicate_to_column(tree, P.DOWNLOAD_PREDICATE_COLUMNS))
+    hits = P.filter_export(rows, dt.date(2024, 1, 5), dt.date(2024, 1, 20), P.IngestConfig())
     plan = hits._jdf.queryExecution().executedPlan().toString()
     scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
     assert "EqualTo(classKey,212)" in scan and "EqualTo(countryCode,BE)" in scan
@@ -216,13 +265,13 @@ def test_stream_rejects_other_column_order(spark, scratch):
         fh.write("\t".join(header) + "\n")
         fh.write("\t".join("x" for _ in header) + "\n")
     name = "t_misordered_" + os.path.basename(scratch).replace("-", "_")
-    q = start_landed_ingest(spark, landing, "t_raw.misordered", name=name, buckets=2)
+    q = start_landed_ingest(spark, landing, "t_raw.misordered", name=name)
     with pytest.raises(StreamingQueryException):
         q.awaitTermination(300)
 
 
 def test_parquet_mode_pipeline_matches_tsv(spark, landed):
-    base = dict(buckets=4, default_start=dt.date(2024, 1, 1))
+    base = dict(default_start=dt.date(2024, 1, 1))
     P.run_historical(spark, landed["tsv"], "download", 2024, 2024,
                      P.IngestConfig(raw_table="t_raw.from_tsv", **base))
     P.run_historical(spark, landed["pq"], "download", 2024, 2024,

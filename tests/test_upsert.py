@@ -58,6 +58,18 @@ def test_cap_plan_limits_before_shuffle(spark):
     assert "WindowGroupLimit" in plan
 
 
+def test_cap_plan_limits_before_shuffle_at_any_cap(spark):
+    df = spark.range(100_000).selectExpr("id % 3 as g", "id as arrival")
+    plan = UP.cap_per_group(df, ["g"], ["arrival"], 20_000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 4
+
+
+def test_every_event_is_in_target_or_batch(spark):
+    events = read_events(spark, SF_SMALL)
+    target, batch = upsert_inputs(events)
+    assert UP.upsert_by_key(target, batch, "gbif_id", ["_seq", "key"]).count() == events.count()
+
+
 def test_ingest_observation(spark):
     df = spark.range(25).selectExpr("cast(id as string) as gbif_id")
     observed, obs = UP.observe_ingest(df)
