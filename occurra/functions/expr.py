@@ -21,14 +21,12 @@ from pyspark.sql import functions as F
 # Whitespace removed by str.strip(): every character for which Python's
 # str.isspace() holds (all lie below U+3001).
 WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
-# ISO date-time accepted by the 'T' branch: date, 'T', hour, optional minute,
-# second and fraction (any length; digits past microseconds are dropped),
-# optional +hh:mm / -hh:mm offset.
+# ISO date-time accepted by the 'T' branch: day, hour, optional minute, second
+# and fraction (any length, after '.' or ','), optional Z or +hh[[:]mm] offset.
 ISO_DATETIME_PATTERN = (
-    r"^\d{4}-\d{2}-\d{2}T\d{2}(:\d{2}(:\d{2}(\.\d+)?)?)?([+-]\d{2}:\d{2})?$"
+    r"^(\d{4}-\d{2}-\d{2})T([01]\d|2[0-3])(?::([0-5]\d)(?::[0-5]\d(?:[.,]\d+)?)?)?"
+    r"(?:(Z)|([+-])([01]\d|2[0-3])(?::?([0-5]\d))?)?$"
 )
-# A UTC offset at the end of an ISO date-time.
-ZONE_SUFFIX_PATTERN = r"[+-]\d{2}:\d{2}$"
 # Calendar date accepted by the %Y-%m-%d branch (month/day may be unpadded;
 # a day may be written with a leading blank).
 YMD_PATTERN = r"^(\d{4})-(1[0-2]|0[1-9]|[1-9])-(3[01]|[12]\d|0[1-9]|[1-9]| [1-9])$"
@@ -69,49 +67,38 @@ def strip_ws_sql(x: str) -> str:
 # ---------------------------------------------------------------------------
 # Event dates
 # ---------------------------------------------------------------------------
+def let_sql(name: str, value: str, body: str) -> str:
+    """SQL of ``body`` with ``name`` standing for ``value``, which is evaluated once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
 def parse_event_date_sql(x: str) -> str:
     """Event-date text -> DATE.
 
     * NULL / '' -> NULL; surrounding whitespace removed; trailing 'Z' = UTC.
     * Text containing 'T' must be an ISO date-time; zoned values are moved to
       UTC before the calendar day is taken, naive values keep their wall-clock
-      day (independent of the session time zone).  Hour-only and minute-only
-      times are padded first.
+      day (independent of the session time zone).
     * Otherwise the first 10 characters must be a %Y-%m-%d calendar date.
     * Anything else, including impossible days, is NULL.
+
+    One pattern takes a date-time apart: day, hour, minute, Z, and the offset's
+    sign, hours and minutes.  The UTC day is the written one moved by whole days
+    of the minutes since its midnight, less the offset.
     """
-    s = f"regexp_replace({strip_ws_sql(f'cast({x} as string)')}, 'Z$', '+00:00')"
-    # ISO variants Python also reads: ',' before the fraction, +hhmm and +hh
-    # offsets; rewritten to the extended form before validation.
-    # (any other comma fails the pattern check either way)
-    t = f"replace({s}, ',', '.')"
-    t = f"regexp_replace({t}, {lit_sql(r'([+-]\d{2})(\d{2})$')}, '$1:$2')"
-    t = f"regexp_replace({t}, {lit_sql(r'([+-]\d{2})$')}, '$1:00')"
-    iso = f"regexp_replace({t}, {lit_sql(r'T(\d{2})(?=$|[+-])')}, 'T$1:00')"
-    iso = f"regexp_replace({iso}, {lit_sql(r'T(\d{2}:\d{2})(?=$|[+-])')}, 'T$1:00')"
-    # fractions past microseconds are truncated, as Python does
-    iso = f"regexp_replace({iso}, {lit_sql(r'(\.\d{6})\d+')}, '$1')"
-    head = f"substring({s}, 1, 10)"
-    ymd = lit_sql(YMD_PATTERN)
-    day = (
-        f"concat_ws('-', regexp_extract({head}, {ymd}, 1), "
-        f"lpad(trim(regexp_extract({head}, {ymd}, 2)), 2, '0'), "
-        f"lpad(trim(regexp_extract({head}, {ymd}, 3)), 2, '0'))"
+    minutes = "(cast(concat('0', p[1]) as int) * 60 + cast(concat('0', p[2]) as int))"
+    offset = "(cast(concat('0', p[5]) as int) * 60 + cast(concat('0', p[6]) as int))"
+    moved = f"cast(floor(({minutes} - if(p[4] = '-', -1, 1) * {offset}) / 1440) as int)"
+    zoned = let_sql(
+        "p", f"split(regexp_replace(s, {lit_sql(ISO_DATETIME_PATTERN)}, '$1|$2|$3|$4|$5|$6|$7'), '[|]')",
+        f"case when size(p) = 7 then date_add(try_cast(p[0] as date), {moved}) end",
     )
-    # zoned: the UTC calendar day of the instant; naive: the wall-clock day.
-    # Neither depends on the session time zone.
-    utc_day = (
-        f"date_from_unix_date(cast(floor(unix_micros(try_cast({iso} as timestamp)) "
-        "/ 86400000000D) as int))"
-    )
-    naive_day = f"cast(try_cast({iso} as timestamp_ntz) as date)"
-    return (
-        f"case when {s} is null or {s} = '' then null "
-        f"when contains({s}, 'T') then case when {t} rlike {lit_sql(ISO_DATETIME_PATTERN)} "
-        f"then case when {t} rlike {lit_sql(ZONE_SUFFIX_PATTERN)} then {utc_day} "
-        f"else {naive_day} end end "
-        f"when {head} rlike {ymd} then try_cast({day} as date) end"
+    plain = let_sql(
+        "h", "substring(s, 1, 10)",
+        f"case when h rlike {lit_sql(YMD_PATTERN)} then try_cast(replace(h, ' ', '') as date) end",
     )
+    body = f"case when s is null or s = '' then null when contains(s, 'T') then {zoned} else {plain} end"
+    return let_sql("s", strip_ws_sql(f"cast({x} as string)"), body)
 
 
 # ---------------------------------------------------------------------------
