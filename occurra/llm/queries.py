@@ -87,6 +87,57 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.fixity(damaged(_table(spark, sf_dir, "pages")))
 
 
+_OP1_SQL = f"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '{CONTROL}' union all select -1, 1, 'assistant', '{CONTROL}'),
+marked as (
+  select *, length(regexp_replace(replace(replace(role, '\\', '\\\\'), chr(10), '\\n'), '<(\\\\*)\\|', '<\\1\\\\|', 'g'))
+    + length(regexp_replace(text, '<(\\\\*)\\|', '<\\1\\\\|', 'g'))
+    + {len(chat.START) + len(chat.END) + 2} as chars from turns)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (where role = '{chat.LOSS_ROLE}'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn) filter (where role = '{chat.LOSS_ROLE}'), '')) as loss_sha256,
+  cast(sum(chars) as bigint) as formatted_chars
+from marked group by conv_id"""
+
+_OP4_SQL = """
+with recursive valid as (
+  select vec_id, label, embedding::double[] as v from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(embedding) > 0
+    and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
+    and list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+links as (
+  select a.vec_id as a, b.vec_id as b from valid a join valid b on a.label = b.label and a.vec_id <> b.vec_id
+  where len(a.v) = len(b.v) and list_cosine_similarity(a.v, b.v) >= 0.93),
+reach as (
+  select vec_id as a, vec_id as b from embeddings
+  union select r.a, l.b from reach r join links l on r.b = l.a),
+least as (select a as vec_id, min(b) as component_id from reach group by a)
+select e.vec_id, (select count(*) from links l where l.a = e.vec_id) as n_links, component_id,
+  e.vec_id = component_id as kept
+from embeddings e join least using (vec_id)"""
+
+_OP7_SQL = """
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') as w from documents),
+sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as s from words),
+items as (select doc_id, len(s) as n, unnest(s) as x from sets),
+links as (
+  select a, b from (
+    select a.doc_id as a, b.doc_id as b, a.n as n, b.n as m, count(*) as shared
+    from items a join items b on a.x = b.x and a.doc_id <> b.doc_id group by all)
+  where 100 * shared >= 80 * (n + m - shared)),
+reach as (
+  select doc_id as a, doc_id as b from sets
+  union select r.a, l.b from reach r join links l on r.b = l.a)
+select doc_id, len(s) as n_shingles, component_id
+from sets join (select a as doc_id, min(b) as component_id from reach group by a) using (doc_id)"""
+
 _OP8_SQL = f"""
 with records as (
   select page_id, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
@@ -136,4 +187,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_warc": _OP8_SQL}
+    """SQL where it can say the same; checksums, tokenizers, learned models and trees it can't."""
+    return {"op1_chat": _OP1_SQL, "op4_cosine": _OP4_SQL, "op7_jaccard": _OP7_SQL, "op8_warc": _OP8_SQL}
