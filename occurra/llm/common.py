@@ -179,6 +179,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if mark is not None and tuple(now) == mark and now[0] == now[1]:
             break
         mark = tuple(now)
+    else:
+        raise RuntimeError(f"components still change after {max_rounds} rounds")
     stars = e.select(F.col("u").alias("id"), F.col("v").alias("component"))
     roots = stars.select(F.col("component").alias("id"), "component").distinct()
     return stars.unionByName(roots)

@@ -253,8 +253,12 @@ def _gaps(rows: np.ndarray, mine: np.ndarray) -> np.ndarray:
     k = min(rows.shape[1], len(mine))
     if not k:
         return np.zeros(len(rows), np.int64)
-    folded = rows.reshape(len(rows), -1, k).sum(axis=1, dtype=np.int32)
-    return np.abs(folded - mine.reshape(-1, k).sum(axis=0, dtype=np.int32)).sum(axis=1)
+    mine, out = mine.reshape(-1, k).sum(axis=0, dtype=np.int32), []
+    step = max(1, (4 << 20) // rows.shape[1])  # bounds what is unpacked at once
+    for a in range(0, len(rows), step):
+        folded = rows[a : a + step].reshape(-1, rows.shape[1] // k, k).sum(axis=1, dtype=np.int32)
+        out.append(np.abs(folded - mine).sum(axis=1))
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
 def _window(forest: Forest, cls: list[int], n: np.ndarray, profiles: list[bytes]) -> Iterator[tuple[int, int]]:

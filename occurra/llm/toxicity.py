@@ -269,7 +269,7 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
     return Model(lexicon, logistic.fit(x, np.array([r["y"] for r in rows], float), PRIOR, 0.2))
 
 
-@functools.cache
+@functools.lru_cache(maxsize=1)
 def _machine(lexicon: tuple) -> tuple[Symbols, Grammar]:
     return Symbols(dict(lexicon)), Grammar()
 
