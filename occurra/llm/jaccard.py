@@ -24,6 +24,7 @@ data stay in Spark; the sketches that reach the driver have a fixed size.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import zlib
 from collections.abc import Iterator
@@ -48,6 +49,7 @@ BLOCK_BITS = 14  # cells in one row of a sketch
 REMEMBERED = 500_000  # classes a task remembers to have written
 LONG = 1 << 20  # rows of a region that a task waits for
 RUN = 4096  # sets of one step-1 region in a task
+ROUNDS = 4  # pivots that thin out larger ones before they are tiled
 REGION = 4 << 20  # shingles of one step-2 region in a task
 PIVOTS = 8
 SMALL = 48
@@ -261,13 +263,18 @@ def _gaps(rows: np.ndarray, mine: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-def _window(forest: Forest, cls: list[int], n: np.ndarray, profiles: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Links that hold a region's neighbours together, unless the forest has them."""
+def _window(
+    forest: Forest, cls: list[int], comp: list[int], n: np.ndarray, profiles: list[bytes]
+) -> Iterator[tuple[int, int]]:
+    """Links that hold a region's neighbours together, unless the forest has them.
+
+    Sets of one ``comp`` are linked already and needn't meet.
+    """
     roots: dict[int, int] = {}
     order = np.argsort(n, kind="stable")
-    n, cls = n[order], [cls[i] for i in order]
-    part = np.array([roots.setdefault(forest.root(c), len(roots)) for c in cls])
-    if len(roots) == 1:
+    n, cls, comp = n[order], [cls[i] for i in order], np.array(comp)[order]
+    tree = np.array([roots.setdefault(forest.root(c), len(roots)) for c in cls])
+    if len(roots) == 1 or (comp == comp[0]).all():
         return
     vecs = [np.frombuffer(profiles[i], np.uint8) for i in order]
     upper = np.searchsorted(n, n * 100 // PERCENT, side="right")
@@ -276,16 +283,16 @@ def _window(forest: Forest, cls: list[int], n: np.ndarray, profiles: list[bytes]
     for i in range(len(cls)):
         for at, rows in tables.values():
             lo, hi = np.searchsorted(at, [i + 1, upper[i]])
-            rest = np.flatnonzero(part[at[lo:hi]] != part[i]) + lo
+            rest = np.flatnonzero((tree[at[lo:hi]] != tree[i]) & (comp[at[lo:hi]] != comp[i])) + lo
             if not len(rest):
                 continue
             near = _gaps(rows[rest], vecs[i])
             rest = at[rest]
             # within the radius the symmetric difference is at most (1-t)/(1+t) of both sizes
             for j in rest[near * (100 + PERCENT) <= (n[rest] + n[i]) * (100 - PERCENT)].tolist():
-                if part[j] != part[i]:
+                if tree[j] != tree[i]:
                     forest.join(cls[i], cls[j])
-                    part[part == part[j]] = part[i]
+                    tree[tree == tree[j]] = tree[i]
                     yield cls[i], cls[j]
 
 
@@ -296,11 +303,12 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flush():
         if len(rows) < 2:
             return []
-        return list(_window(forest, [r[0] for r in rows], np.array([r[1] for r in rows]), [r[2] for r in rows]))
+        cls, comp, n, profiles = zip(*rows)
+        return list(_window(forest, list(cls), list(comp), np.array(n), list(profiles)))
 
     for batch in batches:
         links = []
-        for run, a, b, *row in zip(*(batch.column(i).to_pylist() for i in range(6))):
+        for run, a, b, *row in zip(*(batch.column(i).to_pylist() for i in range(7))):
             if (run, a, b) != now:
                 links += flush()
                 now, rows = (run, a, b), []
@@ -454,6 +462,75 @@ def _fetch(marks: bytes):
     return run
 
 
+def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cls, pivot, far, linked) of rows (cls, pivot, and both sets)."""
+    for batch in batches:
+        far, linked = [], []
+        for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            a, b = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+            both = len(np.intersect1d(a, b, assume_unique=True))
+            union = len(a) + len(b) - both
+            far.append(1 - both / union)
+            linked.append(100 * both >= PERCENT * union)
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(far, pa.float64()), pa.array(linked, pa.bool_())],
+                              names=["cls", "pivot", "far", "linked"])
+
+
+class Corpus:
+    """The documents with their signatures; gives the whole sets of chosen classes."""
+
+    def __init__(self, rows: DataFrame, documents: DataFrame) -> None:
+        self.keyed = rows.select(_key(F.col("doc_id")).alias("key"), "text")
+        self.keys = documents.where("cls is not null").groupBy("cls").agg(F.min(_key(F.col("doc_id"))).alias("key"))
+
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """(cls, shingles) of the classes in ``wanted`` (cls); a class may come more than once.
+
+        Texts are read again; which to look at is told by a bitmap of fixed size
+        over the classes' first documents, so no text is shuffled.
+        """
+        blocks = wanted.join(self.keys, "cls").select("key").mapInArrow(_mark, "block int, cells binary")
+        marks = np.packbits(sum_blocks(blocks) > 0).tobytes()
+        found = self.keyed.mapInArrow(_fetch(marks), "cls long, shingles binary")
+        return found.join(wanted, "cls", "left_semi")
+
+
+def collapse(shared: DataFrame, corpus: Corpus) -> tuple[DataFrame, list[DataFrame]]:
+    """Regions of step 1 with more than ``RUN`` sets, thinned out round by round.
+
+    A round takes one set of each such region as its pivot and links the pivot's
+    ball to it.  With m the smallest distance to the pivot beyond the ball, sets
+    of the ball nearer than m less the radius can't be linked to any set outside
+    (triangle inequality) and leave the region, as does the pivot.  A region
+    that is one ball is done after one round, whatever its size; what is left
+    after ``ROUNDS`` rounds is compared tile by tile.  Returns (run, cls) and the
+    links (u, v) found.
+    """
+    radius, links, kept_sets = (100 - PERCENT) / 100, [], None
+    for _ in range(ROUNDS):
+        sizes = shared.groupBy("run").agg(F.count("*").alias("count"), F.min("cls").alias("pivot"))
+        long = cut(sizes.where(F.col("count") > RUN).select("run", "pivot"))
+        if long.isEmpty():
+            break
+        rows = cut(shared.join(long, "run").where("cls <> pivot"))
+        if kept_sets is None:
+            both = rows.select("cls").unionByName(long.select(F.col("pivot").alias("cls"))).distinct()
+            kept_sets = cut(corpus.sets(cut(both)).groupBy("cls").agg(F.first("shingles").alias("shingles")))
+        pivots = kept_sets.select(F.col("cls").alias("pivot"), F.col("shingles").alias("other"))
+        pairs = rows.select("cls", "pivot").distinct().join(kept_sets, "cls").join(pivots, "pivot")
+        near = cut(pairs.select("cls", "pivot", "shingles", "other").mapInArrow(
+            _distances, "cls long, pivot long, far double, linked boolean"))
+        links.append(near.where("linked").select(F.col("cls").alias("u"), F.col("pivot").alias("v")))
+        seen = rows.join(near, ["cls", "pivot"])
+        beyond = seen.where("not linked").groupBy("run").agg(F.min("far").alias("beyond"))
+        left = seen.join(beyond, "run", "left").where(
+            ~F.col("linked") | (F.col("far") >= F.col("beyond") - F.lit(radius + 1e-9))
+        )
+        short = shared.join(long.select("run"), "run", "left_anti")
+        shared = cut(short.unionByName(left.select("run", "cls")))
+    return shared, links
+
+
 def components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text).
 
@@ -479,30 +556,32 @@ def components(docs: DataFrame) -> DataFrame:
 
     posts = rows.select("text").mapInArrow(_post(np.packbits(marks).tobytes()), "h long, cls long")
     runs = posts.repartition("h").sortWithinPartitions("h", "cls").mapInArrow(_shared, "run long, cls long")
-    shared = cut(runs.distinct())
+    corpus = Corpus(rows, documents)
+    shared, links = collapse(cut(runs.distinct()), corpus)
     classes = signed.where("cls is not null").groupBy("cls").agg(
         F.first("n").alias("n"), F.first("profile").alias("profile")
     )
+    if links:
+        balls = connected_components(functools.reduce(DataFrame.unionByName, links)).toDF("cls", "comp")
+        shared = shared.join(balls, "cls", "left").select("run", "cls", F.coalesce("comp", "cls").alias("comp"))
+    else:
+        shared = shared.select("run", "cls", F.col("cls").alias("comp"))
+
     long_runs = shared.groupBy("run").count().where(F.col("count") > RUN).select(
         "run", F.ceil(F.col("count") / RUN).cast("int").alias("tiles")
     )
-    runs = _tiled(shared, long_runs, "run").select("run", "a", "b", "cls").join(classes, "cls")
-    runs = runs.select("run", "a", "b", "cls", "n", "profile").repartition("run", "a", "b")
+    runs = _tiled(shared, long_runs, "run").select("run", "a", "b", "cls", "comp").join(classes, "cls")
+    runs = runs.select("run", "a", "b", "cls", "comp", "n", "profile").repartition("run", "a", "b")
     near = runs.sortWithinPartitions("run", "a", "b").mapInArrow(_neighbours, "u long, v long")
     regions = cut(connected_components(near).toDF("cls", "region"))
 
-    wanted = regions.join(
-        documents.where("cls is not null").groupBy("cls").agg(F.min(_key(F.col("doc_id"))).alias("key")), "cls"
-    )
-    held = sum_blocks(wanted.select("key").mapInArrow(_mark, "block int, cells binary"))
-    keyed = rows.select(_key(F.col("doc_id")).alias("key"), "text")
-    sets = keyed.mapInArrow(_fetch(np.packbits(held > 0).tobytes()), "cls long, shingles binary")
-    sets = sets.join(regions, "cls")
+    sets = corpus.sets(regions.select("cls")).join(regions, "cls")
     total = regions.join(classes.select("cls", "n"), "cls").groupBy("region").agg(F.sum("n").alias("n"))
     large = total.where(F.col("n") > REGION).select("region", F.ceil(F.col("n") / REGION).cast("int").alias("tiles"))
     dealt = _tiled(sets, large, "region").select("region", "a", "b", "cls", "shingles")
     dealt = dealt.repartition("region", "a", "b").sortWithinPartitions("region", "a", "b", "cls")
-    linked = connected_components(dealt.mapInArrow(_join_regions, "u long, v long")).toDF("cls", "root")
+    links.append(dealt.mapInArrow(_join_regions, "u long, v long"))
+    linked = connected_components(functools.reduce(DataFrame.unionByName, links)).toDF("cls", "root")
 
     grouped = documents.where("cls is not null").join(linked, "cls", "left")
     grouped = grouped.select("doc_id", "n", F.coalesce("root", "cls").alias("root"))

@@ -89,7 +89,9 @@ def test_jaccard_components_match_brute_force(spark, corpus, monkeypatch):
     monkeypatch.setattr(jaccard, "RUN", 6)
     monkeypatch.setattr(jaccard, "REGION", 300)
     monkeypatch.setattr(jaccard, "crowded_cells", lambda c: np.zeros(len(c), bool))
-    assert Counter(map(tuple, jaccard.components(df).collect())) == want
+    for rounds in (0, 3):  # by tiles alone, and thinned out by pivots first
+        monkeypatch.setattr(jaccard, "ROUNDS", rounds)
+        assert Counter(map(tuple, jaccard.components(df).collect())) == want
     assert jaccard.components(df.limit(0)).count() == 0
 
 
@@ -331,3 +333,23 @@ def test_pipeline_stages(spark, tmp_path):
     assert all(c == d for d, _, c in jaccard_brute(kept))
     packed = corpus_pipeline.STAGES[-1][1](spark, left, "/root/testdata/sf0.01")
     assert packed.select("doc_id").distinct().count() == len(kept)
+
+
+def test_one_ball_is_done_after_one_round(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "RUN", 40)
+    seen = []
+    plain = jaccard.collapse
+
+    def watched(shared, corpus):
+        out = plain(shared, corpus)
+        seen.append((shared.count(), out[0].count(), len(out[1]), out[1][0].count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "collapse", watched)
+    base = [f"w{i}" for i in range(120)]
+    texts = [" ".join(base + [f"end{k}"]) for k in range(300)] + [" ".join(base[:60] + [f"x{k}" for k in range(60)])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.components(df).collect()}
+    assert got == {i: 0 if i < 300 else 300 for i in range(301)}
+    ((before, after, rounds, links),) = seen
+    assert before >= 300 and after <= before / 100 and rounds == 1 and links >= 299
