@@ -26,7 +26,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from occurra.llm.common import prepare, texts
+from occurra.llm.common import cut, prepare, texts
 from occurra.llm.tokens import byte_chars, default_path
 
 #: Words in the lexicon; bounds what the driver compiles and every worker maps.
@@ -75,7 +75,7 @@ class WordBPE:
         size = self.lib.get_vocab_size(with_added_tokens=True)
         self.token = [(self.lib.id_to_token(i) or "").encode() for i in range(size)]
 
-    def split(self, text: str) -> Iterator[tuple[str | None, list[bytes]]]:
+    def split(self, text: str) -> Iterator[tuple[str | None, list[str]]]:
         """Parts of the text: a special string, or the words between."""
         for part in self.cut.split(text) if "<|" in text else [text]:
             if part in self.specials:
@@ -83,17 +83,16 @@ class WordBPE:
             elif part:
                 yield None, self.words(part)
 
-    def words(self, text: str) -> list[bytes]:
+    def words(self, text: str) -> list[str]:
         if _PLAIN.match(text):  # composed already, and lower-cased alike
-            return [w.encode() for w in _pattern().findall(text.lower())]
+            return _pattern().findall(text.lower())
         clean = self.lib.normalizer.normalize_str(text)
-        return [
-            bytes(self.back[c] for c in w) for w, _ in self.lib.pre_tokenizer.pre_tokenize_str(clean)
-        ]
+        parts = self.lib.pre_tokenizer.pre_tokenize_str(clean)
+        return [bytes(map(self.back.__getitem__, w)).decode() for w, _ in parts]
 
-    def merge(self, word: bytes) -> bytes:
+    def merge(self, word: str) -> bytes:
         """Ids of one word, merged exactly."""
-        chars = "".join(map(self.to_char.__getitem__, word))
+        chars = word if word.isascii() and word.isprintable() else "".join(map(self.to_char.__getitem__, word.encode()))
         return np.array([t.id for t in self.lib.model.tokenize(chars)], "<u4").tobytes()
 
     def decode(self, ids: bytes) -> bytes:
@@ -222,20 +221,20 @@ class Lexicon:
         return found
 
 
-@functools.cache
+@functools.lru_cache(maxsize=1)
 def _lexicon(name: str) -> Lexicon:
     return Lexicon(SparkFiles.get(name))
 
 
 def word_counts(docs: DataFrame, path: str) -> DataFrame:
-    """(word binary, n long) over all texts of ``docs`` (doc_id, text)."""
+    """(word string, n long) over all texts of ``docs`` (doc_id, text)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, seen = word_bpe(path), Counter()
 
         def out():
             return pa.record_batch(
-                [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"]
+                [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"]
             )
 
         for batch in batches:
@@ -247,15 +246,24 @@ def word_counts(docs: DataFrame, path: str) -> DataFrame:
                 seen = Counter()
         yield out()
 
-    return docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def fit_lexicon(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> str:
-    """Compile the ``words`` most frequent words; returns the shipped file's name."""
+    """Compile the most frequent words, ``words`` at most; returns the shipped file's name."""
     spark: SparkSession = docs.sparkSession
-    top = word_counts(docs, path).where(F.length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(words)
+    # words by how often they are met, in steps of a sixteenth of a doubling; the most frequent steps that fit
+    counts = word_counts(docs, path).where((F.octet_length("word") <= LONGEST) & (F.col("n") > 1))
+    counts = cut(counts.withColumn("step", F.floor(F.log2("n") * 16)))
+    least, total = None, 0
+    for r in sorted(counts.groupBy("step").count().collect(), key=lambda r: -r["step"]):
+        total += r["count"]
+        if total > words:
+            break
+        least = r["step"]
+    top = [] if least is None else counts.where(F.col("step") >= least).select("word").collect()
     bpe = word_bpe(path)
-    arrays = compile_words({bytes(r[0]): bpe.merge(bytes(r[0])) for r in top.select("word").collect()})
+    arrays = compile_words({r[0].encode(): bpe.merge(r[0]) for r in top})
     folder = tempfile.mkdtemp(prefix="lexicon-")
     draft = os.path.join(folder, "draft")
     Lexicon.write(arrays, draft)
@@ -271,19 +279,20 @@ class Encoder:
     """Words' ids, remembered up to a bound; new words by automaton, else merged."""
 
     def __init__(self, path: str, lexicon: str | None) -> None:
-        self.bpe, self.lexicon, self.known = word_bpe(path), lexicon, {}
+        self.bpe, self.lexicon = word_bpe(path), lexicon
+        self.known: dict[str, bytes] = {}
 
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.known]
+    def learn(self, words: set[str]) -> None:
+        new = list(words - self.known.keys())
         if len(self.known) + len(new) > REMEMBERED:
             self.known, new = {}, list(words)
-        hits = _lexicon(self.lexicon).find(new) if self.lexicon else [None] * len(new)
+        hits = _lexicon(self.lexicon).find([w.encode() for w in new]) if self.lexicon else [None] * len(new)
         for w, ids in zip(new, hits):
             self.known[w] = self.bpe.merge(w) if ids is None else ids
 
     def encode(self, batch: list[str]) -> Iterator[bytes]:
         parts = [list(self.bpe.split(t)) for t in batch]
-        self.learn({w for p in parts for _, words in p for w in words})
+        self.learn(set().union(*(words for p in parts for _, words in p)))
         get = self.known.__getitem__
         for p in parts:
             yield b"".join(
@@ -292,7 +301,7 @@ class Encoder:
             )
 
 
-@functools.cache
+@functools.lru_cache(maxsize=1)
 def _encoder(path: str, lexicon: str | None) -> Encoder:
     return Encoder(path, lexicon)
 
