@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 from occurra.llm.common import Forest, connected_components, cut, pick, prepare
 from occurra.llm.ordering import numbered, ordered
 
-TILE = 512
+TILE = 2048
 BLOCK = 16  # dimensions added between two looks at the bound
 AXES = 8  # leading axes whose ranges are kept for every tile
 SLACK = 1e-9  # above the rounding error of sums in another order
