@@ -21,6 +21,7 @@ def _search(**kw):
     return tuple(base[f.name] for f in SEARCH_RECORD_SCHEMA.fields)
 
 
+# fixed values: golden rows of the rules
 def test_search_record_golden(spark):
     df = _records(spark, [_search(
         gbifID="42", key=42, eventDate="2020-01-02", species="Turdus merula",
