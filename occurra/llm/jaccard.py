@@ -51,6 +51,7 @@ LONG = 1 << 20  # rows of a region that a task waits for
 RUN = 4096  # sets of one step-1 region in a task
 ROUNDS = 4  # pivots that thin out larger ones before they are tiled
 REGION = 4 << 20  # shingles of one step-2 region in a task
+BROADCAST = 10_000  # large groups that are broadcast at most
 PIVOTS = 8
 SMALL = 48
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -321,8 +322,13 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tiled(rows: DataFrame, sizes: DataFrame, key: str) -> DataFrame:
-    """Rows with (a, b): groups that ``sizes`` splits into ``tiles`` are dealt out as all pairs of tiles."""
-    rows = rows.join(sizes, key, "left")
+    """Rows with (a, b): groups that ``sizes`` splits into ``tiles`` are dealt out as all pairs of tiles.
+
+    ``sizes`` has the large groups only; it is broadcast if it is small.
+    """
+    sizes = cut(sizes)
+    few = sizes.limit(BROADCAST + 1).count() <= BROADCAST
+    rows = rows.join(F.broadcast(sizes) if few else sizes, key, "left")
     tiles = F.coalesce("tiles", F.lit(1)).cast("int")
     own = F.pmod(F.xxhash64("cls"), tiles).cast("int")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
@@ -585,7 +591,8 @@ def components(docs: DataFrame) -> DataFrame:
 
     grouped = documents.where("cls is not null").join(linked, "cls", "left")
     grouped = grouped.select("doc_id", "n", F.coalesce("root", "cls").alias("root"))
-    first = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # kept apart, so that Spark can split the join where a component has very many documents
+    first = cut(grouped.groupBy("root").agg(F.min("doc_id").alias("component_id")))
     alone = documents.where("cls is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     out = grouped.join(first, "root").select("doc_id", "n", "component_id").unionByName(alone)
     return out.withColumnRenamed("n", "n_shingles")
