@@ -172,7 +172,7 @@ class Lexicon:
             head = json.loads(f.readline())
             base = f.tell()
         for name, kind, at, n in head:
-            part = np.memmap(file, kind, "r", base + at, (n,)) if n else np.zeros(0, kind)
+            part = np.asarray(np.memmap(file, kind, "r", base + at, (n,))) if n else np.zeros(0, kind)
             setattr(self, name, part)
 
     @staticmethod
