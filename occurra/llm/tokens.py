@@ -39,11 +39,8 @@ class ByteBPE:
     def __init__(self, path: str) -> None:
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.lib = Tokenizer.from_file(path)
-        self.lib.no_truncation()
-        self.lib.no_padding()
+        self.path = path
         spec = json.load(open(path, encoding="utf-8"))
         vocab, back = spec["model"]["vocab"], byte_chars()
         self.specials = [t["content"] for t in spec["added_tokens"]]
@@ -63,6 +60,16 @@ class ByteBPE:
         for t in spec["added_tokens"]:
             self.bytes_of[t["id"]] = t["content"].encode()
 
+    @functools.cached_property
+    def lib(self):
+        """The tokenizers library's own encoder, loaded for the first text that needs it."""
+        from tokenizers import Tokenizer
+
+        lib = Tokenizer.from_file(self.path)
+        lib.no_truncation()
+        lib.no_padding()
+        return lib
+
     def ids(self, text: str, specials: bool = True) -> np.ndarray:
         """Ids of ``text``; with ``specials``, special strings in it become their ids."""
         held = any(s in text for s in self.specials)

@@ -35,6 +35,8 @@ from occurra.llm.common import cut, pick, place_of, positional, prepare, texts
 SAMPLE = 8000
 #: Entries of the lexicon.
 ENTRIES = 2000
+#: Words a worker remembers.
+REMEMBERED = 100_000
 CONTEXTS = 6  # different words before an entry, in toxic texts
 STEMS = (4, 5, 6)  # lengths of word beginnings that can be entries
 LEAST_WEIGHT = 1.5
@@ -132,7 +134,7 @@ class Symbols(dict):
         entries = [self.lexicon.get(e, 0.0) for e in features(word)]
         best = max(entries)
         got = (INSULT, best) if best > 0 else (_LISTS[word], 1.0) if word in _LISTS else (OTHER, 0.0)
-        if len(self) > 300_000:
+        if len(self) > REMEMBERED:
             self.clear()
             self.update({c: (END, 0.0) for c in ".!?;\n"})
         self[word] = got

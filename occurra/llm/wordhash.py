@@ -13,7 +13,7 @@ import numpy as np
 
 from occurra.llm.common import mix64
 
-PIECE = 2 << 20  # bytes of text hashed at once
+PIECE = 1 << 19  # bytes of text hashed at once
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
