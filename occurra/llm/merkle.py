@@ -8,15 +8,17 @@ the hash of a paragraph's bytes, a section's digest is taken over its leaves,
 and the root over the sections.
 
 The fingerprint is a string that holds the tree: the root, then each section's
-digest with its leaves.  Equal roots are equal texts; else only sections that
-differ need a look at their leaves.
+digest with its leaves.  Equal roots are equal texts; else the sections are
+aligned in order, and only leaves between the aligned ones are looked at.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -28,17 +30,19 @@ from occurra.llm.wordhash import PIECE, SPACE, Ranges, pieces
 
 WORDS_PER_LEAF = 4
 LEAVES_PER_SECTION = 32
-LEAF_HEX = 6
+LEAF_HEX = 16
 SECTION_HEX = 16
+HELD = 1 << 28  # bits of an alignment's table held at once; larger ones are halved
+HALVED = 1 << 36  # up to here at the best place, above in the middle of both
 
 
-def _leaves(raws: list[bytes]) -> list[np.ndarray]:
-    """Leaf hashes of each of some byte strings."""
+def _leaves(raws: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Leaf hashes of each of some byte strings, and the bytes before each leaf."""
     raw = b"".join(raws)
     ends_at = np.cumsum([len(r) for r in raws])
     starts_at = np.concatenate([[0], ends_at[:-1]]).astype(np.int64)
     if not raw:
-        return [np.zeros(0, np.uint64) for _ in raws]
+        return [(np.zeros(0, np.uint64), np.zeros(0, np.int64)) for _ in raws]
     ranges = Ranges(raw)
     gap = SPACE[ranges.arr]
     edge = np.zeros(len(raw) + 1, bool)
@@ -57,7 +61,8 @@ def _leaves(raws: list[bytes]) -> list[np.ndarray]:
     finish = np.concatenate([begin[1:], [len(raw)]])
     hashes = ranges.hash(begin, finish)
     at = np.searchsorted(begin, np.concatenate([starts_at, [len(raw)]]))
-    return [hashes[at[i] : at[i + 1]] if ends_at[i] > starts_at[i] else hashes[:0] for i in range(len(raws))]
+    own = [slice(at[i], at[i + 1] if ends_at[i] > starts_at[i] else at[i]) for i in range(len(raws))]
+    return [(hashes[o], begin[o] - a) for o, a in zip(own, starts_at)]
 
 
 def _tree(leaves: np.ndarray) -> str:
@@ -71,14 +76,19 @@ def _tree(leaves: np.ndarray) -> str:
         for a, b in zip([0, *ends], [*ends, len(leaves)]):
             digest = hashlib.blake2b(words[8 * a : 8 * b], digest_size=SECTION_HEX // 2).hexdigest()
             root.update(bytes.fromhex(digest))
-            parts.append(digest + "".join([brief[16 * i : 16 * i + LEAF_HEX] for i in range(a, b)]))
+            parts.append(digest + brief[LEAF_HEX * a : LEAF_HEX * b])
     return root.hexdigest() + "/" + ".".join(parts)
 
 
 def fingerprints(values: list[str]) -> list[str]:
     """The fingerprint of each text."""
+    return [f for f, _ in trees(values)]
+
+
+def trees(values: list[str]) -> list[tuple[str, np.ndarray]]:
+    """The fingerprint of each text, and the bytes of UTF-8 before each leaf."""
     raws = [v.encode("utf-8", "surrogatepass") for v in values]
-    out: list[str] = []
+    out: list[tuple[str, np.ndarray]] = []
     i = 0
     while i < len(raws):
         j, size = i, 0
@@ -86,9 +96,13 @@ def fingerprints(values: list[str]) -> list[str]:
             size += len(raws[j])
             j += 1
         if size > PIECE:
-            out.append(_tree(np.concatenate([_leaves([p])[0] for p in pieces(raws[i])])))
+            cut = pieces(raws[i])
+            before = accumulate(map(len, cut), initial=0)
+            got = [(h, s + n) for n, p in zip(before, cut) for h, s in _leaves([p])]
+            hashes, starts = map(np.concatenate, zip(*got))
+            out.append((_tree(hashes), starts))
         else:
-            out += map(_tree, _leaves(raws[i:j]))
+            out += [(_tree(h), s) for h, s in _leaves(raws[i:j])]
         i = j
     return out
 
@@ -130,20 +144,150 @@ def likeness(a: str, b: str) -> float:
     return min(2 * shared / total, 1.0) if total else 0.0
 
 
-def locate(a: str, b: str) -> list[tuple[str, int, int]]:
-    """Where two texts differ: ("a" or "b", section, leaf) of leaves the other lacks."""
-    out = []
+def _table(x: list[str], y: list[str]) -> Iterator[int]:
+    """For each beginning of ``x``, bits that are 0 where one more of ``y`` makes the longest common part longer."""
+    places = defaultdict(list)
+    for j, v in enumerate(y):
+        places[v].append(j)
+
+    def mask(v: str) -> int:
+        bits = bytearray(len(y) // 8 + 1)
+        for j in places.get(v, ()):
+            bits[j >> 3] |= 1 << (j & 7)
+        return int.from_bytes(bits, "little")
+
+    often = {v: mask(v) for v, at in places.items() if len(at) > 64}
+    row = full = (1 << len(y)) - 1
+    for v in x:
+        hit = row & (often[v] if v in often else mask(v))
+        row = ((row + hit) | (row - hit)) & full
+        yield row
+
+
+def _lengths(x: list[str], y: list[str]) -> np.ndarray:
+    """Length of the longest common part of ``x`` and each beginning of ``y``."""
+    row = 0
+    for row in _table(x, y):
+        pass
+    bits = np.frombuffer(row.to_bytes(len(y) // 8 + 1, "little"), np.uint8)
+    return np.concatenate([[0], np.cumsum(np.unpackbits(bits, bitorder="little")[: len(y)] == 0)])
+
+
+def _common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Places in both of a longest common part of two lists, its order kept.
+
+    Exact, except that what is left of equal ends and of values only one list
+    has is halved in the middle if it is above ``HALVED`` pairs: the part found
+    is still common, but another one may be longer.
+    """
+    x, y = list(range(len(a))), list(range(len(b)))
+    head: list[tuple[int, int]] = []
+    tail: list[tuple[int, int]] = []
+    for _ in range(8):  # each round may uncover equal ends
+        k, least = 0, min(len(x), len(y))
+        while k < least and a[x[k]] == b[y[k]]:
+            k += 1
+        head += zip(x[:k], y[:k])
+        x, y, k, least = x[k:], y[k:], 0, least - k
+        while k < least and a[x[-1 - k]] == b[y[-1 - k]]:
+            k += 1
+        if k:
+            tail += zip(x[: -k - 1 : -1], y[: -k - 1 : -1])
+            x, y = x[:-k], y[:-k]
+        both = {a[i] for i in x} & {b[j] for j in y}
+        size = len(x) + len(y)
+        x, y = [i for i in x if a[i] in both], [j for j in y if b[j] in both]
+        if not both or len(x) + len(y) == size:
+            break
+    if x and y:
+        u, v = [a[i] for i in x], [b[j] for j in y]
+        if len(u) == 1 or len(u) * len(v) <= HELD:
+            rows, found = list(_table(u, v)), []
+            i, j = len(u), len(v)
+            while i and j:
+                if rows[i - 1] >> (j - 1) & 1:
+                    j -= 1
+                else:
+                    i -= 1
+                    if not i or rows[i - 1] >> (j - 1) & 1:
+                        j -= 1
+                        found.append((x[i], y[j]))
+            head += reversed(found)
+        else:
+            i, j = len(u) // 2, len(v) // 2
+            if len(u) * len(v) <= HALVED:
+                j = int(np.argmax(_lengths(u[:i], v) + _lengths(u[:i - 1:-1], v[::-1])[::-1]))
+            head += [(x[p], y[q]) for p, q in _common(u[:i], v[:j])]
+            head += [(x[i + p], y[j + q]) for p, q in _common(u[i:], v[j:])]
+    return head + tail[::-1]
+
+
+def edits(a: str, b: str) -> list[tuple[int, int, int, int]]:
+    """(i, j, k, l) in order: leaves i to j of one text stand where leaves k to l of the other do.
+
+    All leaves outside are equal and in the same order, so a moved passage is
+    one that goes and one that comes.  Sections are aligned first, then the
+    leaves of the sections between aligned ones.
+    """
+    out: list[tuple[int, int, int, int]] = []
     if a == b:
         return out
-    for name, mine, other in (("a", sections(a), sections(b)), ("b", sections(b), sections(a))):
-        known = {digest for digest, _ in other}
-        leaves = {leaf for digest, held in other for leaf in held}
-        for i, (digest, held) in enumerate(mine):
-            if digest not in known:
-                out += [(name, i, k) for k, leaf in enumerate(held) if leaf not in leaves]
+    left, right = ([s for s in f.partition("/")[2].split(".") if s] for f in (a, b))
+    split = lambda parts: [s[k : k + LEAF_HEX] for s in parts for k in range(SECTION_HEX, len(s), LEAF_HEX)]
+    i0 = j0 = n = m = 0
+    for i, j in [*_common(left, right), (len(left), len(right))]:
+        mine, other = split(left[i0:i]), split(right[j0:j])
+        k0 = l0 = 0
+        if mine or other:
+            for k, l in [*_common(mine, other), (len(mine), len(other))]:
+                if k > k0 or l > l0:
+                    out.append((n + k0, n + k, m + l0, m + l))
+                k0, l0 = k + 1, l + 1
+        same = (len(left[i]) - SECTION_HEX) // LEAF_HEX if i < len(left) else 0
+        i0, j0, n, m = i + 1, j + 1, n + len(mine) + same, m + len(other) + same
+    return out
+
+
+def locate(a: str, b: str) -> list[tuple[str, int, int]]:
+    """Where two texts differ: ("a" or "b", section, leaf) of leaves that aren't aligned with one of the other."""
+    out = []
+    found = edits(a, b)
+    for name, tree, side in (("a", a, 0), ("b", b, 2)):
+        before = list(accumulate((len(held) for _, held in sections(tree)), initial=0))
+        for span in found:
+            for n in range(span[side], span[side + 1]):
+                i = bisect_right(before, n) - 1
+                out.append((name, i, n - before[i]))
+    return out
+
+
+def _chars(text: str, starts: np.ndarray, leaves: list[int]) -> list[int]:
+    """Characters of ``text`` before each of some ascending leaves; their number stands for the end."""
+    at = [int(starts[n]) if n < len(starts) else -1 for n in leaves]
+    if text.isascii():
+        return [len(text) if n < 0 else n for n in at]
+    raw, out, done, seen = text.encode("utf-8", "surrogatepass"), [], 0, 0
+    for n in at:
+        if n < 0:
+            out.append(len(text))
+            continue
+        seen += len(raw[done:n].decode("utf-8", "surrogatepass"))
+        done = n
+        out.append(seen)
     return out
 
 
+Grown = tuple[str, str, np.ndarray]  # text, fingerprint, bytes before each leaf
+
+
+def spans(a: Grown, b: Grown) -> list[tuple[int, int, int, int]]:
+    """:func:`edits` in characters: put ``b``'s k to l for ``a``'s i to j throughout, and ``a`` becomes ``b``."""
+    found = edits(a[1], b[1])
+    mine = _chars(a[0], a[2], [n for e in found for n in e[:2]])
+    other = _chars(b[0], b[2], [n for e in found for n in e[2:]])
+    return list(zip(mine[::2], mine[1::2], other[::2], other[1::2]))
+
+
 def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fingerprint) of every whole text.
 
@@ -167,13 +311,29 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - k] + following[:k]
 
 
-COMPARED = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-            "near_edited double, near_next double")
+SPANS = "array<struct<start:bigint,end:bigint,other_start:bigint,other_end:bigint>>"
+COMPARED = {
+    "doc_id": "bigint", "n_chars": "bigint", "edited_sha256": "string", "fingerprint": "string",
+    "edited_fingerprint": "string", "near_edited": "double", "near_next": "double",
+    "edited_spans": SPANS, "next_spans": SPANS,
+}
+
+
+def _spans_array(rows: list[list[tuple[int, int, int, int]]]) -> pa.Array:
+    names = ["start", "end", "other_start", "other_end"]
+    flat = np.array([s for r in rows for s in r], np.int64).reshape(-1, 4)
+    ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+    held = pa.StructArray.from_arrays([pa.array(flat[:, k]) for k in range(4)], names)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), held)
 
 
 def compare_with_next(docs: DataFrame) -> DataFrame:
     """Every text's fingerprint against that of its edited text and of the next document.
 
+    ``edited_spans`` and ``next_spans`` are where the text differs from either:
+    its characters ``start`` to ``end`` stand for the other's ``other_start`` to
+    ``other_end`` (counted from 0, ends left out), see :func:`spans`.
+
     The next document is the one with the next id (null first, ties by text);
     the last one's is the first.  Texts are shuffled once, to the range of ids
     they lie in; the first document of a range also goes to the range before.
@@ -210,7 +370,6 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-        names = [f.split(" ")[0] for f in COMPARED.split(", ")]
         last, over = None, False
         for batch in batches:
             rows = []
@@ -218,17 +377,19 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
                 if not over:
                     rows.append((doc_id, text or "", guest))
                 over = over or guest == 1
-            prints = fingerprints([r[1] for r in rows])
-            line = ([last] if last else []) + [(*r[:2], p) for r, p in zip(rows, prints)]
-            pairs = list(zip(line, line[1:]))
-            changed = [edited(a[1], b[1]) for a, b in pairs]
+            grown = trees([r[1] for r in rows])
+            line = ([last] if last else []) + [(r[0], (r[1], *t)) for r, t in zip(rows, grown)]
+            pairs = [(doc_id, a, b) for (doc_id, a), (_, b) in zip(line, line[1:])]
+            changed = [edited(a[0], b[0]) for _, a, b in pairs]
             out = [
-                (a[0], len(a[1]), hashlib.sha256(e.encode("utf-8", "surrogatepass")).hexdigest(), a[2], f,
-                 likeness(a[2], f), likeness(a[2], b[2]))
-                for (a, b), e, f in zip(pairs, changed, fingerprints(changed))
+                (doc_id, len(a[0]), hashlib.sha256(e.encode("utf-8", "surrogatepass")).hexdigest(), a[1], t[0],
+                 likeness(a[1], t[0]), likeness(a[1], b[1]), spans(a, (e, *t)), spans(a, b))
+                for (doc_id, a, b), e, t in zip(pairs, changed, trees(changed))
             ]
             last = line[-1] if line else last
-            cols = list(zip(*out)) or [()] * 7
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+            cols = list(zip(*out)) or [()] * len(COMPARED)
+            arrays = [pa.array(c, k) for c, k in zip(cols, kinds)] + [_spans_array(c) for c in cols[len(kinds):]]
+            yield pa.record_batch(arrays, names=list(COMPARED))
 
-    return dealt.select("doc_id", "text", "guest").mapInArrow(run, COMPARED)
+    shape = ", ".join(f"{name} {kind}" for name, kind in COMPARED.items())
+    return dealt.select("doc_id", "text", "guest").mapInArrow(run, shape)

@@ -234,6 +234,66 @@ def test_fingerprints_of_long_texts_in_pieces(monkeypatch):
     assert one == two[::-1] and M.likeness(*one) < 0.01
 
 
+def put(a, b, found):
+    """``a`` with each span replaced by its part of ``b``."""
+    out, at = [], 0
+    for i, j, k, l in found:
+        out += [a[at:i], b[k:l]]
+        at = j
+    return "".join([*out, a[at:]])
+
+
+def common_brute(a, b):
+    """Length of the longest common subsequence by the textbook table."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+        row = new
+    return row[-1]
+
+
+@pytest.mark.parametrize("held,halved", [(1 << 28, 1 << 32), (40, 1 << 32)])
+def test_alignment_is_longest(monkeypatch, held, halved):
+    monkeypatch.setattr(merkle, "HELD", held)
+    monkeypatch.setattr(merkle, "HALVED", halved)
+    rng = random.Random(5)
+    for _ in range(400):
+        a, b = ([str(rng.randrange(rng.choice([2, 9, 40]))) for _ in range(rng.randrange(40))] for _ in "ab")
+        got = merkle._common(a, b)
+        assert all(a[i] == b[j] for i, j in got) and len(got) == common_brute(a, b)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(got, got[1:]))
+    monkeypatch.setattr(merkle, "HALVED", 40)
+    a, b = (rng.choices("xyz", k=300) for _ in "ab")
+    got = merkle._common(a, b)
+    assert all(a[i] == b[j] for i, j in got) and all(p[0] < q[0] and p[1] < q[1] for p, q in zip(got, got[1:]))
+
+
+def test_edits_of_repeated_and_moved_passages():
+    rng = random.Random(4)
+    grow = lambda text: (text, *merkle.trees([text])[0])
+    for n in range(150):
+        pool = [" ".join(f"wé{rng.randrange(40)}" for _ in range(rng.randrange(1, 30))) for _ in range(8)]
+        lines = [rng.choice(pool) for _ in range(rng.randrange(2, 60))]
+        other = list(lines)
+        i, j = rng.randrange(len(other)), rng.randrange(len(other) + 1)
+        if n % 3 == 0:
+            other.insert(j, other[i])
+        elif n % 3 == 1:
+            del other[i]
+        else:
+            other.insert(j, other.pop(i))
+        a, b = grow("\n".join(lines) + "\n"), grow("\n".join(other) + "\n")
+        found = merkle.spans(a, b)
+        assert put(a[0], b[0], found) == b[0] and bool(found) == (a[0] != b[0]) == bool(merkle.locate(a[1], b[1]))
+        moved = max(map(len, lines)) + 1
+        assert sum(j - i + l - k for i, j, k, l in found) <= 8 * moved, "spans cover the edit, not the text"
+    lines = [f"one line {k} of many" for k in range(300)]
+    a, b = grow("\n".join([*lines, *lines])), grow("\n".join([*lines, *lines[:100], *lines[101:]]))
+    assert merkle.locate(a[1], b[1]) and put(a[0], b[0], merkle.spans(a, b)) == b[0]
+
+
 def next_digests(rows):
     rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
     out = []
@@ -268,6 +328,20 @@ def test_op2_matches_plain_python(spark):
     assert np.mean([r.near_edited for r in long]) > 0.65 and np.mean([r.near_next for r in long]) < 0.05
 
 
+def test_op2_spans_turn_each_text_into_the_other(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    rows = sorted(((r[0], r[1] or "") for r in rows), key=lambda r: r[0])
+    follow = {a[0]: (a[1], b[1]) for a, b in zip(rows, [*rows[1:], rows[0]])}
+    got = queries.op2_merkle(spark, SF).collect()
+    assert len(got) == len(follow)
+    for r in got:
+        text, nxt = follow[r.doc_id]
+        changed = merkle.edited(text, nxt)
+        assert put(text, changed, r.edited_spans) == changed and put(text, nxt, r.next_spans) == nxt
+    kept = [1 - sum(s.end - s.start for s in r.edited_spans) / r.n_chars for r in got if r.n_chars > 500]
+    assert np.mean(kept) > 0.6
+
+
 def test_op7_matches_brute_force(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     assert Counter(map(tuple, queries.op7_jaccard(spark, SF).collect())) == jaccard_brute(rows)
