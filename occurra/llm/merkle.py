@@ -1,7 +1,9 @@
 """Document fingerprints: a Merkle tree over paragraphs and sections.
 
 A paragraph is a line, and within long lines a run of words that ends after a
-word whose hash says so (one in ``WORDS_PER_LEAF``); a section is a run of
+word whose hash says so (one in ``WORDS_PER_LEAF``); a run of more than
+``LONG_RUN`` bytes without white space (as in Chinese or base64) is also cut
+inside, where the bytes before a character say so; a section is a run of
 paragraphs that ends after one whose hash says so.  As cuts follow content, an
 edit changes the paragraphs it touches and leaves the cuts elsewhere.  A leaf is
 the hash of a paragraph's bytes, a section's digest is taken over its leaves,
@@ -25,10 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from occurra.llm.common import prepare, texts
+from occurra.llm.common import mix64, prepare, texts
 from occurra.llm.wordhash import PIECE, SPACE, Ranges, pieces
 
 WORDS_PER_LEAF = 4
+LONG_RUN = 64
+CHARS_PER_LEAF = 16
+LEAST, MOST = 16, 128  # bytes between the cuts in a run
 LEAVES_PER_SECTION = 32
 LEAF_HEX = 16
 SECTION_HEX = 16
@@ -36,6 +41,33 @@ HELD = 1 << 28  # bits of an alignment's table held at once; larger ones are hal
 HALVED = 1 << 36  # up to here at the best place, above in the middle of both
 
 
+def _cuts(arr: np.ndarray) -> list[int]:
+    """Where to cut a run of bytes without white space.
+
+    By a hash of the eight bytes before a character, ``LEAST`` to ``MOST``
+    bytes apart (from cut to cut, so constant runs are cut evenly).
+    """
+    spots = []
+    for a in range(8, len(arr), 1 << 16):
+        b = min(a + (1 << 16), len(arr))
+        head = np.lib.stride_tricks.sliding_window_view(arr[a - 8 : b - 1], 8).copy().view("<u8").ravel()
+        spots.append(np.flatnonzero((mix64(head) % np.uint64(CHARS_PER_LEAF) == 0) & (arr[a:b] & 0xC0 != 0x80)) + a)
+    spots = np.concatenate(spots) if spots else np.zeros(0, np.int64)
+    out, at = [], 0
+    while len(arr) - at > LEAST:
+        k = int(np.searchsorted(spots, at + LEAST))
+        end = int(spots[k]) if k < len(spots) else len(arr)
+        if end > at + MOST:
+            end = at + MOST
+            while end > at + LEAST and arr[end] & 0xC0 == 0x80:
+                end -= 1
+        if end >= len(arr):
+            break
+        out.append(end)
+        at = end
+    return out
+
+
 def _leaves(raws: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
     """Leaf hashes of each of some byte strings, and the bytes before each leaf."""
     raw = b"".join(raws)
@@ -58,6 +90,10 @@ def _leaves(raws: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
     # white space before a document's first word belongs to its first leaf
     lead = first[np.minimum(np.searchsorted(first, full), len(first) - 1)] if len(first) else full[:0]
     begin = np.setdiff1d(begin, np.setdiff1d(lead, full)) if len(first) else begin
+    long = np.flatnonzero(last - first > LONG_RUN)
+    if len(long):
+        inside = [c + a for a, b in zip(first[long].tolist(), last[long].tolist()) for c in _cuts(ranges.arr[a:b])]
+        begin = np.union1d(begin, np.array(inside, np.int64)).astype(np.int64)
     finish = np.concatenate([begin[1:], [len(raw)]])
     hashes = ranges.hash(begin, finish)
     at = np.searchsorted(begin, np.concatenate([starts_at, [len(raw)]]))

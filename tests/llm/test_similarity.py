@@ -328,6 +328,31 @@ def test_op2_matches_plain_python(spark):
     assert np.mean([r.near_edited for r in long]) > 0.65 and np.mean([r.near_next for r in long]) < 0.05
 
 
+def test_long_runs_without_white_space_are_cut_inside():
+    rng = random.Random(6)
+    han = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(n))
+    b64 = lambda n: "".join(rng.choices("ABCDEFGHIJabcdefghij0123456789+/", k=n))
+    mixed = lambda n: "word " + han(n) + "\n" + b64(n) + " 🐟é" * n + "。".join(han(20) for _ in range(n // 20))
+    for make in (han, b64, mixed, lambda n: "a" * n, lambda n: "漢" * n):
+        for n in (900, 70_000):
+            text, other = make(n), make(n)
+            changed = merkle.edited(text, make(n)[::-1] if make is mixed else b64(n) + other)
+            (f, s), (g, t), (h, u) = merkle.trees([text, changed, other])
+            assert [f, g, h] == [merkle.fingerprints([x])[0] for x in (text, changed, other)]
+            assert merkle.likeness(f, g) > (0.5 if make in (han, b64, mixed) or n > 900 else 0.3)  # few leaves
+            assert (text == other or make is mixed or merkle.likeness(f, h) < 0.3)
+            assert len(s) <= len(text.encode()) // 6 + 5
+            for (x, p, q), (y, v, w) in [((text, f, s), (changed, g, t)), ((text, f, s), (other, h, u))]:
+                assert put(x, y, merkle.spans((x, p, q), (y, v, w))) == y
+            i = n // 2
+            shifted = text[:i] + "Xyz" + text[i:]
+            (k, v), = merkle.trees([shifted])
+            found = merkle.spans((text, f, s), (shifted, k, v))
+            assert put(text, shifted, found) == shifted
+            if make in (han, b64):
+                assert merkle.likeness(f, k) > 0.8 and sum(e[1] - e[0] for e in found) <= 2 * merkle.MOST
+
+
 def test_op2_spans_turn_each_text_into_the_other(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     rows = sorted(((r[0], r[1] or "") for r in rows), key=lambda r: r[0])
