@@ -4,7 +4,8 @@ Each metadata dimension is quantised at approximate quantiles of its values
 (order-preserving, so shards keep narrow value ranges and their min/max prune
 files), the cells are numbered along a Hilbert curve, rows are sorted by cell
 number, and runs of nearly equal bytes become shards.  Only a row's id, size,
-checksum and cell are shuffled, never its text.
+checksum and cell are shuffled, and the distinct values of string dimensions
+with their counts, never its text.
 """
 
 from __future__ import annotations
@@ -57,9 +58,19 @@ def _curve(spark: SparkSession, dims: int, bits: int) -> DataFrame:
     return spark.createDataFrame(table)
 
 
-def _number(col):
-    """A string's first six bytes as a number in the same order; exact as a double."""
-    return F.conv(F.rpad(F.hex(F.substring(F.encode(col, "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
+def _string_cuts(rows: DataFrame, column: str, levels: int) -> list[str]:
+    """The ``levels`` - 1 quantiles of a string column, whole values in string order; nulls don't count.
+
+    From the distinct values' counts; as a cut is one of at most ``levels`` - 1
+    values, so few rows reach the driver.
+    """
+    counts = rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    placed, _, total = numbered(ordered(counts, ["value"]), "n")
+    upto = lambda n: F.floor(n.cast("decimal(38,0)") * levels / F.lit(max(total, 1)).cast("decimal(38,0)"))
+    cuts = upto(F.col("before") + F.col("n")) - upto(F.col("before"))
+    # a value that several quantiles fall on is that many cuts; the last row ends at no cut
+    found = placed.select("value", "before", cuts.cast("int").alias("k")).where("k > 0").orderBy("before").collect()
+    return [r["value"] for r in found for _ in range(r["k"])][: levels - 1]
 
 
 def shard(
@@ -84,25 +95,28 @@ def shard(
     """
     spark = docs.sparkSession
     names = {f"d{i}": c for i, c in enumerate(dimensions)}
-    # text fields by their first bytes; numbers as they are
+    # strings and numbers as they are
     plain = pick(docs, doc_id=key, text=text, **names)
     kinds = dict(plain.dtypes)
     rows = plain.select(
         F.col("doc_id").cast("long"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
-        *[(_number(d) if kinds[d] == "string" else F.col(d).cast("double")).alias(d) for d in names],
+        *[F.col(d) if kinds[d] == "string" else F.col(d).cast("double").alias(d) for d in names],
     ).withColumn("dsize", F.col("size").cast("double"))
     axes = [*names, "dsize"]
     steps = (1 << bits) - 1
+    numbers = [a for a in axes if kinds.get(a) != "string"]
     cuts = rows.agg(
-        *[F.percentile_approx(a, [(i + 1) / (steps + 1) for i in range(steps)], 2000).alias(a) for a in axes]
-    ).first()
+        *[F.percentile_approx(a, [(i + 1) / (steps + 1) for i in range(steps)], 2000).alias(a) for a in numbers]
+    ).first().asDict()
+    cuts |= {a: _string_cuts(rows, a, steps + 1) for a in axes if a not in numbers}
     cell = F.lit(0).cast("long")
     for a in axes:
         level = F.lit(0).cast("long")
         for c in cuts[a] or []:
-            level = level + (F.coalesce(F.col(a), F.lit(float("-inf"))) > F.lit(float(c))).cast("long")
+            above = F.col(a) > F.lit(float(c) if a in numbers else c)
+            level = level + F.coalesce(above, F.lit(False)).cast("long")
         cell = cell * (steps + 1) + level
     placed = rows.select("doc_id", "size", "text_crc32", cell.alias("cell"))
     curve = _curve(spark, len(axes), bits)

@@ -407,6 +407,24 @@ def test_shards_prune(spark):
     assert pairs < 24 * 20 / 2  # most shards hold few sources
 
 
+def test_string_cuts_are_quantiles_of_whole_values(spark):
+    rng = random.Random(8)
+    values = [f"https://example.org/{'é' * (k % 3)}{int(rng.paretovariate(0.7))}" for k in range(997)] + [None] * 50
+    df = spark.createDataFrame([(v,) for v in values], "v string").repartition(4)
+    plain = sorted((v for v in values if v is not None), key=lambda v: v.encode())
+    for levels in (2, 8, 32):
+        want = [plain[math.ceil(k * len(plain) / levels) - 1] for k in range(1, levels)]
+        assert hilbert._string_cuts(df, "v", levels) == want
+    assert hilbert._string_cuts(df.where("v is null"), "v", 8) == []
+
+
+def test_shards_prune_sources_of_one_prefix(spark):
+    rows = [(i, f"https://example.org/s{i % 16:02d}", "en", "t" * 100) for i in range(1600)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, lang string, text string")
+    out = hilbert.shard(df, 16).join(df.select("doc_id", "source"), "doc_id")
+    assert out.select("h").distinct().count() == 16 and out.select("shard", "source").distinct().count() <= 32
+
+
 def test_numbers_are_global(spark):
     df = spark.createDataFrame([(i * 7919 % 1000, i % 5) for i in range(1000)], "k long, s long").repartition(7)
     rows, n, total = numbered(ordered(df, ["k"]), "s")
