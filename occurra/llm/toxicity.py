@@ -3,10 +3,10 @@
 Words become symbols: insult (a learned lexicon of words and word beginnings
 with weights), threat, target, negation and reported speech (short lists), clause
 end, or other.  One small transducer per kind reads the symbols; their
-composition runs over a clause in lockstep, and at the clause's end its state
-says what was matched (a plain, targeted, negated or reported insult, a targeted
-threat) and with which weight.  A document is scored from its matched clauses by
-a logistic model over the kinds of clause.
+composition runs over a clause in lockstep.  Its state at an insult says whether
+that one is negated or reported, its state at the clause's end whether the others
+are targeted and threats count; each match adds its weight to its kind.  A
+document is scored from these sums by a logistic model over the kinds.
 
 The lexicon comes from one half of a bounded sample of the labelled rows, the
 kinds' weights from the other half.  A lexicon entry must stand after many
@@ -57,9 +57,9 @@ _LISTS = {
 _TOKEN = re.compile(r"[^\W\d_]+|[.!?;\n]")
 
 KINDS = ("plain", "targeted", "negated", "reported", "threat")
-#: Weights of the kinds of clause before any label is seen; last: intercept.
+#: Weights of the kinds of match before any label is seen; last: intercept.
 PRIOR = np.array([2.0, 2.6, 0.8, 0.8, 1.6, -3.0])
-CLAUSE_CAP = 8.0
+SAID = 12  # words that a verb of saying reaches over, in its clause
 
 
 @dataclass(frozen=True)
@@ -79,11 +79,15 @@ AIMED = Transducer(({TARGET: (1, 0.0)}, {}))
 # a negation reaches over three words
 DENIED = Transducer(tuple(
     {NEGATION: (1, 0.0)} if k == 0 else
-    {s: ((k + 1) % 4, 0.0) for s in (OTHER, TARGET, THREAT, REPORT)} | {NEGATION: (1, 0.0), INSULT: (4, 0.0)}
-    if k < 4 else {} for k in range(5)
+    {s: ((k + 1) % 4, 0.0) for s in (OTHER, INSULT, TARGET, THREAT, REPORT)} | {NEGATION: (1, 0.0)}
+    for k in range(4)
 ))
 # an insult is reported when a verb of saying stands before it
-QUOTED = Transducer(({REPORT: (1, 0.0)}, {INSULT: (2, 0.0), THREAT: (2, 0.0)}, {}))
+QUOTED = Transducer(tuple(
+    {REPORT: (1, 0.0)} if k == 0 else
+    {s: ((k + 1) % (SAID + 1), 0.0) for s in (OTHER, INSULT, THREAT, TARGET, NEGATION)} | {REPORT: (1, 0.0)}
+    for k in range(SAID + 1)
+))
 
 
 class Grammar:
@@ -92,34 +96,42 @@ class Grammar:
     PARTS = (INSULTS, MENACES, AIMED, DENIED, QUOTED)
 
     def __init__(self) -> None:
-        self.table: dict[tuple, tuple[tuple, float]] = {}
+        self.table: dict[tuple, tuple[tuple, float, int]] = {}
 
-    def step(self, state: tuple, symbol: int) -> tuple[tuple, float]:
+    def step(self, state: tuple, symbol: int) -> tuple[tuple, float, int]:
         got = self.table.get((state, symbol))
         if got is None:
             moves = [t.step(s, symbol) for t, s in zip(self.PARTS, state)]
-            got = self.table[state, symbol] = (tuple(m[0] for m in moves), sum(m[1] for m in moves))
+            share = sum(m[1] for m in moves)
+            got = self.table[state, symbol] = (tuple(m[0] for m in moves), share, self.kind(state))
         return got
 
-    def kind(self, state: tuple) -> int | None:
-        insult, menace, aimed, denied, quoted = state
-        if insult:
-            return 3 if quoted == 2 else 2 if denied == 4 else 1 if aimed else 0
-        return 4 if menace and aimed else None
+    def kind(self, state: tuple) -> int:
+        """What an insult after this state is: reported, negated, or plain until the clause ends."""
+        _, _, _, denied, quoted = state
+        return 3 if quoted else 2 if denied else 0
 
     def clauses(self, symbols: list[tuple[int, float]]) -> np.ndarray:
-        """The weight of the matched clauses, by kind."""
+        """The weight of the matches, by kind."""
         out, start = np.zeros(len(KINDS)), (0,) * len(self.PARTS)
-        state, weight = start, 0.0
+        state, insults, threats = start, [0.0] * 4, [0.0] * 4
         for symbol, w in [*symbols, (END, 0.0)]:
             if symbol == END:
-                kind = self.kind(state)
-                if kind is not None:
-                    out[kind] += min(weight, CLAUSE_CAP)
-                state, weight = start, 0.0
+                insult, menace, aimed, _, _ = state
+                if menace and aimed:
+                    out[4] += sum(threats)
+                elif menace and insult:  # threats at nobody go with the insults
+                    insults = [a + b for a, b in zip(insults, threats)]
+                if insult:
+                    out[1 if aimed else 0] += insults[0]
+                    out[2:4] += insults[2:]
+                if insult or menace:
+                    insults, threats = [0.0] * 4, [0.0] * 4
+                state = start
             else:
-                state, share = self.step(state, symbol)
-                weight += share * w
+                state, share, kind = self.step(state, symbol)
+                if share:
+                    (insults if symbol == INSULT else threats)[kind] += share * w
         return out
 
 
@@ -151,7 +163,7 @@ def tokens(text: str) -> list[str]:
 
 
 def clause_features(text: str, symbols: Symbols, grammar: Grammar) -> np.ndarray:
-    """log(1 + weight of matched clauses) by kind, over the whole text."""
+    """log(1 + weight of matches) by kind, over the whole text."""
     seen = [symbols[t] for t in tokens(text)]
     if not any(s in (INSULT, THREAT) for s, _ in seen):
         return np.zeros(len(KINDS))

@@ -43,6 +43,18 @@ def test_grammar_scores_clauses_for_themselves():
     assert toxicity.clause_features("", symbols, grammar).sum() == 0
 
 
+def test_each_insult_of_a_long_clause_counts_for_itself():
+    symbols, grammar = toxicity.Symbols({"foul": 2.0}), toxicity.Grammar()
+    weights = lambda text: np.expm1(toxicity.clause_features(text, symbols, grammar)).round(6).tolist()
+    assert weights("not foul " + "the day went by and it is foul " * 30) == [60, 0, 2, 0, 0]
+    assert weights("she said it is foul " + "the day went by and all of it is foul " * 30) == [60, 0, 0, 2, 0]  # the 13th word
+    assert weights("foul " * 40) == [80, 0, 0, 0, 0] and weights("foul you " * 40) == [0, 80, 0, 0, 0]
+    assert weights("not a foul foul foul day") == [2, 0, 4, 0, 0] and weights("no foul you are foul") == [0, 2, 2, 0, 0]
+    assert weights("i will kill you and not foul") == [0, 0, 2, 0, 1] and weights("kill it foul") == [3, 0, 0, 0, 0]
+    many = np.array(toxicity.clause_features("not foul " + "so then it is foul " * 50, symbols, grammar))
+    assert many @ toxicity.PRIOR[:-1] + toxicity.PRIOR[-1] > 2
+
+
 def test_toxicity_on_held_out_rows(spark):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{BIG}/labels.parquet").collect()}
     rows = queries.op6_toxicity(spark, BIG).collect()
