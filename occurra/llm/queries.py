@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from occurra.llm import bpe, chat, cosine, hilbert, jaccard, merkle, packing, quality, toxicity, warc
+from occurra.llm import (
+    bpe, chat, codes, cosine, hilbert, jaccard, langid, merkle, packing, quality, spelling, toxicity, warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -182,10 +184,63 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, learned from the rows that aren't held out."""
+    return langid.predict(_table(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of all documents with the more frequent spelling that it varies."""
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding's code of 16 bytes, its error and that of its label."""
+    return codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
+def _op13_sql() -> str:
+    """Two rounds of assigning parts to the nearest entry and averaging, as SQL."""
+    far = "list_sum(list_transform(range(1, len(s.x) + 1), lambda i: (s.x[i] - b.x[i]) * (s.x[i] - b.x[i])))"
+    steps = []
+    for k in range(codes.ROUNDS + 1):
+        steps.append(f"""near{k} as (
+  select s.r, s.p, min([cast({far} as bigint), b.e]) as best from sub s join book{k} b on s.p = b.p group by s.r, s.p)""")
+        if k < codes.ROUNDS:
+            steps.append(f"""sums{k} as (
+  select p, e, i, cast(floor(sum(y) / count(*)) as bigint) as y
+  from (select s.p, n.best[2] as e, unnest(range(1, len(s.x) + 1)) as i, unnest(s.x) as y
+        from sub s join near{k} n on s.r = n.r and s.p = n.p) group by p, e, i),
+book{k + 1} as (
+  select b.p, b.e, coalesce(m.x, b.x) as x from book{k} b
+  left join (select p, e, list(y order by i) as x from sums{k} group by p, e) m on b.p = m.p and b.e = m.e)""")
+    last = codes.ROUNDS
+    return f"""
+with valid as (
+  select vec_id, label, list_transform(embedding, lambda x: cast(floor({codes.SCALE} * x::double) as bigint)) as v
+  from embeddings where embedding is not null
+    and coalesce(list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x))), true)),
+kept as (select *, row_number() over (order by vec_id nulls last) as r from valid),
+sub as (
+  select r, p, v[p * (len(v) // {codes.PARTS}) + 1 : (p + 1) * (len(v) // {codes.PARTS})] as x
+  from kept, (select unnest(range({codes.PARTS})) as p)),
+book0 as (select p, r - 1 as e, x from sub where r <= {codes.ENTRIES}),
+{', '.join(steps)},
+coded as (
+  select r, string_agg(printf('%02x', best[2]), '' order by p) as code, cast(sum(best[1]) as bigint) as error
+  from near{last} group by r),
+whole as (
+  select sha256(string_agg(cast(y as varchar), ',' order by p, e, i)) as codebooks_sha256
+  from (select p, e, unnest(range(1, len(x) + 1)) as i, unnest(x) as y from book{last}))
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from kept join coded using (r), whole"""
+
+
 def queries() -> dict:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL where it can say the same; checksums, tokenizers, learned models and trees it can't."""
-    return {"op1_chat": _OP1_SQL, "op4_cosine": _OP4_SQL, "op7_jaccard": _OP7_SQL, "op8_warc": _OP8_SQL}
+    return {"op1_chat": _OP1_SQL, "op4_cosine": _OP4_SQL, "op7_jaccard": _OP7_SQL, "op8_warc": _OP8_SQL,
+            "op13_codes": _op13_sql()}
