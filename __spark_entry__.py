@@ -40,9 +40,11 @@ from occurra.sources.fixture import (
     events_as_raw,
     events_as_search_records,
     json_object_sql,
+    late_copies,
     read_events,
     search_record_json,
     upsert_inputs,
+    with_line_breaks,
 )
 from occurra.sources.readers import read_download_export, read_search_pages
 from occurra.sources.predicate import (
@@ -227,7 +229,7 @@ def q_historical_load(spark, sf_dir):
     rows = events_as_download_rows(read_events(spark, sf_dir)).drop("_row")
     lower = rows.toDF(*[c.lower() for c in rows.columns])
     config = IngestConfig()
-    return normalize_download(filter_export(lower, *HISTORICAL, config)).drop(*VOLATILE, "raw_payload")
+    return normalize_download(filter_export(lower, *HISTORICAL, config)).drop(*VOLATILE)
 
 
 def q_legacy_projection(spark, sf_dir):
@@ -249,8 +251,7 @@ def q_ingest_stats(spark, sf_dir):
 
 # --- upsert, de-duplication, caps -------------------------------------------
 def q_dedupe_last_wins(spark, sf_dir):
-    _, batch = upsert_inputs(read_events(spark, sf_dir))
-    return UP.dedupe_last(batch, "gbif_id", ["_seq", "key"])
+    return UP.dedupe_last(late_copies(read_events(spark, sf_dir)), "gbif_id", ["_seq", "key"])
 
 
 def q_upsert_by_key(spark, sf_dir):
@@ -285,13 +286,13 @@ def q_upsert_table_state(spark, sf_dir):
 
 
 def q_read_tsv_parts(spark, sf_dir):
-    """The export landed as several text parts beside metadata, read back."""
+    """The export landed as several text parts beside metadata, read back; with quoted line breaks."""
     root = _scratch(spark)
-    rows = events_as_download_rows(read_events(spark, sf_dir)).drop("_row")
-    keep = {"sep": "\t", "header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    rows = with_line_breaks(events_as_download_rows(read_events(spark, sf_dir))).drop("_row")
+    keep = {"sep": "\t", "header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     rows.repartition(3).write.options(**keep).csv(f"{root}/occurrence")
     rows.limit(5).write.options(**keep).csv(f"{root}/rights")  # by its name no data
-    return normalize_download(read_download_export(spark, root)).drop(*VOLATILE, "raw_payload")
+    return normalize_download(read_download_export(spark, root)).drop(*VOLATILE)
 
 
 def q_read_parquet_shards(spark, sf_dir):
@@ -616,8 +617,15 @@ _GENUS_OR_UNKNOWN = (
 )
 
 
-def _download_payload_sql() -> str:
-    """The landed export's text fields as a struct (payload order)."""
+_PROVINCE = "case when user_id % 2 = 0 then 'Flanders' else 'Wallonia' end"
+_BROKEN = f"{_PROVINCE} || case when event_id % 11 = 0 then chr(10) || '\"near\"' || chr(9) || 'the coast' || chr(10) else '' end"
+
+
+def _download_payload_sql(read_back: bool = False, lower: bool = False) -> str:
+    """The landed export's text fields as a struct (payload order).
+
+    Empty text reads as NULL from a text file, whose provinces have line breaks.
+    """
     coord = (lambda v, salt: f"case (event_id + {salt}) % 7 when 0 then '' when 1 then 'n/a' "
              f"when 2 then '5d' else cast({v} as varchar) end")
     fields = [
@@ -642,7 +650,7 @@ def _download_payload_sql() -> str:
         ("coordinateUncertaintyInMeters",
          "case when event_id % 2 = 0 then cast(value as varchar) else '' end"),
         ("countryCode", "case when event_id % 10 = 0 then 'NL' else 'BE' end"),
-        ("stateProvince", "case when user_id % 2 = 0 then 'Flanders' else 'Wallonia' end"),
+        ("stateProvince", _BROKEN if read_back else _PROVINCE),
         ("datasetKey", "'ds-' || cast(user_id % 5 as varchar)"),
         ("publishingOrgKey", "'org-1'"),
         ("taxonKey", "case when event_id % 7 = 0 then '' when event_id % 5 = 0 "
@@ -654,10 +662,12 @@ def _download_payload_sql() -> str:
         ("issue", "case when event_id % 4 = 1 then 'ISSUE_FALLBACK' else '' end"),
         ("classKey", "case when event_id % 9 = 0 then '359' else '212' end"),
     ]
-    return "struct_pack(" + ", ".join(f'"{name}" := {sql}' for name, sql in fields) + ")"
+    if read_back:
+        fields = [(name, f"nullif({sql}, '')") for name, sql in fields]
+    return "struct_pack(" + ", ".join(f'"{name.lower() if lower else name}" := {sql}' for name, sql in fields) + ")"
 
 
-def _download_expected_sql() -> str:
+def _download_expected_sql(read_back: bool = False, lower: bool = False) -> str:
     """P2 applied to the landed export (one row per kept record)."""
     return f"""
     select
@@ -678,7 +688,7 @@ def _download_expected_sql() -> str:
       case when (event_id + 3) % 7 in (0, 1, 2) then null else {_LON} end as longitude,
       case when event_id % 2 = 0 then value end as coordinate_uncertainty_m,
       case when event_id % 10 = 0 then 'NL' else 'BE' end as country_code,
-      case when user_id % 2 = 0 then 'Flanders' else 'Wallonia' end as state_province,
+      {_BROKEN if read_back else _PROVINCE} as state_province,
       'ds-' || cast(user_id % 5 as varchar) as dataset_key,
       'org-1' as publishing_org_key,
       case when event_id % 41 = 0 then event_id + 1000000000 else event_id end as key,
@@ -690,7 +700,7 @@ def _download_expected_sql() -> str:
            when 1 then '["ISSUE_FALLBACK"]' when 2 then null
            else '["RECORDED_DATE_INVALID"]' end as issues_json,
       0 as media_count,
-      to_json({_download_payload_sql()}) as raw_payload
+      to_json({_download_payload_sql(read_back, lower)}) as raw_payload
     from events
     where not (event_id % 43 = 0 and event_id % 41 <> 0)"""
 
@@ -768,7 +778,7 @@ def _search_record_sql() -> str:
 def _tsv_expected_sql() -> str:
     """As the export, but empty text reads as NULL from a text file."""
     empty = ", ".join(f"nullif({c}, '') as {c}" for c in ("event_date_raw", "genus"))
-    return f"select * replace ({empty}) from ({_download_expected_sql()})"
+    return f"select * replace ({empty}) from ({_download_expected_sql(read_back=True)})"
 
 
 _RAW_COLS = ", ".join(f'"{n}"' for n, _ in RAW_COLUMNS)
@@ -875,10 +885,10 @@ def oracle_sql() -> dict[str, str]:
         "normalize_download": f"select * exclude (_e) from ({_download_expected_sql()})",
         "normalize_search": f"select * from ({_search_expected_sql()})",
         "historical_load": f"""
-            select * exclude (_e, raw_payload) from ({_download_expected_sql()})
+            select * exclude (_e) from ({_download_expected_sql(lower=True)})
             where country_code = 'BE' and _e % 9 <> 0 and coalesce(event_date between
               date '{HISTORICAL[0]}' and date '{HISTORICAL[1]}', true)""",
-        "read_tsv_parts": f"select * exclude (_e, raw_payload) from ({_tsv_expected_sql()})",
+        "read_tsv_parts": f"select * exclude (_e) from ({_tsv_expected_sql()})",
         "read_parquet_shards": f"select * exclude (_e) from ({_download_expected_sql()})",
         "read_search_pages": f"select * from ({_search_expected_sql()})",
         "upsert_table_state": f"""with {_upsert_inputs_sql()}
@@ -904,7 +914,15 @@ def oracle_sql() -> dict[str, str]:
         "ingest_stats": f"""
             select count(*) as rows_processed, count(*) as rows_upsert_attempted
             from ({_download_expected_sql()})""",
-        "dedupe_last_wins": f"with {_upsert_inputs_sql()} select * from latest",
+        "dedupe_last_wins": f"""
+            with raw as ({_raw_sql()}),
+            batch as (
+              select * replace (individual_count + 1 as individual_count), 0 as _seq from raw
+              union all
+              select * replace (individual_count + 2 as individual_count), 1 as _seq from raw where key % 9 = 0)
+            select * exclude (rn) from (
+              select *, row_number() over (partition by gbif_id order by _seq desc, key desc) as rn from batch)
+            where rn = 1""",
         "upsert_by_key": f"""with {_upsert_inputs_sql()}
             select * from target where gbif_id not in (select gbif_id from latest)
             union all select {_RAW_COLS} from latest""",

@@ -44,6 +44,7 @@ class IngestConfig:
     class_key: int = 212
     max_per_day: int | None = None  # first rows kept of a day; None keeps all
     prefer_parquet: bool = False
+    multi_line: bool | None = None  # do text fields hold line breaks? None: look
     raw_table: str = "raw.gbif_observations_raw"
     mart_database: str = "mart_bird_data"
     default_start: dt.date = dt.date(2025, 1, 1)
@@ -91,7 +92,7 @@ def download_rows_in_range(
     spark: SparkSession, root: str, start: dt.date, end: dt.date, config: IngestConfig
 ) -> DataFrame:
     """Download path: export rows -> range predicate -> P2 normalised rows."""
-    rows = read_download_export(spark, root, config.prefer_parquet)
+    rows = read_download_export(spark, root, config.prefer_parquet, multi_line=config.multi_line)
     hits = filter_export(rows, start, end, config)
     return normalize_download(arrival_order(hits), carry=("_file", "_block", "_row"))
 

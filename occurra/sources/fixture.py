@@ -10,6 +10,7 @@ per-row projection: it scales with the table and runs as one codegen stage).
 * ``search_record_json``       search-API records as JSON texts
 * ``events_as_search_records`` the same, parsed as the page reader parses them
 * ``upsert_inputs``            target table and a batch with late duplicates; every row is in one
+* ``late_copies``              a batch of all rows with late duplicates
 
 Each projection is one ``selectExpr`` (SQL text, parsed once on the JVM).
 """
@@ -263,3 +264,17 @@ def upsert_inputs(events: DataFrame, variant: str = "fanout") -> tuple[DataFrame
         "individual_count", F.expr("individual_count + 1 + _seq")
     )
     return target, batch
+
+
+def late_copies(events: DataFrame, variant: str = "fanout") -> DataFrame:
+    """A batch of all events with count+1, then a later second copy of ids divisible by 9 with count+2."""
+    copies = "explode(case when key % 9 = 0 then array(0, 1) else array(0) end) as _seq"
+    return events_as_raw(events, variant).selectExpr("*", copies).withColumn(
+        "individual_count", F.expr("individual_count + 1 + _seq")
+    )
+
+
+def with_line_breaks(rows: DataFrame) -> DataFrame:
+    """Export rows some of whose texts hold line breaks, quotes and tabs."""
+    broken = """case when _row % 11 = 0 then concat(stateProvince, '\n"near"\tthe coast\n') else stateProvince end"""
+    return rows.withColumn("stateProvince", F.expr(broken))

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from occurra.functions.expr import lit_sql
 from occurra.schema import SEARCH_PAGE_SCHEMA, SEARCH_RECORD_TEXT_SCHEMA
+from occurra.sources.records import has_open_lines, physical_lines, read_records
 
 # Member names (lower case) that are never data, and data suffixes.
 SKIP_MEMBER_PATTERN = r"citation|rights|metadata|meta\.xml|eml\.xml"
@@ -71,8 +72,11 @@ def arrival_order(df: DataFrame) -> DataFrame:
     """Add ``_row`` (position inside the file split) and spread one-split inputs.
 
     Must run on the scan's own partitions (after filters, before any
-    shuffle), so (``_file``, ``_block``, ``_row``) is the file order.
+    shuffle), so (``_file``, ``_block``, ``_row``) is the file order.  Rows that
+    have their place already, as records put together from lines do, keep it.
     """
+    if "_row" in df.columns:
+        return spread(df)
     return spread(df.selectExpr("*", "monotonically_increasing_id() as _row"))
 
 
@@ -107,30 +111,31 @@ def text_members(spark: SparkSession, root: str) -> list[str]:
     return sorted(r["path"] for r in member_listing(spark, root, TEXT_GLOB).select("path").collect())
 
 
-def read_tsv_export(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+TEXT_OPTIONS = {
+    "sep": "\t", "header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8", "mode": "PERMISSIVE",
+    "inferSchema": "false", "enforceSchema": "false",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
+
+def read_tsv_export(spark: SparkSession, path: str | list[str], multi_line: bool | None = None) -> DataFrame:
     """Tab-separated files with one header, UTF-8, every value text.
 
-    A file whose header differs from the first file's fails the read.
-    ``multi_line`` allows quoted line breaks but makes each file one split.
+    Quoted fields may hold line breaks.  By default the lines are looked at
+    first: if a record goes on over a line break, records are put together from
+    the lines (``sources.records``; files stay splittable), else every line is
+    a record.  ``multi_line`` saves that look: ``False`` promises that no field
+    holds a line break, ``True`` reads each file as one split.  A file whose
+    header differs from the first file's fails the read.
     """
-    df = (
-        spark.read.options(
-            sep="\t",
-            header="true",
-            quote='"',
-            escape='"',
-            encoding="UTF-8",
-            mode="PERMISSIVE",
-            inferSchema="false",
-            multiLine=str(bool(multi_line)).lower(),
-            enforceSchema="false",
-            ignoreLeadingWhiteSpace="false",
-            ignoreTrailingWhiteSpace="false",
-        )
-        .csv(path)
-    )
+    options = {**TEXT_OPTIONS, "multiLine": str(bool(multi_line)).lower()}
+    df = spark.read.options(**options).csv(path)
     if not df.columns or all(c.startswith("_c") for c in df.columns):
         raise ValueError(f"{path!r} doesn't begin with column names")
+    if multi_line is None:
+        lines = physical_lines(spark, path)
+        if has_open_lines(lines):
+            return read_records(lines, df.columns)
     return _with_source(df)
 
 
@@ -157,19 +162,20 @@ def _exists(spark: SparkSession, root: str, glob: str) -> bool:
 
 
 def read_download_export(
-    spark: SparkSession, root: str, prefer_parquet: bool = False, only_largest: bool = False
+    spark: SparkSession, root: str, prefer_parquet: bool = False, only_largest: bool = False, multi_line: bool | None = None
 ) -> DataFrame:
     """Parquet shards when preferred and present; else all text members;
     else Parquet shards anyway; else ``ValueError``.
 
-    ``only_largest`` reads just the largest text member (S4).
+    ``only_largest`` reads just the largest text member (S4); ``multi_line`` is
+    that of :func:`read_tsv_export`.
     """
     has_parquet = _exists(spark, root, PARQUET_GLOB)
     if prefer_parquet and has_parquet:
         return read_parquet_shards(spark, root)
     members = text_members(spark, root) if _exists(spark, root, TEXT_GLOB) else []
     if members:
-        return read_tsv_export(spark, largest_text_member(spark, root) if only_largest else members)
+        return read_tsv_export(spark, largest_text_member(spark, root) if only_largest else members, multi_line)
     if has_parquet:
         return read_parquet_shards(spark, root)
     raise ValueError(f"{root!r} holds neither Parquet nor text tables")

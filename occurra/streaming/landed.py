@@ -43,12 +43,13 @@ def landed_export_stream(
 
     ``enforceSchema=false`` makes Spark check each file's header against
     ``header``: a file with another column order fails instead of being read
-    with shifted columns.
+    with shifted columns.  Quoted fields may hold line breaks, so a landed file
+    is one split; a trigger has many files.
     """
     return (
         spark.readStream.schema(download_text_schema(header))
         .options(sep="\t", header="true", quote='"', escape='"', encoding="UTF-8",
-                 enforceSchema="false",
+                 enforceSchema="false", multiLine="true",
                  ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .csv(landing)
