@@ -55,6 +55,14 @@ def incremental_start(
     )
 
 
+def start_after(
+    latest: dt.date | None, default_start: dt.date | str = "2025-01-01", lookback_days: int = 2
+) -> dt.date:
+    """I2 / I3 from a known latest date: the same rule as :func:`incremental_start`."""
+    default = default_start if isinstance(default_start, dt.date) else dt.date.fromisoformat(default_start)
+    return default if latest is None else max(latest - dt.timedelta(days=lookback_days), default)
+
+
 def first_value(df: DataFrame, column: str):
     """The single value of a one-row result (bounded: one row by construction)."""
     row = df.select(column).first()

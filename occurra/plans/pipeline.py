@@ -25,7 +25,9 @@ from occurra.operators import quality as Q
 from occurra.operators.normalize import normalize_download, normalize_search
 from occurra.operators.upsert import cap_per_group, observe_ingest
 from occurra.plans.models import Models, build_models
-from occurra.plans.tables import compact, ensure_raw_table, materialize, read_raw, upsert_into_table
+from occurra.plans.tables import (
+    FAN, GRACE_SECONDS, ensure_raw_table, materialize, max_event_date, upkeep, upsert_into_table,
+)
 from occurra.sources.predicate import (
     CLASS_KEY,
     COUNTRY,
@@ -49,7 +51,8 @@ class IngestConfig:
     mart_database: str = "mart_bird_data"
     default_start: dt.date = dt.date(2025, 1, 1)
     lookback_days: int = 2
-    compact_after: int = 32  # loads after which the raw store is compacted
+    fan: int = FAN  # loads of a level after which the raw store merges them
+    grace_seconds: float = GRACE_SECONDS  # how long readers of an earlier state may go on
 
 
 @dataclass
@@ -121,8 +124,8 @@ def ingest(
     ensure_raw_table(spark, config.raw_table)
     observed, obs = observe_ingest(normalized)
     load = upsert_into_table(spark, config.raw_table, observed, order)
-    if load is not None and load % config.compact_after == 0:
-        compact(spark, config.raw_table)
+    if load is not None:
+        upkeep(spark, config.raw_table, config.fan, grace_seconds=config.grace_seconds)
     metrics = obs.get
     return IngestStats(int(metrics.get("rows_processed", 0)), int(metrics.get("rows_upsert_attempted", 0)))
 
@@ -156,12 +159,8 @@ def run_incremental(
     config = config or IngestConfig()
     today = today or dt.date.today()
     ensure_raw_table(spark, config.raw_table)
-    start = INC.first_value(
-        INC.incremental_start(
-            read_raw(spark, config.raw_table), config.default_start, config.lookback_days
-        ),
-        "start_date",
-    )
+    latest = max_event_date(spark, config.raw_table)  # kept with the store, nothing is scanned
+    start = INC.start_after(latest, config.default_start, config.lookback_days)
     if start > today:
         return None
     return _run(spark, source_root, mode, start, today, config)
@@ -186,7 +185,7 @@ def build_and_check(
     count_check_severity: str = "error",
     raw_table: str | None = None,
 ) -> tuple[Models, list[dict]]:
-    """Q10: staging checks, then marts (materialised), then mart checks.
+    """Q10: staging checks, then marts written as a new version, mart checks on it, then their publishing.
 
     Raises ``QualityGateError`` when a check of a gating severity fails.  The
     staging model keeps negative counts (flagged invalid) that the declared count
@@ -198,10 +197,11 @@ def build_and_check(
     checks = Q.declared_checks(gate_counts_on_staging=count_check_severity)
     upstream = [c for c in checks if c.table in ("gbif_observations_raw", "stg_belgian_birds")]
     report = Q.gate(Q.dq_report(models.tables(), upstream), fail_on)
-    names = materialize(spark, models, config.mart_database, raw_table=raw_table)
-    marts = Models(
-        raw, stg=models.stg, dim=spark.table(names["dim"]), fct=spark.table(names["fct"])
-    )
     downstream = [c for c in checks if c not in upstream]
-    report += Q.gate(Q.dq_report(marts.tables(), downstream), fail_on)
-    return marts, report
+
+    def check(written: dict[str, DataFrame]) -> None:
+        marts = Models(raw, stg=models.stg, **written)
+        report.extend(Q.gate(Q.dq_report(marts.tables(), downstream), fail_on))
+
+    names = materialize(spark, models, config.mart_database, raw_table=raw_table, check=check)
+    return Models(raw, stg=models.stg, dim=spark.table(names["dim"]), fct=spark.table(names["fct"])), report

@@ -4,19 +4,21 @@ New export files arriving in a landing folder are picked up as a file
 stream; each micro-batch is normalised (P2) and upserted into the raw table
 (K2) in ``foreachBatch``.  The stream's progress lives in a checkpoint under
 the cluster's shared ``spark.checkpoint.dir``, so a restarted job resumes
-where it stopped and a re-delivered batch is harmless (the upsert is
-idempotent).  ``Trigger.availableNow`` turns the stream into the daily
+where it stopped, and a re-delivered batch is left out (its number is committed
+with its rows).  ``Trigger.availableNow`` turns the stream into the daily
 incremental run: process everything landed, then stop.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import Future
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from occurra.operators.normalize import normalize_download
-from occurra.plans.tables import ensure_raw_table, upsert_into_table
+from occurra.plans.tables import FAN, GRACE_SECONDS, ensure_raw_table, upkeep, upsert_into_table
 from occurra.schema import DOWNLOAD_FIELDS
 from occurra.session import checkpoint_dir
 
@@ -64,16 +66,26 @@ def start_landed_ingest(
     name: str = "landed_exports",
     available_now: bool = True,
     header: tuple[str, ...] = DEFAULT_HEADER,
+    fan: int = FAN,
+    grace_seconds: float = GRACE_SECONDS,
 ) -> StreamingQuery:
-    """Start the stream; each micro-batch is normalised and upserted."""
+    """Start the stream; each micro-batch is normalised and upserted, then the store is kept in shape.
+
+    A micro-batch's number is committed with its rows under the stream's id, which
+    its checkpoint keeps, so one that is delivered again, also after later ones,
+    is left out.
+    """
     ensure_raw_table(spark, raw_table)
     base = checkpoint_dir(spark)
+    started: Future[str] = Future()
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
         # row position inside each file split (micro-batches apply in order)
         batch = batch.selectExpr("*", "monotonically_increasing_id() as _row")
         normalized = normalize_download(batch, carry=tuple(ORDER))
-        upsert_into_table(batch.sparkSession, raw_table, normalized, ORDER)
+        session, stream = batch.sparkSession, (started.result(), batch_id)
+        if upsert_into_table(session, raw_table, normalized, ORDER, stream) is not None:
+            upkeep(session, raw_table, fan, grace_seconds=grace_seconds)
 
     writer = (
         landed_export_stream(spark, landing, header)
@@ -82,4 +94,6 @@ def start_landed_ingest(
         .foreachBatch(upsert_batch)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    query = writer.start()
+    started.set_result(query.id)
+    return query
