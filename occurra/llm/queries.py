@@ -105,21 +105,22 @@ select conv_id, count(*) as n_turns,
 from marked group by conv_id"""
 
 _OP4_SQL = """
-with recursive valid as (
-  select vec_id, label, embedding::double[] as v from embeddings
+with recursive numbered as materialized (select row_number() over () as r, * from embeddings),
+valid as (
+  select r, label, embedding::double[] as v from numbered
   where vec_id is not null and label is not null and embedding is not null and len(embedding) > 0
     and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
     and list_bool_or(list_transform(embedding, lambda x: x <> 0))),
 links as (
-  select a.vec_id as a, b.vec_id as b from valid a join valid b on a.label = b.label and a.vec_id <> b.vec_id
+  select a.r as a, b.r as b from valid a join valid b on a.label = b.label and a.r <> b.r
   where len(a.v) = len(b.v) and list_cosine_similarity(a.v, b.v) >= 0.93),
 reach as (
-  select vec_id as a, vec_id as b from embeddings
-  union select r.a, l.b from reach r join links l on r.b = l.a),
-least as (select a as vec_id, min(b) as component_id from reach group by a)
-select e.vec_id, (select count(*) from links l where l.a = e.vec_id) as n_links, component_id,
-  e.vec_id = component_id as kept
-from embeddings e join least using (vec_id)"""
+  select r as a, r as b from numbered
+  union select x.a, l.b from reach x join links l on x.b = l.a),
+least as (select a as r, min(vec_id) as component_id from reach join numbered on b = r group by a),
+degree as (select a as r, count(*) as n from links group by a)
+select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept
+from numbered join least using (r) left join degree using (r)"""
 
 _OP7_SQL = """
 with recursive words as (

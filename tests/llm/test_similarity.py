@@ -165,7 +165,8 @@ def test_components_of_chains_and_hubs(spark):
 
 
 def test_cosine_matches_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(cosine, "TILE", 16)
+    monkeypatch.setattr(cosine, "TILE", 8)
+    monkeypatch.setattr(cosine, "GROUP", 32)
     rng = np.random.default_rng(4)
     rows = []
     for g in range(40):
@@ -178,6 +179,9 @@ def test_cosine_matches_brute_force(spark, monkeypatch):
         (1005, [None] + [1.0] * 23, 0), (1006, [float("inf")] * 24, 0), (None, rows[0][1], 0), (1007, [1.0, 2.0], 0),
         (1008, [1.0, 2.0], 0), (1009, rows[0][1], rows[0][2]), (1009, rows[0][1], rows[0][2]), (1010, [1e300] * 24, 1),
         (1011, [1e-300] * 24, 1), (1012, [2.0], 2), (1013, [-2.0], 2),
+        # one id with other vectors and labels: the rows count for themselves
+        (1014, [1.0, 0.0], 0), (1014, [0.0, 1.0], 0), (1014, [0.0, 1.0], 1), (1015, [1.0, 0.01], 0), (1016, [0.01, 1.0], 1),
+        (3, rows[0][1], rows[0][2]), (0, [0.0, 0.0, 1.0], 2), (1, [0.0, 0.0, 1.0], 2),
     ]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").selectExpr("*", "1 as rep", "'r' as raw")
 
@@ -206,6 +210,28 @@ def test_cosine_matches_brute_force(spark, monkeypatch):
     assert cosine.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_cosine_sql_goes_by_row(spark):
+    """The operator's rule and the SQL's where ids repeat."""
+    import duckdb
+
+    rows = [(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (1, [0.0, 1.0], 1), (2, [1.0, 0.01], 0), (4, [0.01, 1.0], 1), (4, [0.01, 1.0], 1)]
+    got = cosine.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    con = duckdb.connect()
+    con.execute("create table embeddings (vec_id bigint, embedding double[], label int)")
+    con.executemany("insert into embeddings values (?, ?, ?)", rows)
+    want = con.execute(f"select vec_id, n_links, component_id, kept from ({queries.oracle_sql()['op4_cosine']})").fetchall()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    assert sorted(tuple(r)[:2] for r in got) == [(1, 0), (1, 1), (1, 2), (2, 1), (4, 2), (4, 2)]
+
+
+def test_vectors_are_held_as_given():
+    for v in ([0.5, -0.0], [0.1, 2.0], [1e300, 1.0], [1e-300, 0.0]):
+        raw = cosine.packed_vector(v)
+        assert np.frombuffer(raw, f"<f{raw[0]}", offset=1).tolist() == v and cosine.dims(raw) == 2
+    both = cosine.packed_vector([0.5, 1.0]) + cosine.packed_vector([0.1, 2.0])
+    assert cosine.cut_bytes(both, 2) == [cosine.packed_vector([0.5, 1.0]), cosine.packed_vector([0.1, 2.0])]
+
+
 def test_fingerprints_follow_content():
     rng = random.Random(3)
     lines = [" ".join(f"w{rng.randrange(3000)}" for _ in range(rng.randrange(1, 60))) for _ in range(200)]
