@@ -2,15 +2,20 @@
 
 Words become symbols: insult (a learned lexicon of words and word beginnings
 with weights), threat, target, negation and reported speech (short lists), clause
-end, or other.  One small transducer per kind reads the symbols; their
-composition runs over a clause in lockstep.  Its state at an insult says whether
-that one is negated or reported, its state at the clause's end whether the others
-are targeted and threats count; each match adds its weight to its kind.  A
-document is scored from these sums by a logistic model over the kinds.
+end, or other.  Transducers are composed, each reading what the one before
+writes: negation turns the insults and threats in its reach into negated ones,
+reported speech turns what comes after a verb of saying into reported ones, and
+the clause's transducer remembers whether an insult, a threat or a target was
+there and writes at its end what the rest counts as.  Each match adds its weight
+to its kind.  A document is scored from these sums by a logistic model over the
+kinds whose weights are in the order that the grammar means: neither a targeted
+insult nor a threat weighs less than a plain insult, no negated or reported
+match more.
 
 The lexicon comes from one half of a bounded sample of the labelled rows, the
-kinds' weights from the other half.  A lexicon entry must stand after many
-different words in toxic texts, so copies of one text can't put theirs in.
+kinds' weights from the other half.  Of near copies one text is left in the
+sample, and a lexicon entry must stand after many different words in toxic
+texts, so copies of one text can't put theirs in.
 """
 
 from __future__ import annotations
@@ -29,27 +34,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from occurra.llm import logistic
-from occurra.llm.common import cut, pick, place_of, positional, prepare, texts
+from occurra.llm.common import cut, mix64, pick, place_of, positional, prepare, texts
+from occurra.llm.jaccard import shingle_sets
 
 #: Rows of the training sample: at most about so many of either label.
 SAMPLE = 8000
-#: Entries of the lexicon.
-ENTRIES = 2000
+#: Entries of the lexicon at most, and of those that are looked at in their contexts.
+ENTRIES, CANDIDATES = 2000, 40_000
 #: Words a worker remembers.
 REMEMBERED = 100_000
 CONTEXTS = 6  # different words before an entry, in toxic texts
 STEMS = (4, 5, 6)  # lengths of word beginnings that can be entries
 LEAST_WEIGHT = 1.5
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END, DENIED_INSULT, DENIED_THREAT, SAID_INSULT, SAID_THREAT = range(11)
 # fixed values: closed-class words of English, French, German and Spanish
 TARGETS = "you your yours u ye tu toi te vous votre vos ton ta tes du dich dir dein deine ihr euch euer tú ti usted ustedes vosotros vuestro"
-NEGATIONS = "not never no nor isn aren wasn don doesn didn ne pas jamais aucun nicht kein keine nie niemals nunca jamás ni"
+NEGATIONS = "not never no nor cannot isn aren wasn don doesn didn wouldn couldn ne pas jamais aucun nicht kein keine nie niemals nunca jamás ni"
 REPORTS = "said says say quoted wrote claimed called reported dit disait écrit cité sagte sagt schrieb zitierte dijo dice escribió citó"
-THREATS = "kill hurt destroy die murder stab tuer mourir frapper töten sterben schlagen matar morir golpear"
-# fixed values: common insults, known before any label is seen
-INSULT_WORDS = "idiot idiotic moron moronic stupid dumb fool loser scum trash garbage pathetic worthless disgusting vermin filth clown jerk bastard imbécile stupide crétin débile ordure minable salaud dummkopf trottel blödmann abschaum versager widerlich idiota imbécil estúpido basura escoria inútil asqueroso"
-SEED_WEIGHT = 2.5
+THREATS = "kill hurt destroy murder stab tuer mourir frapper töten sterben schlagen matar morir golpear"
 _LISTS = {
     w: s for names, s in ((THREATS, THREAT), (TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT)) for w in names.split()
 }
@@ -58,94 +61,101 @@ _TOKEN = re.compile(r"[^\W\d_]+|[.!?;\n]")
 
 KINDS = ("plain", "targeted", "negated", "reported", "threat")
 #: Weights of the kinds of match before any label is seen; last: intercept.
-PRIOR = np.array([2.0, 2.6, 0.8, 0.8, 1.6, -3.0])
-SAID = 12  # words that a verb of saying reaches over, in its clause
+PRIOR = np.array([2.0, 2.6, 0.8, 0.8, 6.0, -3.0])
+#: Pairs of kinds of which the first never weighs more.
+BELOW = [(0, 1), (0, 4), (2, 0), (3, 0)]
+NEAR = 3  # words that a negation reaches over, in its clause
+SAID = 12  # words that a verb of saying reaches over
 
 
 @dataclass(frozen=True)
 class Transducer:
-    """States 0..n-1; ``moves[state][symbol]`` is (next state, share of the symbol's weight that it writes)."""
+    """``moves[state][symbol]`` is (next state, symbol that it writes); else the state stays and writes what it reads."""
 
-    moves: tuple[dict[int, tuple[int, float]], ...]
+    moves: tuple[dict[int, tuple[int, int]], ...]
 
-    def step(self, state: int, symbol: int) -> tuple[int, float]:
-        return self.moves[state].get(symbol, (state, 0.0))
+    def step(self, state: int, symbol: int) -> tuple[int, int]:
+        return self.moves[state].get(symbol, (state, symbol))
 
 
-# what each kind remembers of a clause
-INSULTS = Transducer(({INSULT: (1, 1.0)}, {INSULT: (1, 1.0)}))
-MENACES = Transducer(({THREAT: (1, 1.0)}, {THREAT: (1, 1.0)}))
-AIMED = Transducer(({TARGET: (1, 0.0)}, {}))
-# a negation reaches over three words
-DENIED = Transducer(tuple(
-    {NEGATION: (1, 0.0)} if k == 0 else
-    {s: ((k + 1) % 4, 0.0) for s in (OTHER, INSULT, TARGET, THREAT, REPORT)} | {NEGATION: (1, 0.0)}
-    for k in range(4)
-))
-# an insult is reported when a verb of saying stands before it
-QUOTED = Transducer(tuple(
-    {REPORT: (1, 0.0)} if k == 0 else
-    {s: ((k + 1) % (SAID + 1), 0.0) for s in (OTHER, INSULT, THREAT, TARGET, NEGATION)} | {REPORT: (1, 0.0)}
-    for k in range(SAID + 1)
-))
+def reaching(mark: int, words: int, turns: dict[int, int]) -> Transducer:
+    """After ``mark``, over so many symbols, turns symbols into others; a clause's end ends it."""
+    first = {mark: (1, mark)}
+    later = [
+        {s: ((k + 1) % (words + 1), turns.get(s, s)) for s in range(SAID_THREAT + 1)} | {mark: (1, mark), END: (0, END)}
+        for k in range(1, words + 1)
+    ]
+    return Transducer((first, *later))
+
+
+DENIED = reaching(NEGATION, NEAR, {INSULT: DENIED_INSULT, THREAT: DENIED_THREAT})
+QUOTED = reaching(REPORT, SAID, {
+    INSULT: SAID_INSULT, DENIED_INSULT: SAID_INSULT, THREAT: SAID_THREAT, DENIED_THREAT: SAID_THREAT,
+})
+#: What a clause's end says: nothing, insults at nobody, insults and threats at somebody.
+NOTHING, LOOSE, AIMED = range(11, 14)
+
+
+def _clause() -> Transducer:
+    """State: 1 a target, 2 an insult was there; the end writes what the clause's matches count as."""
+    moves = []
+    for state in range(4):
+        out = {TARGET: (state | 1, TARGET), END: (0, AIMED if state & 1 else LOOSE if state & 2 else NOTHING)}
+        out |= {s: (state | 2, s) for s in (INSULT, DENIED_INSULT, SAID_INSULT)}
+        moves.append(out)
+    return Transducer(tuple(moves))
 
 
 class Grammar:
     """The composition of the transducers; its states are made as they are reached."""
 
-    PARTS = (INSULTS, MENACES, AIMED, DENIED, QUOTED)
+    PARTS = (DENIED, QUOTED, _clause())
 
     def __init__(self) -> None:
-        self.table: dict[tuple, tuple[tuple, float, int]] = {}
+        self.table: dict[tuple, tuple[tuple, int]] = {}
 
-    def step(self, state: tuple, symbol: int) -> tuple[tuple, float, int]:
+    def step(self, state: tuple, symbol: int) -> tuple[tuple, int]:
         got = self.table.get((state, symbol))
         if got is None:
-            moves = [t.step(s, symbol) for t, s in zip(self.PARTS, state)]
-            share = sum(m[1] for m in moves)
-            got = self.table[state, symbol] = (tuple(m[0] for m in moves), share, self.kind(state))
+            written, states = symbol, []
+            for part, s in zip(self.PARTS, state):  # each reads what the one before writes
+                s, written = part.step(s, written)
+                states.append(s)
+            got = self.table[state, symbol] = (tuple(states), written)
         return got
 
-    def kind(self, state: tuple) -> int:
-        """What an insult after this state is: reported, negated, or plain until the clause ends."""
-        _, _, _, denied, quoted = state
-        return 3 if quoted else 2 if denied else 0
-
     def clauses(self, symbols: list[tuple[int, float]]) -> np.ndarray:
         """The weight of the matches, by kind."""
-        out, start = np.zeros(len(KINDS)), (0,) * len(self.PARTS)
-        state, insults, threats = start, [0.0] * 4, [0.0] * 4
+        out, state = np.zeros(len(KINDS)), (0,) * len(self.PARTS)
+        insults, threats = [0.0] * 3, [0.0] * 3  # as such, negated, reported
+        place = {INSULT: (insults, 0), DENIED_INSULT: (insults, 1), SAID_INSULT: (insults, 2),
+                 THREAT: (threats, 0), DENIED_THREAT: (threats, 1), SAID_THREAT: (threats, 2)}
         for symbol, w in [*symbols, (END, 0.0)]:
-            if symbol == END:
-                insult, menace, aimed, _, _ = state
-                if menace and aimed:
-                    out[4] += sum(threats)
-                elif menace and insult:  # threats at nobody go with the insults
-                    insults = [a + b for a, b in zip(insults, threats)]
-                if insult:
-                    out[1 if aimed else 0] += insults[0]
-                    out[2:4] += insults[2:]
-                if insult or menace:
-                    insults, threats = [0.0] * 4, [0.0] * 4
-                state = start
-            else:
-                state, share, kind = self.step(state, symbol)
-                if share:
-                    (insults if symbol == INSULT else threats)[kind] += share * w
+            state, written = self.step(state, symbol)
+            if written in place:
+                held, k = place[written]
+                held[k] += w
+            elif symbol == END:
+                if written == AIMED:
+                    out += (0, insults[0], insults[1] + threats[1], insults[2] + threats[2], threats[0])
+                elif written == LOOSE:  # threats at nobody go with the insults
+                    out += (insults[0] + threats[0], 0, insults[1] + threats[1], insults[2] + threats[2], 0)
+                insults[:], threats[:] = [0.0] * 3, [0.0] * 3
         return out
 
 
 class Symbols(dict):
     """Each word's (symbol, weight), found once."""
 
-    def __init__(self, lexicon: dict[str, float]) -> None:
+    def __init__(self, lexicon: dict[str, float], threat: float = 1.0) -> None:
         super().__init__({c: (END, 0.0) for c in ".!?;\n"})
-        self.lexicon = lexicon
+        self.lexicon, self.threat = lexicon, threat
 
     def __missing__(self, word: str) -> tuple[int, float]:
         entries = [self.lexicon.get(e, 0.0) for e in features(word)]
         best = max(entries)
-        got = (INSULT, best) if best > 0 else (_LISTS[word], 1.0) if word in _LISTS else (OTHER, 0.0)
+        kind = INSULT if best > 0 else _LISTS.get(word, OTHER)
+        got = (kind, best if kind == INSULT else self.threat if kind == THREAT else 0.0)
         if len(self) > REMEMBERED:
             self.clear()
             self.update({c: (END, 0.0) for c in ".!?;\n"})
@@ -207,11 +217,11 @@ def sample_texts(docs: DataFrame, labels: DataFrame, label: str, bound: int) ->
 
 
 def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(entry, toxic, clean): in how many texts an entry is."""
+    """(entry, toxic, clean): how many different words of how many texts an entry stands for."""
     toxic, clean = Counter(), Counter()
     for batch in batches:
         for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            (toxic if y else clean).update({e for w in set(tokens(text)) for e in features(w)})
+            (toxic if y else clean).update(e for w in set(tokens(text)) for e in features(w))
     names = list(set(toxic) | set(clean))
     yield pa.record_batch(
         [pa.array(names, pa.string()), pa.array([toxic[e] for e in names], pa.int64()),
@@ -223,26 +233,66 @@ class Model:
     lexicon: dict[str, float]
     weights: np.ndarray
 
+    @property
+    def threat(self) -> float:
+        """A threat weighs as the middle one of the insults."""
+        return float(np.median(list(self.lexicon.values()))) if self.lexicon else 1.0
+
+
+HASHES, BAND = 64, 4  # least shingle hashes of a text; texts that share BAND neighbouring ones meet
+COPY = 0.7  # share of equal hashes of near copies; those with a likeness of 0.8 have fewer once in 40 cases
 
-def learn(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
-    """The lexicon and the clause weights; without labels, an empty one and the prior."""
-    sample = sample_texts(docs, labels, "toxic", bound)
+
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, sig): the least shingle hashes in ``HASHES`` orders."""
+    odd = mix64(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
+    for batch in batches:
+        sigs = []
+        for s in shingle_sets(batch.column(1).to_pylist()):
+            sigs.append([int(mix64(s * k).min().astype(np.int64)) for k in odd] if len(s) else None)
+        yield pa.record_batch([batch.column(0), pa.array(sigs, pa.list_(pa.int64()))], names=["id", "sig"])
+
+
+def without_copies(sample: DataFrame) -> DataFrame:
+    """A sample (text, y, half) without the near copies, of the same label, of a text with a smaller hash.
+
+    Texts meet the first one they share a band of least hashes with; equal hashes
+    estimate the similarity of their shingle sets.
+    """
+    rows = sample.withColumn("id", F.xxhash64("text"))
+    sigs = cut(rows.select("id", "text").mapInArrow(_signatures, "id long, sig array<long>").where("sig is not null"))
+    marks = sigs.join(rows.select("id", "y"), "id").select("id", "y", "sig", F.posexplode(
+        F.transform(F.sequence(F.lit(0), F.lit(HASHES - BAND), F.lit(BAND)), lambda i: F.xxhash64(F.slice("sig", i + 1, BAND)))
+    ).alias("band", "h"))
+    first = marks.groupBy("y", "band", "h").agg(F.min(F.struct("id", "sig")).alias("first"))
+    met = marks.join(first, ["y", "band", "h"]).where("id <> first.id")
+    equal = F.aggregate(F.zip_with("sig", "first.sig", lambda p, q: (p == q).cast("int")), F.lit(0), lambda n, x: n + x)
+    hidden = met.where(equal >= COPY * HASHES).select("id").distinct()
+    return cut(rows.join(hidden, "id", "left_anti").drop("id"))
+
+
+def learn(
+    docs: DataFrame, labels: DataFrame, bound: int = SAMPLE, entries: int = ENTRIES, candidates: int = CANDIDATES
+) -> Model:
+    """The lexicon and the kinds' weights; without labels, an empty one and the prior.
+
+    ``bound`` limits the labelled rows of either label, ``entries`` the size of
+    the lexicon and ``candidates`` the entries whose contexts are counted, the
+    most telling first; none of them depends on how many documents there are.
+    """
+    sample = without_copies(sample_texts(docs, labels, "toxic", bound))
     first, second = sample.where("half = 1"), sample.where("half = 0")
     totals = {r["y"]: r["n"] for r in first.groupBy("y").agg(F.count("*").alias("n")).collect()}
     pos, neg = totals.get(1, 0), totals.get(0, 0)
     counted = first.select("text", "y").mapInArrow(_count_features, "entry string, toxic long, clean long")
     counted = counted.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    seeds = {w: SEED_WEIGHT for w in INSULT_WORDS.split()}
-    for r in counted.where(F.col("entry").isin(list(seeds)) & (F.col("clean") >= 3)).collect():
-        if (r["toxic"] + 1) / (pos + 2) < 4 * r["clean"] / (neg + 2):  # the labels don't bear it out
-            del seeds[r["entry"]]
     # log-odds of careful bounds: fewer toxic and more clean texts than were counted
     at_least = F.greatest(F.col("toxic") - 1.5 * F.sqrt("toxic"), F.lit(0.1)) / (pos + 1)
     at_most = (F.col("clean") + 1.5 * F.sqrt("clean") + 3) / (neg + 4)
     weight = F.log(at_least) - F.log(at_most)
     likely = counted.where(F.col("toxic") >= CONTEXTS).withColumn("w", weight).where(F.col("w") >= LEAST_WEIGHT)
     # bounded: an entry needs CONTEXTS of the at most ``bound`` texts
-    likely = likely.orderBy(F.desc("w"), F.desc("toxic"), "entry").limit(20 * ENTRIES).collect()
+    likely = likely.orderBy(F.desc("w"), F.desc("toxic"), "entry").limit(candidates).collect()
     found = {r["entry"]: (r["toxic"], r["clean"]) for r in likely}
     likely = {r["entry"]: r["w"] for r in likely}
     for e, (toxic, clean) in found.items():
@@ -268,11 +318,12 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
     around = first.where("y = 1").select("text").mapInArrow(contexts, "entry string, before string, after string")
     around = around.groupBy("entry").agg(F.count_distinct("before", "after").alias("n")).where(F.col("n") >= CONTEXTS)
     kept = {r["entry"]: r["n"] for r in around.collect()}
-    best = sorted(kept, key=lambda e: (-likely[e] * np.log1p(kept[e]), e))[:ENTRIES]
-    lexicon = seeds | {e: float(likely[e]) for e in best}
+    best = sorted(kept, key=lambda e: (-likely[e] * np.log1p(kept[e]), e))[:entries]
+    lexicon = {e: float(likely[e]) for e in best}
+    threat = Model(lexicon, PRIOR).threat
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols, grammar = Symbols(lexicon), Grammar()
+        symbols, grammar = Symbols(lexicon, threat), Grammar()
         for batch in batches:
             got = [clause_features(t, symbols, grammar).tolist() for t in batch.column(0).to_pylist()]
             yield pa.record_batch([batch.column(1), pa.array(got, pa.list_(pa.float64()))], names=["y", "x"])
@@ -280,21 +331,22 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
     rows = second.select("text", "y").mapInArrow(measure, "y int, x array<double>").collect()  # the bounded sample
     rows.sort(key=lambda r: (r["y"], r["x"]))
     x = np.array([r["x"] for r in rows]).reshape(len(rows), len(KINDS))
-    return Model(lexicon, logistic.fit(x, np.array([r["y"] for r in rows], float), PRIOR, 0.2))
+    y = np.array([r["y"] for r in rows], float)
+    return Model(lexicon, logistic.fit_ordered(x, y, PRIOR, BELOW, 0.2))
 
 
 @functools.lru_cache(maxsize=1)
-def _machine(lexicon: tuple) -> tuple[Symbols, Grammar]:
-    return Symbols(dict(lexicon)), Grammar()
+def _machine(lexicon: tuple, threat: float) -> tuple[Symbols, Grammar]:
+    return Symbols(dict(lexicon), threat), Grammar()
 
 
 def scorer(model: Model):
     """A column function: a text's toxicity, 0 to 1; a null text as an empty one."""
-    lexicon, weights = tuple(sorted(model.lexicon.items())), model.weights
+    lexicon, weights, threat = tuple(sorted(model.lexicon.items())), model.weights, model.threat
 
     @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:
-        symbols, grammar = _machine(lexicon)
+        symbols, grammar = _machine(lexicon, threat)
         x = np.array([clause_features(t or "", symbols, grammar) for t in text]).reshape(len(text), len(KINDS))
         return pd.Series(1 / (1 + np.exp(-(x @ weights[:-1] + weights[-1]))))
 

@@ -55,6 +55,74 @@ def test_each_insult_of_a_long_clause_counts_for_itself():
     assert many @ toxicity.PRIOR[:-1] + toxicity.PRIOR[-1] > 2
 
 
+def plain_clauses(symbols):
+    """The weights by kind, clause by clause, looking back from every match."""
+    out, clause = dict.fromkeys(toxicity.KINDS, 0.0), []
+    for symbol, w in [*symbols, (toxicity.END, 0.0)]:
+        if symbol != toxicity.END:
+            clause.append((symbol, w))
+            continue
+        said = [s for s, _ in clause]
+        aimed, insulted = toxicity.TARGET in said, toxicity.INSULT in said
+        for at, (s, weight) in enumerate(clause):
+            if s not in (toxicity.INSULT, toxicity.THREAT) or (s == toxicity.THREAT and not aimed and not insulted):
+                continue
+            if toxicity.REPORT in said[max(0, at - toxicity.SAID) : at]:
+                kind = "reported"
+            elif toxicity.NEGATION in said[max(0, at - toxicity.NEAR) : at]:
+                kind = "negated"
+            else:
+                kind = "plain" if not aimed else "targeted" if s == toxicity.INSULT else "threat"
+            out[kind] += weight
+        clause = []
+    return [out[k] for k in toxicity.KINDS]
+
+
+def test_the_composed_automaton_equals_a_plain_clause_scorer():
+    rng, grammar = random.Random(11), toxicity.Grammar()
+    kinds = [toxicity.OTHER] * 6 + [toxicity.INSULT, toxicity.THREAT, toxicity.TARGET, toxicity.NEGATION, toxicity.REPORT, toxicity.END]
+    for _ in range(3000):
+        some = rng.sample(kinds, rng.randint(2, len(kinds)))
+        symbols = [(s, rng.choice([0.5, 2.0, 3.0]) if s in (toxicity.INSULT, toxicity.THREAT) else 0.0) for s in rng.choices(some, k=rng.randint(0, 40))]
+        assert np.allclose(grammar.clauses(symbols), plain_clauses(symbols))
+
+
+def test_weights_are_in_the_order_of_the_grammar():
+    rng = np.random.default_rng(2)
+    for true in ([3, 1, 4, 2, -2], [0, 2, -1, 5, 1], [-1, -1, -1, -1, -1], [2, 3, 1, 0.5, 4]):
+        x = rng.exponential(size=(3000, 5)) * (rng.random((3000, 5)) < 0.3)
+        y = (rng.random(3000) < 1 / (1 + np.exp(-(x @ np.array(true, float) - 1)))).astype(float)
+        w = logistic.fit_ordered(x, y, toxicity.PRIOR, toxicity.BELOW, 0.2)
+        assert (w[:-1] >= 0).all() and all(w[a] <= w[b] + 1e-9 for a, b in toxicity.BELOW)
+        if all(true[a] <= true[b] for a, b in toxicity.BELOW) and min(true) >= 0:
+            assert np.allclose(w[:-1], true, atol=0.5)
+    assert logistic.fit_ordered(np.zeros((0, 5)), np.zeros(0), toxicity.PRIOR, toxicity.BELOW).tolist() == toxicity.PRIOR.tolist()
+
+
+def test_denied_and_reported_threats_weigh_less(spark):
+    model = toxicity.learn(*(spark.read.parquet(f"{BIG}/{t}.parquet") for t in ("documents", "labels")))
+    symbols, grammar = toxicity.Symbols(model.lexicon, model.threat), toxicity.Grammar()
+
+    def score(text):
+        x = toxicity.clause_features(text, symbols, grammar)
+        return 1 / (1 + np.exp(-(x @ model.weights[:-1] + model.weights[-1])))
+
+    assert score("i will not kill you") < 0.2 and score("he said he will kill you") < 0.2 and score("i will kill you") > 0.7
+    assert score("you are worthless scum") > score("not worthless scum") and "worthless" in model.lexicon
+
+
+def test_near_copies_leave_the_sample(spark):
+    rng = random.Random(6)
+    make = lambda n: " ".join(rng.choice("abcdefghij") * rng.randint(1, 4) for _ in range(n))
+    lone = [make(80) for _ in range(20)]
+    base = make(200)
+    copies = [base + " " + make(4) for _ in range(6)]
+    shared = [lone[0] + " " + make(300), "", "one two"]
+    rows = [(t, 1, 0) for t in [*lone, *copies, *shared]] + [(base, 0, 1)]
+    left = [r.text for r in toxicity.without_copies(spark.createDataFrame(rows, "text string, y int, half int")).collect()]
+    assert sum(t in copies for t in left) == 1 and set(left) >= {*lone, *shared, base}
+
+
 def test_toxicity_on_held_out_rows(spark):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{BIG}/labels.parquet").collect()}
     rows = queries.op6_toxicity(spark, BIG).collect()
@@ -62,7 +130,7 @@ def test_toxicity_on_held_out_rows(spark):
     judged = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
     caught = sum(p and y for p, y in judged) / sum(y for _, y in judged)
     wrong = sum(p and not y for p, y in judged) / sum(not y for _, y in judged)
-    assert caught > 0.85 and wrong < 0.01
+    assert caught > 0.9 and wrong < 0.01
 
 
 def test_held_out_labels_are_never_used(spark):
@@ -158,6 +226,12 @@ def test_audit_finds_exactly_the_damage(spark, monkeypatch, fanout, size):
     assert warc.fixity(df.withColumn("copy", record)).count() == 0
 
 
+def test_plan_of_the_audit_doesnt_grow_with_the_levels(spark):
+    pages = spark.range(300).selectExpr("id as page_id", "'u' as url", "cast(id as string) as html")
+    joins = [warc.fixity(queries.damaged(pages), f)._jdf.queryExecution().optimizedPlan().toString().count("Join ") for f in (16, 2)]
+    assert joins[0] == joins[1] <= 3
+
+
 def test_op8_matches_sql(spark):
     con = duckdb.connect()
     con.execute("create view pages as select * from read_parquet('/root/testdata/sf0.01/pages.parquet')")
