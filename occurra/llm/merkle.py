@@ -37,8 +37,7 @@ LEAST, MOST = 16, 128  # bytes between the cuts in a run
 LEAVES_PER_SECTION = 32
 LEAF_HEX = 16
 SECTION_HEX = 16
-HELD = 1 << 28  # bits of an alignment's table held at once; larger ones are halved
-HALVED = 1 << 36  # up to here at the best place, above in the middle of both
+HELD = 1 << 28  # bits of an alignment's table held at once; larger ones are halved at the best place
 
 
 def _cuts(arr: np.ndarray) -> list[int]:
@@ -212,9 +211,8 @@ def _lengths(x: list[str], y: list[str]) -> np.ndarray:
 def _common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     """Places in both of a longest common part of two lists, its order kept.
 
-    Exact, except that what is left of equal ends and of values only one list
-    has is halved in the middle if it is above ``HALVED`` pairs: the part found
-    is still common, but another one may be longer.
+    Exact at every size: what is left of equal ends and of values only one list
+    has is halved where a longest part goes through until its table can be held.
     """
     x, y = list(range(len(a))), list(range(len(b)))
     head: list[tuple[int, int]] = []
@@ -250,9 +248,8 @@ def _common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
                         found.append((x[i], y[j]))
             head += reversed(found)
         else:
-            i, j = len(u) // 2, len(v) // 2
-            if len(u) * len(v) <= HALVED:
-                j = int(np.argmax(_lengths(u[:i], v) + _lengths(u[:i - 1:-1], v[::-1])[::-1]))
+            i = len(u) // 2
+            j = int(np.argmax(_lengths(u[:i], v) + _lengths(u[:i - 1:-1], v[::-1])[::-1]))
             head += [(x[p], y[q]) for p, q in _common(u[:i], v[:j])]
             head += [(x[i + p], y[j + q]) for p, q in _common(u[i:], v[j:])]
     return head + tail[::-1]
