@@ -154,16 +154,16 @@ def crowded_cells(counts: np.ndarray) -> np.ndarray:
 
 # -- step 1: signatures, regions of shingles ------------------------------------------------
 
-SIGNED = "doc_id long, n long, cls long, profile binary, block int, cells binary"
+SIGNED = "doc_id long, said long, n long, cls long, profile binary, block int, cells binary"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cells = np.zeros(1 << CELL_BITS, np.int64)
 
-    def out(ids, n, cls, prof, block, raw):
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
+    def out(ids, said, n, cls, prof, block, raw):
+        kinds = [pa.int64()] * 4 + [pa.binary(), pa.int32(), pa.binary()]
         names = [f.split(" ")[0] for f in SIGNED.split(", ")]
-        return pa.record_batch([pa.array(c, k) for c, k in zip((ids, n, cls, prof, block, raw), kinds)], names=names)
+        return pa.record_batch([pa.array(c, k) for c, k in zip((ids, said, n, cls, prof, block, raw), kinds)], names=names)
 
     for batch in batches:
         sets = list(shingle_sets(batch.column(1).to_pylist()))
@@ -171,11 +171,11 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             everything = np.concatenate(sets)
             cells += np.bincount((everything >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells))
         none = [None] * len(sets)
-        yield out(batch.column(0).to_pylist(), [len(s) for s in sets], [class_of(s) for s in sets],
+        yield out(batch.column(0).to_pylist(), batch.column(2).to_pylist(), [len(s) for s in sets], [class_of(s) for s in sets],
                   [profile(s).tobytes() for s in sets], none, none)
     held = list(_blocks(cells))
     none = [None] * len(held)
-    yield out(none, none, none, none, [b for b, _ in held], [c for _, c in held])
+    yield out(none, none, none, none, none, [b for b, _ in held], [c for _, c in held])
 
 
 def _post(crowded: bytes):
@@ -537,28 +537,18 @@ def collapse(shared: DataFrame, corpus: Corpus) -> tuple[DataFrame, list[DataFra
     return shared, links
 
 
-def components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text).
-
-    A set is the distinct five-word shingles of the text with A-Z lower-cased,
-    words being runs of non-white ASCII; with fewer words it is their whole
-    sequence.  Documents link at a Jaccard similarity of 0.8 or more; the
-    component is the smallest doc_id reachable.
-
-    Shingles are 64-bit hashes and classes 64-bit hashes of sets; two different
-    ones are taken as equal with a chance of 2^-64 a pair.
+def grouped(docs: DataFrame) -> DataFrame:
+    """(doc_id, said, n, root) for every row of ``docs`` (doc_id, text).
 
-    Defined cases: null, empty and wordless texts have 0 shingles and link with
-    nothing; a null doc_id is never a component's id unless nothing else is in
-    it; equal rows each give a row; texts of any length are taken whole; an
-    empty table gives no rows; extra columns are left out.
+    ``said`` is a hash of the text, ``n`` the size of its set, and ``root`` the
+    same for rows that links connect; null without words.
     """
     spark = docs.sparkSession
     prepare(spark)
     rows = texts(docs)
-    signed = cut(rows.mapInArrow(_sign, SIGNED))
+    signed = cut(rows.withColumn("said", F.xxhash64("text")).mapInArrow(_sign, SIGNED))
     marks = crowded_cells(sum_blocks(signed.where("block is not null").select("block", "cells")))
-    documents = signed.where("block is null").select("doc_id", "n", "cls")
+    documents = signed.where("block is null").select("doc_id", "said", "n", "cls")
 
     posts = rows.select("text").mapInArrow(_post(np.packbits(marks).tobytes()), "h long, cls long")
     runs = posts.repartition("h").sortWithinPartitions("h", "cls").mapInArrow(_shared, "run long, cls long")
@@ -589,25 +579,51 @@ def components(docs: DataFrame) -> DataFrame:
     links.append(dealt.mapInArrow(_join_regions, "u long, v long"))
     linked = connected_components(functools.reduce(DataFrame.unionByName, links)).toDF("cls", "root")
 
-    grouped = documents.where("cls is not null").join(linked, "cls", "left")
-    grouped = grouped.select("doc_id", "n", F.coalesce("root", "cls").alias("root"))
+    return documents.join(linked, "cls", "left").select("doc_id", "said", "n", F.coalesce("root", "cls").alias("root"))
+
+
+def components(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text).
+
+    A set is the distinct five-word shingles of the text with A-Z lower-cased,
+    words being runs of non-white ASCII; with fewer words it is their whole
+    sequence.  Documents link at a Jaccard similarity of 0.8 or more; the
+    component is the smallest doc_id reachable.
+
+    Shingles are 64-bit hashes and classes 64-bit hashes of sets; two different
+    ones are taken as equal with a chance of 2^-64 a pair.
+
+    Defined cases: null, empty and wordless texts have 0 shingles and link with
+    nothing; a null doc_id is never a component's id unless nothing else is in
+    it; equal rows each give a row; texts of any length are taken whole; an
+    empty table gives no rows; extra columns are left out.
+    """
+    found = grouped(docs)
+    worded = found.where("root is not null")
     # kept apart, so that Spark can split the join where a component has very many documents
-    first = cut(grouped.groupBy("root").agg(F.min("doc_id").alias("component_id")))
-    alone = documents.where("cls is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    out = grouped.join(first, "root").select("doc_id", "n", "component_id").unionByName(alone)
+    first = cut(worded.groupBy("root").agg(F.min("doc_id").alias("component_id")))
+    alone = found.where("root is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    out = worded.join(first, "root").select("doc_id", "n", "component_id").unionByName(alone)
     return out.withColumnRenamed("n", "n_shingles")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's, all columns as they are.
+    """One row of ``docs`` for each component, all columns as they are.
 
-    Rows without an id can't be told apart and stay; of rows with the same id
-    and text one stays.
+    It is the row with the smallest id (null last), then the smallest hash of its
+    text, whichever of equal ids and texts.  Components connect rows, not ids:
+    of rows with one id and other texts each stands for its own component.  Rows
+    without words link with nothing, so all of them stay.
     """
-    first = components(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
-    rows = positional(docs).withColumn("key", F.col(f"c{place_of(docs, 'doc_id')}").cast("long"))
-    names, text = rows.columns, F.col(f"c{place_of(docs, 'text')}")
-    again = Window.partitionBy("key", F.xxhash64(text)).orderBy("key")
-    kept = rows.join(first, F.col("key") == F.col("kept"), "left_semi")
-    kept = kept.withColumn("again", F.row_number().over(again)).where("again = 1").select(*names)
-    return kept.unionByName(rows.where("key is null")).drop("key").toDF(*docs.columns)
+    found = grouped(docs).where("root is not null")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("kept"), F.col("said").alias("kept_said"))
+    first = found.groupBy("root").agg(F.min(place).alias("first")).select("first.kept", "first.kept_said")
+    rows, text = positional(docs), F.col(f"c{place_of(docs, 'text')}").cast("string")
+    names = rows.columns
+    rows = rows.withColumn("key", F.col(f"c{place_of(docs, 'doc_id')}").cast("long")).withColumn("said", F.xxhash64(text))
+    spoken = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    same = F.col("key").eqNullSafe(F.col("kept")) & (F.col("said") == F.col("kept_said"))
+    again = Window.partitionBy("key", "said").orderBy("key")
+    kept = rows.where(spoken).join(first, same, "left_semi")
+    kept = kept.withColumn("again", F.row_number().over(again)).where("again = 1")
+    return kept.select(*names).unionByName(rows.where(~spoken).select(*names)).toDF(*docs.columns)
