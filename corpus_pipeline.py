@@ -30,10 +30,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates: the one with the smallest id.
+    """One document of each component of near duplicates: the one with the smallest id (null last).
 
-    Rows without an id can't be told apart and stay; of rows with the same id
-    and text one stays.
+    Components connect rows, whatever their ids; rows without words stay.
     """
     return jaccard.one_of_each(docs)
 
