@@ -12,7 +12,6 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -33,7 +32,8 @@ from occurra.operators.normalize import legacy_projection, normalize_download, n
 from occurra.operators.staging import quality_tag_counts
 from occurra.plans.models import Models, build_models
 from occurra.plans.pipeline import IngestConfig, filter_export
-from occurra.plans.tables import compact, ensure_raw_table, read_raw, upsert_into_table
+from occurra.plans.refresh import refresh_marts
+from occurra.plans.tables import compact, ensure_raw_table, mart_names, materialize, max_event_date, read_raw, upkeep, upsert_into_table
 from occurra.schema import RAW_COLUMNS
 from occurra.sources.fixture import (
     events_as_download_rows,
@@ -55,10 +55,12 @@ from occurra.sources.predicate import (
     range_predicate,
 )
 
-try:  # the training-data operators are optional
+try:  # the training-data operators are optional; what breaks inside them isn't
     import corpus_pipeline
     from occurra.llm import queries as LLM
-except ImportError:
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "occurra.llm"):
+        raise
     corpus_pipeline = LLM = None
 
 # Fixed parameters of the registered queries.
@@ -267,9 +269,9 @@ def q_cap_per_day(spark, sf_dir):
 
 # --- the raw store and the readers over landed files --------------------------
 def _scratch(spark) -> str:
-    """A new folder below the shared checkpoint folder (a local one where none is set)."""
+    """A new folder below the shared checkpoint folder; one beside the warehouse where none is set."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{(configured or tempfile.mkdtemp(prefix='occurra-')).rstrip('/')}/occurra-{uuid.uuid4().hex}"
+    return f"{(configured or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/occurra-{uuid.uuid4().hex}"
 
 
 def q_upsert_table_state(spark, sf_dir):
@@ -285,6 +287,44 @@ def q_upsert_table_state(spark, sf_dir):
     return read_raw(spark, table)
 
 
+def _refreshed(spark, sf_dir) -> dict[str, str]:
+    """Marts built from one load and refreshed after two overlapping ones; their names."""
+    target, batch = upsert_inputs(read_events(spark, sf_dir))
+    database = f"occurra_{uuid.uuid4().hex}"
+    spark.sql(f"create database {database} location '{_scratch(spark)}'")
+    table = f"{database}.observations"
+    ensure_raw_table(spark, table)
+    upsert_into_table(spark, table, target, ["key"])
+    refresh_marts(spark, table, database)
+    for part in (batch.filter("key % 3 = 0"), batch.filter("key % 3 <> 0")):
+        upsert_into_table(spark, table, part, ["_seq", "key"])
+        refresh_marts(spark, table, database)
+    return mart_names(database)
+
+
+def q_fct_refreshed(spark, sf_dir):
+    """A2 / K6: the daily fact, refreshed from loads."""
+    return spark.table(_refreshed(spark, sf_dir)["fct"])
+
+
+def q_dim_refreshed(spark, sf_dir):
+    """A1 / K6: the species dimension, refreshed from loads."""
+    return spark.table(_refreshed(spark, sf_dir)["dim"])
+
+
+def q_catalog_summary(spark, sf_dir):
+    """Raw store, staging view and published marts in the catalog, and their summary."""
+    database = f"occurra_{uuid.uuid4().hex}"
+    spark.sql(f"create database {database} location '{_scratch(spark)}'")
+    table = f"{database}.observations"
+    ensure_raw_table(spark, table)
+    for k in range(3):  # loads, two of which are merged
+        upsert_into_table(spark, table, events_as_raw(read_events(spark, sf_dir)).filter(f"key % 3 = {k}"), ["key"])
+    upkeep(spark, table, fan=2)
+    names = materialize(spark, build_models(read_raw(spark, table)), database, raw_table=table)
+    return SV.data_summary_from_catalog(spark, table, names["stg"], names["fct"], names["dim"])
+
+
 def q_read_tsv_parts(spark, sf_dir):
     """The export landed as several text parts beside metadata, read back; with quoted line breaks."""
     root = _scratch(spark)
@@ -341,6 +381,19 @@ def q_calendar_days(spark, sf_dir):
     return INC.days_spanned(_models(spark, sf_dir).raw, "event_date")
 
 
+def q_store_watermark(spark, sf_dir):
+    """The raw store's own latest date after a load that takes the last days away."""
+    database = f"occurra_{uuid.uuid4().hex}"
+    spark.sql(f"create database {database} location '{_scratch(spark)}'")
+    table = f"{database}.observations"
+    ensure_raw_table(spark, table)
+    raw = _models(spark, sf_dir).raw
+    upsert_into_table(spark, table, raw, ["key"])
+    late = raw.filter(f"event_date > date '{TARGET_LOADED_UNTIL}'").withColumn("event_date", F.lit(None).cast("date"))
+    upsert_into_table(spark, table, late, ["key"])
+    return spark.createDataFrame([(max_event_date(spark, table),)], "max_event_date date")
+
+
 def q_incremental_run(spark, sf_dir):
     """I2-I4 + K2: re-read [max - lookback, as_of] and upsert it into the table."""
     raw = _models(spark, sf_dir).raw
@@ -799,6 +852,14 @@ def _upsert_inputs_sql() -> str:
         from batch) where rn = 1)"""
 
 
+def _state_models_sql() -> str:
+    """The models over the state after the upsert of :func:`_upsert_inputs_sql`."""
+    return f"""state as (
+      select * from target where gbif_id not in (select gbif_id from latest)
+      union all select {_RAW_COLS} from latest),
+    stg as ({_STG_SQL.replace('from raw', 'from state')}), dim as ({_DIM_SQL}), fct as ({_FCT_SQL})"""
+
+
 def oracle_sql() -> dict[str, str]:
     stg_cols = (
         "gbif_id, species_name, observation_date, latitude, longitude, individual_count, "
@@ -894,6 +955,19 @@ def oracle_sql() -> dict[str, str]:
         "upsert_table_state": f"""with {_upsert_inputs_sql()}
             select * from target where gbif_id not in (select gbif_id from latest)
             union all select {_RAW_COLS} from latest""",
+        "fct_refreshed": f"with {_upsert_inputs_sql()}, {_state_models_sql()} select * from fct",
+        "dim_refreshed": f"with {_upsert_inputs_sql()}, {_state_models_sql()} select * from dim",
+        "catalog_summary": _with_models(
+            "select (select count(*) from raw) as raw_row_count,"
+            " (select count(*) from stg) as stg_row_count,"
+            " (select count(*) from fct) as mart_daily_rows,"
+            " (select count(*) from dim) as mart_species_rows,"
+            " (select min(event_date) from raw) as min_event_date,"
+            " (select max(event_date) from raw) as max_event_date"
+        ),
+        "store_watermark": f"""
+            select max(event_date) as max_event_date from ({_raw_sql()})
+            where event_date <= date '{TARGET_LOADED_UNTIL}'""",
         "legacy_projection": f"""
             select case when event_id % 41 = 0 then 'None' else cast(event_id as varchar) end
                      as gbif_id,

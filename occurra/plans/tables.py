@@ -99,23 +99,26 @@ def _newest(table: str, loads: list[int]) -> str:
     )
 
 
+def state_sql(table: str, snapshot: int, loads: list[int]) -> str:
+    """SQL: the rows of a snapshot and the loads after it."""
+    k = ident(RAW_KEY)
+    if not loads:
+        return f"select {_COLUMNS} from {table}__snap_{snapshot}"
+    return (
+        f"select {', '.join(f's.{ident(n)}' for n, _ in RAW_COLUMNS)} from {table}__snap_{snapshot} s "
+        f"left anti join (select {k} from {table}__loads where {LOAD} in ({', '.join(map(str, loads))})) l on s.{k} = l.{k} "
+        f"union all {_newest(table, loads)}"
+    )
+
+
 def _set_state(spark: SparkSession, table: str, state: State) -> None:
     """Point the view at a state; one catalog operation."""
-    k = ident(RAW_KEY)
     named = ", ".join(
         ident(n) + (f" comment {lit_sql(COLUMN_COMMENTS[n])}" if n in COLUMN_COMMENTS else "") for n, _ in RAW_COLUMNS
     )
-    body = f"select {_COLUMNS} from {table}__snap_{state.snapshot}"
-    if state.loads:
-        ids = ", ".join(map(str, state.ids))
-        body = (
-            f"select {', '.join(f's.{ident(n)}' for n, _ in RAW_COLUMNS)} from {table}__snap_{state.snapshot} s "
-            f"left anti join (select {k} from {table}__loads where {LOAD} in ({ids})) l on s.{k} = l.{k} "
-            f"union all {_newest(table, state.ids)}"
-        )
     spark.sql(
-        f"create or replace view {table} ({named}) "
-        f"tblproperties ('{_STATE}' = {lit_sql(json.dumps(asdict(state)))}) as {body}"
+        f"create or replace view {table} ({named}) tblproperties ('{_STATE}' = {lit_sql(json.dumps(asdict(state)))}) "
+        f"as {state_sql(table, state.snapshot, state.ids)}"
     )
 
 
@@ -312,6 +315,19 @@ def mart_names(database: str) -> dict[str, str]:
     return {"dim": f"{database}.dim_species", "fct": f"{database}.fct_daily_species_observations"}
 
 
+def mart_view(spark: SparkSession, name: str, columns: list[str], body: str, properties: dict[str, str] | None = None) -> None:
+    """Create or replace a mart's view, with its comments; one catalog operation."""
+    cols = ", ".join(
+        ident(c) + (f" comment {lit_sql(COLUMN_COMMENTS[c])}" if c in COLUMN_COMMENTS else "") for c in columns
+    )
+    comment = TABLE_COMMENTS.get(name.split(".")[-1])
+    props = ", ".join(f"{lit_sql(k)} = {lit_sql(v)}" for k, v in (properties or {}).items())
+    spark.sql(
+        f"create or replace view {name} ({cols}) {'comment ' + lit_sql(comment) if comment else ''} "
+        f"{f'tblproperties ({props})' if props else ''} as {body}"
+    )
+
+
 def stage_marts(spark: SparkSession, models, database: str) -> dict[str, str]:
     """K6: write the marts as tables of a new version, which nobody reads yet; their names."""
     spark.sql(f"create database if not exists {database}")
@@ -332,15 +348,7 @@ def publish_marts(spark: SparkSession, staged: dict[str, str], database: str, ke
     """
     names = mart_names(database)
     for short, name in names.items():
-        cols = ", ".join(
-            ident(c) + (f" comment {lit_sql(COLUMN_COMMENTS[c])}" if c in COLUMN_COMMENTS else "")
-            for c in spark.table(staged[short]).columns
-        )
-        comment = TABLE_COMMENTS.get(name.split(".")[-1])
-        spark.sql(
-            f"create or replace view {name} ({cols}) {'comment ' + lit_sql(comment) if comment else ''} "
-            f"as select * from {staged[short]}"
-        )
+        mart_view(spark, name, spark.table(staged[short]).columns, f"select * from {staged[short]}")
     for short, name in names.items():
         current = int(staged[short].rpartition("__v")[2])
         older = [v for v in _mart_versions(spark, database, name.split(".")[-1]) if v < current]
