@@ -21,8 +21,9 @@ from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from occurra.functions.expr import lit_sql
+from occurra.functions.expr import ident, lit_sql
 from occurra.schema import SEARCH_PAGE_SCHEMA, SEARCH_RECORD_TEXT_SCHEMA
 from occurra.sources.records import has_open_lines, physical_lines, read_records
 
@@ -184,17 +185,60 @@ def read_download_export(
 def parse_search_records(df: DataFrame, record: str = "_record") -> DataFrame:
     """Record fields of the JSON text in ``record``, which stays, and all other columns.
 
-    ``_count_type`` is the JSON type of ``individualCount``, as a number and a
-    text of the same digits count differently.
+    A record is parsed once.  ``_count_type`` is the JSON type of
+    ``individualCount``, as a number and a text of the same digits count
+    differently.
     """
-    schema = SEARCH_RECORD_TEXT_SCHEMA.simpleString()
-    rest = [c for c in df.columns if c != record]
-    return df.selectExpr(
-        f"from_json(`{record}`, '{schema}') as _rec",
-        f"schema_of_variant(variant_get(try_parse_json(`{record}`), '$.individualCount', 'variant')) as _count_type",
-        f"`{record}` as _record",
-        *[f"`{c}`" for c in rest],
-    ).selectExpr("_rec.*", "_count_type", "_record", *[f"`{c}`" for c in rest])
+    fields = ", ".join(
+        f"{ident(f.name)} {'variant' if f.name == 'individualCount' else f.dataType.simpleString()}"
+        for f in SEARCH_RECORD_TEXT_SCHEMA.fields
+    )
+    names = [
+        "try_variant_get(_rec.individualCount, '$', 'string') as individualCount" if f.name == "individualCount"
+        else f"_rec.{ident(f.name)} as {ident(f.name)}"
+        for f in SEARCH_RECORD_TEXT_SCHEMA.fields
+    ]
+    rest = [ident(c) for c in df.columns if c != record]
+    return df.selectExpr(f"from_json({ident(record)}, {lit_sql(fields)}) as _rec", f"{ident(record)} as _record", *rest).selectExpr(
+        *names, "schema_of_variant(_rec.individualCount) as _count_type", "_record", *rest
+    )
+
+
+def _pages(spark: SparkSession, root: str, schema, multi_line: bool) -> DataFrame:
+    return (
+        spark.read.schema(schema).option("multiLine", str(bool(multi_line)).lower()).option("basePath", root).json(root)
+        .withColumn("day", F.col("day").cast("date"))
+    )
+
+
+def page_envelopes(spark: SparkSession, root: str, multi_line: bool = True) -> DataFrame:
+    """(day, offset, ends, records) of the landed pages; no record is read, they are only counted."""
+    schema = "offset bigint, endOfRecords boolean, results array<struct<_none: string>>"
+    return _pages(spark, root, schema, multi_line).selectExpr(
+        "day", "offset", "coalesce(endOfRecords, false) as ends", "coalesce(size(results), 0) as records"
+    )
+
+
+def _stops(envelopes: DataFrame) -> DataFrame:
+    """One row per day: the offset of the page that ended the day's paging."""
+    return envelopes.filter("ends or records = 0").groupBy("day").agg(F.min("offset").alias("_stop"))
+
+
+def page_gaps(spark: SparkSession, root: str, multi_line: bool = True) -> DataFrame:
+    """(day, missing_from, missing_to) of offsets that no landed page has, up to each day's stop.
+
+    A day without a stop isn't complete: its last row has no ``missing_to``.
+    """
+    envelopes = page_envelopes(spark, root, multi_line)
+    stops = _stops(envelopes)
+    pages = envelopes.join(stops, "day", "left").filter("_stop is null or offset <= _stop")
+    by_day = Window.partitionBy("day").orderBy("offset", "records")
+    reach = F.coalesce(F.max(F.col("offset") + F.col("records")).over(by_day.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    holes = pages.withColumn("missing_from", reach).filter("offset > missing_from").selectExpr(
+        "day", "missing_from", "offset - 1 as missing_to"
+    )
+    open_days = pages.filter("_stop is null").groupBy("day").agg(F.max(F.col("offset") + F.col("records")).alias("missing_from"))
+    return holes.unionByName(open_days.selectExpr("day", "missing_from", "cast(null as bigint) as missing_to"))
 
 
 def read_search_pages(spark: SparkSession, root: str, multi_line: bool = True) -> DataFrame:
@@ -204,20 +248,10 @@ def read_search_pages(spark: SparkSession, root: str, multi_line: bool = True) -
     stops at the first page flagged ``endOfRecords`` or with no results;
     later pages of that day are ignored.  Output: the record fields, the whole
     record as it was (``_record``), ``_request_day``, ``_offset`` and ``_pos``
-    (position in the page).  The pages are parsed into records only after the
-    stop is known from their envelopes.
+    (position in the page).  The stops come from the pages' envelopes alone.
     """
-    pages = (
-        spark.read.schema(SEARCH_PAGE_SCHEMA)
-        .option("multiLine", str(bool(multi_line)).lower())
-        .option("basePath", root)
-        .json(root)
-        .withColumn("day", F.col("day").cast("date"))
-    )
-    # one row per day: the offset of the page that ended the day's paging
-    stops = pages.filter(
-        "coalesce(endOfRecords, false) or results is null or size(results) = 0"
-    ).groupBy("day").agg(F.min("offset").alias("_stop"))
+    stops = _stops(page_envelopes(spark, root, multi_line))
+    pages = _pages(spark, root, SEARCH_PAGE_SCHEMA, multi_line)
     fetched = pages.join(stops, "day", "left").filter("_stop is null or offset <= _stop")
     records = fetched.selectExpr(
         "day as _request_day", "offset as _offset", "posexplode(results) as (_pos, _record)"

@@ -284,3 +284,25 @@ def test_parquet_mode_pipeline_matches_tsv(spark, landed):
     a, b = norm(read_raw(spark, "t_raw.from_tsv")), norm(read_raw(spark, "t_raw.from_pq"))
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_gaps_of_page_offsets_are_reported(spark, scratch):
+    root = os.path.join(scratch, "gappy pages")
+
+    def land(day, offset, n, ends):
+        os.makedirs(os.path.join(root, f"day={day}"), exist_ok=True)
+        page = {"offset": offset, "limit": 10, "endOfRecords": ends, "results": [{"key": k, "x": [{}]} for k in range(n)]}
+        with open(os.path.join(root, f"day={day}", f"p{offset}.json"), "w") as fh:
+            json.dump(page, fh)
+
+    for offset, n, ends in ((0, 10, False), (10, 10, False), (20, 3, True), (50, 10, False)):
+        land("2024-01-01", offset, n, ends)  # whole; a page after the end doesn't count
+    for offset, n, ends in ((10, 10, False), (30, 10, False), (60, 0, False), (90, 4, True)):
+        land("2024-01-02", offset, n, ends)
+    land("2024-01-03", 0, 10, False)
+    got = {(str(r.day), r.missing_from, r.missing_to) for r in R.page_gaps(spark, root).collect()}
+    assert got == {("2024-01-02", 0, 9), ("2024-01-02", 20, 29), ("2024-01-02", 40, 59), ("2024-01-03", 10, None)}
+    records = R.read_search_pages(spark, root)
+    assert records.count() == 23 + 20 + 10
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") + plan.count("JsonToStructs") <= 2 and "parse_json" not in plan
