@@ -107,39 +107,49 @@ def _clause() -> Transducer:
 
 
 class Grammar:
-    """The composition of the transducers; its states are made as they are reached."""
+    """The composition of the transducers; its states are numbered and made as they are reached."""
 
     PARTS = (DENIED, QUOTED, _clause())
 
     def __init__(self) -> None:
-        self.table: dict[tuple, tuple[tuple, int]] = {}
-
-    def step(self, state: tuple, symbol: int) -> tuple[tuple, int]:
-        got = self.table.get((state, symbol))
-        if got is None:
-            written, states = symbol, []
-            for part, s in zip(self.PARTS, state):  # each reads what the one before writes
-                s, written = part.step(s, written)
-                states.append(s)
-            got = self.table[state, symbol] = (tuple(states), written)
+        self.numbers: dict[tuple, int] = {}
+        self.states: list[tuple] = []
+        self.table: list[list] = []  # by state and symbol: (next state, symbol written)
+        self.number((0,) * len(self.PARTS))
+
+    def number(self, state: tuple) -> int:
+        if state not in self.numbers:
+            self.numbers[state] = len(self.states)
+            self.states.append(state)
+            self.table.append([None] * (SAID_THREAT + 1))
+        return self.numbers[state]
+
+    def step(self, state: int, symbol: int) -> tuple[int, int]:
+        written, after = symbol, []
+        for part, s in zip(self.PARTS, self.states[state]):  # each reads what the one before writes
+            s, written = part.step(s, written)
+            after.append(s)
+        got = self.table[state][symbol] = (self.number(tuple(after)), written)
         return got
 
     def clauses(self, symbols: list[tuple[int, float]]) -> np.ndarray:
         """The weight of the matches, by kind."""
-        out, state = np.zeros(len(KINDS)), (0,) * len(self.PARTS)
+        out, state, table = np.zeros(len(KINDS)), 0, self.table
         insults, threats = [0.0] * 3, [0.0] * 3  # as such, negated, reported
         place = {INSULT: (insults, 0), DENIED_INSULT: (insults, 1), SAID_INSULT: (insults, 2),
                  THREAT: (threats, 0), DENIED_THREAT: (threats, 1), SAID_THREAT: (threats, 2)}
         for symbol, w in [*symbols, (END, 0.0)]:
-            state, written = self.step(state, symbol)
+            state, written = table[state][symbol] or self.step(state, symbol)
+            if not written:
+                continue
             if written in place:
                 held, k = place[written]
                 held[k] += w
-            elif symbol == END:
-                if written == AIMED:
-                    out += (0, insults[0], insults[1] + threats[1], insults[2] + threats[2], threats[0])
-                elif written == LOOSE:  # threats at nobody go with the insults
-                    out += (insults[0] + threats[0], 0, insults[1] + threats[1], insults[2] + threats[2], 0)
+            elif written == AIMED:
+                out += (0, insults[0], insults[1] + threats[1], insults[2] + threats[2], threats[0])
+            elif written == LOOSE:  # threats at nobody go with the insults
+                out += (insults[0] + threats[0], 0, insults[1] + threats[1], insults[2] + threats[2], 0)
+            if symbol == END and (written != NOTHING or any(threats)):
                 insults[:], threats[:] = [0.0] * 3, [0.0] * 3
         return out
 
@@ -244,12 +254,12 @@ COPY = 0.7  # share of equal hashes of near copies; those with a likeness of 0.8
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, sig): the least shingle hashes in ``HASHES`` orders."""
+    """(id, sig): the least shingle hashes in ``HASHES`` orders, each that of the hashes' products with an odd number."""
     odd = mix64(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
     for batch in batches:
         sigs = []
         for s in shingle_sets(batch.column(1).to_pylist()):
-            sigs.append([int(mix64(s * k).min().astype(np.int64)) for k in odd] if len(s) else None)
+            sigs.append([int((s * k).min().view(np.int64)) for k in odd] if len(s) else None)
         yield pa.record_batch([batch.column(0), pa.array(sigs, pa.list_(pa.int64()))], names=["id", "sig"])
 
 
@@ -261,12 +271,13 @@ def without_copies(sample: DataFrame) -> DataFrame:
     """
     rows = sample.withColumn("id", F.xxhash64("text"))
     sigs = cut(rows.select("id", "text").mapInArrow(_signatures, "id long, sig array<long>").where("sig is not null"))
-    marks = sigs.join(rows.select("id", "y"), "id").select("id", "y", "sig", F.posexplode(
-        F.transform(F.sequence(F.lit(0), F.lit(HASHES - BAND), F.lit(BAND)), lambda i: F.xxhash64(F.slice("sig", i + 1, BAND)))
-    ).alias("band", "h"))
-    first = marks.groupBy("y", "band", "h").agg(F.min(F.struct("id", "sig")).alias("first"))
-    met = marks.join(first, ["y", "band", "h"]).where("id <> first.id")
-    equal = F.aggregate(F.zip_with("sig", "first.sig", lambda p, q: (p == q).cast("int")), F.lit(0), lambda n, x: n + x)
+    starts = F.sequence(F.lit(0), F.lit(HASHES - BAND), F.lit(BAND))
+    bands = F.posexplode(F.transform(starts, lambda i: F.xxhash64(F.slice("sig", i + 1, BAND)))).alias("band", "h")
+    marks = sigs.join(rows.select("id", "y"), "id").select("id", "y", bands)
+    first = marks.groupBy("y", "band", "h").agg(F.min("id").alias("first"))
+    met = marks.join(first, ["y", "band", "h"]).where("id <> first").select("id", "first").distinct()
+    met = met.join(sigs, "id").join(sigs.toDF("first", "other"), "first")
+    equal = F.aggregate(F.zip_with("sig", "other", lambda p, q: (p == q).cast("int")), F.lit(0), lambda n, x: n + x)
     hidden = met.where(equal >= COPY * HASHES).select("id").distinct()
     return cut(rows.join(hidden, "id", "left_anti").drop("id"))
 
