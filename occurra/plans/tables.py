@@ -292,6 +292,18 @@ def drop_unused(spark: SparkSession, table: str, grace_seconds: float = 0.0) ->
         _set_state(spark, table, replace(state, retired=waiting))
 
 
+def check_unique_after_load(spark: SparkSession, table: str, load: int) -> DataFrame:
+    """Q2: keys of one load that the store's view has more than once; none, if the store is sound.
+
+    The same as the check over all keys, as only a load's keys can have become
+    repeated.  Snapshot and loads have the same buckets, so they meet without
+    being shuffled, and what is counted is as large as the load.
+    """
+    keys = spark.table(f"{table}__loads").filter(F.col(LOAD) == load).select(RAW_KEY).distinct()
+    rows = spark.table(table).select(RAW_KEY).join(keys, RAW_KEY, "left_semi")
+    return rows.groupBy(RAW_KEY).agg(F.count("*").alias("n_records")).filter("n_records > 1")
+
+
 def create_staging_view(spark: SparkSession, raw_table: str, view: str) -> DataFrame:
     """K5: (re)create the staging model as a persistent view over the raw
     table; readers of the view always see the current raw table."""

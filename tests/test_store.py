@@ -106,6 +106,33 @@ def test_snapshot_isnt_shuffled(spark, store, raw):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
+def test_uniqueness_is_checked_for_a_loads_keys_only(spark, store, raw):
+    from occurra.operators.quality import check_unique
+
+    TB.upsert_into_table(spark, store, raw, ["key"])
+    TB.compact(spark, store)
+    load = TB.upsert_into_table(spark, store, raw.filter("key < 50"), ["key"])
+    assert TB.check_unique_after_load(spark, store, load).collect() == []
+    # rows that another writer repeats are found by a load that holds their keys as by the full check
+    state = TB._state(spark, store)
+    view = f"{store}_doubled"
+    spark.sql(f"create or replace view {view} as {TB.state_sql(store, state.snapshot, state.ids)} union all select * from {store} where key in (3, 4)")
+    spark.sql(f"create or replace view {view}__loads as select * from {store}__loads")
+    found = TB.check_unique_after_load(spark, view, load).collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, check_unique(spark.table(view), "gbif_id").collect())) and len(found) == 2
+    later = load
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        plan = TB.check_unique_after_load(spark, store, later)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert plan.count("Exchange") <= 1  # of the rows that are counted, after the joins
+
+
 def test_rows_without_a_key_fail(spark, store, raw):
     broken = raw.limit(3).withColumn("gbif_id", F.when(F.col("key") != 1, F.col("gbif_id")))
     with pytest.raises(Exception, match="no gbif_id"):
