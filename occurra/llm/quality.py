@@ -1,7 +1,10 @@
 """Quality by hierarchical empirical Bayes over hosts and paths.
 
-A document's own evidence is the log-odds of a small classifier of its form,
-fitted on a bounded sample of labelled rows.  Sites have a rate of good
+A document's own evidence is the log-odds of a classifier of its words and its
+form, fitted on a bounded sample of labelled rows: words are hashed to
+2^``BUCKET_BITS`` buckets, and the weights of the form's measures and of the mean
+log-odds of a text's words are fitted with log-odds from the other half of the
+sample.  Sites have a rate of good
 documents: the global prior is a beta distribution whose moments come from all
 hosts, a host's posterior adds its documents' probabilities, and a path's
 posterior takes the host's mean as its prior with the strength of
@@ -13,16 +16,19 @@ without the document itself, says beyond the global rate.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from operator import eq
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from occurra.llm import logistic
 from occurra.llm.common import cut, place_of, positional, prepare
 from occurra.llm.toxicity import sample_texts
+from occurra.llm.wordhash import PIECE, hash_words, pieces
 
 SAMPLE = 8000
 PATH_STRENGTH = 20.0
@@ -31,16 +37,70 @@ SITE_LIMIT = 2.0
 #: Sites whose posteriors are broadcast at most; more are joined by shuffle.
 BROADCAST_SITES = 20_000
 
-FEATURES = ("symbols", "bars", "exclamations", "capitals", "digits", "white", "same word", "same line", "length")
+FEATURES = ("symbols", "bars", "exclamations", "capitals", "digits", "white", "same word", "same line", "length", "words")
 #: Weights before any label is seen; last: intercept.
-PRIOR = np.array([-2.0, -2.0, -2.0, -1.0, -0.5, 0.0, -2.0, -1.0, 0.0, 2.0])
+PRIOR = np.array([-2.0, -2.0, -2.0, -1.0, -0.5, 0.0, -2.0, -1.0, 0.0, 1.0, 2.0])
+BUCKET_BITS = 16
+SEEN = 4.0  # texts that a bucket's rates are drawn to the common one by
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#$%&*+=<>@^_~\\{}[]")] = True
 
 
+def buckets(raw: bytes) -> np.ndarray:
+    """The distinct buckets of a text's words, in lower case; of long texts piece by piece."""
+    found = [hash_words(part)[0] >> np.uint64(64 - BUCKET_BITS) for part in pieces(raw.lower())]
+    return np.unique(np.concatenate(found)).astype(np.int64) if found else np.zeros(0, np.int64)
+
+
+def word_means(texts: list[str], odds: np.ndarray) -> np.ndarray:
+    """The mean log-odds of each text's words, 0 without any; hashed for many texts at once."""
+    out, lowered = np.zeros(len(texts)), [t.encode("utf-8", "surrogatepass").lower() for t in texts]
+    i = 0
+    while i < len(lowered):
+        j, size = i, 0
+        while j < len(lowered) and (j == i or size + len(lowered[j]) < PIECE):
+            size += len(lowered[j]) + 1
+            j += 1
+        total, count = np.zeros(j - i), np.zeros(j - i)
+        ends = np.cumsum([len(x) + 1 for x in lowered[i:j]])
+        for part in pieces(lowered[i]) if j == i + 1 else [b"\n".join(lowered[i:j])]:
+            hashes, starts = hash_words(part)
+            owner = np.searchsorted(ends, starts, side="right") if j > i + 1 else np.zeros(len(starts), np.int64)
+            total += np.bincount(owner, odds[(hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)], j - i)
+            count += np.bincount(owner, minlength=j - i)
+        out[i:j] = total / np.maximum(count, 1)
+        i = j
+    return out
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, good, bad): in how many texts of a partition a bucket is."""
+    counts = np.zeros((2, 1 << BUCKET_BITS), np.int64)
+    for batch in batches:
+        for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            counts[0 if y else 1, buckets(text.encode("utf-8", "surrogatepass"))] += 1
+    at = np.flatnonzero(counts.any(axis=0))
+    yield pa.record_batch([pa.array(at, pa.int32()), *(pa.array(counts[k, at], pa.int64()) for k in (0, 1))],
+                          names=["bucket", "good", "bad"])
+
+
+def word_odds(sample: DataFrame) -> np.ndarray:
+    """Log-odds of each bucket; a row per bucket at most reaches the driver."""
+    totals = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    good, bad = totals.get(1, 0), totals.get(0, 0)
+    out = np.zeros(1 << BUCKET_BITS, np.float32)
+    if not good or not bad:
+        return out
+    counted = sample.select("text", "y").mapInArrow(_count_words, "bucket int, good long, bad long")
+    for r in counted.groupBy("bucket").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).collect():
+        rate = (r["good"] + r["bad"]) / (good + bad)
+        out[r["bucket"]] = np.log((r["good"] + SEEN * rate) / (good + SEEN)) - np.log((r["bad"] + SEEN * rate) / (bad + SEEN))
+    return out
+
+
 def measure(text: str) -> list[float]:
-    """The classifier's features of one whole text."""
+    """The measures of one whole text's form."""
     raw = text.encode("utf-8", "surrogatepass")
     n = max(1, len(raw))
     by = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
@@ -53,18 +113,27 @@ def measure(text: str) -> list[float]:
     return [*np.sqrt(share).tolist(), float(np.log10(n))]
 
 
-def learn(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> np.ndarray:
-    """Weights of the classifier; without labels, the prior."""
+def features(texts: list[str], odds: np.ndarray) -> np.ndarray:
+    """The classifier's features of whole texts, a row each."""
+    form = np.array([measure(t) for t in texts]).reshape(len(texts), len(FEATURES) - 1)
+    return np.concatenate([form, word_means(texts, odds)[:, None]], axis=1)
+
+
+def learn(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the classifier and log-odds of words; without labels, the prior and zeros."""
     sample = sample_texts(docs, labels, "quality", bound)
+    odds = [word_odds(sample.where(F.col("half") == k)) for k in (0, 1)]
 
     @F.pandas_udf("array<double>")
-    def features(text: pd.Series) -> pd.Series:
-        return text.map(measure)
+    def crossed(text: pd.Series, half: pd.Series) -> pd.Series:
+        both = [features(text.tolist(), odds[1 - k]) for k in (0, 1)]  # words by what the other half says
+        return pd.Series([both[h][i].tolist() for i, h in enumerate(half)])
 
-    rows = sample.select("y", features("text").alias("x")).collect()  # the bounded sample
+    rows = sample.select("y", crossed("text", "half").alias("x")).collect()  # the bounded sample
     rows.sort(key=lambda r: (r["y"], r["x"]))
     x = np.array([r["x"] for r in rows]).reshape(len(rows), len(FEATURES))
-    return logistic.fit(x, np.array([r["y"] for r in rows], float), PRIOR, 0.05)
+    weights = logistic.fit(x, np.array([r["y"] for r in rows], float), PRIOR, 0.05)
+    return weights, (odds[0] + odds[1]) / 2
 
 
 def beta_prior(hosts: DataFrame) -> tuple[float, float]:
@@ -87,11 +156,11 @@ def beta_prior(hosts: DataFrame) -> tuple[float, float]:
 def _scored(docs: DataFrame, labels: DataFrame, host: str, path: str, bound: int) -> tuple[DataFrame, list[str]]:
     """Positional columns of ``docs`` with the evidence, posteriors and score; the positional names."""
     prepare(docs.sparkSession)
-    weights = learn(docs, labels, bound)
+    weights, odds = learn(docs, labels, bound)
 
     @F.pandas_udf("double")
     def evidence(text: pd.Series) -> pd.Series:
-        x = np.array([measure(t or "") for t in text]).reshape(len(text), len(FEATURES))
+        x = features([t or "" for t in text], odds)
         return pd.Series(np.clip(x @ weights[:-1] + weights[-1], -20, 20))
 
     rows = positional(docs)

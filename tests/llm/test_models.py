@@ -171,6 +171,59 @@ def test_quality_on_held_out_rows(spark):
     assert np.mean([k for k, y in judged if y]) > 0.995
 
 
+def plain_posteriors(rows):
+    """Scores of (evidence, host, path) rows by plain grouping, one document left out at a time."""
+    good = [1 / (1 + np.exp(-e)) for e, _, _ in rows]
+    host, path = {}, {}
+    for g, (_, h, p) in zip(good, rows):
+        host.setdefault(h, []).append(g)
+        path.setdefault((h, p), []).append(g)
+    n, s, k = np.array([len(v) for v in host.values()], float), np.array([sum(v) for v in host.values()]), len(host)
+    mean = min(max(s.sum() / n.sum(), 1e-6), 1 - 1e-6)
+    between = max((s * s / n).sum() - n.sum() * mean * mean, 0)
+    spread = n.sum() - (n * n).sum() / n.sum()
+    variance = (between - (k - 1) * mean * (1 - mean)) / spread if spread > 0 else 0
+    strength = min(max(mean * (1 - mean) / variance - 1 if variance > 1e-9 else 1000, 1), 1000)
+    out = []
+    for g, (e, h, p) in zip(good, rows):
+        top = (sum(host[h]) + mean * strength) / (len(host[h]) + strength)
+        rate = (sum(path[h, p]) - g + quality.PATH_STRENGTH * top) / (len(path[h, p]) - 1 + quality.PATH_STRENGTH)
+        shift = np.clip(np.log(rate / (1 - rate)) - np.log(mean / (1 - mean)), -quality.SITE_LIMIT, quality.SITE_LIMIT)
+        out.append((top, rate, 1 / (1 + np.exp(-(e + shift)))))
+    return out
+
+
+def test_posteriors_equal_plain_grouping(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.selectExpr("doc_id", "text", "if(doc_id % 3 = 0, 'hot', nullif(source, 'src3')) as source", "lang")
+    got = quality.score(docs, labels).collect()
+    want = plain_posteriors([(r.evidence, r.host, r.path) for r in got])
+    assert len(got) == docs.count() and len({r.host for r in got}) > 5
+    assert np.allclose([(r.host_posterior, r.path_posterior, r.score) for r in got], want, atol=1e-9)
+
+
+def test_words_tell_what_form_doesnt(spark):
+    rng = random.Random(9)
+    some = lambda words: " ".join(rng.choices(words, k=60)) + "."
+    rows = [(i, some("alpha beta gamma delta".split() if i % 2 else "omega sigma kappa theta".split()), "h", "p") for i in range(600)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(600)], "doc_id long, quality int, toxic int")
+    weights, odds = quality.learn(spark.createDataFrame(rows, DOC), labels)
+    evidence = quality.features(["alpha beta gamma " * 20, "omega sigma " * 20], odds) @ weights[:-1] + weights[-1]
+    assert evidence[0] > 1 and evidence[1] < -1
+    whole = "word " * 300_000 + "end"
+    assert len(quality.buckets(whole.encode())) == len(quality.buckets(b"Word END")) == 2
+
+
+def test_word_means_of_many_texts_at_once(monkeypatch):
+    odds = np.random.default_rng(1).normal(size=1 << quality.BUCKET_BITS).astype(np.float32)
+    texts = ["one Two", "", "  ", "word " * 300_000 + "end", "é\nà b", "one", *(f"w{k} " * k for k in range(40))]
+    one = lambda w: odds[quality.buckets(w.encode())[0]]
+    want = [np.mean([one(w) for w in t.split()]) if t.split() else 0 for t in texts]
+    assert np.allclose(quality.word_means(texts, odds), want, atol=1e-4)
+    monkeypatch.setattr(quality, "PIECE", 20)
+    assert np.allclose(quality.word_means(texts, odds), want, atol=1e-4) and len(quality.word_means([], odds)) == 0
+
+
 def test_sparse_sites_shrink(spark, monkeypatch):
     good, bad = "A plain sentence of some words here.", "$$$ ### %%% &&& *** $$$ ### %%%"
     rng = random.Random(0)
