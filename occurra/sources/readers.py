@@ -185,8 +185,10 @@ def read_download_export(
 def parse_search_records(df: DataFrame, record: str = "_record") -> DataFrame:
     """Record fields of the JSON text in ``record``, which stays, and all other columns.
 
-    A record is parsed once.  ``_count_type`` is the JSON type of
-    ``individualCount``, as a number and a text of the same digits count
+    A record is parsed once: it comes from a generator, below which no later
+    filter on its fields is pushed (there the parse, and the record's making,
+    would be repeated for every mention of a field).  ``_count_type`` is the JSON
+    type of ``individualCount``, as a number and a text of the same digits count
     differently.
     """
     fields = ", ".join(
@@ -199,7 +201,8 @@ def parse_search_records(df: DataFrame, record: str = "_record") -> DataFrame:
         for f in SEARCH_RECORD_TEXT_SCHEMA.fields
     ]
     rest = [ident(c) for c in df.columns if c != record]
-    return df.selectExpr(f"from_json({ident(record)}, {lit_sql(fields)}) as _rec", f"{ident(record)} as _record", *rest).selectExpr(
+    once = f"explode(array(from_json({ident(record)}, {lit_sql(fields)}))) as _rec"
+    return df.selectExpr(once, f"{ident(record)} as _record", *rest).selectExpr(
         *names, "schema_of_variant(_rec.individualCount) as _count_type", "_record", *rest
     )
 
