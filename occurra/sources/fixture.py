@@ -164,14 +164,15 @@ DOWNLOAD_ROW = {
 }
 
 
-def events_as_download_rows(events: DataFrame) -> DataFrame:
+def events_as_download_rows(events: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """A landed download export: one text column per export field, plus
-    ``classKey`` (the export's class filter column) and ``_row`` (file order)."""
+    ``classKey`` (the export's class filter column) and ``_row`` (file order);
+    in ``min_partitions`` parts at least (default: the default parallelism)."""
     cols = [f"{DOWNLOAD_ROW[n]} as `{n}`" for n in DOWNLOAD_FIELDS]
     cols.append("case when event_id % 9 = 0 then '359' else '212' end as classKey")
     cols.append("event_id as _row")
     # spread the compact source (6 columns) rather than the 26 text columns
-    return spread(events).selectExpr(*cols)
+    return spread(events, min_partitions).selectExpr(*cols)
 
 
 def json_object_sql(fields: list[tuple[str, str, str]]) -> str:

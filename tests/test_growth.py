@@ -1,6 +1,7 @@
 """Work that has to be dealt by the input's size, and done once a row."""
 
 import datetime as dt
+import glob
 
 import pytest
 
@@ -21,6 +22,19 @@ def events(spark, tmp_path_factory):
     return str(root)
 
 
+@pytest.mark.parametrize("query,part", [("read_tsv_parts", "occurrence/part-*.csv")])
+def test_exports_land_in_as_many_parts_as_the_input_has(spark, events, tmp_path, monkeypatch, query, part):
+    monkeypatch.setattr(E, "_scratch", lambda s: str(tmp_path / "landed"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        rows = E.queries()[query](spark, events).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(glob.glob(f"{tmp_path}/landed/{part}")) == FILES
+    assert sorted(r["key"] for r in rows if r["key"] < 450) == [k for k in range(450) if k % 41 and k % 43]
+
+
 def test_a_search_record_is_parsed_once(spark, events):
     for query in ("normalize_search", "legacy_projection"):
         plan = E.queries()[query](spark, events)._jdf.queryExecution().optimizedPlan().toString()
