@@ -22,7 +22,7 @@ def events(spark, tmp_path_factory):
     return str(root)
 
 
-@pytest.mark.parametrize("query,part", [("read_tsv_parts", "occurrence/part-*.csv")])
+@pytest.mark.parametrize("query,part", [("read_tsv_parts", "occurrence/part-*.csv"), ("read_parquet_shards", "occurrence.parquet/part-*")])
 def test_exports_land_in_as_many_parts_as_the_input_has(spark, events, tmp_path, monkeypatch, query, part):
     monkeypatch.setattr(E, "_scratch", lambda s: str(tmp_path / "landed"))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
